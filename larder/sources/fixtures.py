@@ -104,6 +104,9 @@ def fx_price(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.col("p_size").cast("string"), F.lit(" oz")).alias("item_size"),
         F.lit("UNIT").alias("sold_by"),
         F.col("l_quantity"),
+        F.col("l_orderkey"),
+        F.col("l_linenumber"),
+        F.col("l_partkey"),
     )
 
 
