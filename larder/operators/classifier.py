@@ -71,7 +71,13 @@ def binary_metrics(scored: DataFrame, score: str = "score", label: str = "label"
         F.sum(F.when((pred == 0) & (F.col(label) == 0), 1).otherwise(0)).alias("tn"),
     )
     auc = _auc_numerator(scored, score, label)
-    both = counts.crossJoin(auc)  # one row x one row
+    # Two one-row aggregates combined without a join: union, then take the non-null of each column.
+    null_long = F.lit(None).cast("long")
+    both = (
+        counts.withColumn("auc_num", F.lit(None).cast("decimal(38,0)"))
+        .unionByName(auc.select(*[null_long.alias(c) for c in ("tp", "fp", "fn", "tn")], "auc_num"))
+        .agg(*[F.max(c).alias(c) for c in ("tp", "fp", "fn", "tn", "auc_num")])
+    )
     p = F.col("tp") + F.col("fn")
     n = F.col("fp") + F.col("tn")
     auc_value = F.when((p > 0) & (n > 0), _ratio4(F.col("auc_num"), 2 * p * n)).otherwise(
@@ -113,10 +119,8 @@ def train_classifier(history: DataFrame, lookback_days: int = 90, as_of=None, sp
         raise ValueError(f"unknown split {split!r}")
     data = fe.assemble(data)
     train = data.filter(F.col("split") == "train")
-    balance = fe.class_balance(train).select("scale_pos_weight")
-    weighted = train.crossJoin(F.broadcast(balance)).withColumn(
-        "weight", F.when(F.col("label") == 1, F.col("scale_pos_weight")).otherwise(F.lit(1.0))
-    )
+    pos_weight = fe.class_balance(train).select("scale_pos_weight").scalar()
+    weighted = train.withColumn("weight", F.when(F.col("label") == 1, pos_weight).otherwise(F.lit(1.0)))
     gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=max_iter,
                         maxDepth=max_depth, stepSize=step_size, seed=seed)
     model = gbt.fit(weighted)
