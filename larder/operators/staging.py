@@ -31,26 +31,42 @@ def join_store_lookup(prices: DataFrame, stores: DataFrame) -> DataFrame:
     return prices.join(lookup, "store_id", "left")
 
 
+PRICE_PAYLOAD_TYPE = (
+    "struct<productId:string, description:string, upc:string, categories:array<string>, "
+    "items:array<struct<price:struct<regular:decimal(10,2), promo:decimal(10,2)>, size:string, soldBy:string>>>"
+)
+
+
 def stg_prices(raw: DataFrame, stores: DataFrame, json_null_is_present: bool = False) -> DataFrame:
-    """One typed row per product x store x load; drops missing item/price and negative prices."""
-    promo = vget("$.items[0].price.promo", "decimal(10,2)")
+    """One typed row per product x store x load; drops missing item/price and negative prices.
+
+    The payload is decoded once per row into a typed struct (one `variant_get`
+    traversal instead of one per field); a value that cannot be cast (e.g. a
+    price "abc") raises INVALID_VARIANT_CAST, as the strict `::NUMBER` does.
+    Missing paths and empty arrays give NULL.
+    """
+    doc = vget("$", PRICE_PAYLOAD_TYPE)
+    base = raw.filter(F.col("raw_payload").isNotNull()).select(
+        "load_id", "loaded_at", "store_id", "raw_payload", doc.alias("d"))
+    item0 = F.get(F.col("d.items"), 0)
+    promo = item0["price"]["promo"]
     if json_null_is_present:
         on_sale = vget("$.items[0].price.promo", "variant").isNotNull()
     else:
         on_sale = promo.isNotNull()
-    parsed = raw.filter(F.col("raw_payload").isNotNull()).select(
+    parsed = base.select(
         "load_id",
         F.col("loaded_at").cast("date").alias("price_date"),
         "store_id",
-        vget("$.productId", "string").alias("item_id"),
-        vget("$.description", "string").alias("item_name"),
-        vget("$.upc", "string").alias("upc"),
-        vget("$.categories[0]", "string").alias("category"),
-        vget("$.items[0].price.regular", "decimal(10,2)").alias("regular_price"),
+        F.col("d.productId").alias("item_id"),
+        F.col("d.description").alias("item_name"),
+        F.col("d.upc").alias("upc"),
+        F.get(F.col("d.categories"), 0).alias("category"),
+        item0["price"]["regular"].alias("regular_price"),
         promo.alias("promo_price"),
         F.when(on_sale, F.lit(True)).otherwise(F.lit(False)).alias("is_on_sale"),
-        vget("$.items[0].size", "string").alias("item_size"),
-        vget("$.items[0].soldBy", "string").alias("sold_by"),
+        item0["size"].alias("item_size"),
+        item0["soldBy"].alias("sold_by"),
     )
     joined = join_store_lookup(parsed, stores)
     return joined.filter(

@@ -10,9 +10,30 @@ TABLES = (
 ).split()
 
 
+DIMENSIONS = {"region", "nation"}  # fixed-size (25 / 5 rows): never spread
+
+
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
     """Read one table; naming the columns keeps the parquet ReadSchema narrow."""
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    df = df.select(*columns) if columns else df
+    return df if name in DIMENSIONS else spread_small_scan(df)
+
+
+def spread_small_scan(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    Parquet splits by row group; a file written as one row group is read by one
+    task, and every operator up to the first shuffle would run in that task.
+    The split count comes from the file listing (no job runs).  Large inputs
+    already have more splits than cores and are left untouched.  Rows are
+    hashed on all their columns: deterministic under task retry without the
+    local sort that a round-robin repartition needs for the same guarantee.
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores:
+        return df.repartition(cores, *df.columns)
+    return df
