@@ -104,9 +104,9 @@ def elasticity(lagged: DataFrame, category: str | None, lag_weeks: int, min_obs:
         F.lit(category).cast("string").alias("category"),
         F.lit(lag_weeks).alias("lag_weeks"),
         F.col("n").alias("n_obs"),
-        F.round("b", 4).alias("elasticity"),
-        F.round("se", 8).alias("se"),
-        F.round("t", 4).alias("t_stat"),
+        (F.round("b", 4) + 0.0).alias("elasticity"),  # + 0.0 turns -0.0 into 0.0
+        (F.round("se", 8) + 0.0).alias("se"),
+        (F.round("t", 4) + 0.0).alias("t_stat"),
     )
 
 
@@ -408,8 +408,8 @@ def rdd(history: DataFrame, threshold_type: str = "month_end", as_of: str | None
     n_total = data.select(F.count(F.lit(1))).scalar()
     return est.select(
         F.lit(threshold_type).alias("threshold_type"),
-        F.round("jump", 6).alias("jump_estimate"),
-        F.round("se", 6).alias("se"),
+        (F.round("jump", 6) + 0.0).alias("jump_estimate"),
+        (F.round("se", 6) + 0.0).alias("se"),
         "n_left", "n_right", n_total.alias("n_total"), "bandwidth",
     )
 
