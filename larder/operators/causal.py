@@ -2,9 +2,8 @@
 
 * lagged_signal_join: retail price rows joined to the USDA value `lag` weeks
   earlier whose commodity contains the item category.  The LIKE predicate is
-  resolved on the distinct (category, commodity) values first, as an equi join
-  of categories to every substring of each commodity, so the data join is a
-  plain equi join on (commodity, date).
+  turned into an equi join: the small USDA side is expanded by the distinct
+  substrings of its commodity and the price rows join on (category, date).
 * elasticity: OLS of ln(retail) on ln(wholesale) from regr_* aggregates.
 * did: two-way fixed effects DiD with HC1 errors.  All regressors are constant
   within a (store, date) cell, so one shuffle builds the cells; stores are
@@ -44,35 +43,27 @@ def _substrings(s: Column) -> Column:
     return F.array_union(F.coalesce(subs, F.array().cast("array<string>")), F.array(F.lit("")))
 
 
-def category_commodity_map(categories: DataFrame, commodities: DataFrame) -> DataFrame:
-    """(category, commodity) pairs with lower(commodity) LIKE '%' || lower(category) || '%'.
-
-    Both inputs are distinct value lists (catalogue-sized, not data-sized);
-    each commodity contributes at most len*(len+1)/2 + 1 needles.  A '%' or '_'
-    inside a category value is matched literally here (LIKE would treat it as
-    a wildcard); category values are plain words.
-    """
-    needles = commodities.select(
-        "commodity", F.explode(_substrings(F.lower("commodity"))).alias("needle")
-    ).distinct()
-    cats = categories.select("category").distinct()
-    return cats.join(needles, F.lower(F.col("category")) == F.col("needle")).select("category", "commodity")
-
-
 def lagged_signal_join(history: DataFrame, ext: DataFrame, category: str | None = None,
                        lag_weeks: int = 2) -> DataFrame:
+    """Price rows x USDA values `lag_weeks` earlier whose commodity contains the category.
+
+    `lower(commodity) LIKE '%' || lower(category) || '%'` holds exactly when
+    lower(category) is one of the distinct substrings of lower(commodity) (or
+    empty).  The USDA side (weekly, far smaller than the price rows) is expanded
+    by those substrings, at most len*(len+1)/2 + 1 rows per signal row, so the
+    price rows are read once and joined by a plain equi join on (needle, date).
+    """
     ph = history.filter(F.col("regular_price").isNotNull())
     if category:
         ph = serving.filter_category(ph, category)
     usda = ext.filter((F.col("signal_type") == "USDA") & F.col("value").isNotNull()).select(
         F.col("signal_date"), F.col("commodity"), F.col("value").alias("usda_price"))
-    mapping = category_commodity_map(ph.select("category"), usda.select("commodity"))
-    keyed = ph.select("price_date", "item_id", "store_id", "regular_price", "category").join(mapping, "category")
-    return keyed.join(
-        usda,
-        (keyed["commodity"] == usda["commodity"])
-        & (usda["signal_date"] == F.date_sub(keyed["price_date"], 7 * lag_weeks)),
-    ).select("price_date", "item_id", "store_id", "regular_price", "category", "usda_price", keyed["commodity"])
+    expanded = usda.select("*", F.explode(_substrings(F.lower("commodity"))).alias("_needle"))
+    keyed = ph.select("price_date", "item_id", "store_id", "regular_price", "category",
+                      F.lower("category").alias("_needle"),
+                      F.date_sub("price_date", 7 * lag_weeks).alias("signal_date"))
+    return keyed.join(expanded, ["_needle", "signal_date"]).select(
+        "price_date", "item_id", "store_id", "regular_price", "category", "usda_price", "commodity")
 
 
 # ---------------------------------------------------------------------------

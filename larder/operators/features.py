@@ -15,7 +15,7 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.operators.marts import SERIES, TIEBREAK, series_window
+from larder.operators.marts import HOT_SERIES_ROWS, SERIES, TIEBREAK, series_window, skew_safe_series_window
 
 FEATURE_COLS = (
     "price_delta_7d", "price_delta_30d", "price_vs_90d_avg", "is_on_sale",
@@ -41,16 +41,19 @@ def calendar_features(df: DataFrame, date_col: str = "price_date", with_year: bo
     return df.withColumns(cols)
 
 
-def build_labels(history: DataFrame, horizon: int = 7, drop_pct: str = "0.10", tiebreak: str = TIEBREAK) -> DataFrame:
+def build_labels(history: DataFrame, horizon: int = 7, drop_pct: str = "0.10", tiebreak: str = TIEBREAK,
+                 hot_series_rows: int | None = HOT_SERIES_ROWS) -> DataFrame:
     """Label 1 when the price `horizon` rows ahead is at least `drop_pct` lower.
 
     Compared on decimals (future - price <= -pct * price), so an exact 10 % drop
     is positive; a zero price is never positive; the last `horizon` rows of each
-    series (no future price) are dropped.
+    series (no future price) are dropped.  Hot series are computed in chunks.
     """
-    w = series_window("price_date", tiebreak)
-    future = F.lead("regular_price", horizon).over(w)
-    out = history.withColumn("future_price_7d", future).filter(F.col("future_price_7d").isNotNull())
+    def compute(df: DataFrame, w) -> DataFrame:
+        return df.withColumn("future_price_7d", F.lead("regular_price", horizon).over(w))
+
+    out = skew_safe_series_window(history, compute, before=0, after=horizon, hot_rows=hot_series_rows,
+                                  tiebreak=tiebreak).filter(F.col("future_price_7d").isNotNull())
     pct = F.lit(Decimal(drop_pct))
     positive = (F.col("regular_price") != 0) & (
         (F.col("future_price_7d") - F.col("regular_price")) <= -pct * F.col("regular_price")

@@ -89,6 +89,19 @@ def test_hot_series_split_equals_plain_window(spark):
     assert split.select(*cols).exceptAll(plain.select(*cols)).count() == 0
 
 
+def test_hot_series_split_for_lag_and_lead_windows(spark):
+    from larder.operators import features
+
+    p = fx.fx_price(spark, SF_SMALL)
+    for plain, split in [
+        (marts.sale_transitions(p, hot_series_rows=None), marts.sale_transitions(p, hot_series_rows=10)),
+        (features.build_labels(p, hot_series_rows=None), features.build_labels(p, hot_series_rows=10)),
+    ]:
+        cols = plain.columns
+        assert plain.select(*cols).exceptAll(split.select(*cols)).count() == 0
+        assert split.select(*cols).exceptAll(plain.select(*cols)).count() == 0
+
+
 def test_spread_small_scan_keeps_rows(spark):
     df = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     spread = spread_small_scan(df)
