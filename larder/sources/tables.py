@@ -11,6 +11,12 @@ TABLES = (
 
 
 DIMENSIONS = {"region", "nation"}  # fixed-size (25 / 5 rows): never spread
+# Row keys used to hash-spread a scan; any other column stays prunable below the repartition.
+ROW_KEYS = {
+    "lineitem": ("l_orderkey", "l_linenumber"), "orders": ("o_orderkey",), "customer": ("c_custkey",),
+    "supplier": ("s_suppkey",), "part": ("p_partkey",), "events": ("event_id",), "documents": ("doc_id",),
+    "labels": ("doc_id",), "pages": ("page_id",), "benchmark": ("item_id",), "conversations": ("conv_id", "turn"),
+}
 SPREAD_MIN_BYTES = 4 << 20  # below this a scan is cheaper in one task than behind an extra shuffle
 
 
@@ -23,7 +29,7 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
     df = df.select(*columns) if columns else df
     if name in DIMENSIONS or _input_bytes(spark, path) < SPREAD_MIN_BYTES:
         return df
-    return spread_small_scan(df)
+    return spread_small_scan(df, [k for k in ROW_KEYS.get(name, ()) if k in df.columns])
 
 
 def _input_bytes(spark: SparkSession, path: str) -> int:
@@ -34,7 +40,7 @@ def _input_bytes(spark: SparkSession, path: str) -> int:
     return int(fs.getContentSummary(hpath).getLength())
 
 
-def spread_small_scan(df: DataFrame) -> DataFrame:
+def spread_small_scan(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     """Round-robin a scan that yields fewer splits than the cluster has cores.
 
     Parquet splits by row group; a file written as one row group is read by one
@@ -43,9 +49,10 @@ def spread_small_scan(df: DataFrame) -> DataFrame:
     already have more splits than cores and are left untouched.  Rows are
     hashed on all their columns: deterministic under task retry without the
     local sort that a round-robin repartition needs for the same guarantee.
+    Hashing on the row keys only leaves every other column prunable.
     """
     spark = df.sparkSession
     cores = spark.sparkContext.defaultParallelism
     if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores, *df.columns)
+        return df.repartition(cores, *(keys or df.columns))
     return df
