@@ -34,10 +34,13 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> Da
 
 def _input_bytes(spark: SparkSession, path: str) -> int:
     """Total size of the input files (one file-system listing through the Hadoop API)."""
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return int(fs.getContentSummary(hpath).getLength())
+    try:
+        jvm = spark.sparkContext._jvm
+        hpath = jvm.org.apache.hadoop.fs.Path(path)
+        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return int(fs.getContentSummary(hpath).getLength())
+    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): do not spread
+        return 0
 
 
 def spread_small_scan(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
@@ -51,8 +54,11 @@ def spread_small_scan(df: DataFrame, keys: list[str] | None = None) -> DataFrame
     local sort that a round-robin repartition needs for the same guarantee.
     Hashing on the row keys only leaves every other column prunable.
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
+    try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
+        splits = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as is
+        return df
+    if splits < cores:
         return df.repartition(cores, *(keys or df.columns))
     return df
