@@ -15,7 +15,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from larder.session import build_session
 
-    s = build_session("local[4]", app="larder-tests", shuffle_partitions=4)
+    s = build_session("local[4]", app="larder-tests", shuffle_partitions=4, conf={"spark.driver.memory": "4g"})
     yield s
     s.stop()
 

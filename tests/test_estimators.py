@@ -96,6 +96,7 @@ def test_hot_series_split_for_lag_and_lead_windows(spark):
     for plain, split in [
         (marts.sale_transitions(p, hot_series_rows=None), marts.sale_transitions(p, hot_series_rows=10)),
         (features.build_labels(p, hot_series_rows=None), features.build_labels(p, hot_series_rows=10)),
+        (marts.promo_calendar_episodes(p, hot_series_rows=None), marts.promo_calendar_episodes(p, hot_series_rows=10)),
     ]:
         cols = plain.columns
         assert plain.select(*cols).exceptAll(split.select(*cols)).count() == 0
