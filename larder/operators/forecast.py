@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.operators import features as fe
-from larder.operators.marts import SERIES, TIEBREAK
+from larder.operators.marts import HOT_SERIES_ROWS, SERIES, TIEBREAK, skew_safe_series_window
 
 EPOCH = "1970-01-01"
 
@@ -59,29 +59,38 @@ def _days(d: Column) -> Column:
     return F.datediff(d, F.lit(EPOCH).cast("date")).cast("double")
 
 
-def fit_trend_weekday(df: DataFrame, holdout: int = 14, min_rows: int = 14) -> DataFrame:
-    """Per-row fitted values of the native model (rows of eligible series only)."""
-    tail = holdout_tail(df, holdout).filter(F.col("series_rows") >= min_rows)
-    train = ~F.col("is_holdout")
+def fit_trend_weekday(df: DataFrame, holdout: int = 14, min_rows: int = 14,
+                      hot_series_rows: int | None = HOT_SERIES_ROWS) -> DataFrame:
+    """Per-row fitted values of the native model (rows of eligible series only).
+
+    No step needs a whole series in one task: the hold-out flag is "no row
+    `holdout` positions ahead" (a bounded-reach LEAD, chunked for hot series),
+    and the series size, trend (regr_*) and weekday effects are partial
+    aggregates joined back on the series key (AQE splits a skewed join).
+    """
+    def flag(d: DataFrame, w) -> DataFrame:
+        return d.withColumn("is_holdout", F.lead(F.lit(1), holdout).over(w).isNull())
+
+    tail = skew_safe_series_window(df, flag, before=0, after=holdout, hot_rows=hot_series_rows)
     y = F.col("regular_price").cast("double")
     t = _days(F.col("price_date"))
-    pw = Window.partitionBy(*SERIES)
-    ty, tt = F.when(train, y), F.when(train, t)
-    fitted = tail.withColumns({
-        "t": t,
-        "y": y,
-        "dow": F.weekday("price_date"),
-        "n_train": F.count(tt).over(pw),
-        "sxx": F.regr_sxx(ty, tt).over(pw),
-        "b": F.regr_slope(ty, tt).over(pw),
-        "a": F.regr_intercept(ty, tt).over(pw),
-        "train_end": F.max(F.when(train, F.col("price_date"))).over(pw),
-        "series_end": F.max("price_date").over(pw),
-    }).filter((F.col("n_train") >= 2) & (F.col("sxx") > 0))
+    rows = tail.withColumns({"t": t, "y": y, "dow": F.weekday("price_date")})
+    train = ~F.col("is_holdout")
+    ty, tt = F.when(train, F.col("y")), F.when(train, F.col("t"))
+    models = rows.groupBy(*SERIES).agg(
+        F.count(F.lit(1)).alias("series_rows"),
+        F.count(tt).alias("n_train"),
+        F.regr_sxx(ty, tt).alias("sxx"),
+        F.regr_slope(ty, tt).alias("b"),
+        F.regr_intercept(ty, tt).alias("a"),
+        F.max(F.when(train, F.col("price_date"))).alias("train_end"),
+        F.max("price_date").alias("series_end"),
+    ).filter((F.col("series_rows") >= min_rows) & (F.col("n_train") >= 2) & (F.col("sxx") > 0))
+    fitted = rows.join(models, list(SERIES))
     trend = F.col("a") + F.col("b") * F.col("t")
     fitted = fitted.withColumn("resid", F.when(train, F.col("y") - trend))
-    wdw = Window.partitionBy(*SERIES, "dow")
-    return fitted.withColumn("w", F.coalesce(F.avg("resid").over(wdw), F.lit(0.0))).withColumn(
+    effects = fitted.groupBy(*SERIES, "dow").agg(F.avg("resid").alias("w"))
+    return fitted.join(effects, [*SERIES, "dow"]).withColumn("w", F.coalesce(F.col("w"), F.lit(0.0))).withColumn(
         "yhat", trend + F.col("w"))
 
 

@@ -103,6 +103,17 @@ def test_hot_series_split_for_lag_and_lead_windows(spark):
         assert split.select(*cols).exceptAll(plain.select(*cols)).count() == 0
 
 
+def test_forecaster_hot_path_equals_plain(spark):
+    from larder.operators import forecast
+
+    data = forecast.forecast_input(fx.fx_price(spark, SF_SMALL), 3650, "2001-11-04")
+    plain = forecast.holdout_errors(forecast.fit_trend_weekday(data, hot_series_rows=None))
+    split = forecast.holdout_errors(forecast.fit_trend_weekday(data, hot_series_rows=20))
+    a = {(r.item_id, r.store_id): (round(r.mae, 9), r.n_holdout, r.n_train) for r in plain.collect()}
+    b = {(r.item_id, r.store_id): (round(r.mae, 9), r.n_holdout, r.n_train) for r in split.collect()}
+    assert a == b and len(a) > 0
+
+
 def test_spread_small_scan_keeps_rows(spark):
     df = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     spread = spread_small_scan(df)
