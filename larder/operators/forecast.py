@@ -25,7 +25,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.operators import features as fe
-from larder.operators.marts import HOT_SERIES_ROWS, SERIES, TIEBREAK, skew_safe_series_window
+from larder.operators.marts import HOT_SERIES_ROWS, SERIES, TIEBREAK, hot_series, skew_safe_series_window
+from larder.session import cut_lineage
 
 EPOCH = "1970-01-01"
 
@@ -39,13 +40,38 @@ def forecast_input(history: DataFrame, lookback_days: int = 90, as_of=None) -> D
         *SERIES, "price_date", TIEBREAK, "regular_price")
 
 
-def holdout_tail(df: DataFrame, holdout: int = 14, tiebreak: str = TIEBREAK) -> DataFrame:
-    """Rank from the end of each series; `is_holdout` marks the last `holdout` rows."""
-    desc = Window.partitionBy(*SERIES).orderBy(F.col("price_date").desc(), F.col(tiebreak).desc())
-    return df.withColumns({
-        "rn_desc": F.row_number().over(desc),
-        "series_rows": F.count(F.lit(1)).over(Window.partitionBy(*SERIES)),
-    }).withColumn("is_holdout", F.col("rn_desc") <= holdout)
+def holdout_tail(df: DataFrame, holdout: int = 14, tiebreak: str = TIEBREAK,
+                 hot_series_rows: int | None = HOT_SERIES_ROWS) -> DataFrame:
+    """Rank from the end of each series; `is_holdout` marks the last `holdout` rows.
+
+    Hot series: rn_desc = series_rows - index, where the index comes from a
+    prefix sum over the (series, date) count table plus the rank inside the
+    date, so no window holds a whole hot series.
+    """
+    def plain(d: DataFrame) -> DataFrame:
+        desc = Window.partitionBy(*SERIES).orderBy(F.col("price_date").desc(), F.col(tiebreak).desc())
+        return d.withColumns({
+            "rn_desc": F.row_number().over(desc),
+            "series_rows": F.count(F.lit(1)).over(Window.partitionBy(*SERIES)),
+        }).withColumn("is_holdout", F.col("rn_desc") <= holdout)
+
+    keys = None if hot_series_rows is None else hot_series(df, hot_series_rows)
+    if not keys:
+        return plain(df)
+    df = cut_lineage(df)
+    hot = df.sparkSession.createDataFrame(keys, "item_id string, store_id string")
+    cold = plain(df.join(F.broadcast(hot), list(SERIES), "left_anti"))
+    rows = df.join(F.broadcast(hot), list(SERIES), "left_semi")
+    dates = rows.groupBy(*SERIES, "price_date").agg(F.count(F.lit(1)).alias("_cnt"))
+    dates = dates.withColumns({
+        "_off": F.coalesce(F.sum("_cnt").over(Window.partitionBy(*SERIES).orderBy("price_date")
+                                             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
+        "series_rows": F.sum("_cnt").over(Window.partitionBy(*SERIES)),
+    })
+    in_date = F.row_number().over(Window.partitionBy(*SERIES, "price_date").orderBy(tiebreak)) - 1
+    ranked = rows.join(dates.select(*SERIES, "price_date", "_off", "series_rows"), [*SERIES, "price_date"])
+    ranked = ranked.withColumn("rn_desc", (F.col("series_rows") - (F.col("_off") + in_date)).cast("int")).drop("_off")
+    return cold.unionByName(ranked.withColumn("is_holdout", F.col("rn_desc") <= holdout))
 
 
 def residual_target(df: DataFrame, tiebreak: str = TIEBREAK) -> DataFrame:

@@ -114,6 +114,16 @@ def test_forecaster_hot_path_equals_plain(spark):
     assert a == b and len(a) > 0
 
 
+def test_holdout_tail_hot_path_equals_plain(spark):
+    from larder.operators import forecast
+
+    data = forecast.forecast_input(fx.fx_price(spark, SF_SMALL), 3650, "2001-11-04")
+    cols = ["item_id", "store_id", "price_date", "load_id", "rn_desc", "series_rows", "is_holdout"]
+    plain = forecast.holdout_tail(data, hot_series_rows=None).select(*cols)
+    split = forecast.holdout_tail(data, hot_series_rows=20).select(*cols)
+    assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
+
+
 def test_spread_small_scan_keeps_rows(spark):
     df = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
     spread = spread_small_scan(df)
