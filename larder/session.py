@@ -50,7 +50,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         "spark.checkpoint.dir", None
     )
     if configured:
-        sc.setCheckpointDir(configured)
+        if sc.getCheckpointDir() is None:  # each call would make another folder below it
+            sc.setCheckpointDir(configured)
         return configured
     if not sc.master.startswith("local"):
         raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
