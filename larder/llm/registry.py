@@ -6,13 +6,15 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import html, packing, quality, simhash, warc
+from larder.llm import html, lines, packing, quality, simhash, suffix, warc
 from larder.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": lambda s, d: simhash.op1_simhash(read(s, d, "documents")),
     "op2_packing": lambda s, d: packing.op2_packing(read(s, d, "documents")),
     "op3_html": lambda s, d: html.op3_html(read(s, d, "pages")),
+    "op5_lines": lambda s, d: lines.op5_lines(read(s, d, "documents")),
+    "op6_suffix": lambda s, d: suffix.op6_suffix(read(s, d, "documents")),
     "op9_quality": lambda s, d: quality.quality_scores(read(s, d, "documents"), read(s, d, "labels")),
     "op10_warc": lambda s, d: warc.op10_warc(read(s, d, "pages")),
 }
