@@ -22,6 +22,7 @@ gives no pieces.
 from __future__ import annotations
 
 import re
+import struct
 import unicodedata
 import zlib
 from bisect import bisect_left, insort
@@ -45,6 +46,11 @@ def default_vocabulary() -> str:
     return public_tokenizers.path("word_bpe_49k.json")
 
 
+# Byte-level vocabularies write a byte as a letter: printable Latin-1 as itself, the others from U+0100 on.
+_PRINTED = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTE_LETTERS = {b: 0x100 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+
+
 class WordEncoder:
     """Ids of texts by a word-level BPE vocabulary file, each distinct word encoded once.
 
@@ -54,7 +60,7 @@ class WordEncoder:
     tokenizer as a whole.
     """
 
-    MEMO_WORDS = 1 << 18
+    MEMO_WORDS = 1 << 18  # two generations of so many words are remembered
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -68,6 +74,7 @@ class WordEncoder:
         self.words = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{kinds['L']}]+|[{kinds['N']}]|[{other}]+")
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.memo: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
@@ -76,15 +83,35 @@ class WordEncoder:
         """The ids as little-endian unsigned 32-bit integers."""
         if self.odd.search(text) or ("<|" in text and any(s in text for s in self.special)):
             return self._whole(text)
-        words, memo = self.words.findall(text.lower()), self.memo
+        words = self.words.findall(text.lower())
         try:
-            return b"".join(map(memo.__getitem__, words))
+            return b"".join(map(self.memo.__getitem__, words))
         except KeyError:
-            if len(memo) > self.MEMO_WORDS:
-                memo.clear()
-            for w in set(words).difference(memo):
-                memo[w] = self._whole(w)
-            return b"".join(map(memo.__getitem__, words))
+            distinct = set(words)
+            if len(self.memo) > self.MEMO_WORDS:
+                self.memo, self.older = {}, self.memo
+            self._learn(distinct.difference(self.memo))
+            return b"".join(map(self.memo.__getitem__, words))
+
+    def _learn(self, words: set[str]) -> None:
+        memo, older = self.memo, self.older
+        tokenize = self.tokenizer.model.tokenize
+        for w in words:
+            ids = older.get(w)
+            if ids is None:
+                found = tokenize(w if w.isascii() else w.encode().decode("latin-1").translate(BYTE_LETTERS))
+                ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
+            memo[w] = ids
+
+
+_encoders: dict[str, WordEncoder] = {}
+
+
+def encoder(path: str) -> WordEncoder:
+    """One encoder per worker process: its memory of words outlives a task."""
+    if path not in _encoders:
+        _encoders[path] = WordEncoder(path)
+    return _encoders[path]
 
 
 def encode_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACITY, end_id: int = END_ID,
@@ -93,7 +120,7 @@ def encode_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int
     path = vocabulary or default_vocabulary()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        coder, end = WordEncoder(path), np.array([end_id], "<u4").tobytes()
+        coder, end = encoder(path), np.array([end_id], "<u4").tobytes()
         step = 4 * capacity
         for b in batches:
             rows = []
