@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import embeddings, html, lines, packing, quality, simhash, suffix, warc
+from larder.llm import embeddings, html, lines, neighbours, packing, quality, simhash, suffix, warc
 from larder.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -16,6 +16,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_lines": lambda s, d: lines.op5_lines(read(s, d, "documents")),
     "op6_suffix": lambda s, d: suffix.op6_suffix(read(s, d, "documents")),
     "op7_embeddings": lambda s, d: embeddings.op7_embeddings(read(s, d, "embeddings")),
+    "op8_neighbours": lambda s, d: neighbours.op8_neighbours(read(s, d, "embeddings")),
     "op9_quality": lambda s, d: quality.quality_scores(read(s, d, "documents"), read(s, d, "labels")),
     "op10_warc": lambda s, d: warc.op10_warc(read(s, d, "pages")),
 }
