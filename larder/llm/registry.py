@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import embeddings, html, lines, neighbours, packing, quality, simhash, suffix, warc
+from larder.llm import embeddings, html, lines, neighbours, packing, quality, sampling, simhash, suffix, warc
 from larder.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_simhash": lambda s, d: simhash.op1_simhash(read(s, d, "documents")),
     "op2_packing": lambda s, d: packing.op2_packing(read(s, d, "documents")),
     "op3_html": lambda s, d: html.op3_html(read(s, d, "pages")),
+    "op4_sampling": lambda s, d: sampling.op4_sampling(read(s, d, "documents")),
     "op5_lines": lambda s, d: lines.op5_lines(read(s, d, "documents")),
     "op6_suffix": lambda s, d: suffix.op6_suffix(read(s, d, "documents")),
     "op7_embeddings": lambda s, d: embeddings.op7_embeddings(read(s, d, "embeddings")),
