@@ -32,9 +32,10 @@ def dedup_near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """
     found = simhash.simhash_near_duplicates(docs.select("doc_id", "text"))
     first = found.where("doc_id = component_id").select(F.col("doc_id").alias("__first")).distinct()
-    kept = docs.join(first, docs["doc_id"] == first["__first"], "left_semi")
-    kept = kept.withColumn("__text", F.xxhash64("text")).dropDuplicates(["doc_id", "__text"]).drop("__text")
-    return kept.unionByName(docs.where("doc_id is null"))
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"),
+                       F.col("doc_id").alias("__doc"), F.xxhash64("text").alias("__text"))
+    kept = rows.join(first, rows["__doc"] == first["__first"], "left_semi").dropDuplicates(["__doc", "__text"])
+    return kept.unionByName(rows.where("__doc is null")).select("__row.*")
 
 
 def remove_repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -69,7 +69,7 @@ class Node:
 
     def __init__(self, tag: str, names: str, parent: Node | None, hidden: bool, order: int):
         self.tag, self.parent, self.order = tag, parent, order
-        step = tag + "".join("." + n for n in DIGITS.sub("", names).split())
+        step = tag if tag in ("html", "body") else tag + "".join("." + n for n in DIGITS.sub("", names).split())
         self.path = f"{parent.path}>{step}" if parent else step
         said = _words(names)
         body = tag in ("html", "body", "main", "article")

@@ -135,7 +135,7 @@ def _packed(docs: DataFrame) -> DataFrame:
     """`__row` (all columns but the text), `__doc`, `__th`, `__z`: text compressed for the shuffles."""
     others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    src = docs.select(F.struct(*others, F.col("text").isNull().alias("__null")).alias("__row"),
+    src = docs.select(F.struct(*others, F.col("text").isNull().alias("__text_was_null")).alias("__row"),
                       F.col("doc_id").cast("long").alias("__doc"), F.xxhash64(text).alias("__th"),
                       text.cast("binary").alias("__z"))
 
@@ -420,7 +420,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays([b.column("__row"), pa.array(texts, pa.string())], ["__row", "__text"])
 
     cleaned = joined.mapInArrow(run, schema)
-    text = F.when(F.col("__row.__null"), F.lit(None)).otherwise(F.col("__text"))
+    text = F.when(F.col("__row.__text_was_null"), F.lit(None)).otherwise(F.col("__text"))
     return cleaned.select(*[text.alias("text") if c == "text"
                             else F.coalesce(F.char_length(text), F.lit(0)).cast(t).alias(c) if c == "n_chars"
                             else F.col(f"__row.`{c}`").alias(c) for c, t in docs.dtypes])
