@@ -1,9 +1,8 @@
 """Causal estimators as Spark jobs.
 
 * lagged_signal_join: retail price rows joined to the USDA value `lag` weeks
-  earlier whose commodity contains the item category.  The LIKE predicate is
-  turned into an equi join: the small USDA side is expanded by the distinct
-  substrings of its commodity and the price rows join on (category, date).
+  earlier whose commodity contains the item category.  The LIKE runs over the
+  distinct names only; the rows join by equality on (category, date).
 * elasticity: OLS of ln(retail) on ln(wholesale) from regr_* aggregates.
 * did: two-way fixed effects DiD with HC1 errors.  All regressors are constant
   within a (store, date) cell, so one shuffle builds the cells; stores are
@@ -33,36 +32,34 @@ from larder.operators import serving
 # ---------------------------------------------------------------------------
 
 
-def _substrings(s: Column) -> Column:
-    """All non-empty substrings of s, plus '' (LIKE '%%' matches any string)."""
-    n = F.length(s)
-    subs = F.flatten(F.transform(
-        F.sequence(F.lit(1), n),
-        lambda i: F.transform(F.sequence(i, n), lambda j: F.substring(s, i, j - i + 1)),
-    ))
-    return F.array_union(F.coalesce(subs, F.array().cast("array<string>")), F.array(F.lit("")))
+def category_commodities(categories: DataFrame, commodities: DataFrame) -> DataFrame:
+    """(category, commodity) pairs where the commodity contains the category, `%` and `_` as in LIKE.
+
+    Both inputs are distinct names (a catalogue, not data), so the LIKE runs over
+    names only and the planner picks the side to broadcast.
+    """
+    cats = categories.filter("category IS NOT NULL").select("category").distinct()
+    names = commodities.filter("commodity IS NOT NULL").select("commodity").distinct()
+    pattern = r"concat('%', replace(lower(category), '\\', '\\\\'), '%')"
+    return cats.join(names, F.expr(f"lower(commodity) LIKE {pattern}"))
 
 
 def lagged_signal_join(history: DataFrame, ext: DataFrame, category: str | None = None,
                        lag_weeks: int = 2) -> DataFrame:
     """Price rows x USDA values `lag_weeks` earlier whose commodity contains the category.
 
-    `lower(commodity) LIKE '%' || lower(category) || '%'` holds exactly when
-    lower(category) is one of the distinct substrings of lower(commodity) (or
-    empty).  The USDA side (weekly, far smaller than the price rows) is expanded
-    by those substrings, at most len*(len+1)/2 + 1 rows per signal row, so the
-    price rows are read once and joined by a plain equi join on (needle, date).
+    The LIKE between the two sides is decided once per pair of names; the rows
+    then join by equality, signals on commodity and prices on (category, date).
     """
     ph = history.filter(F.col("regular_price").isNotNull())
     if category:
         ph = serving.filter_category(ph, category)
     usda = ext.filter((F.col("signal_type") == "USDA") & F.col("value").isNotNull()).select(
         F.col("signal_date"), F.col("commodity"), F.col("value").alias("usda_price"))
-    expanded = usda.select("*", F.explode(_substrings(F.lower("commodity"))).alias("_needle"))
+    named = usda.join(category_commodities(ph, usda), "commodity")
     keyed = ph.select("price_date", "item_id", "store_id", "regular_price", "category",
-                      F.lower("category").alias("_needle"),
                       F.date_sub("price_date", 7 * lag_weeks).alias("signal_date"))
-    return keyed.join(expanded, ["_needle", "signal_date"]).select(
+    return keyed.join(named, ["category", "signal_date"]).select(
         "price_date", "item_id", "store_id", "regular_price", "category", "usda_price", "commodity")
 
 
@@ -113,8 +110,8 @@ def elasticity_report(lagged: DataFrame, category: str | None, lag_weeks: int, m
         F.round(p, 6).alias("pvalue"),
         F.col("n").alias("n_obs"),
         F.concat(
-            F.lit("A 10% USDA wholesale price change -> "), pct,
-            F.lit(f"% retail price change within {lag_weeks} weeks (category: {category})"),
+            F.lit("retail price moves by "), pct,
+            F.lit(f"% for each 10% at wholesale, {lag_weeks} weeks later (category: {category})"),
         ).alias("interpretation"),
     )
 

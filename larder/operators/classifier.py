@@ -38,51 +38,33 @@ def _ratio4(num: Column, den: Column) -> Column:
     return F.coalesce(q, F.lit(0)).cast("decimal(10,4)")
 
 
-def _auc_numerator(scored: DataFrame, score: str, label: str) -> DataFrame:
-    """Sum over distinct scores of pos_s * (2 * negatives_below_s + neg_s)."""
-    by_score = scored.groupBy(F.col(score).alias("s")).agg(
+def binary_metrics(scored: DataFrame, score: str = "score", label: str = "label", threshold: float = 0.5) -> DataFrame:
+    """Precision, recall, f1, auc_roc (one row), rounded to 4; AUC 0 for a single class.
+
+    The input is read once, into counts per distinct score; the confusion counts
+    and the rank sum (sum over scores of pos * (2 * negatives below + neg)) both
+    come from those.  Rows without a score or label take no part.
+    """
+    by_score = scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).groupBy(F.col(score).alias("s")).agg(
         F.sum(F.when(F.col(label) == 1, 1).otherwise(0)).alias("pos"),
         F.sum(F.when(F.col(label) == 1, 0).otherwise(1)).alias("neg"),
     ).withColumn("b", F.least(F.greatest(F.floor(F.col("s") * AUC_BUCKETS), F.lit(0)), F.lit(AUC_BUCKETS - 1)))
-    bucket_neg = by_score.groupBy("b").agg(F.sum("neg").alias("bneg"))
     # At most AUC_BUCKETS rows: the bucket-level prefix sum is bounded.
-    bucket_off = bucket_neg.select(
-        "b",
-        F.coalesce(
-            F.sum("bneg").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-        ).alias("boff"),
-    )
+    bucket_off = by_score.groupBy("b").agg(F.sum("neg").alias("bneg")).select("b", F.coalesce(
+        F.sum("bneg").over(Window.orderBy("b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("boff"))
     within = F.coalesce(
-        F.sum("neg").over(Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
-    )
+        F.sum("neg").over(Window.partitionBy("b").orderBy("s").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     ranked = by_score.join(F.broadcast(bucket_off), "b").withColumn("below", F.col("boff") + within)
-    return ranked.agg(
-        F.sum(F.col("pos").cast("decimal(38,0)") * (2 * F.col("below") + F.col("neg"))).alias("auc_num")
-    )
-
-
-def binary_metrics(scored: DataFrame, score: str = "score", label: str = "label", threshold: float = 0.5) -> DataFrame:
-    """Precision, recall, f1, auc_roc (one row), rounded to 4; AUC 0 for a single class."""
-    pred = (F.col(score) >= F.lit(threshold)).cast("int")
-    counts = scored.agg(
-        F.sum(F.when((pred == 1) & (F.col(label) == 1), 1).otherwise(0)).alias("tp"),
-        F.sum(F.when((pred == 1) & (F.col(label) == 0), 1).otherwise(0)).alias("fp"),
-        F.sum(F.when((pred == 0) & (F.col(label) == 1), 1).otherwise(0)).alias("fn"),
-        F.sum(F.when((pred == 0) & (F.col(label) == 0), 1).otherwise(0)).alias("tn"),
-    )
-    auc = _auc_numerator(scored, score, label)
-    # Two one-row aggregates combined without a join: union, then take the non-null of each column.
-    null_long = F.lit(None).cast("long")
-    both = (
-        counts.withColumn("auc_num", F.lit(None).cast("decimal(38,0)"))
-        .unionByName(auc.select(*[null_long.alias(c) for c in ("tp", "fp", "fn", "tn")], "auc_num"))
-        .agg(*[F.max(c).alias(c) for c in ("tp", "fp", "fn", "tn", "auc_num")])
-    )
-    p = F.col("tp") + F.col("fn")
-    n = F.col("fp") + F.col("tn")
+    hit = F.col("s") >= F.lit(threshold)
+    total = lambda c, when: F.coalesce(F.sum(F.when(when, F.col(c))), F.lit(0))
+    sums = ranked.agg(
+        total("pos", hit).alias("tp"), total("neg", hit).alias("fp"), total("pos", ~hit).alias("fn"),
+        total("neg", ~hit).alias("tn"),
+        F.sum(F.col("pos").cast("decimal(38,0)") * (2 * F.col("below") + F.col("neg"))).alias("auc_num"))
+    p, n = F.col("tp") + F.col("fn"), F.col("fp") + F.col("tn")
     auc_value = F.when((p > 0) & (n > 0), _ratio4(F.col("auc_num"), 2 * p * n)).otherwise(
         F.lit(0).cast("decimal(10,4)"))
-    return both.select(
+    return sums.select(
         _ratio4(F.col("tp"), F.col("tp") + F.col("fp")).alias("precision"),
         _ratio4(F.col("tp"), F.col("tp") + F.col("fn")).alias("recall"),
         _ratio4(2 * F.col("tp"), 2 * F.col("tp") + F.col("fp") + F.col("fn")).alias("f1"),

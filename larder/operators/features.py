@@ -2,20 +2,21 @@
 
 The split reproduces a positional 80/20 split after sorting by
 (item, store, date, load_id) without a single-partition global sort: row
-offsets come from per-series counts whose prefix sums are taken over the
-*item* table (one row per item) and then over series within an item; only the
-row number inside a series is a data window.
+offsets come from per-series counts, summed over a bounded number of item
+ranges, then over the items of a range, then over the series of an item; the
+row number inside a series is a window for all but hot series.
 """
 
 from __future__ import annotations
 
-import math
 from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.operators.marts import HOT_SERIES_ROWS, SERIES, TIEBREAK, series_window, skew_safe_series_window
+from larder.operators.marts import HOT_SERIES_ROWS, SERIES, TIEBREAK, series_row_number, skew_safe_series_window
+
+ITEM_RANGES = 1024  # ranges of items that row offsets are summed over first
 
 FEATURE_COLS = (
     "price_delta_7d", "price_delta_30d", "price_vs_90d_avg", "is_on_sale",
@@ -72,7 +73,8 @@ def assemble(df: DataFrame, cols=FEATURE_COLS, output: str = "features") -> Data
     return VectorAssembler(inputCols=list(cols), outputCol=output).transform(feature_matrix(df, cols))
 
 
-def ordered_split(df: DataFrame, test_fraction: float = 0.2, tiebreak: str = TIEBREAK) -> DataFrame:
+def ordered_split(df: DataFrame, test_fraction: float = 0.2, tiebreak: str = TIEBREAK,
+                  hot_series_rows: int | None = HOT_SERIES_ROWS) -> DataFrame:
     """M4: positional split (first ceil-complement rows train, last ceil(f*n) rows test).
 
     Order: item_id, store_id, price_date, tiebreak.  Adds `row_index` (0-based)
@@ -80,28 +82,23 @@ def ordered_split(df: DataFrame, test_fraction: float = 0.2, tiebreak: str = TIE
     """
     series_n = df.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("_n"))
     item_n = series_n.groupBy("item_id").agg(F.sum("_n").alias("_item_n"))
-    # One row per item: the prefix sum runs over the item catalogue, not over the data.
-    item_off = item_n.select(
-        "item_id",
-        (F.sum("_item_n").over(Window.orderBy("item_id").rowsBetween(Window.unboundedPreceding, -1)))
-        .alias("_item_off"),
-    ).fillna(0, ["_item_off"])
-    series_off = series_n.join(item_off, "item_id").select(
-        *SERIES,
-        (
-            F.col("_item_off")
-            + F.coalesce(
-                F.sum("_n").over(
-                    Window.partitionBy("item_id").orderBy("store_id").rowsBetween(Window.unboundedPreceding, -1)
-                ),
-                F.lit(0),
-            )
-        ).alias("_off"),
-    )
+    # Items before an item: by ranges of items (at most ITEM_RANGES of them), then inside the range.
+    cuts = (item_n.select("item_id").orderBy(F.xxhash64("item_id"), "item_id").limit(ITEM_RANGES - 1)
+            .agg(F.array_sort(F.collect_list("item_id"))).scalar())
+    item_n = item_n.withColumn("_cuts", cuts).withColumn(
+        "_range", F.size(F.filter("_cuts", lambda cut: cut <= F.col("item_id")))).drop("_cuts")
+    ranges = item_n.groupBy("_range").agg(F.sum("_item_n").alias("_range_n"))
+    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    before = lambda c, w: F.coalesce(F.sum(c).over(upto(w)), F.lit(0))
+    range_off = ranges.select("_range", before("_range_n", Window.orderBy("_range")).alias("_range_off"))
+    item_off = item_n.join(range_off, "_range").select("item_id", (
+        F.col("_range_off") + before("_item_n", Window.partitionBy("_range").orderBy("item_id"))).alias("_item_off"))
+    series_off = series_n.join(item_off, "item_id").select(*SERIES, (
+        F.col("_item_off") + before("_n", Window.partitionBy("item_id").orderBy("store_id"))).alias("_off"))
     total = series_n.select(F.sum("_n")).scalar()
     n_test = F.ceil(total.cast("double") * F.lit(test_fraction))
-    rn = F.row_number().over(series_window("price_date", tiebreak)) - 1
-    indexed = df.join(series_off, list(SERIES)).withColumn("row_index", F.col("_off") + rn).drop("_off")
+    indexed = series_row_number(df, tiebreak, hot_series_rows).join(series_off, list(SERIES)).withColumn(
+        "row_index", F.col("_off") + F.col("_rn")).drop("_off", "_rn")
     return indexed.withColumn(
         "split", F.when(F.col("row_index") >= total - n_test, F.lit("test")).otherwise(F.lit("train"))
     )
@@ -118,6 +115,3 @@ def class_balance(labelled: DataFrame, label: str = "label") -> DataFrame:
         .alias("scale_pos_weight"),
     )
 
-
-def ceil_test_size(n: int, fraction: float = 0.2) -> int:
-    return int(math.ceil(fraction * n))

@@ -8,8 +8,8 @@ Two model families, both fitted for every series at once:
   partitioning: the (series, weekday) window reuses the (item, store) hash
   partitioning, so the whole fit is one shuffle + sorts.
 * `fourier` (Python): ridge regression on trend + weekly (order 3) and
-  yearly (order 10) Fourier terms, one `applyInPandas` call per series; the
-  rows per series are bounded by the lookback window.
+  yearly (order 10) Fourier terms, one `applyInPandas` call per series over
+  its dates' sums, which the lookback window bounds.
 
 The last `holdout` rows of each series are held out (series need at least
 `min_rows` rows in the lookback, and at least 2 distinct training dates).
@@ -25,8 +25,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from larder.operators import features as fe
-from larder.operators.marts import HOT_SERIES_ROWS, SERIES, TIEBREAK, hot_series, skew_safe_series_window
-from larder.session import cut_lineage
+from larder.operators.marts import HOT_SERIES_ROWS, SERIES, TIEBREAK, row_chunks, skew_safe_series_window, split_hot
 
 EPOCH = "1970-01-01"
 
@@ -55,30 +54,24 @@ def holdout_tail(df: DataFrame, holdout: int = 14, tiebreak: str = TIEBREAK,
             "series_rows": F.count(F.lit(1)).over(Window.partitionBy(*SERIES)),
         }).withColumn("is_holdout", F.col("rn_desc") <= holdout)
 
-    keys = None if hot_series_rows is None else hot_series(df, hot_series_rows)
-    if not keys:
+    if hot_series_rows is None:
         return plain(df)
-    df = cut_lineage(df)
-    hot = df.sparkSession.createDataFrame(keys, "item_id string, store_id string")
-    cold = plain(df.join(F.broadcast(hot), list(SERIES), "left_anti"))
-    rows = df.join(F.broadcast(hot), list(SERIES), "left_semi")
-    dates = rows.groupBy(*SERIES, "price_date").agg(F.count(F.lit(1)).alias("_cnt"))
-    dates = dates.withColumns({
-        "_off": F.coalesce(F.sum("_cnt").over(Window.partitionBy(*SERIES).orderBy("price_date")
-                                             .rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)),
-        "series_rows": F.sum("_cnt").over(Window.partitionBy(*SERIES)),
-    })
-    in_date = F.row_number().over(Window.partitionBy(*SERIES, "price_date").orderBy(tiebreak)) - 1
-    ranked = rows.join(dates.select(*SERIES, "price_date", "_off", "series_rows"), [*SERIES, "price_date"])
-    ranked = ranked.withColumn("rn_desc", (F.col("series_rows") - (F.col("_off") + in_date)).cast("int")).drop("_off")
+    cold, rows = split_hot(df, hot_series_rows)
+    cold = plain(cold)
+    sizes = rows.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("series_rows"))
+    ranked = row_chunks(rows, hot_series_rows, tiebreak).join(sizes, list(SERIES))
+    ranked = ranked.withColumn("rn_desc", (F.col("series_rows") - F.col("_off")).cast("int")).drop("_off", "_chunk")
     return cold.unionByName(ranked.withColumn("is_holdout", F.col("rn_desc") <= holdout))
 
 
-def residual_target(df: DataFrame, tiebreak: str = TIEBREAK) -> DataFrame:
-    """X - previous x, first row of a series -> 0 (back-filled)."""
-    w = Window.partitionBy(*SERIES).orderBy("price_date", tiebreak)
-    prev = F.lag("regular_price").over(w)
-    return df.withColumn("residual_target", F.col("regular_price") - F.coalesce(prev, F.col("regular_price")))
+def residual_target(df: DataFrame, tiebreak: str = TIEBREAK,
+                    hot_series_rows: int | None = HOT_SERIES_ROWS) -> DataFrame:
+    """X - previous x, first row of a series -> 0 (back-filled); hot series in chunks."""
+    def compute(d: DataFrame, w) -> DataFrame:
+        return d.withColumn("_prev", F.lag("regular_price").over(w))
+
+    out = skew_safe_series_window(df, compute, before=1, after=0, hot_rows=hot_series_rows, tiebreak=tiebreak)
+    return out.withColumn("residual_target", F.col("regular_price") - F.coalesce("_prev", "regular_price")).drop("_prev")
 
 
 def _days(d: Column) -> Column:
@@ -156,19 +149,27 @@ def error_summary(errors: DataFrame) -> DataFrame:
     )
 
 
-def forecast(models: DataFrame, horizon_days: int = 14, anchor: str = "series_end") -> DataFrame:
-    """M9: predictions for days 1..horizon after the anchor; steps 7 and 14 published (round 4)."""
+def forecast_daily(models: DataFrame, horizon_days: int = 14, anchor: str = "series_end") -> DataFrame:
+    """M9: one row per series and day 1..horizon after the anchor (the series' or the training rows' last date).
+
+    The native model states no uncertainty, so both bounds are NULL.
+    """
     if anchor not in ("series_end", "train_end"):
         raise ValueError("anchor must be 'series_end' or 'train_end'")
     steps = models.select(*SERIES, "a", "b", "weekday_effect", F.col(anchor).alias("anchor"),
                           F.explode(F.sequence(F.lit(1), F.lit(horizon_days))).alias("step"))
     d = F.date_add(F.col("anchor"), F.col("step"))
     yhat = F.col("a") + F.col("b") * _days(d) + F.coalesce(F.try_element_at("weekday_effect", F.weekday(d)), F.lit(0.0))
-    pred = steps.select(*SERIES, "anchor", "step", d.alias("ds"), yhat.alias("yhat"))
-    return pred.groupBy(*SERIES, "anchor").agg(
-        F.round(F.max(F.when(F.col("step") == 7, F.col("yhat"))), 4).alias("yhat_7"),
-        F.round(F.max(F.when(F.col("step") == horizon_days, F.col("yhat"))), 4).alias("yhat_14"),
-    )
+    none = F.lit(None).cast("double")
+    return steps.select(*SERIES, "anchor", "step", d.alias("ds"), yhat.alias("yhat"), none.alias("yhat_lower"),
+                        none.alias("yhat_upper"))
+
+
+def forecast(models: DataFrame, horizon_days: int = 14, anchor: str = "series_end") -> DataFrame:
+    """M9: the published steps 7 and 14 (round 4); a step beyond the horizon is NULL."""
+    step = lambda k: F.round(F.max(F.when(F.col("step") == k, F.col("yhat"))), 4)
+    return forecast_daily(models, horizon_days, anchor).groupBy(*SERIES, "anchor").agg(
+        step(7).alias("yhat_7"), step(14).alias("yhat_14"))
 
 
 def fit_forecasts(history: DataFrame, lookback_days: int = 90, as_of=None, holdout: int = 14,
@@ -203,42 +204,52 @@ def _fourier_design(t: np.ndarray, t0: float, weekly: int, yearly: int) -> np.nd
 
 def _fourier_one(pdf: pd.DataFrame, holdout: int, min_rows: int, weekly: int = 3, yearly: int = 10,
                  ridge: float = 1.0) -> pd.DataFrame:
-    pdf = pdf.sort_values(["price_date", TIEBREAK])
-    if len(pdf) < min_rows:
-        return pd.DataFrame(columns=[c.split()[0] for c in FOURIER_SCHEMA.split(", ")])
-    dates = pd.to_datetime(pdf["price_date"])
-    t = ((dates - pd.Timestamp(EPOCH)).dt.days).to_numpy(dtype="float64")
-    y = pdf["regular_price"].astype("float64").to_numpy()
-    tr, te = slice(0, len(pdf) - holdout), slice(len(pdf) - holdout, len(pdf))
-    if len(pdf) - holdout < 2 or np.ptp(t[tr]) == 0:
-        return pd.DataFrame(columns=[c.split()[0] for c in FOURIER_SCHEMA.split(", ")])
-    t0 = t[tr][0]
-    x = _fourier_design(t, t0, weekly, yearly)
-    xtr = x[tr]
+    """One series: training cells (a date's rows and their sum) and its held-out rows."""
+    pdf = pdf.sort_values(["t", "is_holdout"])
+    cells, tail = pdf[~pdf["is_holdout"]], pdf[pdf["is_holdout"]]
+    n_train = int(cells["n"].sum())
+    none = pd.DataFrame(columns=[c.split()[0] for c in FOURIER_SCHEMA.split(", ")])
+    t, n = cells["t"].to_numpy(dtype="float64"), cells["n"].to_numpy(dtype="float64")
+    if n_train + len(tail) < min_rows or n_train < 2 or np.ptp(t) == 0:
+        return none
+    x = _fourier_design(t, t[0], weekly, yearly)
     penalty = ridge * np.eye(x.shape[1])
     penalty[0, 0] = penalty[1, 1] = 0.0
-    coef = np.linalg.solve(xtr.T @ xtr + penalty + 1e-9 * np.eye(x.shape[1]), xtr.T @ y[tr])
-    err = np.abs(y[te] - x[te] @ coef)
+    coef = np.linalg.solve(x.T @ (n[:, None] * x) + penalty + 1e-9 * np.eye(x.shape[1]),
+                           x.T @ cells["y"].to_numpy(dtype="float64"))
+    y = tail["y"].to_numpy(dtype="float64")
+    err = np.abs(y - _fourier_design(tail["t"].to_numpy(dtype="float64"), t[0], weekly, yearly) @ coef)
     with np.errstate(divide="ignore", invalid="ignore"):
-        ape = np.where(y[te] != 0, err / y[te], np.nan)
-    train_end = dates.iloc[len(pdf) - holdout - 1]
-    future = np.array([(train_end + pd.Timedelta(days=s) - pd.Timestamp(EPOCH)).days for s in (7, 14)],
-                      dtype="float64")
-    fut = _fourier_design(future, t0, weekly, yearly) @ coef
+        ape = np.where(y != 0, err / y, np.nan)
+    fut = _fourier_design(t[-1] + np.array([7.0, 14.0]), t[0], weekly, yearly) @ coef
     return pd.DataFrame({
         "item_id": [pdf["item_id"].iloc[0]], "store_id": [pdf["store_id"].iloc[0]],
-        "n_train": [len(pdf) - holdout], "n_holdout": [holdout],
+        "n_train": [n_train], "n_holdout": [len(tail)],
         "mae": [float(err.mean())], "mape": [float(np.nanmean(ape)) if np.isfinite(ape).any() else None],
         "yhat_7": [round(float(fut[0]), 4)], "yhat_14": [round(float(fut[1]), 4)],
-        "train_end": [train_end.date()],
+        "train_end": [(pd.Timestamp(EPOCH) + pd.Timedelta(days=int(t[-1]))).date()],
     })
 
 
-def fourier_forecasts(df: DataFrame, holdout: int = 14, min_rows: int = 16) -> DataFrame:
-    """One ridge fit per series; series rows are bounded by the lookback window."""
-    cols = df.select(*SERIES, "price_date", TIEBREAK, F.col("regular_price").cast("double").alias("regular_price"))
-    return cols.groupBy(*SERIES).applyInPandas(lambda pdf: _fourier_one(pdf, holdout, max(min_rows, holdout + 2)),
-                                               FOURIER_SCHEMA)
+def fourier_forecasts(df: DataFrame, holdout: int = 14, min_rows: int = 16,
+                      hot_series_rows: int | None = HOT_SERIES_ROWS) -> DataFrame:
+    """One ridge fit per series.
+
+    All regressors depend on the date alone, so the training rows enter as one
+    cell per date (partial aggregates); a series brings at most one cell per day
+    of the lookback and its held-out rows to one task, however many rows it has.
+    """
+    def flag(d: DataFrame, w) -> DataFrame:
+        return d.withColumn("is_holdout", F.lead(F.lit(1), holdout).over(w).isNull())
+
+    rows = df.select(*SERIES, "price_date", TIEBREAK, F.col("regular_price").cast("double").alias("y"))
+    rows = skew_safe_series_window(rows, flag, before=0, after=holdout, hot_rows=hot_series_rows).withColumn(
+        "t", _days(F.col("price_date")))
+    cells = rows.filter(~F.col("is_holdout")).groupBy(*SERIES, "t").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y").alias("y")).select(*SERIES, "t", "n", "y", F.lit(False).alias("is_holdout"))
+    tail = rows.filter("is_holdout").select(*SERIES, "t", F.lit(1).cast("long").alias("n"), "y", "is_holdout")
+    return cells.unionByName(tail).groupBy(*SERIES).applyInPandas(
+        lambda pdf: _fourier_one(pdf, holdout, max(min_rows, holdout + 2)), FOURIER_SCHEMA)
 
 
 # ---------------------------------------------------------------------------

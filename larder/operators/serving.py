@@ -34,12 +34,10 @@ def trailing_days(df: DataFrame, date_col: str, days: int, as_of=None) -> DataFr
     return df.filter(F.col(date_col) >= F.date_sub(_as_of(as_of), days))
 
 
-def list_items(history: DataFrame, limit: int = MAX_LIMIT) -> DataFrame:
-    """Distinct (item, name, category) ordered by name, limited."""
-    return (
-        history.select("item_id", "item_name", "category").distinct()
-        .orderBy("item_name", "item_id", "category").limit(limit)
-    )
+def list_items(history: DataFrame, limit: int | None = None) -> DataFrame:
+    """Distinct (item, name, category) ordered by name; the first `limit` of them on request."""
+    out = history.select("item_id", "item_name", "category").distinct().orderBy("item_name", "item_id", "category")
+    return out if limit is None else out.limit(limit)
 
 
 def list_stores(history: DataFrame) -> DataFrame:
@@ -122,15 +120,12 @@ def sale_points(history: DataFrame, item_id: str, store_id: str) -> DataFrame:
     ).select("price_date", "load_id", "promo_price", "regular_price").orderBy("price_date", "load_id")
 
 
-def item_store_picklist(history: DataFrame, limit: int = MAX_LIMIT) -> DataFrame:
-    """V9: one distinct scan limited to `limit` rows *before* splitting into items and stores."""
-    base = (
-        history.select("item_id", "item_name", "store_id").distinct()
-        .orderBy("item_name", "item_id", "store_id").limit(limit)
-    )
-    items = base.select(F.lit("item").alias("kind"), F.col("item_id").alias("id"), F.col("item_name").alias("name"))
-    stores = base.select(F.lit("store").alias("kind"), F.col("store_id").alias("id"), F.lit(None).cast("string").alias("name"))
-    return items.unionByName(stores).distinct()
+def item_store_picklist(history: DataFrame) -> DataFrame:
+    """V9: the distinct items and the distinct stores, as one list of choices."""
+    items = history.select(F.lit("item").alias("kind"), F.col("item_id").alias("id"), F.col("item_name").alias("name"))
+    stores = history.select(F.lit("store").alias("kind"), F.col("store_id").alias("id"),
+                            F.lit(None).cast("string").alias("name"))
+    return items.distinct().unionByName(stores.distinct())
 
 
 def commodity_series(ext: DataFrame, commodity: str, signal_type: str = "USDA") -> DataFrame:
@@ -154,15 +149,16 @@ def promo_heatmap(history: DataFrame) -> DataFrame:
     )
 
 
-def signals_wide(ext: DataFrame, commodities: list[str], signal_type: str = "USDA") -> DataFrame:
-    """Date x commodity pivot with an explicit value list (no distinct-values job, fixed schema).
+def signals_wide(ext: DataFrame, commodities: list[str] | None = None, signal_type: str = "USDA",
+                 tiebreak: str = "load_id") -> DataFrame:
+    """Date x commodity pivot; of several rows per cell the last by `tiebreak` wins.
 
-    Several rows per (date, commodity) (one per state) resolve to the maximum value.
+    Without `commodities` the columns are those the data has (the pivot then looks
+    them up while the plan is built; its own limit on columns raises, it cuts nothing).
     """
-    return (
-        ext.filter(F.col("signal_type") == signal_type)
-        .groupBy("signal_date").pivot("commodity", list(commodities)).agg(F.max("value"))
-    )
+    rows = ext.filter(F.col("signal_type") == signal_type).groupBy("signal_date")
+    wide = rows.pivot("commodity") if commodities is None else rows.pivot("commodity", list(commodities))
+    return wide.agg(F.max_by("value", tiebreak))
 
 
 def latest_metrics(history: DataFrame) -> DataFrame:

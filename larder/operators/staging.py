@@ -16,10 +16,6 @@ def vget(path: str, dtype: str, col: str = "raw_payload") -> Column:
     return F.variant_get(F.col(col), path, dtype)
 
 
-def vtry(path: str, dtype: str, col: str = "raw_payload") -> Column:
-    return F.try_variant_get(F.col(col), path, dtype)
-
-
 def scan_external(raw_ext: DataFrame, source: str) -> DataFrame:
     """Rows of one source; with a `partitionBy("source")` layout this prunes partitions."""
     return raw_ext.filter(F.col("source") == F.lit(source)).select("load_id", "loaded_at", "raw_payload")

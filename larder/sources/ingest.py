@@ -16,9 +16,7 @@ distributed projection, aggregation or join:
 
 from __future__ import annotations
 
-import datetime as dt
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 # ---------------------------------------------------------------------------
@@ -49,15 +47,16 @@ def flatten_series(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def collapse_pages(pages: DataFrame, page_size: int = 100, max_pages: int = 10) -> DataFrame:
+def collapse_pages(pages: DataFrame, page_size: int = 100, max_pages: int | None = None) -> DataFrame:
     """Union of `items` over pages 1..stop per code, stop = first page shorter than page_size
-    (pages after a short page are ignored), capped at max_pages."""
+    (pages after a short page are ignored).  `max_pages` is for callers that page through a network
+    source and want to stop early; landed pages are all used."""
     sized = pages.withColumn("_short", F.size("items") < page_size)
     stop = sized.groupBy("code").agg(
         F.min(F.when(F.col("_short"), F.col("page"))).alias("_stop"))
-    kept = sized.join(stop, "code").filter(
-        (F.col("page") <= F.least(F.coalesce(F.col("_stop"), F.lit(max_pages)), F.lit(max_pages)))
-    )
+    kept = sized.join(stop, "code").filter(F.col("_stop").isNull() | (F.col("page") <= F.col("_stop")))
+    if max_pages is not None:
+        kept = kept.filter(F.col("page") <= max_pages)
     return kept.select("code", "page", F.posexplode("items").alias("pos", "item"))
 
 
@@ -65,10 +64,9 @@ def collapse_pages(pages: DataFrame, page_size: int = 100, max_pages: int = 10)
 # X10 / X11 / X12 crowd price backfill
 # ---------------------------------------------------------------------------
 
-CROWD_SCHEMA = (
-    "date string, created_at string, price double, price_is_discounted boolean, price_without_discount double, "
-    "product_name string, product struct<product_name:string>, category string"
-)
+
+# The tag of backfilled payloads and the category of items without one.
+BACKFILL_SOURCE, DEFAULT_CATEGORY = "open_prices_backfill", "grocery"
 
 
 def backfill_dates(items: DataFrame, cutoff: str) -> DataFrame:
@@ -104,7 +102,7 @@ def normalize_crowd_prices(items: DataFrame, store_id: str, keep: tuple[str, ...
     promo = F.when(_truthy(promo_raw), F.round(promo_raw, 2))  # promo 0 is omitted
     description = F.coalesce(F.nullif(F.col("product_name"), F.lit("")),
                              F.nullif(F.col("product.product_name"), F.lit("")), F.lit(""))
-    category = F.coalesce(F.nullif(F.col("category"), F.lit("")), F.lit("grocery"))
+    category = F.coalesce(F.nullif(F.col("category"), F.lit("")), F.lit(DEFAULT_CATEGORY))
     doc = F.struct(
         F.col("product_id").alias("productId"),
         description.alias("description"),
@@ -112,7 +110,7 @@ def normalize_crowd_prices(items: DataFrame, store_id: str, keep: tuple[str, ...
         F.array(category).alias("categories"),
         F.array(F.struct(F.struct(regular.alias("regular"), promo.alias("promo")).alias("price"),
                          F.lit("").alias("size"), F.lit("UNIT").alias("soldBy"))).alias("items"),
-        F.lit("open_prices_backfill").alias("_source"),
+        F.lit(BACKFILL_SOURCE).alias("_source"),
         F.lit(store_id).alias("_location_id"),
     )
     return items.select(
@@ -190,25 +188,23 @@ def tag_payloads(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Explode product-search documents and tag each product with (_location_id, _search_term).
 
     docs: (location_id, term, body) with body = {"data": [product, ...]} as JSON text.
-    Returns (tagged payload rows, rejected documents); a malformed document is
-    rejected instead of failing the job.
+    Returns (tagged payload rows, rejected documents).  A document is rejected,
+    and does not fail the job, when it is no JSON or its `data` is no list of objects.
+    Tags that a product already carries are replaced.
     """
-    parsed = docs.withColumn("v", F.try_parse_json("body"))
-    rejects = parsed.filter(F.col("v").isNull() | F.variant_get("v", "$.data", "variant").isNull()).select(
-        "location_id", "term", "body")
-    ok = parsed.filter(F.col("v").isNotNull())
-    products = ok.select("location_id", "term",
-                         F.explode(F.variant_get("v", "$.data", "array<variant>")).alias("p"))
-    tag = F.to_json(F.struct(F.col("location_id").alias("_location_id"), F.col("term").alias("_search_term")))
-    obj = F.to_json("p")
-    # Merge the two tags into the product object (tags are appended as the last keys).
-    merged = F.when(obj == "{}", tag).otherwise(
-        F.concat(F.regexp_replace(obj, r"\}$", ""), F.lit(","), F.regexp_replace(tag, r"^\{", "")))
-    tagged = products.select(
+    parsed = docs.withColumn("v", F.try_parse_json("body")).withColumn(
+        "products", F.try_variant_get("v", "$.data", "array<map<string,variant>>"))
+    rejects = parsed.filter(F.col("products").isNull()).select("location_id", "term", "body")
+    products = parsed.filter(F.col("products").isNotNull()).select("location_id", "term", F.explode("products").alias("p"))
+    own = F.map_filter("p", lambda k, _: ~k.isin("_location_id", "_search_term"))
+    tags = F.create_map(F.lit("_location_id"), F.to_variant_object(F.struct(F.col("location_id").alias("x"))),
+                        F.lit("_search_term"), F.to_variant_object(F.struct(F.col("term").alias("x"))))
+    tags = F.transform_values(tags, lambda _, v: F.variant_get(v, "$.x", "variant"))
+    tagged = products.filter(F.col("p").isNotNull()).select(
         F.col("location_id").alias("store_id"),
-        F.variant_get("p", "$.productId", "string").alias("product_id"),
+        F.try_variant_get(F.col("p")["productId"], "$", "string").alias("product_id"),
         F.col("term"),
-        F.parse_json(merged).alias("raw_payload"),
+        F.to_variant_object(F.map_concat(own, tags)).alias("raw_payload"),
     )
     return tagged, rejects
 
@@ -219,33 +215,33 @@ def tag_payloads(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def append(df: DataFrame, path: str, dry_run: bool = False, partition_by: list[str] | None = None) -> int:
-    """One distributed append (task-level writers); dry run returns the row count only."""
+    """One distributed append (task-level writers); returns the number of rows, written or, in a dry run, counted."""
     if dry_run:
         return df.count()
-    writer = df.write.mode("append")
+    rows = Observation("append")
+    writer = df.observe(rows, F.count(F.lit(1)).alias("n")).write.mode("append")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    return -1
+    return int(rows.get["n"])
 
 
-def overwrite_partitions(df: DataFrame, path: str, partition_col: str) -> None:
+def _spread(df: DataFrame, partition_col: str, sort_cols: list[str]) -> DataFrame:
+    """Ranges of (partition value, sort columns): a day may take many tasks, and a task few days."""
+    return df.repartitionByRange(partition_col, *sort_cols).sortWithinPartitions(partition_col, *sort_cols)
+
+
+def overwrite_partitions(df: DataFrame, path: str, partition_col: str,
+                         sort_cols: tuple[str, ...] = ("item_id", "store_id")) -> None:
     """Replace only the partitions present in `df` (dynamic partition overwrite); idempotent on retry."""
-    spark = df.sparkSession
-    old = spark.conf.get("spark.sql.sources.partitionOverwriteMode")
-    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
-    try:
-        # One writer per partition value: a day's rows land in one file instead of one per task.
-        df.repartition(F.col(partition_col)).write.mode("overwrite").partitionBy(partition_col).parquet(path)
-    finally:
-        spark.conf.set("spark.sql.sources.partitionOverwriteMode", old)
+    (_spread(df, partition_col, [c for c in sort_cols if c in df.columns]).write.mode("overwrite")
+     .option("partitionOverwriteMode", "dynamic").partitionBy(partition_col).parquet(path))
 
 
 def write_clustered(df: DataFrame, path: str, partition_col: str, sort_cols: list[str],
                     mode: str = "overwrite") -> None:
     """Partition by date and sort within files, so parquet min/max statistics skip row groups."""
-    (df.repartition(F.col(partition_col)).sortWithinPartitions(partition_col, *sort_cols)
-     .write.mode(mode).partitionBy(partition_col).parquet(path))
+    _spread(df, partition_col, sort_cols).write.mode(mode).partitionBy(partition_col).parquet(path)
 
 
 def materialize(df: DataFrame, name: str, as_table_path: str | None = None) -> DataFrame:
@@ -258,6 +254,3 @@ def materialize(df: DataFrame, name: str, as_table_path: str | None = None) -> D
     out.createOrReplaceTempView(name)
     return out
 
-
-def today() -> str:
-    return dt.date.today().isoformat()

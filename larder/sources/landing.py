@@ -8,7 +8,7 @@ Everything is a distributed projection; nothing is collected.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PRICE_ENVELOPE = ("load_id", "loaded_at", "store_id", "product_id", "raw_payload")
@@ -103,15 +103,18 @@ def scan_raw_prices(raw: DataFrame) -> DataFrame:
     )
 
 
+def load_id(*key_cols: str) -> Column:
+    """A hash of the key columns; a NULL part is told apart from any value, and parts do not run together."""
+    parts = [F.coalesce(F.concat(F.lit("="), F.col(c).cast("string")), F.lit("~")) for c in key_cols]
+    return F.sha2(F.concat_ws("\u0001", *parts), 256)
+
+
 def with_load_metadata(docs: DataFrame, key_cols: list[str], deterministic: bool = True) -> DataFrame:
     """Generated load id + load time.
 
-    The default id is a hash of the natural key, so a retried task writes the
-    same ids (idempotent appends); `deterministic=False` gives random UUIDs.
+    The default id is a hash of `key_cols`, which must identify a row (a natural
+    key plus what tells repeated loads apart): a retried task then writes the
+    same ids.  `deterministic=False` gives random UUIDs.
     """
-    load_id = (
-        F.sha2(F.concat_ws("\u0001", *[F.col(c).cast("string") for c in key_cols]), 256)
-        if deterministic
-        else F.expr("uuid()")
-    )
-    return docs.withColumn("load_id", load_id).withColumn("loaded_at", F.localtimestamp())
+    made = load_id(*key_cols) if deterministic else F.expr("uuid()")
+    return docs.withColumn("load_id", made).withColumn("loaded_at", F.localtimestamp())

@@ -9,56 +9,24 @@ TABLES = (
     "embeddings pages benchmark labels conversations"
 ).split()
 
-
-DIMENSIONS = {"region", "nation"}  # fixed-size (25 / 5 rows): never spread
-# Row keys used to hash-spread a scan; any other column stays prunable below the repartition.
-ROW_KEYS = {
-    "lineitem": ("l_orderkey", "l_linenumber"), "orders": ("o_orderkey",), "customer": ("c_custkey",),
-    "supplier": ("s_suppkey",), "part": ("p_partkey",), "events": ("event_id",), "documents": ("doc_id",),
-    "labels": ("doc_id",), "pages": ("page_id",), "benchmark": ("item_id",), "conversations": ("conv_id", "turn"),
-}
-SPREAD_MIN_BYTES = 4 << 20  # below this a scan is cheaper in one task than behind an extra shuffle
+# For benchmarks on one-file tables: spread these scans by their row keys where the session asks for it.
+SPREAD_CONF = "spark.larder.spreadScans"
+ROW_KEYS = {"lineitem": ("l_orderkey", "l_linenumber"), "orders": ("o_orderkey",), "events": ("event_id",)}
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str, *columns: str) -> DataFrame:
-    """Read one table; naming the columns keeps the parquet ReadSchema narrow."""
+    """Read one table; naming the columns keeps the parquet ReadSchema narrow.
+
+    A parquet file of one row group is read by one task.  Test tables are such
+    files; a session that sets `spark.larder.spreadScans` gets their scans
+    spread by a hash of the row keys (deterministic on retry).  The setting is
+    off by default: large tables have many row groups and need no extra shuffle.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
+    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     df = df.select(*columns) if columns else df
-    if name in DIMENSIONS or _input_bytes(spark, path) < SPREAD_MIN_BYTES:
-        return df
-    return spread_small_scan(df, [k for k in ROW_KEYS.get(name, ()) if k in df.columns])
-
-
-def _input_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the input files (one file-system listing through the Hadoop API)."""
-    try:
-        jvm = spark.sparkContext._jvm
-        hpath = jvm.org.apache.hadoop.fs.Path(path)
-        fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-        return int(fs.getContentSummary(hpath).getLength())
-    except Exception:  # noqa: BLE001 - no JVM handle (e.g. a remote session): do not spread
-        return 0
-
-
-def spread_small_scan(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    Parquet splits by row group; a file written as one row group is read by one
-    task, and every operator up to the first shuffle would run in that task.
-    The split count comes from the file listing (no job runs).  Large inputs
-    already have more splits than cores and are left untouched.  Rows are
-    hashed on all their columns: deterministic under task retry without the
-    local sort that a round-robin repartition needs for the same guarantee.
-    Hashing on the row keys only leaves every other column prunable.
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        splits = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view (e.g. a remote session): leave the scan as is
+    if spark.conf.get(SPREAD_CONF, "false") != "true":
         return df
-    if splits < cores:
-        return df.repartition(cores, *(keys or df.columns))
-    return df
+    keys = [k for k in ROW_KEYS.get(name, ()) if k in df.columns]
+    return df.repartition(spark.sparkContext.defaultParallelism, *keys) if keys else df

@@ -1,9 +1,11 @@
 """Structured Streaming landing of price payload files (optional extra to the batch X4).
 
-New JSON-lines files in a folder are picked up incrementally, duplicates of a
-`load_id` re-delivered within the watermark are dropped, payloads are parsed
-to VARIANT and appended to the raw table through the parquet file sink, whose
-metadata log makes the append exactly-once across restarts.
+New JSON-lines files in a folder are picked up incrementally.  Each micro-batch
+is de-duplicated by `load_id`, anti-joined with what the raw table already
+holds in the batch's own partitions, parsed to VARIANT and appended.  Nothing
+depends on event time: late and old documents land like any other, and how
+files fall into batches does not matter.  A batch that is run again after a
+failure finds its rows in the table and appends only the missing ones.
 `Trigger.AvailableNow` processes everything present and stops, so the same
 code serves scheduled batch-style runs.
 """
@@ -16,6 +18,7 @@ from pyspark.sql import functions as F
 from larder.sources.landing import land_price_payloads
 
 DOC_SCHEMA = "load_id string, loaded_at timestamp_ntz, store_id string, product_id string, payload string"
+TABLE_SCHEMA = "load_id string, loaded_at timestamp_ntz, store_id string, product_id string, raw_payload variant, load_part date"
 
 
 def price_doc_stream(spark: SparkSession, src_dir: str, max_files_per_trigger: int = 1000) -> DataFrame:
@@ -23,23 +26,30 @@ def price_doc_stream(spark: SparkSession, src_dir: str, max_files_per_trigger: i
             .json(src_dir))
 
 
-def land_stream(docs: DataFrame, watermark: str = "2 days", granularity: str = "day") -> DataFrame:
-    """Dedupe re-delivered documents by load_id within the watermark, then parse to VARIANT.
+def land_batch(docs: DataFrame, table_path: str, granularity: str = "day") -> None:
+    """Append the documents of one batch that the table does not hold yet.
 
-    The output partition column is the load day (or month for multi-year replays).
+    The partition column is the load day (or month for multi-year replays); a
+    repeated load_id has the same load time and so the same partition, which
+    keeps the look-up to the batch's partitions.
     """
-    deduped = (docs.withColumn("_event_ts", F.col("loaded_at").cast("timestamp"))
-               .withWatermark("_event_ts", watermark)
-               .dropDuplicatesWithinWatermark(["load_id"]))
     day = F.col("loaded_at").cast("date")
-    part = day if granularity == "day" else F.trunc(day, "month")
-    landed = land_price_payloads(deduped).withColumn("load_part", part)
-    return landed.repartition("load_part")
+    part = day if granularity == "day" else F.trunc(day, "month").cast("date")
+    batch = docs.dropDuplicates(["load_id"]).withColumn("load_part", part)
+    landed = docs.sparkSession.read.schema(TABLE_SCHEMA).parquet(table_path).select(
+        "load_part", F.col("load_id").alias("_landed"))
+    landed = landed.join(batch.select("load_part").distinct(), "load_part", "left_semi").select("_landed")
+    fresh = batch.join(landed, F.col("load_id").eqNullSafe(F.col("_landed")), "left_anti")
+    rows = land_price_payloads(fresh).withColumn("load_part", part)
+    # ranges, not one task per partition value
+    (rows.repartitionByRange("load_part", "store_id", "product_id").write.mode("append")
+     .partitionBy("load_part").parquet(table_path))
 
 
 def run_available_now(spark: SparkSession, src_dir: str, table_path: str, checkpoint: str,
-                      watermark: str = "2 days", granularity: str = "day") -> None:
-    query = (land_stream(price_doc_stream(spark, src_dir), watermark, granularity).writeStream
-             .format("parquet").option("path", table_path).option("checkpointLocation", checkpoint)
-             .partitionBy("load_part").trigger(availableNow=True).start())
+                      granularity: str = "day", max_files_per_trigger: int = 1000) -> None:
+    spark.createDataFrame([], TABLE_SCHEMA).write.mode("append").partitionBy("load_part").parquet(table_path)
+    query = (price_doc_stream(spark, src_dir, max_files_per_trigger).writeStream
+             .foreachBatch(lambda docs, _: land_batch(docs, table_path, granularity))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()

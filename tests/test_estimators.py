@@ -13,7 +13,7 @@ import pytest
 from larder.functions import stats
 from larder.operators import causal, marts
 from larder.sources import fixtures as fx
-from larder.sources.tables import spread_small_scan
+from larder.sources.tables import SPREAD_CONF, read_table
 from tests.conftest import SF_SMALL
 
 
@@ -124,8 +124,80 @@ def test_holdout_tail_hot_path_equals_plain(spark):
     assert plain.exceptAll(split).count() == 0 and split.exceptAll(plain).count() == 0
 
 
-def test_spread_small_scan_keeps_rows(spark):
-    df = spark.read.parquet(f"{SF_SMALL}/lineitem.parquet")
-    spread = spread_small_scan(df)
-    assert spread.rdd.getNumPartitions() >= min(df.rdd.getNumPartitions(), spark.sparkContext.defaultParallelism)
-    assert spread.count() == df.count()
+def test_spread_scans_keep_rows(spark):
+    df = read_table(spark, SF_SMALL, "lineitem")
+    spark.conf.set(SPREAD_CONF, "true")
+    try:
+        spread = read_table(spark, SF_SMALL, "lineitem")
+    finally:
+        spark.conf.unset(SPREAD_CONF)
+    assert "Exchange" in spread._jdf.queryExecution().toString() and "Exchange" not in df._jdf.queryExecution().toString()
+    assert spread.exceptAll(df).count() == 0 and df.exceptAll(spread).count() == 0
+
+
+def crowded_series(spark, sizes: list[int], odd: bool = False):
+    """One series whose dates have these many rows, and a short second one."""
+    rows, k = [], 0
+    for day, n in enumerate(sizes):
+        for _ in range(n):
+            rows.append(("A", "s", dt.date(2024, 1, 1) + dt.timedelta(days=day), f"{k * 7919 % 100003:06d}",
+                         Decimal(k * 37 % 101) / 10 + 1, k % 5 in (1, 2)))
+            k += 1
+    rows += [("B", "s", dt.date(2024, 1, 1) + dt.timedelta(days=d), f"{d:06d}", Decimal(d + 1), d % 3 == 0) for d in range(40)]
+    if odd:
+        rows += [("A", "s", None, "x", Decimal(3), False), (None, "s", dt.date(2024, 1, 1), "y", Decimal(3), True)]
+    df = spark.createDataFrame(rows, "item_id string, store_id string, price_date date, load_id string, "
+                                     "regular_price decimal(10,2), is_on_sale boolean")
+    return df.withColumn("promo_price", df.regular_price)
+
+
+@pytest.mark.parametrize("sizes,chunks", [([60, 35, 95, 15, 60], (100, 92)), ([10] * 30 + [350] + [10] * 3, (100, 400)),
+                                          ([1] * 400, (92, 137)), ([300], (95,))])
+def test_chunks_equal_plain_windows_whatever_the_dates(spark, sizes, chunks):
+    """Dates longer than a chunk, and chunks about as short as the windows reach."""
+    from larder.operators import features, forecast
+
+    df = crowded_series(spark, sizes, odd=True)
+    for chunk in chunks:
+        for f in (marts.price_history, marts.sale_transitions, marts.sale_ends, marts.days_between_sales,
+                  marts.promo_calendar_episodes, features.build_labels, forecast.residual_target, forecast.holdout_tail):
+            plain, split = f(df, hot_series_rows=None), f(df, hot_series_rows=chunk)
+            cols = plain.columns
+            assert plain.count() == split.count(), (f.__name__, chunk)
+            assert plain.exceptAll(split.select(*cols)).count() == 0, (f.__name__, chunk)
+
+
+def test_ordered_split_of_hot_series(spark):
+    from larder.operators import features
+
+    df = crowded_series(spark, [10] * 30 + [350])
+    plain, split = (features.ordered_split(df, hot_series_rows=k).select("load_id", "row_index", "split") for k in (None, 50))
+    assert plain.exceptAll(split).count() == 0 and plain.count() == split.count() == 690
+
+
+def test_fourier_of_hot_series(spark):
+    from larder.operators import forecast
+
+    df = crowded_series(spark, [5] * 60)
+    plain, split = (forecast.fourier_forecasts(df, hot_series_rows=k).orderBy("item_id").collect() for k in (None, 50))
+    assert [(r.item_id, r.n_train, r.n_holdout, r.train_end) for r in plain] == [
+        ("A", 286, 14, dt.date(2024, 2, 27)), ("B", 26, 14, dt.date(2024, 1, 26))]
+    assert [round(r.mae, 6) for r in plain] == [round(r.mae, 6) for r in split]
+
+
+def test_plans_are_built_without_jobs(spark):
+    """Queries that write nothing, train nothing and pivot nothing start no job before their action."""
+    from larder.plans import catalog
+
+    tracker = spark.sparkContext.statusTracker()
+    for name in ("price_history", "promo_calendar_episodes", "ordered_split", "dq_not_null", "build_labels", "sale_ends",
+                 "forecast_trend_weekday", "external_signals", "lagged_signal_join", "binary_metrics"):
+        spark.sparkContext.setJobGroup(f"plan-{name}", name)
+        try:
+            catalog.QUERIES[name](spark, SF_SMALL)
+            stages = [tracker.getStageInfo(k) for j in tracker.getJobIdsForGroup(f"plan-{name}")
+                      for k in tracker.getJobInfo(j).stageIds]
+            # a parquet reader looks at a file's footer for its schema; nothing else may run
+            assert {s.name.split(" at ")[0] for s in stages if s} <= {"parquet"}, name
+        finally:
+            spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
