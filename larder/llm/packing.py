@@ -103,12 +103,16 @@ class WordEncoder:
                 ids = struct.pack(f"<{len(found)}I", *[t.id for t in found])
             memo[w] = ids
 
+    def forget(self) -> None:
+        """Give the memory of words back; a worker process goes on to other stages."""
+        self.memo, self.older = {}, {}
+
 
 _encoders: dict[str, WordEncoder] = {}
 
 
 def encoder(path: str) -> WordEncoder:
-    """One encoder per worker process: its memory of words outlives a task."""
+    """One encoder per worker process: the vocabulary is loaded once."""
     if path not in _encoders:
         _encoders[path] = WordEncoder(path)
     return _encoders[path]
@@ -133,6 +137,7 @@ def encode_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int
             types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
                                              ["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
+        coder.forget()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
                        ).mapInArrow(run, PIECE_SCHEMA)

@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from larder.llm.common import materialize
 from larder.llm.minimizers import WINDOW, blocks_of, runs_of
 
-BATCH_BYTES, SHARD_BYTES = 4 << 20, 2 << 20
+BATCH_BYTES, SHARD_BYTES = 2 << 20, 1 << 20
 CHAIN = 128  # positions after which Kasai's chain is begun anew, so that capped values stay exact
 
 
