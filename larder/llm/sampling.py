@@ -34,6 +34,7 @@ import math
 import re
 import zlib
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 K, ALPHA, SEED = 2, 1.0, 42
 MARK = "▁"
 UNIT = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
-CHUNK_UNITS = 150_000  # units sampled in one go
+CHUNK_UNITS = 300_000  # units sampled in one go
 NOTHING_LEFT = 1e-12  # a share of probability that counts as none
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -96,7 +97,7 @@ class PieceModel:
         hashes = np.array([self._hash_of(t) for t in known], np.uint64)
         at = np.argsort(hashes)
         self.hashes = hashes[at]
-        self.ids = np.array([v[0] for v in known.values()], np.int64)[at]
+        self.ids = np.array([v[0] for v in known.values()], np.int32)[at]
         self.scores = np.array([v[1] for v in known.values()])[at]
         self.slots = np.searchsorted(self.hashes >> np.uint64(44), np.arange((1 << 20) + 1, dtype=np.uint64)).astype(np.int32)
         self.fullest = int(np.diff(self.slots).max()) if len(known) else 0
@@ -104,7 +105,7 @@ class PieceModel:
     def find(self, h: np.ndarray) -> np.ndarray:
         """The place of each hash in the table, -1 for none: the few entries of its slot are compared."""
         slot = (h >> np.uint64(44)).astype(np.int64)
-        found = np.full(len(h), -1, np.int64)
+        found = np.full(len(h), -1, np.int32)
         low, high = self.slots[slot], self.slots[slot + 1]
         ask = np.flatnonzero(high > low)
         low, high = low[ask], high[ask]
@@ -137,14 +138,15 @@ class Lattices:
     """The unit lattices of a batch of distinct units, as flat arrays of nodes and edges."""
 
     def __init__(self, model: PieceModel, units: list[str]):
-        sizes = np.array([len(u) for u in units], np.int64)
+        sizes = np.fromiter(map(len, units), np.int32, len(units))
         points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        ends = np.cumsum(sizes)
-        unit = np.repeat(np.arange(len(units)), sizes)
-        self.first = ends - sizes + np.arange(len(units))  # a unit's first node; it has one node more than letters
-        node = np.arange(len(points)) + unit
-        room = ends[unit] - np.arange(len(points))  # letters to the unit's end
-        live, h = np.arange(len(points)), np.zeros(len(points), np.uint64)
+        ends = np.cumsum(sizes, dtype=np.int32)
+        unit = np.repeat(np.arange(len(units), dtype=np.int32), sizes)
+        self.first = ends - sizes + np.arange(len(units), dtype=np.int32)  # a unit's first node; it has one node more than letters
+        place = np.arange(len(points), dtype=np.int32)
+        node = place + unit
+        room = ends[unit] - place  # letters to the unit's end
+        live, h = place, np.zeros(len(points), np.uint64)
         source, target, ids, score = [], [], [], []
         covered = np.zeros(len(points), bool)
         for k in range(model.longest):
@@ -157,33 +159,34 @@ class Lattices:
             at = model.find(h)
             ok = at >= 0
             live, h, at = live[ok], h[ok], at[ok]
-            piece = model.ids[at] >= 0
-            source.append(node[live[piece]])
-            target.append(node[live[piece]] + k + 1)
-            ids.append(model.ids[at[piece]])
-            score.append(model.scores[at[piece]])
+            piece = np.flatnonzero(model.ids[at] >= 0)
+            begin, kind = node[live[piece]], at[piece]
+            source.append(begin)
+            target.append(begin + np.int32(k + 1))
+            ids.append(model.ids[kind])
+            score.append(model.scores[kind])
             if k == 0:
                 covered[live[piece]] = True
         bare = np.flatnonzero(~covered)  # characters that only byte pieces can write
         self.spelled: list[list[int]] = []
         if len(bare):
-            found: dict[int, int] = {}
-            kind = np.array([found.setdefault(int(c), len(found)) for c in points[bare]])
+            letters, kind = np.unique(points[bare], return_inverse=True)
+            found = dict.fromkeys(letters.tolist())
             self.spelled = [[model.bytes.get(b, 0) for b in chr(c).encode("utf-8", "surrogatepass")] for c in found]
             source.append(node[bare])
-            target.append(node[bare] + 1)
-            ids.append(-1 - kind)  # negative: a spelled character
+            target.append(node[bare] + np.int32(1))
+            ids.append((-1 - kind).astype(np.int32))  # negative: a spelled character
             score.append(np.array([len(s) for s in self.spelled])[kind] * model.byte_score)
         self.source, self.target, self.ids = (np.concatenate(x) for x in (source, target, ids))
         score = np.concatenate(score)
-        order = np.argsort(self.source * (model.longest + 2) + (self.target - self.source), kind="stable")  # sorted runs
+        order = np.argsort(self.source.astype(np.int64) * (model.longest + 2) + (self.target - self.source), kind="stable")  # sorted runs
         self.source, self.target, self.ids, score = (x[order] for x in (self.source, self.target, self.ids, score))
         nodes = int(ends[-1]) + len(units)
         self.end = np.zeros(nodes, bool)
         self.end[self.first + sizes] = True
         self.low = np.searchsorted(self.source, np.arange(nodes + 1))
         beta = np.zeros(nodes)  # log of the sum over all ways to the unit's end
-        left = np.zeros(nodes, np.int64)
+        left = np.zeros(nodes, np.int32)
         left[node] = room
         far = left[self.source]
         by = np.argsort(far.astype(np.uint16) if len(far) and far.max() < 1 << 16 else far, kind="stable")
@@ -193,15 +196,30 @@ class Lattices:
             heads = np.concatenate(([0], np.flatnonzero(np.diff(self.source[part])) + 1))
             beta[self.source[part][heads]] = np.logaddexp.reduceat(value, heads)
         self.logp = score + beta[self.target] - beta[self.source]
-        p = np.exp(self.logp)
-        self.cum = np.concatenate(([0.0], np.cumsum(p)))
+        self.p = np.exp(self.logp)
+        self.cum = np.concatenate(([0.0], np.cumsum(self.p)))
+        heads = self.low[:-1][self.low[1:] > self.low[:-1]]  # first edges of the nodes that have any
+        top = np.repeat(np.maximum.reduceat(self.p, heads), np.diff(np.concatenate((heads, [len(self.p)]))))
+        likely = np.flatnonzero(self.p == top)
+        first = np.concatenate(([True], self.source[likely[1:]] != self.source[likely[:-1]]))
+        self.best = np.zeros(nodes, np.int32)  # a node's likeliest edge
+        self.best[self.source[likely[first]]] = likely[first]  # fits: edges are far fewer than 2^31
 
     def draw(self, node: np.ndarray, r: np.ndarray) -> np.ndarray:
-        """An edge of each node, by its probability."""
-        low, high = self.low[node], self.low[node + 1]
-        base = self.cum[low]
-        edge = np.searchsorted(self.cum, base + r * (self.cum[high] - base), "right") - 1
-        return np.clip(edge, low, high - 1)
+        """An edge of each node, by its probability: mostly the likeliest, else one of the others by binary search."""
+        edge = self.best[node]
+        rare = np.flatnonzero(r >= self.p[edge])
+        if len(rare):
+            best, at = edge[rare], node[rare]
+            low, high = self.low[at], self.low[at + 1]
+            base, p = self.cum[low], self.p[best]
+            other = np.maximum(self.cum[high] - base - p, 0)
+            t = base + (r[rare] - p) / np.maximum(1 - p, 1e-300) * other
+            t = np.where(t >= self.cum[best], t + p, t)
+            found = np.clip(np.searchsorted(self.cum, t, "right") - 1, low, high - 1)
+            alone = high - low == 1
+            edge[rare] = np.where(alone, best, found)
+        return edge
 
 
 def _other_way(lat: Lattices, node: int, taken: list[list[int]], key: np.ndarray, sample: int, unit: int) -> list[int]:
@@ -229,12 +247,20 @@ def _other_way(lat: Lattices, node: int, taken: list[list[int]], key: np.ndarray
     return way
 
 
+class _Numbered(dict):
+    """Numbers its keys as they come."""
+
+    def __missing__(self, key: str) -> int:
+        self[key] = n = len(self)
+        return n
+
+
 class _Batch:
     """The units of some texts, and the paths drawn through them."""
 
     def __init__(self, model: PieceModel, keys: np.ndarray, texts: list[list[str]]):
-        kinds: dict[str, int] = {}
-        kind = np.array([kinds.setdefault(u, len(kinds)) for t in texts for u in t], np.int64)
+        kinds = _Numbered()
+        kind = np.array(list(map(kinds.__getitem__, chain.from_iterable(texts))), np.int32)
         self.lat = Lattices(model, list(kinds))
         sizes = np.array([len(t) for t in texts], np.int64)
         self.starts = np.cumsum(sizes) - sizes
@@ -307,15 +333,21 @@ def _sample_units(model: PieceModel, keys: np.ndarray, units: list[list[str]], k
 
     def emit(sample: int, which: np.ndarray, g: np.ndarray) -> None:
         at, edges, logq = paths[sample]
-        doc = b.doc[at]
         total = np.bincount(b.doc, weights=logq, minlength=docs)
-        low = np.searchsorted(doc, np.arange(docs + 1))
-        plain = b.lat.ids[edges]
+        ids, doc = b.lat.ids[edges], b.doc[at]
+        spelled = np.flatnonzero(ids < 0)
+        if len(spelled):  # characters written as several byte pieces
+            lists = [b.lat.spelled[k] for k in (-1 - ids[spelled]).tolist()]
+            counts = np.ones(len(ids), np.int64)
+            counts[spelled] = [len(x) for x in lists]
+            start = np.cumsum(counts) - counts
+            ids, doc = np.repeat(ids, counts), np.repeat(doc, counts)
+            inside = np.repeat(start[spelled], counts[spelled])
+            inside += np.arange(len(inside)) - np.repeat(np.cumsum(counts[spelled]) - counts[spelled], counts[spelled])
+            ids[inside] = [x for s in lists for x in s]
+        raw, low = ids.astype("<u4").tobytes(), (4 * np.searchsorted(doc, np.arange(docs + 1))).tolist()
         for d in which.tolist():
-            ids = plain[low[d]:low[d + 1]]
-            if (ids < 0).any():
-                ids = np.array([x for i in ids.tolist() for x in (b.lat.spelled[-1 - i] if i < 0 else (i,))])
-            found[names[d]].append((ids.astype("<u4").tobytes(), float(total[d]), float(g[d])))
+            found[names[d]].append((raw[low[d]:low[d + 1]], float(total[d]), float(g[d])))
 
     everyone = np.arange(docs)
     emit(0, everyone, best)
