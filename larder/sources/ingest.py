@@ -194,13 +194,14 @@ def tag_payloads(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     parsed = docs.withColumn("v", F.try_parse_json("body")).withColumn(
         "products", F.try_variant_get("v", "$.data", "array<map<string,variant>>"))
-    rejects = parsed.filter(F.col("products").isNull()).select("location_id", "term", "body")
-    products = parsed.filter(F.col("products").isNotNull()).select("location_id", "term", F.explode("products").alias("p"))
+    bad = F.col("products").isNull() | F.exists("products", lambda p: p.isNull())
+    rejects = parsed.filter(bad).select("location_id", "term", "body")
+    products = parsed.filter(~bad).select("location_id", "term", F.explode("products").alias("p"))
     own = F.map_filter("p", lambda k, _: ~k.isin("_location_id", "_search_term"))
     tags = F.create_map(F.lit("_location_id"), F.to_variant_object(F.struct(F.col("location_id").alias("x"))),
                         F.lit("_search_term"), F.to_variant_object(F.struct(F.col("term").alias("x"))))
     tags = F.transform_values(tags, lambda _, v: F.variant_get(v, "$.x", "variant"))
-    tagged = products.filter(F.col("p").isNotNull()).select(
+    tagged = products.select(
         F.col("location_id").alias("store_id"),
         F.try_variant_get(F.col("p")["productId"], "$", "string").alias("product_id"),
         F.col("term"),

@@ -120,9 +120,10 @@ def test_two_loads_same_day_ordered_by_load_id(spark):
                         loads=["L1", "L3", "L2"])
     tr = {r.load_id: r for r in marts.sale_transitions(df).collect()}
     assert len(tr) == 3
-    w = marts.series_window("price_date", "load_id")
-    order = [r.load_id for r in df.withColumn("rn", F.row_number().over(w)).orderBy("rn").collect()]
-    assert order == ["L1", "L2", "L3"]
+    flags = _history_input(spark, [1.0, 2.0, 3.0], dates=[D(2025, 1, 1), D(2025, 1, 2), D(2025, 1, 2)],
+                           loads=["L1", "L3", "L2"], sale=[False, False, True])
+    prev = {r.load_id: r.prev_on_sale for r in marts.sale_transitions(flags).collect()}
+    assert prev == {"L1": None, "L2": False, "L3": True}  # L2 comes before L3 on the same day
 
 
 def test_sale_start_first_row_and_open_end(spark):
