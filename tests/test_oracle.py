@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 import __spark_entry__ as entry
-from larder.plans.compare import same_result
+from tests.compare import same_result
 from tests.conftest import SF_SMALL
 
 SLOW = {"overwrite_latest_partition", "stream_land_prices"}  # write-heavy; covered by scripts/oracle_check.py
