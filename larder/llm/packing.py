@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from larder.llm.common import materialize
+from larder.llm.common import materialize, release_memory
 
 CAPACITY, END_ID, SALTS = 4096, 1, 256
 PIECE_SCHEMA = "doc_id long, piece int, start long, length long, ids_crc32 long, ids binary"
@@ -138,6 +138,7 @@ def encode_pieces(docs: DataFrame, vocabulary: str | None = None, capacity: int
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
                                              ["doc_id", "piece", "start", "length", "ids_crc32", "ids"])
         coder.forget()
+        release_memory()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
                        ).mapInArrow(run, PIECE_SCHEMA)

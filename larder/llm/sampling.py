@@ -41,6 +41,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from larder.llm.common import release_memory
+
 K, ALPHA, SEED = 2, 1.0, 42
 MARK = "▁"
 UNIT = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
@@ -452,6 +454,7 @@ def sample_segmentations(docs: DataFrame, vocabulary: str | None = None, k: int
                     ids, keys, texts, used = [], [], [], 0
         if texts:
             yield out(ids, keys, texts)
+        release_memory()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64(F.lit(seed), F.col("doc_id").cast("long")
                        ).alias("key"), F.col("text").cast("string").alias("text")).mapInArrow(run, schema)

@@ -38,7 +38,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from larder.llm.common import materialize
+from larder.llm.common import materialize, release_memory
 from larder.llm.minimizers import WINDOW, blocks_of, runs_of
 
 BATCH_BYTES, SHARD_BYTES = 2 << 20, 1 << 20
@@ -206,6 +206,7 @@ def _runs(docs: DataFrame, buckets: int) -> DataFrame:
                     ids, hashes, texts, used = [], [], [], 0
         if texts:
             yield batch(ids, hashes, texts)
+        release_memory()
 
     return src.mapInArrow(run, "bucket int, " + ", ".join(f"{c} binary" for c in names[1:]))
 
@@ -255,6 +256,7 @@ def _marks(runs: DataFrame) -> DataFrame:
                 rows.append([c[k].as_py() for c in columns])
         if rows:
             yield decide(rows)
+        release_memory()
 
     return runs.mapInArrow(run, MARKS)
 
@@ -343,6 +345,7 @@ def _shard_repeats(segments: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataF
                 previous = r[:4]
         if rows:
             yield shard(rows, before)[0]
+        release_memory()
 
     return segments.repartition("gram").sortWithinPartitions(*names).mapInArrow(
         run, "doc long, th long, start int, span int")
