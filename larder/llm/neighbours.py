@@ -91,7 +91,8 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = NEAREST,
                        confidence: float = CONFIDENCE, cell_rows: int = CELL_ROWS,
                        query_rows: int = QUERY_ROWS) -> DataFrame:
     """(query_id, rank, vec_id, score): for each row of `queries` (vec_id, embedding) the k nearest of `vectors`."""
-    pick = lambda df: df.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").alias("vec")).where(
+    kind = vectors.schema["embedding"].dataType.simpleString()  # array<float> or array<double>
+    pick = lambda df: df.select(F.col("vec_id").cast("long").alias("id"), F.col("embedding").cast(kind).alias("vec")).where(
         F.col("id").isNotNull() & usable(F.col("vec"))).withColumn("size", F.size("vec"))
     keyed = pick(vectors).withColumn("key", F.struct(F.xxhash64("vec").alias("a"),
                                                      F.xxhash64(F.reverse("vec"), F.lit(1)).alias("b")))
@@ -139,7 +140,7 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = NEAREST,
 
         return df.mapInArrow(run, schema)
 
-    placed = materialize(routed(index, "ids array<long>, vec array<float>, size int, cell int", False), "cells")
+    placed = materialize(routed(index, f"ids array<long>, vec {kind}, size int, cell int", False), "cells")
     crowd = materialize(placed.groupBy("size", "cell").agg(F.ceil(F.count("*") / cell_rows).cast("int").alias("parts")),
                         "cell-sizes")
 
@@ -174,11 +175,11 @@ def nearest_neighbours(vectors: DataFrame, queries: DataFrame, k: int = NEAREST,
     best = W.partitionBy("query_id").orderBy("score", "vec_id")
     top = lambda df: df.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     home = routed(asked.withColumn("bound", F.lit(float("inf"))),
-                  "id long, vec array<float>, size int, bound double, cell int", False)
+                  f"id long, vec {kind}, size int, bound double, cell int", False)
     first = materialize(top(search(home)), "home-cells")
     known = first.where(F.col("rank") == k).select(F.col("query_id").alias("id"), (F.col("score") ** 2 * (1 + 1e-12)).alias("bound"))
     again = asked.join(known, "id", "left").select("id", "vec", "size", F.coalesce("bound", F.lit(float("inf"))).alias("bound"))
-    far = search(routed(again, "id long, vec array<float>, size int, bound double, cell int", True))
+    far = search(routed(again, f"id long, vec {kind}, size int, bound double, cell int", True))
     return top(first.drop("rank").unionByName(far)).select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id",
                                                            "score")
 

@@ -427,6 +427,8 @@ def test_neighbours(spark):
         total += len(want)
     assert hits / total >= 0.9
     assert neighbours.op8_neighbours(df.limit(0)).count() == 0
+    doubles = df.withColumn("embedding", F.col("embedding").cast("array<double>"))
+    assert neighbours.op8_neighbours(doubles).count() == sum(map(len, got.values()))
 
 
 def test_recall_on_the_table(spark):
