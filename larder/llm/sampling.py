@@ -48,6 +48,7 @@ MARK = "▁"
 UNIT = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 CHUNK_UNITS = 300_000  # units sampled in one go
 NOTHING_LEFT = 1e-12  # a share of probability that counts as none
+FAR = -100.0  # regions this far below the first ones (log probability) cannot be among the best
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -63,10 +64,14 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def uniform(key: np.ndarray, a: int, b: np.ndarray, c: int) -> np.ndarray:
-    """Uniform numbers in (0, 1) from a key and three counters."""
-    x = _mix(key + np.uint64((a * 1_000_003 + c + 1) * int(_STEP) & ((1 << 64) - 1)))
-    x = _mix(x + _STEP * (b.astype(np.uint64) + np.uint64(1)))
+def unit_keys(key: np.ndarray, unit: np.ndarray) -> np.ndarray:
+    """A key for each unit of a document."""
+    return _mix(key + _STEP * (unit.astype(np.uint64) + np.uint64(1)))
+
+
+def uniform(key: np.ndarray, sample: int, step: int) -> np.ndarray:
+    """Uniform numbers in (0, 1) from the units' keys and two counters."""
+    x = _mix(key + np.uint64((sample * 1_000_003 + step + 1) * int(_STEP) & ((1 << 64) - 1)))
     return ((x >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
 
 
@@ -149,7 +154,9 @@ class Lattices:
         node = place + unit
         room = ends[unit] - place  # letters to the unit's end
         live, h = place, np.zeros(len(points), np.uint64)
-        source, target, ids, score = [], [], [], []
+        nodes = int(ends[-1]) + len(units)
+        out = np.zeros(nodes + 1, np.int32)  # edges of each node so far
+        source, target, ids, score, nth = [], [], [], [], []
         covered = np.zeros(len(points), bool)
         for k in range(model.longest):
             ok = room[live] > k
@@ -167,6 +174,8 @@ class Lattices:
             target.append(begin + np.int32(k + 1))
             ids.append(model.ids[kind])
             score.append(model.scores[kind])
+            nth.append(out[begin])
+            out[begin] += 1  # a node is met once per length
             if k == 0:
                 covered[live[piece]] = True
         bare = np.flatnonzero(~covered)  # characters that only byte pieces can write
@@ -179,14 +188,18 @@ class Lattices:
             target.append(node[bare] + np.int32(1))
             ids.append((-1 - kind).astype(np.int32))  # negative: a spelled character
             score.append(np.array([len(s) for s in self.spelled])[kind] * model.byte_score)
-        self.source, self.target, self.ids = (np.concatenate(x) for x in (source, target, ids))
-        score = np.concatenate(score)
-        order = np.argsort(self.source.astype(np.int64) * (model.longest + 2) + (self.target - self.source), kind="stable")  # sorted runs
-        self.source, self.target, self.ids, score = (x[order] for x in (self.source, self.target, self.ids, score))
-        nodes = int(ends[-1]) + len(units)
+            nth.append(out[node[bare]])
+            out[node[bare]] += 1
+        self.low = np.concatenate((np.zeros(1, np.int32), np.cumsum(out[:-1], dtype=np.int32)))
+        source, target, ids, score, nth = (np.concatenate(x) for x in (source, target, ids, score, nth))
+        at = self.low[source] + nth  # the edges of a node stand together
+        self.source, self.target, self.ids = (np.empty(len(at), np.int32) for _ in range(3))
+        self.source[at], self.target[at], self.ids[at] = source, target, ids
+        placed = np.empty(len(at))
+        placed[at] = score
+        score = placed
         self.end = np.zeros(nodes, bool)
         self.end[self.first + sizes] = True
-        self.low = np.searchsorted(self.source, np.arange(nodes + 1))
         beta = np.zeros(nodes)  # log of the sum over all ways to the unit's end
         left = np.zeros(nodes, np.int32)
         left[node] = room
@@ -224,7 +237,7 @@ class Lattices:
         return edge
 
 
-def _other_way(lat: Lattices, node: int, taken: list[list[int]], key: np.ndarray, sample: int, unit: int) -> list[int]:
+def _other_way(lat: Lattices, node: int, taken: list[list[int]], key: np.ndarray, sample: int) -> list[int]:
     """A draw among the ways from `node` to the unit's end that are not `taken` (lists of edges)."""
     way: list[int] = []
     while not lat.end[node]:
@@ -236,7 +249,7 @@ def _other_way(lat: Lattices, node: int, taken: list[list[int]], key: np.ndarray
         for e in edges:
             gone = sum(math.exp(sum(float(lat.logp[x]) for x in t)) for t in after.get(e, []))
             shares.append(math.exp(float(lat.logp[e])) * max(0.0, 1.0 - gone))
-        r = float(uniform(key, sample, np.array([unit]), 1 << 10 | len(way))[0]) * sum(shares)
+        r = float(uniform(key, sample, 1 << 10 | len(way))[0]) * sum(shares)
         pick = max(range(len(shares)), key=shares.__getitem__)
         for k, s in enumerate(shares):
             if r < s:
@@ -271,25 +284,30 @@ class _Batch:
         self.pos = np.arange(len(kind)) - self.starts[self.doc]
         self.root = self.lat.first[kind]
         self.keys = keys
-        self.key = keys[self.doc]
+        self.key = unit_keys(keys[self.doc], self.pos)
 
     def walk(self, units: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Draw a way through each of `units`: (unit, edge) in order of unit and step, and its log probability."""
         lat, node, live, step = self.lat, self.root[units], np.arange(len(units)), 0
-        logq = np.zeros(len(units))
+        logq, pieces = np.zeros(len(units)), np.zeros(len(units), np.int64)
         seen, edges = [], []
-        key, pos = self.key[units], self.pos[units]
+        key = self.key[units]
         while len(live):
-            e = lat.draw(node, uniform(key[live], sample, pos[live], step))
+            e = lat.draw(node, uniform(key[live], sample, step))
             logq[live] += lat.logp[e]
             seen.append(live)
             edges.append(e)
             node = lat.target[e]
-            on = ~lat.end[node]
-            live, node, step = live[on], node[on], step + 1
-        at = np.concatenate(seen) if seen else np.empty(0, np.int64)
-        order = np.argsort(at, kind="stable")
-        return units[at[order]], (np.concatenate(edges) if edges else at)[order], logq
+            step += 1
+            on = np.flatnonzero(~lat.end[node])
+            if len(on) < len(live):
+                pieces[live[lat.end[node]]] = step
+            live, node = live[on], node[on]
+        place = np.cumsum(pieces) - pieces
+        found = np.empty(int(pieces.sum()), np.int64)
+        for k, (at, e) in enumerate(zip(seen, edges, strict=True)):
+            found[place[at] + k] = e
+        return np.repeat(units, pieces), found, logq
 
 
 def _below(log_mass: np.ndarray, bound: np.ndarray, r: np.ndarray) -> np.ndarray:
@@ -318,7 +336,7 @@ def _sample_units(model: PieceModel, keys: np.ndarray, units: list[list[str]], k
     b = _Batch(model, keys, units)
     docs, all_units = len(units), np.arange(len(b.doc))
     zero = np.zeros(docs, np.int64)
-    best = -np.log(-np.log(uniform(keys, 0, zero, 1 << 20)))  # the root's Gumbel: its probability is one
+    best = -np.log(-np.log(uniform(unit_keys(keys, zero), 0, 1 << 20)))  # the root's Gumbel: its probability is one
     at, edges, logq = b.walk(all_units, 1)
     paths = [(at, edges, logq)]  # of each sample: every document's path (empty where a document has no more)
     gumbels, taken = [], {}  # of each sample: the Gumbel of "another way through unit u"; ways excluded there
@@ -327,11 +345,13 @@ def _sample_units(model: PieceModel, keys: np.ndarray, units: list[list[str]], k
         """Gumbels of the regions that leave a path at each unit behind `after` (per document)."""
         run = np.cumsum(logq)
         before = run - logq - (run - logq)[b.starts][b.doc]  # of the units before, in the same document
-        rest = -np.expm1(logq)
+        some = np.flatnonzero((before > FAR) & (b.pos > after[b.doc]))
+        rest = -np.expm1(logq[some])
         with np.errstate(divide="ignore"):
-            mass = before + np.where(rest > NOTHING_LEFT, np.log(np.maximum(rest, 1e-300)), -np.inf)
-        g = _below(mass, top[b.doc], uniform(b.key, sample, b.pos, 1 << 21))
-        return np.where(b.pos > after[b.doc], g, -np.inf)
+            mass = before[some] + np.where(rest > NOTHING_LEFT, np.log(np.maximum(rest, 1e-300)), -np.inf)
+        g = np.full(len(logq), -np.inf)
+        g[some] = _below(mass, top[b.doc[some]], uniform(b.key[some], sample, 1 << 21))
+        return g
 
     def emit(sample: int, which: np.ndarray, g: np.ndarray) -> None:
         at, edges, logq = paths[sample]
@@ -394,7 +414,7 @@ def _sample_units(model: PieceModel, keys: np.ndarray, units: list[list[str]], k
             ways = taken.setdefault((s, u), [])
             if not ways:
                 ways.append(p_edge[np.searchsorted(p_at, u, "left"):np.searchsorted(p_at, u, "right")].tolist())
-            way = _other_way(b.lat, int(b.root[u]), ways, b.keys[d:d + 1], sample, int(b.pos[u]))
+            way = _other_way(b.lat, int(b.root[u]), ways, b.key[u:u + 1], sample)
             ways.append(way)
             rows_at.append(np.full(len(way), u))
             rows_edge.append(np.array(way))
@@ -402,7 +422,7 @@ def _sample_units(model: PieceModel, keys: np.ndarray, units: list[list[str]], k
             rest = 1.0 - sum(math.exp(float(b.lat.logp[w].sum())) for w in ways)
             before = float(logq[b.starts[d]:u].sum())
             mass = before + math.log(rest) if rest > NOTHING_LEFT else -math.inf
-            r = uniform(b.keys[d:d + 1], sample, np.array([u - b.starts[d]]), 1 << 22)
+            r = uniform(b.key[u:u + 1], sample, 1 << 22)
             new_gumbels.append((s, u, float(_below(np.array([mass]), best[d:d + 1], r)[0])))
         at, edges = np.concatenate(rows_at), np.concatenate(rows_edge)
         order = np.argsort(at, kind="stable")
