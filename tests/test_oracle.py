@@ -8,7 +8,7 @@ import __spark_entry__ as entry
 from tests.compare import same_result
 from tests.conftest import SF_SMALL
 
-SLOW = {"overwrite_latest_partition", "stream_land_prices"}  # write-heavy; covered by scripts/oracle_check.py
+SLOW = {"overwrite_latest_partition", "stream_land_prices", "job_daily"}  # write-heavy; covered by scripts/oracle_check.py
 NAMES = sorted(k for k in entry.oracle_sql() if k not in SLOW)
 
 
