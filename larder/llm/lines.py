@@ -1,14 +1,17 @@
-"""Line de-duplication by pairwise alignment with an earlier document.
+"""Line de-duplication by pairwise alignment with earlier documents.
 
 Every line that is not blank gets a hash of its content and of how often it has
-occurred in its document so far, so a line hash is unique within a document.
-Lines of at least `min_chars` characters are the rare ones that find overlaps.
-Each hash belongs to the earliest document (smallest doc_id) that holds it, and a
-document is paired with the owners of its hashes: linear in the lines, whatever
-the number of copies, without a limit on how common a line may be.  Per pair the
-shared hashes are aligned by patience diff (longest increasing run of positions);
-aligned lines that follow each other in both documents form common blocks, and
-blocks with a rare line are deleted from the later document.
+occurred in its document so far, so a line hash is unique within a document.  One
+more hash stands for the whole document.  Hashes of at most `rare_docs` documents
+are rare and pair each of their documents with every earlier one of them, so a
+rare hash makes a bounded number of pairs.  The others pair a document with their
+owner only, the earliest document (smallest doc_id) that holds them: linear,
+whatever the number of copies.
+
+Each pair is aligned by all lines that it shares, rare or not, by patience diff
+(longest increasing run of positions); aligned lines that follow each other in
+both documents form common blocks.  A block is deleted from the later document if
+it has a line of at least `min_chars` characters.
 
 Edge cases: a null text counts as empty and stays as it is; blank lines are never
 matched and stay; rows that repeat a doc_id are one document met twice and delete
@@ -31,6 +34,8 @@ from pyspark.sql import functions as F
 from larder.llm.common import materialize
 
 MIN_CHARS = 20
+RARE_DOCS = 16
+WHOLE = -1  # position of the hash of a whole document
 BLANK = " \t\n\x0b\x0c\r"
 
 
@@ -47,35 +52,39 @@ def line_hashes(text: str) -> Iterator[tuple[int, int, str]]:
 
 
 def exploded_lines(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, pos, hash, rare): `pos` counts the lines of the document that are not blank."""
+    """(doc_id, pos, hash, size): `pos` counts the lines that are not blank, `size` their characters up to `min_chars`."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            ids, sizes, hashes, rare = [], [], [], []
+            ids, sizes, hashes, chars = [], [], [], []
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
-                found = list(line_hashes(text.as_py() or ""))
+                found = [(h, min(len(line), min_chars)) for _, h, line in line_hashes(text.as_py() or "")]
+                if found:
+                    whole = xxhash.xxh64_intdigest(np.array([h for h, _ in found], np.int64).tobytes())
+                    found.insert(0, (whole - (1 << 64) if whole >> 63 else whole, 0))
                 ids.append(doc_id)
                 sizes.append(len(found))
-                hashes += [h for _, h, _ in found]
-                rare += [len(line) >= min_chars for _, _, line in found]
+                hashes += [h for h, _ in found]
+                chars += [n for _, n in found]
             n = np.array(sizes, np.int64)
-            pos = np.arange(len(hashes)) - np.repeat(np.cumsum(n) - n, n)
+            pos = np.arange(len(hashes)) - np.repeat(np.cumsum(n) - n, n) + WHOLE
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.repeat(np.array(ids, np.int64), n)), pa.array(pos.astype(np.int32)),
-                 pa.array(hashes, pa.int64()), pa.array(rare, pa.bool_())], ["doc_id", "pos", "hash", "rare"])
+                 pa.array(hashes, pa.int64()), pa.array(chars, pa.int32())], ["doc_id", "pos", "hash", "size"])
 
     return docs.where(F.col("doc_id").isNotNull()).select(
         F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
-    ).mapInArrow(run, "doc_id long, pos int, hash long, rare boolean")
+    ).mapInArrow(run, "doc_id long, pos int, hash long, size int")
 
 
-def aligned_blocks(pairs: list[tuple[int, int, bool]]) -> list[tuple[int, int]]:
-    """Blocks (first, last position) of the later document that patience diff aligns with the owner.
+def aligned_blocks(pairs: list[tuple[int, int, int]], enough: int = 1) -> list[tuple[int, int]]:
+    """Blocks (first, last position) of the later document that patience diff aligns with an earlier one.
 
-    `pairs`: (position, position in the owner, rare) of the shared hashes of one pair of documents.
+    `pairs`: (position, position in the earlier one, weight) of the shared hashes of one pair of
+    documents; a block counts if one of its weights comes to `enough`.
     """
     pairs = sorted(pairs)
-    tails: list[int] = []  # owner positions that end the best run of each length
+    tails: list[int] = []  # earlier document's positions that end the best run of each length
     ends: list[int] = []
     back: list[int] = []
     for k, (_, theirs, _) in enumerate(pairs):
@@ -94,27 +103,36 @@ def aligned_blocks(pairs: list[tuple[int, int, bool]]) -> list[tuple[int, int]]:
     blocks, start = [], 0
     for k in range(1, len(run) + 1):
         if k == len(run) or run[k][0] != run[k - 1][0] + 1 or run[k][1] != run[k - 1][1] + 1:
-            if any(rare for *_, rare in run[start:k]):
+            if max(weight for *_, weight in run[start:k]) >= enough:
                 blocks.append((run[start][0], run[k - 1][0]))
             start = k
     return blocks
 
 
-def overlaps(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
-    """(doc_id, shared): for each later document its shared hashes as (owner, pos, owner_pos, rare, hash)."""
+def overlaps(docs: DataFrame, min_chars: int = MIN_CHARS, rare_docs: int = RARE_DOCS) -> DataFrame:
+    """(doc_id, shared): the hashes shared with each partner, an earlier document, as (owner, pos, owner_pos, weight, hash)."""
     lines = materialize(exploded_lines(docs, min_chars), "lines")
-    owned = lines.groupBy("hash").agg(
-        F.min(F.struct("doc_id", "pos")).alias("first"), F.max("doc_id").alias("last")
-    ).where("last > first.doc_id").select("hash", F.col("first.doc_id").alias("owner"),
-                                          F.col("first.pos").alias("owner_pos"))
-    shared = lines.join(owned, "hash").where("doc_id > owner")
-    return shared.groupBy("doc_id").agg(F.collect_list(F.struct("owner", "pos", "owner_pos", "rare", "hash")).alias("shared"))
-
-
-def delete_common_blocks(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFrame:
+    owned = lines.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first")
+    held = materialize(lines.join(owned.drop("last"), "hash").distinct(), "shared-lines")  # repeated rows count once
+    holders = held.select("hash", "doc_id").distinct().groupBy("hash").count()
+    rare_hashes = holders.where(F.col("count") <= rare_docs).select("hash")
+    rare = held.join(rare_hashes, "hash", "left_semi")
+    common = held.join(rare_hashes, "hash", "left_anti")
+    theirs = lambda rows: rows.select("hash", F.col("doc_id").alias("owner"), F.col("pos").alias("owner_pos"))
+    columns = ["doc_id", "owner", "pos", "owner_pos", "weight", "hash"]
+    by_rare = rare.join(theirs(rare), "hash").where("doc_id > owner").withColumnRenamed("size", "weight").select(*columns)
+    pairs = by_rare.select("doc_id", "owner").unionByName(
+        common.where("doc_id > first").select("doc_id", F.col("first").alias("owner"))).distinct()
+    by_common = common.withColumnRenamed("size", "weight").join(pairs, "doc_id").join(theirs(common), ["owner", "hash"])
+    shared = by_rare.unionByName(by_common.select(*columns)).where(F.col("pos") > WHOLE)
+    return shared.groupBy("doc_id").agg(
+        F.collect_list(F.struct("owner", "pos", "owner_pos", "weight", "hash")).alias("shared"))
+
+
+def delete_common_blocks(docs: DataFrame, min_chars: int = MIN_CHARS, rare_docs: int = RARE_DOCS) -> DataFrame:
     """`docs` without the line blocks that an earlier document has; all rows and columns are kept."""
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    found = overlaps(docs.select("doc_id", "text"), min_chars).withColumnRenamed("doc_id", "__id")
+    found = overlaps(docs.select("doc_id", "text"), min_chars, rare_docs).withColumnRenamed("doc_id", "__id")
     joined = docs.select(row.alias("__row"), F.col("doc_id").alias("__doc"), F.col("text").cast("string").alias("__text"))
     joined = joined.join(found, joined["__doc"] == found["__id"], "left").drop("__id", "__doc")
     schema = joined.select("__row", "__text").schema
@@ -124,7 +142,7 @@ def delete_common_blocks(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFra
             texts = []
             for text, shared in zip(b.column("__text"), b.column("shared"), strict=True):
                 text, shared = text.as_py(), shared.as_py()
-                texts.append(remove_blocks(text, shared) if shared else text)
+                texts.append(remove_blocks(text, shared, min_chars) if shared else text)
             yield pa.RecordBatch.from_arrays([b.column("__row"), pa.array(texts, pa.string())], ["__row", "__text"])
 
     cleaned = joined.mapInArrow(run, schema)
@@ -134,20 +152,20 @@ def delete_common_blocks(docs: DataFrame, min_chars: int = MIN_CHARS) -> DataFra
     return cleaned.select(*columns)
 
 
-def remove_blocks(text: str, shared: list[dict]) -> str:
-    """`text` without the blocks aligned with its owners."""
+def remove_blocks(text: str, shared: list[dict], min_chars: int = MIN_CHARS) -> str:
+    """`text` without the blocks aligned with its partners."""
     lines = text.split("\n")
     numbers, hashes = [], []
     for k, h, _ in line_hashes(text):
         numbers.append(k)
         hashes.append(h)
-    by_owner: dict[int, set[tuple[int, int, bool]]] = {}
+    by_owner: dict[int, set[tuple[int, int, int]]] = {}
     for s in shared:  # rows that repeat a doc_id come together here; each goes by its own lines
         if s["pos"] < len(hashes) and hashes[s["pos"]] == s["hash"]:
-            by_owner.setdefault(s["owner"], set()).add((s["pos"], s["owner_pos"], s["rare"]))
+            by_owner.setdefault(s["owner"], set()).add((s["pos"], s["owner_pos"], s["weight"]))
     gone: set[int] = set()
     for pairs in by_owner.values():
-        for first, last in aligned_blocks(list(pairs)):
+        for first, last in aligned_blocks(list(pairs), min_chars):
             gone.update(range(first, last + 1))
     dropped = {numbers[p] for p in gone}
     return "\n".join(line for k, line in enumerate(lines) if k not in dropped)

@@ -282,6 +282,33 @@ def test_each_rare_line_stays_once(spark):
         first[h] < k for _, h, _ in lines.line_hashes(t or ""))}
 
 
+def all_pairs(rows: list[tuple[int, str]]) -> dict[int, str]:
+    """Each document without the blocks that patience diff aligns with any earlier one, all lines taken as rare."""
+    out = {}
+    for k, text in rows:
+        mine, gone = list(lines.line_hashes(text)), set()
+        for e, other in rows:
+            place = {h: p for p, (_, h, _) in enumerate(lines.line_hashes(other))}
+            if e < k:
+                for a, b in lines.aligned_blocks([(p, place[h], 1) for p, (_, h, _) in enumerate(mine) if h in place]):
+                    gone.update(mine[p][0] for p in range(a, b + 1))
+        out[k] = "\n".join(x for n, x in enumerate(text.split("\n")) if n not in gone)
+    return out
+
+
+def test_line_partners_as_all_pairs(spark):
+    l1, l2 = "first line, long enough to count", "second line, long enough to count"
+    rows = [(1, f"{l1}\n{l2}"), (2, f"{l2}\n{l1}\nshort"), (3, f"{l2}\n{l1}\nshort")]
+    r, pool = random.Random(7), [prose(k, 9) for k in range(100, 130)]
+    rows += [(k, "\n".join(r.sample(pool, 8))) for k in range(4, 16)]
+    rows += [(k, "\n".join(rows[k % 5 + 6][1].split("\n")[:6] + [f"own line of {k}"])) for k in range(16, 22)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {r["doc_id"]: r["text"] for r in lines.delete_common_blocks(docs, rare_docs=30).collect()}
+    assert got == all_pairs(rows) and got[3] == ""
+    few = {r["doc_id"]: r["text"] for r in lines.delete_common_blocks(docs, rare_docs=1).collect()}  # by owners alone
+    assert few[3] == "" and all(set(got[k].split("\n")) <= set(few[k].split("\n")) | {""} for k in got)
+
+
 # ---------------------------------------------------------------- 6 repeated strings
 
 def brute_repeats(rows: list[tuple[int, str]], w: int = 100) -> dict[int, tuple]:
