@@ -11,7 +11,7 @@ whatever the number of copies.
 Each pair is aligned by all lines that it shares, rare or not, by patience diff
 (longest increasing run of positions); aligned lines that follow each other in
 both documents form common blocks.  A block is deleted from the later document if
-it has a line of at least `min_chars` characters.
+it has a rare line, of whatever length, or at least `min_chars` characters in all.
 
 Edge cases: a null text counts as empty and stays as it is; blank lines are never
 matched and stay; rows that repeat a doc_id are one document met twice and delete
@@ -81,7 +81,7 @@ def aligned_blocks(pairs: list[tuple[int, int, int]], enough: int = 1) -> list[t
     """Blocks (first, last position) of the later document that patience diff aligns with an earlier one.
 
     `pairs`: (position, position in the earlier one, weight) of the shared hashes of one pair of
-    documents; a block counts if one of its weights comes to `enough`.
+    documents; a block counts if its weights add up to `enough`.
     """
     pairs = sorted(pairs)
     tails: list[int] = []  # earlier document's positions that end the best run of each length
@@ -103,7 +103,7 @@ def aligned_blocks(pairs: list[tuple[int, int, int]], enough: int = 1) -> list[t
     blocks, start = [], 0
     for k in range(1, len(run) + 1):
         if k == len(run) or run[k][0] != run[k - 1][0] + 1 or run[k][1] != run[k - 1][1] + 1:
-            if max(weight for *_, weight in run[start:k]) >= enough:
+            if sum(weight for *_, weight in run[start:k]) >= enough:
                 blocks.append((run[start][0], run[k - 1][0]))
             start = k
     return blocks
@@ -120,7 +120,7 @@ def overlaps(docs: DataFrame, min_chars: int = MIN_CHARS, rare_docs: int = RARE_
     common = held.join(rare_hashes, "hash", "left_anti")
     theirs = lambda rows: rows.select("hash", F.col("doc_id").alias("owner"), F.col("pos").alias("owner_pos"))
     columns = ["doc_id", "owner", "pos", "owner_pos", "weight", "hash"]
-    by_rare = rare.join(theirs(rare), "hash").where("doc_id > owner").withColumnRenamed("size", "weight").select(*columns)
+    by_rare = rare.join(theirs(rare), "hash").where("doc_id > owner").withColumn("weight", F.lit(min_chars)).select(*columns)
     pairs = by_rare.select("doc_id", "owner").unionByName(
         common.where("doc_id > first").select("doc_id", F.col("first").alias("owner"))).distinct()
     by_common = common.withColumnRenamed("size", "weight").join(pairs, "doc_id").join(theirs(common), ["owner", "hash"])

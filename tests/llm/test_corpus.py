@@ -309,6 +309,15 @@ def test_line_partners_as_all_pairs(spark):
     assert few[3] == "" and all(set(got[k].split("\n")) <= set(few[k].split("\n")) | {""} for k in got)
 
 
+def test_short_lines_are_evidence(spark):
+    verse = "\n".join(f"verse {k}" for k in range(6))
+    rows = [(k, verse) for k in range(1, 4)] + [(4, "other\nverse 0\nend"), (5, "verse 3\nlone")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    kept = lambda n: {r["doc_id"]: r["text"] for r in lines.delete_common_blocks(docs, rare_docs=n).collect()}
+    assert kept(16) == {1: verse, 2: "", 3: "", 4: "other\nend", 5: "lone"}
+    assert kept(1) == {1: verse, 2: "", 3: "", 4: "other\nverse 0\nend", 5: "verse 3\nlone"}  # common: a run counts, one does not
+
+
 # ---------------------------------------------------------------- 6 repeated strings
 
 def brute_repeats(rows: list[tuple[int, str]], w: int = 100) -> dict[int, tuple]:
