@@ -51,8 +51,8 @@ BOILER_NAMES = re.compile(
 GOOD_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|body|text|page)(?:$|[\s_-])")
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
                    r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
-NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-HIDDEN = re.compile(r"\bhidden\b(?!\s*=\s*[\"']?until)|aria-hidden\s*=\s*[\"']?true|display\s*:\s*none", re.I)
+ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
+NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 DIGITS = re.compile(r"\d+")
 
 
@@ -64,6 +64,19 @@ def _words(names: str) -> str:
     return f" {STATES.sub(' ', CAMEL.sub('-', names).lower())} " if names else ""
 
 
+def _attributes(raw: str) -> dict[str, str]:
+    """Values by lower-case name; of a repeated name the first one counts."""
+    found: dict[str, str] = {}
+    for name, x, y, z in ATTRIBUTE.findall(raw):
+        found.setdefault(name.lower(), x or y or z)
+    return found
+
+
+def _hidden(found: dict[str, str]) -> bool:
+    return (found.get("hidden", "until-found").strip().lower() != "until-found"
+            or found.get("aria-hidden", "").strip().lower() == "true" or bool(NO_DISPLAY.search(found.get("style", ""))))
+
+
 class Node:
     __slots__ = ("tag", "path", "parent", "boiler", "good", "text", "links", "order")
 
@@ -169,8 +182,9 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
                 if open_[k][0] in CLOSES[tag]:
                     close(k)
         attributes = m.group(3)
-        names = " ".join(x or y or z for x, y, z in NAMED.findall(attributes)) if "=" in attributes else ""
-        hidden = bool(attributes and HIDDEN.search(attributes))
+        found = _attributes(attributes) if attributes else {}
+        names = " ".join(v for k, v in found.items() if v and k in ("class", "id", "role"))
+        hidden = bool(found) and _hidden(found)
         if tag in INLINE and not hidden and not (names and BOILER_NAMES.search(_words(names))):
             links += tag == "a"
             open_.append((tag, here))

@@ -210,6 +210,15 @@ def test_host_path_wins_over_a_page():
     assert html.extract(odd, path)[0] == "short" and "much longer" in html.extract(odd)[0]
 
 
+def test_hidden_is_an_attribute():
+    text = "Some words of an article, enough of them."
+    for how in ('style="overflow:hidden"', 'class="overflow-hidden"', 'aria-hidden="false"', 'hidden="until-found"', "data-x='hidden'"):
+        assert html.extract(f"<body><div {how}><article><p>{text}</p></article></div></body>")[0] == text, how
+    for how in ("hidden", 'HIDDEN=""', "class=a hidden", "aria-hidden=true", "style='color:red; display : none'"):
+        assert html.extract(f"<body><div><p>{text}</p><p {how}>gone</p></div></body>")[0] == text, how
+    assert html.extract("<body><div><p>See <a href='/hidden-gems'>gems</a> for more of the same.</p></div>")[0] == "See gems for more of the same."
+
+
 # ---------------------------------------------------------------- 4 sampling
 
 def test_sampling_has_the_right_distribution():
