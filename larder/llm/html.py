@@ -7,12 +7,16 @@ digits removed.  Spark adds the votes up per host and path, and each page is the
 extracted again from the containers on its host's winning path; a page without
 such a container uses its own best one.
 
-Inside the chosen container, menus, headers, footers, sidebars, notices, adverts,
-forms, scripts, styles and comments are left out.  White space inside a block
-becomes one space, blocks are joined by a line feed.
+Menus, headers, footers, forms, scripts, styles and whatever is hidden are left out
+by their tags and attributes.  A class, id or role that says sidebar, notice,
+advert, comments and the like only makes text count less: each such container
+scores `FAINT` of its text, unless that is in an article or main element of its
+own, so it wins where it wraps the page.  Below the chosen container such
+containers are left out, but for those that still outweigh all else in it.  White
+space inside a block becomes one space, blocks are joined by a line feed.
 
 Edge cases: a null or empty html, and a page without any text outside
-boilerplate, have an empty text; a page without a host (null or odd url) votes in
+boilerplate tags, have an empty text; a page without a host (null or odd url) votes in
 the group of the empty host; repeated rows vote repeatedly; unclosed and
 unopened tags end where their parent ends or are ignored; a page that ends
 inside a tag, comment or script is read up to there.
@@ -54,6 +58,7 @@ TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 DIGITS = re.compile(r"\d+")
+FAINT = 0.25  # what text counts for in a container named as boilerplate
 
 
 STATES = re.compile(r"(?<![\w-])(?:has|with|without|no|not|is)-[\w-]+")  # of a wrapper: it names what is beside it
@@ -78,7 +83,7 @@ def _hidden(found: dict[str, str]) -> bool:
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "boiler", "good", "text", "links", "order")
+    __slots__ = ("tag", "path", "parent", "boiler", "named", "clears", "weight", "good", "text", "links", "order")
 
     def __init__(self, tag: str, names: str, parent: Node | None, hidden: bool, order: int):
         self.tag, self.parent, self.order = tag, parent, order
@@ -88,7 +93,13 @@ class Node:
         body = tag in ("html", "body", "main", "article")
         article_head = tag == "header" and parent is not None and _inside(parent, "article")
         self.boiler = (parent is not None and parent.boiler) or (not body and not article_head and (
-            tag in BOILER_TAGS or hidden or bool(names and BOILER_NAMES.search(said))))
+            tag in BOILER_TAGS or hidden))
+        matched = bool(names and BOILER_NAMES.search(said))
+        self.named = matched and not body and not article_head
+        # an article inside another one may be a reader's comment
+        self.clears = tag in ("article", "main") and not matched and not _inside(parent, "article") and not _inside(parent, "main")
+        weight = parent.weight if parent is not None else 1.0
+        self.weight = 1.0 if self.clears else weight * FAINT if self.named else weight
         self.good = tag in ("article", "main") or bool(names and GOOD_NAMES.search(said))
         self.text = self.links = 0
 
@@ -102,7 +113,7 @@ def _inside(node: Node | None, tag: str) -> bool:
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
-    """All containers, and the blocks (container, text) in page order; boilerplate gives no blocks."""
+    """All containers, and the blocks (container, text) in page order; boilerplate tags and hidden ones give no blocks."""
     top = Node("", "", None, False, 0)
     nodes, blocks, parts = [top], [], []
     open_: list[tuple[str, Node]] = []  # every open tag with its container
@@ -213,13 +224,13 @@ def best_container(nodes: list[Node]) -> tuple[Node | None, float]:
     """The container whose text, less links, is worth most; what lies deeper counts less for an ancestor."""
     score: dict[int, float] = {}
     for n in nodes:
-        worth = max(0.0, n.text - 2.0 * n.links)
+        worth = n.weight * max(0.0, n.text - 2.0 * n.links)
         share, up = 1.0, n
         while worth and up is not None:
             if up.tag not in LEAF and up.tag not in ("", "html"):
                 score[up.order] = score.get(up.order, 0.0) + worth * share * (1.25 if up.good else 1.0)
                 share *= 0.8
-            up = up.parent
+            up = up.parent if not up.named else None  # what is named as boilerplate is no merit of its surroundings
     if not score:
         return None, 0.0
     k = max(score, key=lambda k: (score[k], -k))
@@ -231,22 +242,41 @@ def extract(page: str, path: str | None = None) -> tuple[str, str | None, float]
     nodes, blocks = parse(page)
     best, score = best_container(nodes)
     chosen = [n for n in nodes if n.path == path and not n.boiler] if path else []
-    if not any(n.text for n in nodes if _under(n, chosen)):
-        chosen = [best] if best is not None else []
-    if chosen:
-        texts = [t for n, t in blocks if _under(n, chosen)]
-    else:
-        texts = [t for _, t in blocks]
+    texts = _texts_under(nodes, blocks, chosen)
+    if not texts:
+        texts = _texts_under(nodes, blocks, [best if best is not None else nodes[0]])
     return "\n".join(texts), best.path if best is not None else None, score
 
 
-def _under(node: Node | None, chosen: list[Node]) -> bool:
-    orders = {c.order for c in chosen}
-    while node is not None:
-        if node.order in orders:
-            return True
-        node = node.parent
-    return False
+def _texts_under(nodes: list[Node], blocks: list[tuple[Node, str]], chosen: list[Node]) -> list[str]:
+    """Texts of the blocks in the chosen containers, less the containers below that are named as boilerplate.
+
+    Such a container stays if what it counts for is more than all that stands beside it.
+    """
+    roots = {n.order for n in chosen}
+    zone: list[int | None] = []  # of each node: the innermost container named as boilerplate, -1 for none below the chosen
+    up, worth, factor = {}, {-1: 0.0}, {}
+    for n in nodes:  # parents come first
+        z = zone[n.parent.order] if n.parent is not None else None
+        if n.order in roots:
+            z = -1 if z is None else z
+        elif z is not None and n.named:
+            up[n.order], worth[n.order], factor[n.order] = z, 0.0, FAINT
+            z = n.order
+        if z is not None:
+            worth[z] += max(0.0, n.text - 2.0 * n.links)
+            if n.clears and z in factor:
+                factor[z] = 1.0
+        zone.append(z)
+    total = dict(worth)
+    for z in reversed(up):
+        total[z] *= factor[z]
+        total[up[z]] += total[z] if up[z] != -1 else 0.0
+    stays = {-1}
+    for z, above in up.items():
+        if above in stays and total[z] > worth[above]:
+            stays.add(z)
+    return [t for n, t in blocks if zone[n.order] in stays]
 
 
 HOST_ROWS = 20_000  # up to so many hosts are broadcast; more are joined by a shuffle

@@ -219,6 +219,20 @@ def test_hidden_is_an_attribute():
     assert html.extract("<body><div><p>See <a href='/hidden-gems'>gems</a> for more of the same.</p></div>")[0] == "See gems for more of the same."
 
 
+def test_wrappers_named_as_boilerplate():
+    text = "Some words of an article, quite enough of them to be the longest here."
+    side = "<p>Tagline</p><div class='sidebar'><p>Other posts</p></div>"
+    for how in ("class='content-sidebar-wrap'", "class='page-with-sidebar'", "class='layout-sidebar-right'", "id='search-results'"):
+        for inner in (f"<article><p>{text}</p></article>", f"<div class='a'><p>{text}</p></div>", f"<p>{text}</p>"):
+            assert html.extract(f"<body><p>Site</p><div {how}>{inner}{side if '<p>T' not in inner else ''}</div></body>")[0].split("\n")[0] == text, how
+            assert "Other posts" not in html.extract(f"<body><div {how}>{inner}{side}</div></body>")[0]
+    page = f"<body><div class='site'><p>A short line of the site.</p><div class='with-x sidebar-layout'><article><p>{text}</p></article></div></div></body>"
+    assert text in html.extract(page, "html>body>div.site")[0] and text in html.extract(page, "body>div.site")[0]
+    long = "a reader says much. " * 12  # more than the article: it stays out
+    page = f"<body><article><p>{text}</p><section id='comments'><article><p>{long}</p></article></section></article></body>"
+    assert html.extract(page)[0] == text
+
+
 # ---------------------------------------------------------------- 4 sampling
 
 def test_sampling_has_the_right_distribution():
