@@ -172,11 +172,11 @@ def remove_blocks(text: str, shared: list[dict], min_chars: int = MIN_CHARS) ->
 
 
 def op5_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, n_lines and n_deleted (lines that are not blank), kept_crc32 (of the text that stays) per document."""
+    """doc_id, n_lines and n_deleted (lines that are not blank), the text that stays, its n_chars and kept_crc32 per document."""
     texts = docs.select("doc_id", "text", F.col("text").alias("before"))
     count = lambda c: F.size(F.filter(F.split(F.coalesce(c, F.lit("")), "\n"), lambda x: x.rlike(r"\S")))
     cleaned = delete_common_blocks(texts)
-    return cleaned.select("doc_id", count(F.col("before")).alias("n_lines"),
+    return cleaned.select("doc_id", "text", count(F.col("before")).alias("n_lines"),
                           (count(F.col("before")) - count(F.col("text"))).alias("n_deleted"),
                           F.char_length(F.coalesce("text", F.lit(""))).cast("long").alias("n_chars"),
                           F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("kept_crc32"))

@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from larder.llm.common import release_memory
 
-K, ALPHA, SEED = 2, 1.0, 42
+K, ALPHA, SEED = 4, 1.0, 42
 MARK = "▁"
 UNIT = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 CHUNK_UNITS = 300_000  # units sampled in one go
@@ -437,13 +437,17 @@ _models: dict[tuple[str, float], PieceModel] = {}
 
 
 def sample_segmentations(docs: DataFrame, vocabulary: str | None = None, k: int = K, alpha: float = ALPHA,
-                         seed: int = SEED, keep_ids: bool = True) -> DataFrame:
-    """Up to k rows per row of `docs` (doc_id, text): the sampled ids (little-endian unsigned 32-bit) and scores."""
+                         seed: int = SEED, decode: bool = False) -> DataFrame:
+    """Up to k rows per row of `docs` (doc_id, text): the sampled ids (little-endian unsigned 32-bit) and scores.
+
+    With `decode`, also `decoded`: the text of the ids, by the vocabulary's own decoder.
+    """
     path = vocabulary or default_vocabulary()
     schema = ("doc_id long, sample int, n_ids long, ids_crc32 long, log_prob double, perturbed double, "
-              "inclusion double, ids binary")
+              "inclusion double, ids binary" + (", decoded string" if decode else ""))
     names = [f.split()[0] for f in schema.split(", ")]
-    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.binary())
+    types = (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.float64(), pa.float64(), pa.float64(), pa.binary(),
+             *[pa.string()] * decode)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         if (path, alpha) not in _models:
@@ -456,7 +460,8 @@ def sample_segmentations(docs: DataFrame, vocabulary: str | None = None, k: int
                                                  strict=True):
                 for n, (raw, logp, g) in enumerate(samples):
                     share = -math.expm1(-math.exp(min(700.0, logp - kappa))) if kappa > -math.inf else 1.0
-                    rows.append((doc_id, n, len(raw) // 4, zlib.crc32(raw), logp, g, share, raw if keep_ids else None))
+                    rows.append((doc_id, n, len(raw) // 4, zlib.crc32(raw), logp, g, share, raw,
+                                 *[model.decode(np.frombuffer(raw, "<u4").tolist())] * decode))
             cols = list(zip(*rows, strict=True)) or [[]] * len(types)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 
@@ -496,4 +501,5 @@ def decode_ids(rows: DataFrame, vocabulary: str | None = None) -> DataFrame:
 
 
 def op4_sampling(docs: DataFrame) -> DataFrame:
-    return sample_segmentations(docs.select("doc_id", "text"), keep_ids=False).drop("ids")
+    """K sampled segmentations of every document: their ids and scores, and the text decoded from the ids."""
+    return sample_segmentations(docs.select("doc_id", "text"), decode=True)

@@ -6,6 +6,7 @@ import collections
 import hashlib
 import math
 import random
+import zlib
 
 import numpy as np
 import pandas as pd
@@ -269,6 +270,16 @@ def test_sampling_round_trip(spark, odd, none):
     assert sampling.op4_sampling(none).count() == 0
 
 
+def test_sampling_query_returns_ids_and_texts(spark, odd):
+    texts = {r[0]: r[1] for r in odd_rows() if r[0] not in (None, 8)}
+    rows = [r for r in sampling.op4_sampling(odd).collect() if r["doc_id"] in texts]
+    assert {r["doc_id"] for r in rows} == set(texts) and max(r["sample"] for r in rows) == sampling.K - 1 >= 3
+    assert all(r["decoded"] == (texts[r["doc_id"]] or "") and len(r["ids"]) == 4 * r["n_ids"]
+               and zlib.crc32(r["ids"]) == r["ids_crc32"] for r in rows)
+    kept = {r["doc_id"]: r["text"] for r in lines.op5_lines(odd).where("doc_id in (4, 9)").collect()}
+    assert kept == {4: "", 9: "new last line of this document here"}
+
+
 # ---------------------------------------------------------------- 5 lines
 
 def test_aligned_blocks():
