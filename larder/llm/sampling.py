@@ -20,7 +20,8 @@ depend on batches, partitions or retries.
 
 A unigram model gives log probabilities itself.  The scores of a BPE model are
 merge ranks; pieces then have probabilities by Zipf's law over their ranks.
-Characters without a piece become byte pieces.
+Pieces of marks alone have their place too, after the others if their score is
+-1e9.  Characters without a piece become byte pieces.
 
 Edge cases: a null or empty text has one segmentation, the empty one; with fewer
 than k segmentations all are emitted (kappa is then minus infinity and the
@@ -84,14 +85,18 @@ class PieceModel:
         self.processor = sp = SentencePieceProcessor(model_file=path)
         n = sp.get_piece_size()
         self.bytes = {int(sp.id_to_piece(i)[1:-1], 16): i for i in range(n) if sp.is_byte(i)}
+        marks = {i for i in range(n) if not sp.id_to_piece(i).strip(MARK)}  # runs of marks: they stay inside a unit
         usable = [i for i in range(n) if not (sp.is_byte(i) or sp.is_control(i) or sp.is_unknown(i) or sp.is_unused(i))
-                  and (sp.get_score(i) > -1e8 or len(sp.id_to_piece(i)) == 1) and MARK not in sp.id_to_piece(i)[1:]]
+                  and (sp.get_score(i) > -1e8 or len(sp.id_to_piece(i)) == 1 or i in marks)
+                  and (MARK not in sp.id_to_piece(i)[1:] or i in marks)]
         scores = np.array([sp.get_score(i) for i in usable])
         if len(scores) and (scores == np.round(scores)).all() and scores.min() < -1000:  # ranks
             order = np.empty(len(scores))
             order[np.argsort(-scores, kind="stable")] = np.arange(len(scores))
             scores = -np.log(order + 2.7)
             scores -= np.log(np.exp(scores).sum())
+        elif (scores > -1e8).any():  # -1e9 is no log probability
+            scores = np.maximum(scores, scores[scores > -1e8].min())
         self.byte_score = alpha * float(scores.min() if len(scores) else 0.0)
         text = {sp.id_to_piece(i): (i, alpha * s) for i, s in zip(usable, scores.tolist(), strict=True)}
         self.single = {t for t in text if len(t) == 1}

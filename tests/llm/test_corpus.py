@@ -280,6 +280,16 @@ def test_sampling_query_returns_ids_and_texts(spark, odd):
     assert kept == {4: "", 9: "new last line of this document here"}
 
 
+def test_runs_of_spaces_have_their_pieces():
+    model = sampling.PieceModel(sampling.default_vocabulary())
+    sp, text = model.processor, "x    y"
+    own = np.array(sp.encode(text), "<u4").tobytes()
+    runs = [i for i in range(sp.get_piece_size()) if len(sp.id_to_piece(i)) > 1 and not sp.id_to_piece(i).strip(sampling.MARK)]
+    assert runs and set(runs) <= set(model.ids.tolist()) and set(sp.encode(text)) & set(runs)
+    *found, _ = sampling.sample_batch(model, np.array([5], np.uint64), [text], 500)[0]
+    assert own in {f[0] for f in found} and all(sp.decode(np.frombuffer(f[0], "<u4").tolist()) == text for f in found)
+
+
 # ---------------------------------------------------------------- 5 lines
 
 def test_aligned_blocks():
