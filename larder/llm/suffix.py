@@ -17,6 +17,9 @@ in a document of smaller doc_id, or at an earlier place of the same document.
    neighbours share `WINDOW` bytes are equal, and all but the earliest are repeats.
    A gram that goes on over several shards is merged by binary search of a
    shard's windows in the sorted windows of the shards before it.
+   A gram of more than `HOT_SEGMENTS` undecided segments is not sharded: its
+   windows meet one by one by a 128-bit hash, the earliest of each found by
+   partial minima, so its work goes to many tasks and none holds its windows.
 4. The repeats of each document are joined back to its text.
 
 Texts travel compressed.  Edge cases: a null text is empty; texts shorter than a
@@ -42,6 +45,7 @@ from larder.llm.common import materialize, release_memory
 from larder.llm.minimizers import WINDOW, blocks_of, runs_of
 
 BATCH_BYTES, SHARD_BYTES = 2 << 20, 1 << 20
+HOT_SEGMENTS = 1000
 CHAIN = 128  # positions after which Kasai's chain is begun anew, so that capped values stay exact
 
 
@@ -262,9 +266,9 @@ def _marks(runs: DataFrame) -> DataFrame:
 
 
 def _segments(docs: DataFrame, marks: DataFrame) -> DataFrame:
-    """(gram, doc, th, start, bytes) of the undecided runs."""
+    """(gram, doc, th, start, bytes, window) of the undecided runs; those of a `hot` gram as a hash per window."""
     wanted = marks.where("gram is not null").groupBy("doc", "th").agg(
-        F.collect_list(F.struct("gram", "start", "span")).alias("wanted"))
+        F.collect_list(F.struct("gram", "start", "span", "hot")).alias("wanted"))
     packed = _packed(docs.where(F.col("doc_id").isNotNull()).select("doc_id", "text")).drop("__row")
     joined = wanted.join(packed,
                          (F.col("doc") == F.col("__doc")) & (F.col("th") == F.col("__th")))
@@ -276,15 +280,20 @@ def _segments(docs: DataFrame, marks: DataFrame) -> DataFrame:
             for doc, th, z, wanted in zip(b.column("doc").to_pylist(), b.column("th").to_pylist(), b.column("__z"),
                                           b.column("wanted"), strict=True):
                 raw = press.decompress(z.as_py())
-                out += [(w["gram"], doc, th, w["start"], raw[w["start"]:w["start"] + w["span"] + WINDOW])
-                        for w in wanted.as_py()]
-            cols = list(zip(*out, strict=True)) or [[]] * 5
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary())
+                for w in wanted.as_py():
+                    at, end = w["start"], w["start"] + w["span"]
+                    if w["hot"]:
+                        out += [(w["gram"], doc, th, k, None, xxhash.xxh3_128_digest(raw[k:k + WINDOW]))
+                                for k in range(at, end + 1)]
+                    else:
+                        out.append((w["gram"], doc, th, at, raw[at:end + WINDOW], None))
+            cols = list(zip(*out, strict=True)) or [[]] * 6
+            types = (pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary())
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)],
-                                             ["gram", "doc", "th", "start", "bytes"])
+                                             ["gram", "doc", "th", "start", "bytes", "window"])
 
     return joined.select("doc", "th", "__z", "wanted").mapInArrow(
-        run, "gram long, doc long, th long, start int, bytes binary")
+        run, "gram long, doc long, th long, start int, bytes binary, window binary")
 
 
 def _shard_repeats(segments: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataFrame:
@@ -351,13 +360,29 @@ def _shard_repeats(segments: DataFrame, shard_bytes: int = SHARD_BYTES) -> DataF
         run, "doc long, th long, start int, span int")
 
 
+def _window_repeats(windows: DataFrame) -> DataFrame:
+    """(doc, th, start, span) of the windows that equal an earlier one, for (doc, th, start, window)."""
+    place = F.struct("doc", "th", "start")
+    firsts = materialize(windows.groupBy("window").agg(F.min(place).alias("first"), F.max(place).alias("last"))
+                         .where("first < last").drop("last"), "first-windows")
+    return windows.join(firsts, "window").where(place > F.col("first")).select("doc", "th", "start", F.lit(0).alias("span"))
+
+
 def repeats(docs: DataFrame) -> DataFrame:
     """(doc, th, runs): per document (doc_id, hash of its text) the runs (start, span) of repeated windows."""
     spark = docs.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     runs = _runs(docs, 4 * parts).repartition(parts, "bucket").sortWithinPartitions("bucket")
     marks = materialize(_marks(runs), "marks")
-    found = _shard_repeats(_segments(docs, marks))
+    hot = materialize(marks.where("gram is not null").groupBy("gram").count().where(F.col("count") > HOT_SEGMENTS)
+                      .select("gram", F.lit(True).alias("hot")), "hot-grams")
+    segments = _segments(docs, marks.join(hot, "gram", "left"))
+    if hot.isEmpty():
+        found = _shard_repeats(segments)
+    else:
+        segments = materialize(segments, "segments")
+        found = _shard_repeats(segments.where("window is null")).unionByName(
+            _window_repeats(segments.where("window is not null").select("doc", "th", "start", "window")))
     both = marks.where("gram is null").select("doc", "th", "start", "span").unionByName(found)
     return both.groupBy("doc", "th").agg(F.collect_list(F.struct("start", "span")).alias("runs"))
 

@@ -424,6 +424,33 @@ def test_repeats_as_brute_force(spark, monkeypatch, shard):
     assert got == brute_repeats(rows)
 
 
+def test_hot_grams_go_by_windows(spark, monkeypatch):
+    r = random.Random(3)
+    letters = lambda n: "".join(r.choice("abcdefgh") for _ in range(n))
+    common, ends = letters(50), [letters(60) for _ in range(4)]
+    rows = [(k, letters(40 + k % 7) + r.choice(ends) + common + r.choice(ends) + letters(30)) for k in range(40)]
+    rows += [(k, letters(60) + common + letters(60)) for k in range(40, 60)]
+    docs, calls, sharded = spark.createDataFrame(rows, "doc_id long, text string").repartition(5), [], []
+    by_windows, by_shards = suffix._window_repeats, suffix._shard_repeats
+    monkeypatch.setattr(suffix, "HOT_SEGMENTS", 10)
+    monkeypatch.setattr(suffix, "_window_repeats", lambda w: calls.append(w.count()) or by_windows(w))
+    monkeypatch.setattr(suffix, "_shard_repeats", lambda s: sharded.append(
+        s.groupBy("gram").count().agg(F.max("count")).first()[0] or 0) or by_shards(s))
+    got = {x["doc_id"]: (x["n_removed"], x["kept_sha256"]) for x in suffix.op6_suffix(docs).collect()}
+    gone = 0
+    seen: set[str] = set()
+    for k, text in rows:
+        cover = [False] * len(text)
+        for a in range(len(text) - 99):
+            if text[a:a + 100] in seen:
+                cover[a:a + 100] = [True] * 100
+            seen.add(text[a:a + 100])
+        kept = "".join(c for c, x in zip(text, cover, strict=True) if not x)
+        assert got[k] == (sum(cover), hashlib.sha256(kept.encode()).hexdigest())
+        gone += sum(cover)
+    assert gone and calls[0] > 0 and sharded[0] <= 10  # no task gets a gram of more segments
+
+
 def test_repeats_of_odd_rows(spark, odd, none):
     rows = [(r[0], r[1] or "") for r in odd_rows() if r[0] is not None and r[0] != 8]
     want = brute_repeats(list(dict(rows).items()))
