@@ -6,7 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from larder.llm import embeddings, html, lines, neighbours, packing, quality, sampling, simhash, suffix, warc
+from larder.llm import (
+    embeddings, html, lines, neighbours, online_packing, packing, quality, ranked, sampling, simhash, suffix, warc, whitening,
+)
 from larder.llm.common import read
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
@@ -20,6 +22,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_neighbours": lambda s, d: neighbours.op8_neighbours(read(s, d, "embeddings")),
     "op9_quality": lambda s, d: quality.quality_scores(read(s, d, "documents"), read(s, d, "labels")),
     "op10_warc": lambda s, d: warc.op10_warc(read(s, d, "pages")),
+    "op11_whitening": lambda s, d: whitening.op11_whitening(read(s, d, "embeddings")),
+    "op12_search": lambda s, d: ranked.op12_search(read(s, d, "documents"), read(s, d, "benchmark")),
+    "op13_windows": lambda s, d: online_packing.op13_windows(read(s, d, "documents")),
 }
 
-ORACLES: dict[str, str] = {"op10_warc": warc.OP10_SQL}
+ORACLES: dict[str, str] = {"op10_warc": warc.OP10_SQL, "op12_search": ranked.OP12_SQL}
