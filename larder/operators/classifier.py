@@ -1,4 +1,4 @@
-"""Buy-now classifier: thresholds, exact binary metrics, MLlib training and scoring.
+"""Buy-now classifier: thresholds, exact binary metrics, training and scoring.
 
 Metrics are ratios of integer counts (precision, recall, F1, and AUC by the
 Mann-Whitney rank sum with average ranks for ties), so they are computed as
@@ -13,8 +13,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.operators import boosting
 from larder.operators import features as fe
 from larder.operators.marts import latest_snapshot
+from larder.session import store
 
 # Decision thresholds and model constants.
 BUY_NOW_THRESHOLD = 0.6
@@ -79,46 +81,42 @@ def training_frame(history: DataFrame, lookback_days: int = 90, as_of=None) -> D
     return fe.build_labels(fe.calendar_features(recent))
 
 
-def train_classifier(history: DataFrame, lookback_days: int = 90, as_of=None, split: str = "positional",
-                     max_iter: int = 200, max_depth: int = 4, step_size: float = 0.05, seed: int = 7):
-    """M5: weighted gradient-boosted trees (200 trees, depth 4, rate 0.05).
+def split_frame(history: DataFrame, lookback_days: int = 90, as_of=None, split: str = "positional") -> DataFrame:
+    """The training frame with its split and its features as doubles, written once.
 
-    Returns (model, metrics DataFrame).  `split="positional"` reproduces the
-    ordered 80/20 split; `split="time"` holds out the latest 20 % of dates.
-    Empty input returns (None, None).
+    `split="positional"` is the ordered 80/20 split; `split="time"` holds out the latest 20 % of dates.
     """
-    from pyspark.ml.classification import GBTClassifier
-
     data = training_frame(history, lookback_days, as_of)
-    if data.isEmpty():
-        return None, None
     if split == "positional":
-        data = fe.ordered_split(data)
-    elif split == "time":
-        cut = data.select(F.percentile_approx("price_date", 0.8)).scalar()
-        data = data.withColumn("split", F.when(F.col("price_date") > cut, "test").otherwise("train"))
-    else:
+        return fe.feature_matrix(fe.ordered_split(data))
+    if split != "time":
         raise ValueError(f"unknown split {split!r}")
-    data = fe.assemble(data)
+    data = store(data, "labelled")
+    cut = data.select(F.percentile_approx("price_date", 0.8)).scalar()
+    return fe.feature_matrix(data.withColumn("split", F.when(F.col("price_date") > cut, "test").otherwise("train")))
+
+
+def train_classifier(history: DataFrame, lookback_days: int = 90, as_of=None, split: str = "positional",
+                     rounds: int = 200, depth: int = 4, rate: float = 0.05, patience: int | None = 10):
+    """M5: weighted second-order boosted trees (up to 200 of depth 4 at rate 0.05), positives weighted by the class ratio.
+
+    Returns (model, metrics DataFrame).  Empty input returns (None, None).  `history` is read by
+    the labels' windows only; what follows reads the stored frame, and the trees its cells.
+    """
+    data = split_frame(history, lookback_days, as_of, split)
     train = data.filter(F.col("split") == "train")
-    pos_weight = fe.class_balance(train).select("scale_pos_weight").scalar()
-    weighted = train.withColumn("weight", F.when(F.col("label") == 1, pos_weight).otherwise(F.lit(1.0)))
-    gbt = GBTClassifier(featuresCol="features", labelCol="label", weightCol="weight", maxIter=max_iter,
-                        maxDepth=max_depth, stepSize=step_size, seed=seed)
-    model = gbt.fit(weighted)
-    test = score(model, data.filter(F.col("split") == "test"))
+    weight = fe.class_balance(train).first()
+    if weight["negatives"] is None:
+        return None, None
+    model = boosting.fit_boosted_trees(data, fe.FEATURE_COLS, "label", F.col("split") == "test", rounds, depth, rate,
+                                       positive_weight=weight["scale_pos_weight"], patience=patience)
+    test = store(score(model, data.filter(F.col("split") == "test")).select("buy_now_probability", "label"), "scored")
     return model, binary_metrics(test, "buy_now_probability", "label", 0.5)
 
 
 def score(model, df: DataFrame) -> DataFrame:
-    """Probability of the positive class as a column (vector_to_array(probability)[1])."""
-    from pyspark.ml.functions import vector_to_array
-
-    if "features" not in df.columns:
-        df = fe.assemble(df)
-    out = model.transform(df)
-    return out.withColumn("buy_now_probability", vector_to_array("probability")[1]).drop(
-        "rawPrediction", "probability", "prediction")
+    """Probability of the positive class as a column."""
+    return df.withColumn("buy_now_probability", model.probability())
 
 
 def buy_signals(history: DataFrame, model, forecasts: DataFrame | None = None) -> DataFrame:
@@ -135,15 +133,15 @@ def buy_signals(history: DataFrame, model, forecasts: DataFrame | None = None) -
 
 
 def attach_forecasts(signals: DataFrame, forecasts: DataFrame | None) -> DataFrame:
-    """Left join of (item, store) forecasts; missing series give NULL predictions."""
+    """Left join of (item, store) forecasts, with the bounds of the nearer one if they have them;
+    missing series give NULL predictions."""
     if forecasts is None:
         return signals.withColumns({
             "predicted_price_7d": F.lit(None).cast("decimal(10,2)"),
             "predicted_price_14d": F.lit(None).cast("decimal(10,2)"),
         })
-    f = forecasts.select(
-        "item_id", "store_id",
-        F.col("yhat_7").cast("decimal(10,2)").alias("predicted_price_7d"),
-        F.col("yhat_14").cast("decimal(10,2)").alias("predicted_price_14d"),
-    )
+    names = {"yhat_7": "predicted_price_7d", "yhat_14": "predicted_price_14d",
+             "yhat_lower": "confidence_interval_lower", "yhat_upper": "confidence_interval_upper"}
+    f = forecasts.select("item_id", "store_id", *[F.col(c).cast("decimal(10,2)").alias(name) for c, name in names.items()
+                                                  if c in forecasts.columns])
     return signals.join(f, ["item_id", "store_id"], "left")

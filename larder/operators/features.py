@@ -1,10 +1,9 @@
 """Calendar features, labels, feature matrix and ordered split.
 
 The split reproduces a positional 80/20 split after sorting by
-(item, store, date, load_id) without a single-partition global sort: row
-offsets come from per-series counts, summed over a bounded number of item
-ranges, then over the items of a range, then over the series of an item; the
-row number inside a series is a window for all but hot series.
+(item, store, date, load_id) without a single-partition global sort: a range
+partitioned, sorted table is written once, and a row's number is its place in
+its partition plus the rows of the partitions before it.
 """
 
 from __future__ import annotations
@@ -14,9 +13,8 @@ from decimal import Decimal
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from larder.operators.marts import HOT_SERIES_ROWS, SERIES, TIEBREAK, series_row_number, skew_safe_series_window
-
-ITEM_RANGES = 1024  # ranges of items that row offsets are summed over first
+from larder.operators.marts import HOT_SERIES_ROWS, SERIES, TIEBREAK, skew_safe_series_window
+from larder.session import store
 
 FEATURE_COLS = (
     "price_delta_7d", "price_delta_30d", "price_vs_90d_avg", "is_on_sale",
@@ -67,41 +65,33 @@ def feature_matrix(df: DataFrame, cols=FEATURE_COLS) -> DataFrame:
     return df.withColumns({c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in cols})
 
 
-def assemble(df: DataFrame, cols=FEATURE_COLS, output: str = "features") -> DataFrame:
-    from pyspark.ml.feature import VectorAssembler
-
-    return VectorAssembler(inputCols=list(cols), outputCol=output).transform(feature_matrix(df, cols))
-
-
 def ordered_split(df: DataFrame, test_fraction: float = 0.2, tiebreak: str = TIEBREAK,
-                  hot_series_rows: int | None = HOT_SERIES_ROWS) -> DataFrame:
+                  partitions: int | None = None) -> DataFrame:
     """M4: positional split (first ceil-complement rows train, last ceil(f*n) rows test).
 
-    Order: item_id, store_id, price_date, tiebreak.  Adds `row_index` (0-based)
-    and `split` in {'train', 'test'}.
+    Order: item_id, store_id, price_date, tiebreak; nulls come first.  Adds
+    `row_index` (0-based) and `split` in {'train', 'test'}.
+
+    `df` is range partitioned by the whole order (so a series of any size is spread),
+    sorted and written once, each row with its partition and place.  The rows
+    before a partition are prefix sums over the partitions, whose number is a
+    parameter, so their table is broadcast; nothing is sorted or joined by series again.
     """
-    series_n = df.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("_n"))
-    item_n = series_n.groupBy("item_id").agg(F.sum("_n").alias("_item_n"))
-    # Items before an item: by ranges of items (at most ITEM_RANGES of them), then inside the range.
-    cuts = (item_n.select("item_id").orderBy(F.xxhash64("item_id"), "item_id").limit(ITEM_RANGES - 1)
-            .agg(F.array_sort(F.collect_list("item_id"))).scalar())
-    item_n = item_n.withColumn("_cuts", cuts).withColumn(
-        "_range", F.size(F.filter("_cuts", lambda cut: cut <= F.col("item_id")))).drop("_cuts")
-    ranges = item_n.groupBy("_range").agg(F.sum("_item_n").alias("_range_n"))
-    upto = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
-    before = lambda c, w: F.coalesce(F.sum(c).over(upto(w)), F.lit(0))
-    range_off = ranges.select("_range", before("_range_n", Window.orderBy("_range")).alias("_range_off"))
-    item_off = item_n.join(range_off, "_range").select("item_id", (
-        F.col("_range_off") + before("_item_n", Window.partitionBy("_range").orderBy("item_id"))).alias("_item_off"))
-    series_off = series_n.join(item_off, "item_id").select(*SERIES, (
-        F.col("_item_off") + before("_n", Window.partitionBy("item_id").orderBy("store_id"))).alias("_off"))
-    total = series_n.select(F.sum("_n")).scalar()
-    n_test = F.ceil(total.cast("double") * F.lit(test_fraction))
-    indexed = series_row_number(df, tiebreak, hot_series_rows).join(series_off, list(SERIES)).withColumn(
-        "row_index", F.col("_off") + F.col("_rn")).drop("_off", "_rn")
-    return indexed.withColumn(
-        "split", F.when(F.col("row_index") >= total - n_test, F.lit("test")).otherwise(F.lit("train"))
-    )
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    order = [*SERIES, "price_date", tiebreak]
+    placed = df.repartitionByRange(n, *order).sortWithinPartitions(*order).withColumn("_id", F.monotonically_increasing_id())
+    rows = store(placed, "ordered")
+    part = F.shiftright("_id", 33)  # the documented layout of these ids: the partition above 33 bits of place
+    sizes = rows.groupBy(part.alias("_part")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)  # at most `partitions` rows
+    offsets = sizes.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+                           F.sum("_n").over(Window.partitionBy()).alias("_total"))
+    indexed = rows.withColumn("_part", part).join(F.broadcast(offsets), "_part").withColumn(
+        "row_index", F.col("_before") + F.col("_id").bitwiseAND(F.lit((1 << 33) - 1)))
+    n_test = F.ceil(F.col("_total").cast("double") * F.lit(test_fraction))
+    split = F.when(F.col("row_index") >= F.col("_total") - n_test, F.lit("test")).otherwise(F.lit("train"))
+    return indexed.withColumn("split", split).drop("_id", "_part", "_before", "_total")
 
 
 def class_balance(labelled: DataFrame, label: str = "label") -> DataFrame:

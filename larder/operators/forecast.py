@@ -1,12 +1,10 @@
 """Per-series price forecasts.
 
-Two model families, both fitted for every series at once:
+Model families, each fitted for every series at once:
 
-* `trend_weekday` (native): y = a + b * t + w[weekday], with a, b from
-  regr_intercept/regr_slope over the training rows and w the mean training
-  residual per weekday.  Everything is a window aggregate over the series
-  partitioning: the (series, weekday) window reuses the (item, store) hash
-  partitioning, so the whole fit is one shuffle + sorts.
+* `trend_weekday` (native): y = a + b * t + w[weekday], with a, b by least
+  squares over the training rows and w the mean training residual per weekday,
+  both from exact sums per (series, weekday).
 * `fourier` (Python): ridge regression on trend + weekly (order 3) and
   yearly (order 10) Fourier terms, one `applyInPandas` call per series over
   its dates' sums, which the lookback window bounds.
@@ -24,10 +22,15 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from larder.operators import boosting
 from larder.operators import features as fe
-from larder.operators.marts import HOT_SERIES_ROWS, SERIES, TIEBREAK, row_chunks, skew_safe_series_window, split_hot
+from larder.operators.marts import (
+    CHUNK_COLUMNS, HOT_SERIES_ROWS, SERIES, TIEBREAK, skew_safe_series_window, with_chunks,
+)
+from larder.session import store
 
 EPOCH = "1970-01-01"
+BOUND_LEVEL = 0.95  # fixed value: the level of the forecasts' bounds
 
 
 def _as_of(as_of) -> Column:
@@ -43,25 +46,21 @@ def holdout_tail(df: DataFrame, holdout: int = 14, tiebreak: str = TIEBREAK,
                  hot_series_rows: int | None = HOT_SERIES_ROWS) -> DataFrame:
     """Rank from the end of each series; `is_holdout` marks the last `holdout` rows.
 
-    Hot series: rn_desc = series_rows - index, where the index comes from a
-    prefix sum over the (series, date) count table plus the rank inside the
-    date, so no window holds a whole hot series.
+    Hot series: counted in the chunk, plus the rows of the chunks behind it; no
+    window holds a whole hot series.
     """
-    def plain(d: DataFrame) -> DataFrame:
-        desc = Window.partitionBy(*SERIES).orderBy(F.col("price_date").desc(), F.col(tiebreak).desc())
-        return d.withColumns({
-            "rn_desc": F.row_number().over(desc),
-            "series_rows": F.count(F.lit(1)).over(Window.partitionBy(*SERIES)),
-        }).withColumn("is_holdout", F.col("rn_desc") <= holdout)
-
     if hot_series_rows is None:
-        return plain(df)
-    cold, rows = split_hot(df, hot_series_rows)
-    cold = plain(cold)
-    sizes = rows.groupBy(*SERIES).agg(F.count(F.lit(1)).alias("series_rows"))
-    ranked = row_chunks(rows, hot_series_rows, tiebreak).join(sizes, list(SERIES))
-    ranked = ranked.withColumn("rn_desc", (F.col("series_rows") - F.col("_off")).cast("int")).drop("_off", "_chunk")
-    return cold.unionByName(ranked.withColumn("is_holdout", F.col("rn_desc") <= holdout))
+        df, keys = df.withColumns({"_firsts": F.lit(None).cast("array<long>"), "_rows": F.lit(None).cast("long"),
+                                   "_chunk": F.lit(0), "_context": F.lit(False)}), SERIES
+    else:
+        df, keys = with_chunks(df, hot_series_rows), (*SERIES, "_chunk")
+    desc = Window.partitionBy(*keys).orderBy(F.col("price_date").desc(), F.col(tiebreak).desc())
+    here = F.count(F.lit(1)).over(Window.partitionBy(*keys))
+    upto = F.coalesce(F.get("_firsts", F.col("_chunk") + 1), F.col("_rows"))  # rows of the series up to the chunk's end
+    return df.withColumns({
+        "rn_desc": (F.row_number().over(desc) + F.coalesce(F.col("_rows") - upto, F.lit(0))).cast("int"),
+        "series_rows": F.coalesce(F.col("_rows"), here),
+    }).withColumn("is_holdout", F.col("rn_desc") <= holdout).drop(*CHUNK_COLUMNS)
 
 
 def residual_target(df: DataFrame, tiebreak: str = TIEBREAK,
@@ -78,59 +77,82 @@ def _days(d: Column) -> Column:
     return F.datediff(d, F.lit(EPOCH).cast("date")).cast("double")
 
 
+def flag_holdout(df: DataFrame, holdout: int, hot_series_rows: int | None = HOT_SERIES_ROWS) -> DataFrame:
+    """`is_holdout`: no row lies `holdout` places ahead in the series (a window of bounded reach, chunked if hot)."""
+    def flag(d: DataFrame, w) -> DataFrame:
+        return d.withColumn("is_holdout", F.lead(F.lit(1), holdout).over(w).isNull())
+
+    return skew_safe_series_window(df, flag, before=0, after=holdout, hot_rows=hot_series_rows)
+
+
 def fit_trend_weekday(df: DataFrame, holdout: int = 14, min_rows: int = 14,
                       hot_series_rows: int | None = HOT_SERIES_ROWS) -> DataFrame:
-    """Per-row fitted values of the native model (rows of eligible series only).
+    """One row per eligible series: the fitted model and its held-out rows.
 
-    No step needs a whole series in one task: the hold-out flag is "no row
-    `holdout` positions ahead" (a bounded-reach LEAD, chunked for hot series),
-    and the series size, trend (regr_*) and weekday effects are partial
-    aggregates joined back on the series key (AQE splits a skewed join).
+    No step needs a whole series in one task, and the rows are read once: slope and
+    weekday effects depend on the sums of n, t, t^2, y and ty per weekday alone,
+    which are exact (days and decimals) and partially aggregated; a mean
+    residual is linear in them, so no row is met again.  The held-out rows, `holdout` a series,
+    are kept as a list.
     """
-    def flag(d: DataFrame, w) -> DataFrame:
-        return d.withColumn("is_holdout", F.lead(F.lit(1), holdout).over(w).isNull())
-
-    tail = skew_safe_series_window(df, flag, before=0, after=holdout, hot_rows=hot_series_rows)
-    y = F.col("regular_price").cast("double")
-    t = _days(F.col("price_date"))
-    rows = tail.withColumns({"t": t, "y": y, "dow": F.weekday("price_date")})
+    rows = flag_holdout(df, holdout, hot_series_rows).withColumns({
+        "t": F.datediff("price_date", F.lit(EPOCH).cast("date")).cast("decimal(10,0)"),
+        "y": F.col("regular_price").cast("decimal(18,4)"), "dow": F.weekday("price_date")})
     train = ~F.col("is_holdout")
-    ty, tt = F.when(train, F.col("y")), F.when(train, F.col("t"))
-    models = rows.groupBy(*SERIES).agg(
-        F.count(F.lit(1)).alias("series_rows"),
-        F.count(tt).alias("n_train"),
-        F.regr_sxx(ty, tt).alias("sxx"),
-        F.regr_slope(ty, tt).alias("b"),
-        F.regr_intercept(ty, tt).alias("a"),
-        F.max(F.when(train, F.col("price_date"))).alias("train_end"),
-        F.max("price_date").alias("series_end"),
-    ).filter((F.col("series_rows") >= min_rows) & (F.col("n_train") >= 2) & (F.col("sxx") > 0))
-    fitted = rows.join(models, list(SERIES))
-    trend = F.col("a") + F.col("b") * F.col("t")
-    fitted = fitted.withColumn("resid", F.when(train, F.col("y") - trend))
-    effects = fitted.groupBy(*SERIES, "dow").agg(F.avg("resid").alias("w"))
-    return fitted.join(effects, [*SERIES, "dow"]).withColumn("w", F.coalesce(F.col("w"), F.lit(0.0))).withColumn(
-        "yhat", trend + F.col("w"))
+    both = train & F.col("t").isNotNull() & F.col("y").isNotNull()
+    total = lambda c: F.sum(F.when(both, c)).cast("decimal(38,4)")
+    days = rows.groupBy(*SERIES, "dow").agg(
+        F.count(F.lit(1)).alias("rows"), F.count(F.when(train, F.col("t"))).alias("n_train"),
+        F.count(F.when(both, F.lit(1))).alias("n"), total(F.col("t")).alias("st"),
+        total(F.col("t") * F.col("t")).alias("stt"), total(F.col("y")).alias("sy"),
+        total(F.col("t") * F.col("y")).alias("sty"),
+        F.max(F.when(train, F.col("price_date"))).alias("train_end"), F.max("price_date").alias("series_end"),
+        F.collect_list(F.when(~train, F.struct(F.col("t").cast("double").alias("t"), F.col("y").cast("double").alias("y"),
+                                               "dow"))).alias("tail"))
+    zero = F.lit(0).cast("decimal(38,4)")
+    model = days.groupBy(*SERIES).agg(
+        F.sum("rows").alias("series_rows"), F.sum("n_train").alias("n_train"), F.sum("n").alias("n"),
+        *[F.coalesce(F.sum(c), zero).cast("decimal(38,4)").alias(c) for c in ("st", "stt", "sy", "sty")],
+        F.max("train_end").alias("train_end"), F.max("series_end").alias("series_end"),
+        F.collect_list(F.struct("dow", "n", F.col("st").alias("t"), F.col("sy").alias("y"))).alias("days"),
+        F.flatten(F.collect_list("tail")).alias("tail"))
+    n = F.col("n").cast("decimal(14,0)")
+    exact = lambda c: F.col(c).cast("decimal(22,4)")
+    sxx = (n * exact("stt") - exact("st") * exact("st")).cast("double")
+    model = model.withColumn("sxx", sxx).filter(
+        (F.col("series_rows") >= min_rows) & (F.col("n_train") >= 2) & (F.col("sxx") > 0))
+    model = model.withColumn("b", (n * exact("sty") - exact("st") * exact("sy")).cast("double") / F.col("sxx"))
+    model = model.withColumn("a", (F.col("sy").cast("double") - F.col("b") * F.col("st").cast("double")) / F.col("n"))
+    known = F.filter("days", lambda d: d["dow"].isNotNull())
+    effect = F.map_from_entries(F.transform(known, lambda d: F.struct(d["dow"], F.coalesce(
+        (d["y"].cast("double") - F.col("b") * d["t"].cast("double")) / F.nullif(d["n"], F.lit(0)) - F.col("a"),
+        F.lit(0.0)))))
+    model = model.withColumn("weekday_effect", effect)
+    fitted = lambda r: F.col("a") + F.col("b") * r["t"] + F.coalesce(
+        F.try_element_at("weekday_effect", r["dow"]), F.lit(0.0))
+    return model.select(
+        *SERIES, "a", "b", "weekday_effect", "train_end", "series_end", "n_train", "series_rows",
+        F.transform("tail", lambda r: F.struct(r["y"].alias("y"), fitted(r).alias("yhat"))).alias("tail"))
 
 
 def trend_weekday_models(fitted: DataFrame) -> DataFrame:
-    """One row per series: a, b, weekday effects (map), training end, series end."""
-    per_dow = fitted.groupBy(*SERIES, "dow").agg(
-        F.first("a").alias("a"), F.first("b").alias("b"), F.first("w").alias("w"),
-        F.first("train_end").alias("train_end"), F.first("series_end").alias("series_end"),
-        F.first("n_train").alias("n_train"),
-    )
-    return per_dow.groupBy(*SERIES).agg(
-        F.first("a").alias("a"), F.first("b").alias("b"), F.map_from_entries(F.collect_list(F.struct("dow", "w")))
-        .alias("weekday_effect"),
-        F.first("train_end").alias("train_end"), F.first("series_end").alias("series_end"),
-        F.first("n_train").alias("n_train"),
-    )
+    """One row per series: a, b, weekday effects (map), training end, series end and half the width of its bounds.
+
+    The bounds are split-conformal: the hold-out rows' absolute errors in order, the one of rank
+    ceil((n + 1) * level).  Fewer than 19 of them cannot carry 95 %; then the
+    largest is taken, whose coverage is n / (n + 1).
+    """
+    errors = F.array_sort(F.filter(F.transform("tail", lambda r: F.abs(r["y"] - r["yhat"])), lambda e: e.isNotNull()))
+    n = F.size("errors")
+    rank = F.least(n, F.ceil((n + 1) * F.lit(BOUND_LEVEL)).cast("int"))
+    return fitted.withColumn("errors", errors).select(
+        *SERIES, "a", "b", "weekday_effect", "train_end", "series_end", "n_train",
+        F.get("errors", rank - 1).alias("half_width"))
 
 
 def holdout_errors(fitted: DataFrame) -> DataFrame:
     """M8: per-series MAE and MAPE on the held-out rows (zero actuals excluded from MAPE)."""
-    hold = fitted.filter(F.col("is_holdout"))
+    hold = fitted.select(*SERIES, "n_train", F.explode("tail").alias("r")).select(*SERIES, "n_train", "r.*")
     err = F.abs(F.col("y") - F.col("yhat"))
     return hold.groupBy(*SERIES).agg(
         F.avg(err).alias("mae"),
@@ -152,24 +174,25 @@ def error_summary(errors: DataFrame) -> DataFrame:
 def forecast_daily(models: DataFrame, horizon_days: int = 14, anchor: str = "series_end") -> DataFrame:
     """M9: one row per series and day 1..horizon after the anchor (the series' or the training rows' last date).
 
-    The native model states no uncertainty, so both bounds are NULL.
+    The bounds are the forecast plus and minus the series' half width (`trend_weekday_models`).
     """
     if anchor not in ("series_end", "train_end"):
         raise ValueError("anchor must be 'series_end' or 'train_end'")
-    steps = models.select(*SERIES, "a", "b", "weekday_effect", F.col(anchor).alias("anchor"),
+    steps = models.select(*SERIES, "a", "b", "weekday_effect", "half_width", F.col(anchor).alias("anchor"),
                           F.explode(F.sequence(F.lit(1), F.lit(horizon_days))).alias("step"))
     d = F.date_add(F.col("anchor"), F.col("step"))
     yhat = F.col("a") + F.col("b") * _days(d) + F.coalesce(F.try_element_at("weekday_effect", F.weekday(d)), F.lit(0.0))
-    none = F.lit(None).cast("double")
-    return steps.select(*SERIES, "anchor", "step", d.alias("ds"), yhat.alias("yhat"), none.alias("yhat_lower"),
-                        none.alias("yhat_upper"))
+    half = F.col("half_width")
+    return steps.select(*SERIES, "anchor", "step", d.alias("ds"), yhat.alias("yhat"), (yhat - half).alias("yhat_lower"),
+                        (yhat + half).alias("yhat_upper"))
 
 
-def forecast(models: DataFrame, horizon_days: int = 14, anchor: str = "series_end") -> DataFrame:
-    """M9: the published steps 7 and 14 (round 4); a step beyond the horizon is NULL."""
-    step = lambda k: F.round(F.max(F.when(F.col("step") == k, F.col("yhat"))), 4)
+def forecast(models: DataFrame, horizon_days: int = 14, anchor: str = "series_end", bounds: bool = False) -> DataFrame:
+    """M9: the published steps 7 and 14 (round 4), with the bounds of step 7 on request; a step beyond the horizon is NULL."""
+    step = lambda k, c="yhat": F.round(F.max(F.when(F.col("step") == k, F.col(c))), 4)
+    more = [step(7, c).alias(c) for c in ("yhat_lower", "yhat_upper")] if bounds else []
     return forecast_daily(models, horizon_days, anchor).groupBy(*SERIES, "anchor").agg(
-        step(7).alias("yhat_7"), step(14).alias("yhat_14"))
+        step(7).alias("yhat_7"), step(14).alias("yhat_14"), *more)
 
 
 def fit_forecasts(history: DataFrame, lookback_days: int = 90, as_of=None, holdout: int = 14,
@@ -239,12 +262,8 @@ def fourier_forecasts(df: DataFrame, holdout: int = 14, min_rows: int = 16,
     cell per date (partial aggregates); a series brings at most one cell per day
     of the lookback and its held-out rows to one task, however many rows it has.
     """
-    def flag(d: DataFrame, w) -> DataFrame:
-        return d.withColumn("is_holdout", F.lead(F.lit(1), holdout).over(w).isNull())
-
     rows = df.select(*SERIES, "price_date", TIEBREAK, F.col("regular_price").cast("double").alias("y"))
-    rows = skew_safe_series_window(rows, flag, before=0, after=holdout, hot_rows=hot_series_rows).withColumn(
-        "t", _days(F.col("price_date")))
+    rows = flag_holdout(rows, holdout, hot_series_rows).withColumn("t", _days(F.col("price_date")))
     cells = rows.filter(~F.col("is_holdout")).groupBy(*SERIES, "t").agg(
         F.count(F.lit(1)).alias("n"), F.sum("y").alias("y")).select(*SERIES, "t", "n", "y", F.lit(False).alias("is_holdout"))
     tail = rows.filter("is_holdout").select(*SERIES, "t", F.lit(1).cast("long").alias("n"), "y", "is_holdout")
@@ -253,33 +272,69 @@ def fourier_forecasts(df: DataFrame, holdout: int = 14, min_rows: int = 16,
 
 
 # ---------------------------------------------------------------------------
-# M7: pooled residual model (MLlib GBT on calendar features)
+# M7: boosted residual model per series, on calendar cells
 # ---------------------------------------------------------------------------
 
+CALENDAR = (7, 6, 13)  # codes of day of week (0-6), week of month (1-5) and month (1-12)
+RESIDUAL_SCHEMA = ("item_id string, store_id string, n_train long, n_holdout long, base double, effect array<double>, "
+                   "mae double")
 
-def residual_stage(history: DataFrame, lookback_days: int = 90, as_of=None, holdout: int = 14,
-                   min_rows: int = 28, max_iter: int = 50, max_depth: int = 3, step_size: float = 0.1):
-    """Second stage: GBT regression of the day-over-day change on (dow, week of month, month).
 
-    One pooled model over all series with >= min_rows rows (the per-series
-    models of the reference are folded into one distributed fit); trained
-    without the last `holdout` rows of each series.  Returns (model, metrics).
-    """
-    from pyspark.ml.evaluation import RegressionEvaluator
-    from pyspark.ml.feature import VectorAssembler
-    from pyspark.ml.regression import GBTRegressor
-
-    data = residual_target(forecast_input(history, lookback_days, as_of))
-    data = fe.calendar_features(holdout_tail(data, holdout).filter(F.col("series_rows") >= min_rows))
-    data = VectorAssembler(inputCols=["day_of_week", "week_of_month", "month"], outputCol="features").transform(data)
-    train, test = data.filter(~F.col("is_holdout")), data.filter(F.col("is_holdout"))
-    if train.isEmpty():
-        return None, None
-    model = GBTRegressor(featuresCol="features", labelCol="residual_target", maxIter=max_iter, maxDepth=max_depth,
-                         stepSize=step_size, seed=7).fit(train)
-    pred = model.transform(test)
-    mae = RegressionEvaluator(labelCol="residual_target", predictionCol="prediction", metricName="mae")
-    spark = history.sparkSession
-    metrics = spark.createDataFrame([("residual_gbt", float(mae.evaluate(pred)) if not test.isEmpty() else None)],
-                                    "model string, holdout_mae double")
-    return model, metrics
+def residual_cells(history: DataFrame, lookback_days: int = 90, as_of=None, holdout: int = 14,
+                   hot_series_rows: int | None = HOT_SERIES_ROWS) -> DataFrame:
+    """Per series and (day of week, week of month, month): training rows, the sum of their day-over-day
+    changes (exact), and the list of held-out changes (at most `holdout` a series)."""
+    def flag(d: DataFrame, w) -> DataFrame:
+        previous = F.coalesce(F.lag("regular_price").over(w), F.col("regular_price"))
+        return d.withColumns({"change": F.col("regular_price") - previous,
+                              "is_holdout": F.lead(F.lit(1), holdout).over(w).isNull()})
+
+    rows = skew_safe_series_window(forecast_input(history, lookback_days, as_of), flag, before=1, after=holdout,
+                                   hot_rows=hot_series_rows)
+    train = ~F.col("is_holdout")
+    return fe.calendar_features(rows).groupBy(*SERIES, "day_of_week", "week_of_month", "month").agg(
+        F.count(F.when(train, F.lit(1))).alias("n"),
+        F.coalesce(F.sum(F.when(train, F.col("change"))), F.lit(0)).cast("decimal(20,2)").alias("total"),
+        F.array_sort(F.collect_list(F.when(~train, F.col("change").cast("double")))).alias("held_out"))
+
+
+def _residual_one(pdf: pd.DataFrame, min_rows: int, rounds: int, depth: int, rate: float) -> pd.DataFrame:
+    """One series from its cells (at most 7 x 5 x 12 of them, however many rows it has)."""
+    names = [c.split()[0] for c in RESIDUAL_SCHEMA.replace("array<double>", "array").split(", ")]
+    pdf = pdf.sort_values(["day_of_week", "week_of_month", "month"])
+    n, held = pdf["n"].to_numpy(np.int64), pdf["held_out"].map(len).to_numpy()
+    if n.sum() + held.sum() < min_rows or not n.sum():
+        return pd.DataFrame(columns=names)
+    codes = pdf[["day_of_week", "week_of_month", "month"]].to_numpy(np.int64)
+    used = n > 0
+    base, trees = boosting.fit_cells(codes[used], n[used], pdf["total"].astype(float).to_numpy()[used], CALENDAR,
+                                     rounds, depth, rate)
+    grid = np.stack(np.meshgrid(*[np.arange(k) for k in CALENDAR], indexing="ij"), -1).reshape(-1, 3)
+    effect = base + sum((t.predict(grid) for t in trees), np.zeros(len(grid)))
+    at = np.ravel_multi_index(codes.T, CALENDAR)
+    errors = [abs(v - effect[k]) for k, values in zip(at, pdf["held_out"], strict=True) for v in values]
+    return pd.DataFrame([(pdf["item_id"].iloc[0], pdf["store_id"].iloc[0], int(n.sum()), int(held.sum()), base,
+                          effect.tolist(), float(np.mean(errors)) if errors else None)], columns=names)
+
+
+def residual_models(cells: DataFrame, min_rows: int = 28, rounds: int = 50, depth: int = 3, rate: float = 0.1) -> DataFrame:
+    """One boosted model per series of at least `min_rows` rows: `effect` is its prediction for every
+    (day of week, week of month, month), so that scoring is a look-up (`residual_effect`)."""
+    return cells.dropna(subset=["day_of_week"]).groupBy(*SERIES).applyInPandas(
+        lambda pdf: _residual_one(pdf, min_rows, rounds, depth, rate), RESIDUAL_SCHEMA)
+
+
+def residual_effect(effect: Column, date: Column) -> Column:
+    """The model's change on a date."""
+    at = (fe.day_of_week(date) * CALENDAR[1] + fe.week_of_month(date)) * CALENDAR[2] + F.month(date)
+    return F.get(effect, at)
+
+
+def residual_stage(history: DataFrame, lookback_days: int = 90, as_of=None, holdout: int = 14,
+                   min_rows: int = 28, rounds: int = 50, depth: int = 3, rate: float = 0.1):
+    """Second stage (M7): a boosted regression of the day-over-day change on calendar features for every series
+    of at least `min_rows` rows, trained without its last `holdout` rows.  Returns (models, summary)."""
+    models = store(residual_models(residual_cells(history, lookback_days, as_of, holdout), min_rows, rounds, depth, rate),
+                   "residual-models")
+    return models, models.agg(F.lit("residual_trees").alias("model"), F.count(F.lit(1)).alias("n_models"),
+                              F.avg("mae").alias("holdout_mae"))

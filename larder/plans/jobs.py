@@ -144,7 +144,7 @@ def job_retrain(spark: SparkSession, sf_dir: str, as_of: str = fx.AS_OF, lookbac
 
 
 def write_buy_signals(history: DataFrame, model, models: DataFrame, path: str) -> None:
-    signals = classifier.buy_signals(history, model, forecast.forecast(models, 14, "series_end"))
+    signals = classifier.buy_signals(history, model, forecast.forecast(models, 14, "series_end", bounds=True))
     signals = schemas.enforce_contract(signals, schemas.MART_BUY_SIGNALS, {"_loaded_at": F.localtimestamp()})
     ingest.overwrite_partitions(signals, path, "signal_date")
 

@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -72,3 +73,10 @@ def cut_lineage(df: DataFrame) -> DataFrame:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path inside the shared checkpoint folder for intermediate tables."""
     return os.path.join(ensure_checkpoint_dir(spark), "tables", name)
+
+
+def store(df: DataFrame, name: str) -> DataFrame:
+    """Write a table of its own into the scratch folder, once, and return its reader: what reads it often recomputes nothing."""
+    path = scratch_path(df.sparkSession, f"{name}-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

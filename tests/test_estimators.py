@@ -171,7 +171,7 @@ def test_ordered_split_of_hot_series(spark):
     from larder.operators import features
 
     df = crowded_series(spark, [10] * 30 + [350])
-    plain, split = (features.ordered_split(df, hot_series_rows=k).select("load_id", "row_index", "split") for k in (None, 50))
+    plain, split = (features.ordered_split(df, partitions=k).select("load_id", "row_index", "split") for k in (1, 50))
     assert plain.exceptAll(split).count() == 0 and plain.count() == split.count() == 690
 
 
@@ -190,7 +190,7 @@ def test_plans_are_built_without_jobs(spark):
     from larder.plans import catalog
 
     tracker = spark.sparkContext.statusTracker()
-    for name in ("price_history", "promo_calendar_episodes", "ordered_split", "dq_not_null", "build_labels", "sale_ends",
+    for name in ("price_history", "promo_calendar_episodes", "dq_not_null", "build_labels", "sale_ends",
                  "forecast_trend_weekday", "external_signals", "lagged_signal_join", "binary_metrics"):
         spark.sparkContext.setJobGroup(f"plan-{name}", name)
         try:
