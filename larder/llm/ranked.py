@@ -35,9 +35,7 @@ from __future__ import annotations
 
 import math
 import re
-import struct
 import uuid
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -59,7 +57,12 @@ BLOCK, TOP = 128, 20
 SHARD_CHARS, SHARD_DOCS = 1 << 24, 1 << 14  # a shard's size; a task holds one at a time
 QUERY_BLOCK = 256
 BROADCAST_TERMS = 1 << 18  # distinct query terms that are sent to every task; more are joined
-INDEX_SCHEMA = "shard long, term string, df long, last binary, outline binary, cuts binary, postings binary, tokens long"
+#: A list: its blocks' last documents, the number of pairs and the pairs (frequency, length) of their outlines, and its
+#: postings.  A shard's documents (term null): their ids, lengths and whether they have an id.
+INDEX_SCHEMA = ("shard long, term string, df long, last binary, outline_sizes binary, outline binary, gaps binary, "
+                "tfs binary, tokens long")
+INDEX_ARROW = pa.schema([(c.split()[0], {"long": pa.int64(), "string": pa.string(), "binary": pa.binary()}[c.split()[1]])
+                         for c in INDEX_SCHEMA.split(", ")])
 
 
 #: Per byte of UTF-8: a space for what separates terms, lower case for A-Z, every other byte itself.
@@ -90,102 +93,115 @@ def weight(df: int, docs: int) -> int:
 # ---------------------------------------------------------------- index
 
 
-def _packed(values: np.ndarray) -> bytes:
-    """Non-negative integers in as few bytes each as the largest needs, after a byte that says how many."""
-    top = int(values.max(initial=0))
-    size = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
-    return bytes([size]) + values.astype(f"<u{size}").tobytes()
-
-
-def _packed_few(*values: int) -> bytes:
-    top = max(values)
-    size = 1 if top < 1 << 8 else 2 if top < 1 << 16 else 4 if top < 1 << 32 else 8
-    return bytes([size]) + b"".join(v.to_bytes(size, "little") for v in values)
-
-
-def _unpacked(raw: bytes, at: int, count: int) -> tuple[np.ndarray, int]:
-    size = raw[at]
-    end = at + 1 + size * count
-    return np.frombuffer(raw, f"<u{size}", count, at + 1).astype(np.int64), end
-
-
-def _outline(tf: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The pairs that no other pair beats in both: shorter documents first, each with a greater frequency than before."""
-    order = np.lexsort((-tf, n))
-    tf, n = tf[order], n[order]
-    before = np.maximum.accumulate(np.concatenate([[0], tf[:-1]]))
-    keep = tf > before
-    return tf[keep], n[keep]
-
-
-def _shard_rows(shard: int, docs: list[tuple]) -> list[tuple]:
-    """Index rows of one shard, the first (no term) for its documents."""
-    docs.sort(key=lambda d: (d[0] is None, d[0] or 0))
-    lengths = np.array([sum(d[1].values()) for d in docs], np.int64)
-    lists: dict[bytes, tuple[list, list]] = {}
-    for k, (_, counts) in enumerate(docs):
-        for term, tf in counts.items():
-            found = lists.get(term)
-            if found is None:
-                lists[term] = ([k], [tf])
-            else:
-                found[0].append(k)
-                found[1].append(tf)
-    known = [d[0] is not None for d in docs]
-    ids = np.array([d[0] if d[0] is not None else 0 for d in docs], np.int64)
-    rows = [(shard, None, len(docs), ids.tobytes(), lengths.tobytes(), None, np.array(known).tobytes(), int(lengths.sum()))]
-    for term, (at, tfs) in lists.items():
-        if len(at) == 1:  # most lists: the same bytes as below without arrays
-            k, tf, n = at[0], tfs[0], int(lengths[at[0]])
-            raw = _packed_few(k) + _packed_few(tf - 1)
-            rows.append((shard, term.decode(), 1, struct.pack("<i", k), _packed_few(1, tf, n), struct.pack("<i", len(raw)), raw, None))
-            continue
-        at, tfs = np.array(at, np.int64), np.array(tfs, np.int64)
-        n = lengths[at]
-        blocks, cuts, outlines, last, size = [], [], [], [], 0
-        for k in range(0, len(at), BLOCK):
-            d, t = at[k:k + BLOCK], tfs[k:k + BLOCK]
-            raw = _packed(np.diff(d, prepend=0)) + _packed(t - 1)
-            outline = _outline(t, n[k:k + BLOCK])
-            size += len(raw)
-            blocks.append(raw)
-            cuts.append(size)
-            last.append(int(d[-1]))
-            outlines.append(outline)
-        sizes = np.array([len(o[0]) for o in outlines], np.int64)
-        outline = np.concatenate([sizes, *[x for o in outlines for x in o]])
-        rows.append((shard, term.decode(), len(at), np.array(last, "<i4").tobytes(), _packed(outline),
-                     np.array(cuts, "<i4").tobytes(), b"".join(blocks), None))
-    return rows
+class _Numbered(dict):
+    """Numbers its keys as they come."""
+
+    def __missing__(self, key: bytes) -> int:
+        self[key] = n = len(self)
+        return n
+
+
+def _binary(kind: pa.DataType, data: bytes, offsets: np.ndarray) -> pa.Array:
+    """An Arrow array of slices of `data`, without a Python object for each."""
+    place = pa.py_buffer(offsets.astype(np.int64))
+    big = pa.Array.from_buffers(pa.large_string() if kind == pa.string() else pa.large_binary(), len(offsets) - 1,
+                                [None, place, pa.py_buffer(data)])
+    return big.cast(kind)
+
+
+def _offsets(sizes: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
+def _ranges(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """start, start + 1, .. of each range, one after the other."""
+    return np.arange(int(sizes.sum())) + np.repeat(starts - _offsets(sizes)[:-1], sizes)
+
+
+class Shard:
+    """Documents gathered for one shard; `batches` are its index rows."""
+
+    def __init__(self):
+        self.terms, self.ids, self.words, self.chars = _Numbered(), [], [], 0
+
+    def add(self, doc_id: int | None, terms: list[bytes], chars: int) -> None:
+        self.ids.append(doc_id)
+        self.words.append(np.fromiter(map(self.terms.__getitem__, terms), np.int64, len(terms)))
+        self.chars += chars
+
+    def batches(self, number: int) -> Iterator[pa.RecordBatch]:
+        if not self.ids:
+            return
+        docs = len(self.ids)
+        order = sorted(range(docs), key=lambda k: (self.ids[k] is None, self.ids[k] or 0))
+        lengths = np.array([len(self.words[k]) for k in order], np.int64)
+        known = np.array([self.ids[k] is not None for k in order])
+        ids = np.array([self.ids[k] or 0 for k in order], np.int64)
+        head = [number, None, docs, ids.tobytes(), None, lengths.tobytes(), known.tobytes(), None, int(lengths.sum())]
+        yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(head, INDEX_ARROW, strict=True)],
+                                         schema=INDEX_ARROW)
+        place = np.repeat(np.arange(docs), lengths)
+        key, tf = np.unique(np.concatenate([self.words[k] for k in order]) * docs + place, return_counts=True)
+        term, doc = np.divmod(key, docs)
+        df = np.bincount(term, minlength=len(self.terms))
+        start = _offsets(df)
+        gap = np.diff(doc, prepend=-1) - 1  # documents between a posting and the one before
+        gap[start[:-1]] = doc[start[:-1]]
+        blocks = -(-df // BLOCK)
+        block_of_list = _offsets(blocks)
+        block = block_of_list[term] + (np.arange(len(term)) - start[term]) // BLOCK
+        first = np.concatenate([[0], np.flatnonzero(np.diff(block)) + 1])
+        last = doc[np.concatenate([first[1:], [len(doc)]]) - 1].astype("<u4")
+        kept, per_block = _outlines(block, tf, lengths[doc], first)
+        pairs = np.column_stack([tf[kept], lengths[doc[kept]]]).astype("<u4")
+        pair_of_block = _offsets(per_block)
+        words = list(self.terms)
+        sizes = np.fromiter(map(len, words), np.int64, len(words))
+        wide = np.maximum(np.maximum.reduceat(gap, start[:-1]), np.maximum.reduceat(tf, start[:-1]) - 1)
+        width = np.where(wide < 1 << 8, 1, np.where(wide < 1 << 16, 2, 4))
+        for w in np.unique(width):
+            lists = np.flatnonzero(width == w)
+            for part in np.array_split(lists, -(-len(lists) // (1 << 16))):
+                at = _ranges(start[part], df[part])
+                own = _ranges(block_of_list[part], blocks[part])
+                pair_sizes = pair_of_block[block_of_list[part + 1]] - pair_of_block[block_of_list[part]]
+                own_pairs = _ranges(pair_of_block[block_of_list[part]], pair_sizes)
+                postings = _offsets(df[part] * w)
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(np.full(len(part), number)),
+                    _binary(pa.string(), b"".join([words[k] for k in part.tolist()]), _offsets(sizes[part])),
+                    pa.array(df[part]),
+                    _binary(pa.binary(), last[own].tobytes(), _offsets(4 * blocks[part])),
+                    _binary(pa.binary(), per_block[own].astype(np.uint8).tobytes(), _offsets(blocks[part])),
+                    _binary(pa.binary(), pairs[own_pairs].tobytes(), _offsets(8 * pair_sizes)),
+                    _binary(pa.binary(), gap[at].astype(f"<u{w}").tobytes(), postings),
+                    _binary(pa.binary(), (tf[at] - 1).astype(f"<u{w}").tobytes(), postings),
+                    pa.nulls(len(part), pa.int64())], schema=INDEX_ARROW)
+
+
+def _outlines(block: np.ndarray, tf: np.ndarray, n: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The postings that no other of their block beats in both frequency and shortness, and their number per block."""
+    order = np.lexsort((-tf, n, block))
+    high = block[order] * (int(tf.max()) + 1) + tf[order]  # the greatest frequency so far, block by block
+    keep = np.concatenate([[True], high[1:] > np.maximum.accumulate(high)[:-1]])
+    kept = order[keep]
+    return kept, np.bincount(block[kept], minlength=len(first))
 
 
 def build_index(docs: DataFrame, shard_chars: int = SHARD_CHARS, shard_docs: int = SHARD_DOCS) -> DataFrame:
     """Index rows of `docs` (doc_id, text); `term` null: the documents of the shard."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, number, held, chars = TaskContext.get().partitionId(), 0, [], 0
-        names = [c.split()[0] for c in INDEX_SCHEMA.split(", ")]
-        types = [pa.int64(), pa.string(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary(), pa.int64()]
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            nonlocal held, chars, number
-            rows = _shard_rows((part << 32) + number, held) if held else []
-            held, chars, number = [], 0, number + 1
-            for k in range(0, len(rows), 1 << 16):
-                cols = list(zip(*rows[k:k + (1 << 16)], strict=True))
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
-
+        number, shard = TaskContext.get().partitionId() << 32, Shard()
         for b in batches:
             for doc_id, text in zip(b.column("doc_id").to_pylist(), b.column("text"), strict=True):
                 text = text.as_py()
-                counts = Counter(terms_of(text))
-                if counts:
-                    if held and chars + len(text) > shard_chars:
-                        yield from flush()
-                    held.append((doc_id, counts))
-                    chars += len(text)
-                    if len(held) >= shard_docs:
-                        yield from flush()
-        yield from flush()
+                terms = terms_of(text)
+                if terms:
+                    if shard.ids and (shard.chars + len(text) > shard_chars or len(shard.ids) >= shard_docs):
+                        yield from shard.batches(number)
+                        number, shard = number + 1, Shard()
+                    shard.add(doc_id, terms, len(text))
+        yield from shard.batches(number)
         release_memory()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
@@ -199,23 +215,12 @@ class PostingList:
     """A term's blocks in one shard; blocks are decompressed when they are first asked for."""
 
     def __init__(self, row: dict, docs: int, tokens: int):
-        self.df, self.raw = row["df"], row["postings"]
-        self.last = np.frombuffer(row["last"], "<i4").astype(np.int64)
-        self.cuts = np.concatenate([[0], np.frombuffer(row["cuts"], "<i4")])
-        size = row["outline"][0]
-        outline, _ = _unpacked(row["outline"], 0, (len(row["outline"]) - 1) // size)
-        blocks = len(self.last)
-        sizes, at = outline[:blocks], blocks
-        pairs = outline[blocks:]
-        starts = np.concatenate([[0], np.cumsum(2 * sizes)])[:-1]
-        if blocks == 1:
-            tf, n, first = pairs[:sizes[0]], pairs[sizes[0]:], np.zeros(1, np.int64)
-        else:
-            within = np.arange(int(sizes.sum())) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-            tf = pairs[np.repeat(starts, sizes) + within]
-            n = pairs[np.repeat(starts + sizes, sizes) + within]
-            first = np.cumsum(sizes) - sizes
-        self.maxima = np.maximum.reduceat(worth(tf, length_weight(n, docs, tokens)), first)
+        self.df, self.gaps, self.tfs = row["df"], row["gaps"], row["tfs"]
+        self.width = len(self.gaps) // self.df
+        self.last = np.frombuffer(row["last"], "<u4").astype(np.int64)
+        sizes = np.frombuffer(row["outline_sizes"], np.uint8).astype(np.int64)
+        tf, n = np.frombuffer(row["outline"], "<u4").astype(np.int64).reshape(-1, 2).T
+        self.maxima = np.maximum.reduceat(worth(tf, length_weight(n, docs, tokens)), np.cumsum(sizes) - sizes)
         self.bound = int(self.maxima.max())
         self.blocks: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
@@ -223,10 +228,10 @@ class PostingList:
         """Documents and frequencies."""
         found = self.blocks.get(k)
         if found is None:
-            count = min(BLOCK, self.df - k * BLOCK)
-            gaps, at = _unpacked(self.raw, int(self.cuts[k]), count)
-            tf, _ = _unpacked(self.raw, at, count)
-            found = self.blocks[k] = (np.cumsum(gaps), tf + 1)
+            first, count, kind = k * BLOCK, min(BLOCK, self.df - k * BLOCK), f"<u{self.width}"
+            gaps = np.frombuffer(self.gaps, kind, count, first * self.width).astype(np.int64)
+            docs = np.cumsum(gaps + 1) + (int(self.last[k - 1]) if k else -1)
+            found = self.blocks[k] = (docs, np.frombuffer(self.tfs, kind, count, first * self.width).astype(np.int64) + 1)
         return found
 
     def between(self, low: int, high: int) -> tuple[np.ndarray, np.ndarray]:
@@ -304,6 +309,8 @@ def best_documents(lists: list[tuple[int, PostingList]], m: np.ndarray, top: int
 
 # ---------------------------------------------------------------- search
 
+LIST_COLUMNS = ("shard", "term", "df", "last", "outline_sizes", "outline", "gaps", "tfs")
+
 
 def _asked(queries: DataFrame) -> DataFrame:
     """Each row of `queries` with a number of its own and its terms."""
@@ -339,22 +346,21 @@ def search(queries: DataFrame, index: DataFrame, top: int = TOP, query_block: in
     if distinct.count() <= BROADCAST_TERMS:  # counted: at most so many strings; else the planner chooses
         distinct = F.broadcast(distinct)
     found = index.where("not head").join(distinct, "term", "left_semi").select(
-        "shard", "term", "df", "last", "outline", "cuts", "postings")
+        *LIST_COLUMNS)
     all_df = found.groupBy("term").agg(F.sum("df").alias("all_df"))
     lists = found.join(terms.join(all_df, "term"), "term").select(
-        "shard", "block", "term", "df", "last", "outline", "cuts", "postings", "all_df",
+        *LIST_COLUMNS, "block", "all_df",
         F.col("uses.query").alias("query"), F.col("uses.item_id").alias("item_id"), F.col("uses.n").alias("n"))
     none = F.lit(None)
     heads = index.where("head").select(
-        "shard", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), "term", "df",
-        "last", "outline", "cuts", "postings", none.cast("long").alias("all_df"), none.cast("array<long>").alias("query"),
+        *LIST_COLUMNS, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(blocks - 1).cast("long"))).alias("block"), none.cast("long").alias("all_df"), none.cast("array<long>").alias("query"),
         none.cast("array<long>").alias("item_id"), none.cast("array<long>").alias("n"))
 
     def run(key, pdf):
         heaps = []
         head, rows = pdf[pdf["term"].isna()].iloc[0], pdf[pdf["term"].notna()].to_dict("records")
         ids, lengths = np.frombuffer(head["last"], np.int64), np.frombuffer(head["outline"], np.int64)
-        known, m = np.frombuffer(head["postings"], bool), length_weight(lengths, docs, tokens)
+        known, m = np.frombuffer(head["gaps"], bool), length_weight(lengths, docs, tokens)
         asked_: dict[tuple, list] = {}
         for r in rows:
             w, x = weight(int(r["all_df"]), docs), PostingList(r, docs, tokens)

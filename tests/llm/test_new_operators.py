@@ -158,10 +158,12 @@ def test_search_of_empty_tables(spark):
 
 def test_blocks_are_rejected_before_decompression():
     """A frequent, cheap list is opened only where its block maxima could matter."""
-    docs = [(k, Counter({b"common": 1, b"rare": 60} if k < 30 else {b"common": 1, b"rest": 40})) for k in range(8000)]
-    rows = {t: dict(zip(["shard", "term", "df", "last", "outline", "cuts", "postings", "tokens"], row, strict=True))
-            for row in ranked._shard_rows(0, docs) if (t := row[1])}
-    n = np.array([sum(c.values()) for _, c in docs])
+    docs = [[b"common", *[b"rare"] * 60] if k < 30 else [b"common", *[b"rest"] * 40] for k in range(8000)]
+    shard = ranked.Shard()
+    for k, terms in enumerate(docs):
+        shard.add(k, terms, 1)
+    rows = {r["term"]: r for batch in shard.batches(0) for r in batch.to_pylist()}
+    n = np.array([len(terms) for terms in docs])
     common, rare = (ranked.PostingList(rows[t], 8000, int(n.sum())) for t in ("common", "rare"))
     got, scores = ranked.best_documents([(1, common), (5000, rare)], ranked.length_weight(n, 8000, int(n.sum())), 20)
     assert got.tolist() == list(range(20)) and len(common.blocks) < len(common.last) / 4
