@@ -26,6 +26,7 @@ from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
 from larder.functions import scalars, stats
 from larder.operators import serving
+from larder.session import store
 
 # ---------------------------------------------------------------------------
 # Lagged signal join
@@ -134,6 +135,7 @@ def with_lagged_instrument(lagged: DataFrame, ext: DataFrame, lag_weeks: int) ->
         scalars.ln_or_null(F.col("regular_price")).alias("log_retail"),
         scalars.ln_or_null(F.col("usda_price")).alias("log_usda"),
         scalars.ln_or_null(F.col("prev_value")).alias("log_instrument"),
+        (F.datediff("price_date", F.lit("1970-01-01").cast("date")) / F.lit(365.25)).alias("trend"),
     )
 
 
@@ -153,6 +155,52 @@ def iv_wald(df: DataFrame, y: str, x: str, z: str) -> DataFrame:
     )
 
 
+def two_stage_least_squares(df: DataFrame, y: str, endogenous: list[str], instruments: list[str],
+                            controls: tuple[str, ...] = ()) -> DataFrame:
+    """2SLS with an intercept and `controls`, heteroskedasticity-robust errors: (term, coefficient, se, z, pvalue, n).
+
+    Two passes of partial sums over the rows, of the size of the terms squared: all cross products, and, with the
+    coefficients known, the products of fitted regressors weighted by squared residuals.  Only the sums reach the driver.
+    Too few instruments, or ones that leave the regressors unidentified, are an error.  Rows with a null take no part.
+    """
+    if len(instruments) < len(endogenous):
+        raise ValueError("there must be as many instruments as endogenous regressors")
+    names = ["const", *controls, *endogenous]
+    rows = store(df.select(F.lit(1.0).alias("const"), *[F.col(c).cast("double").alias(c) for c in (
+        *controls, *endogenous, *instruments, y)]).dropna(), "iv-rows")
+    x_cols, z_cols = names, ["const", *controls, *instruments]
+    every = [*names, *instruments, y]
+    pairs = [(a, b) for i, a in enumerate(every) for b in every[i:]]
+    sums = rows.agg(F.count(F.lit(1)).alias("n"), *[F.sum(F.col(a) * F.col(b)).alias(f"{a}|{b}") for a, b in pairs]).first()
+    n = int(sums["n"])
+    schema = "term string, coefficient double, se double, z double, pvalue double, n long"
+    if n <= len(x_cols):
+        return df.sparkSession.createDataFrame([], schema)
+    of = {**{(a, b): sums[f"{a}|{b}"] for a, b in pairs}, **{(b, a): sums[f"{a}|{b}"] for a, b in pairs}}
+    block = lambda a, b: np.array([[of[i, j] for j in b] for i in a])
+    zz, zx, zy = block(z_cols, z_cols), block(z_cols, x_cols), block(z_cols, [y])
+    first = np.linalg.lstsq(zz, zx, rcond=None)[0]  # fitted regressors = z @ first
+    bread = first.T @ zx
+    if np.linalg.matrix_rank(bread) < len(x_cols):
+        raise ValueError("the instruments do not identify the regressors")
+    inverse = np.linalg.inv(bread)
+    beta = (inverse @ first.T @ zy)[:, 0]
+    fitted = [sum((F.col(z) * float(first[i, j]) for i, z in enumerate(z_cols)), F.lit(0.0)) for j in range(len(x_cols))]
+    residual = F.col(y) - sum((F.col(c) * float(v) for c, v in zip(x_cols, beta, strict=True)), F.lit(0.0))
+    squared = rows.select(*[f.alias(f"f{j}") for j, f in enumerate(fitted)], (residual * residual).alias("e2"))
+    places = [(i, j) for i in range(len(x_cols)) for j in range(i, len(x_cols))]
+    found = squared.agg(*[F.sum(F.col("e2") * F.col(f"f{i}") * F.col(f"f{j}")).alias(f"m{i}_{j}") for i, j in places]).first()
+    meat = np.zeros((len(x_cols), len(x_cols)))
+    for i, j in places:
+        meat[i, j] = meat[j, i] = found[f"m{i}_{j}"]
+    se = np.sqrt(np.maximum(np.diag(inverse @ meat @ inverse.T), 0.0))
+    out = []
+    for name, b, s in zip(names, beta, se, strict=True):
+        z = float(b / s) if s > 0 else None
+        out.append((name, float(b), float(s), z, None if z is None else float(stats.normal_two_sided_p(z)), n))
+    return df.sparkSession.createDataFrame(out, schema)
+
+
 # ---------------------------------------------------------------------------
 # Difference in differences
 # ---------------------------------------------------------------------------
@@ -235,69 +283,160 @@ def _collect_sym(rows, k: int):
     return mat, vec, extra
 
 
-def did(history: DataFrame, event: str = "bird_flu_2024", event_date: str = "2024-02-01",
+#: The event studied by default, its date and the states that it struck.
+DEFAULT_EVENT, DEFAULT_DATE, DEFAULT_STATES = "bird_flu_2024", "2024-02-01", ("IA", "MO", "MN")
+
+
+def did(history: DataFrame, event: str = DEFAULT_EVENT, event_date: str = DEFAULT_DATE,
         treated_states: list[str] | None = None, item_category: str | None = "Eggs", window_weeks: int = 4,
         rcond: float = 1e-10) -> DataFrame:
-    """ATT with store and date fixed effects, HC1 errors, normal p and 95 % CI (one row)."""
+    """ATT with store and date fixed effects, HC1 errors, normal p and 95 % CI (one row).
+
+    The panel is read once, into stored (store, date) cells; counts, Gram matrix and the variance come from
+    them.  Where the effect is not identified (it is absorbed by store or date effects), the ATT is that of the minimum-norm
+    solution of the regression on an intercept, treatment, post, their product
+    and treatment-coded store and date effects: `_MinimumNorm`.
+    """
     spark: SparkSession = history.sparkSession
-    treated_states = treated_states or ["IA", "MO", "MN"]
+    treated_states = treated_states or list(DEFAULT_STATES)
     panel = did_panel(history, event_date, treated_states, item_category, window_weeks)
-    start = dt.date.fromisoformat(event_date) - dt.timedelta(weeks=window_weeks)
+    day0 = dt.date.fromisoformat(event_date)
+    start = day0 - dt.timedelta(weeks=window_weeks)
     k = 1 + 14 * window_weeks + 1
-    cells = did_cells(panel).withColumn("tau", F.datediff("price_date", F.lit(start)))
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cells = cells.withColumn("_b", F.pmod(F.hash("store_id"), F.lit(buckets)))
-    cells = cells.select("store_id", "tau", "n", F.col("sum_y").cast("double").alias("sum_y"),
-                         F.col("sum_y2").cast("double").alias("sum_y2"), "d", "_b")
-    counts = panel.agg(
-        F.count(F.lit(1)).alias("n_obs"),
-        F.count_distinct(F.when(F.col("treatment") == 1, F.col("store_id"))).alias("n_treated_stores"),
-        F.count_distinct(F.when(F.col("treatment") == 0, F.col("store_id"))).alias("n_control_stores"),
-    ).first()
-    n_obs = int(counts["n_obs"])
-    base = {"event": event, "event_date": event_date, "n_obs": n_obs,
-            "n_treated_stores": int(counts["n_treated_stores"]), "n_control_stores": int(counts["n_control_stores"])}
+    cells = store(did_cells(panel).select(
+        "store_id", F.datediff("price_date", F.lit(start)).alias("tau"), "n", F.col("sum_y").cast("double").alias("sum_y"),
+        F.col("sum_y2").cast("double").alias("sum_y2"), "d", "treatment",
+        F.pmod(F.hash("store_id"), F.lit(buckets)).alias("_b")), "did-cells")
+
+    def gram(pdf: pd.DataFrame) -> pd.DataFrame:
+        g, b, totals, seen = np.zeros((k, k)), np.zeros(k), np.zeros((k + 3, k + 3)), np.zeros(k + 3)
+        for _, grp in pdf.groupby("store_id", sort=False, dropna=False):
+            zt, n, sy, _, ybar = _design(grp, k)
+            g += (zt * n[:, None]).T @ zt
+            b += zt.T @ (sy - n * ybar)
+            w = _store_row(grp, k)
+            totals += np.outer(w, w)
+            seen[:3] += [n.sum(), w[1], 1 - w[1]]
+            np.add.at(seen, 4 + grp["tau"].to_numpy(np.int64), n)
+        return pd.concat([_emit(g, b, []), _emit(totals, seen, []).assign(i=lambda x: x["i"] + 1000)], ignore_index=True)
+
+    rows = cells.groupBy("_b").applyInPandas(gram, _PARTIAL).groupBy("i", "j").agg(F.sum("v").alias("v")).collect()
+    g, b, _ = _collect_sym([r for r in rows if r.i < 900], k)
+    totals, seen = np.zeros((k + 3, k + 3)), np.zeros(k + 3)
+    for r in rows:
+        if r.i >= 1000:
+            totals[r.i - 1000, r.j] = totals[r.j, r.i - 1000] = r.v
+        elif r.i == 999:
+            seen[r.j] = r.v
+    n_obs, n_treated, n_control = (int(round(v)) for v in seen[:3])
+    base = {"event": event, "event_date": event_date, "n_obs": n_obs, "n_treated_stores": n_treated,
+            "n_control_stores": n_control}
     if n_obs == 0:
         return _did_row(spark, base, None, None, None)
-
-    def gram(pdf_iter):
-        for pdf in pdf_iter:
-            g, b, stores = np.zeros((k, k)), np.zeros(k), 0
-            for _, grp in pdf.groupby("store_id", sort=False):
-                zt, n, sy, _, ybar = _design(grp, k)
-                g += (zt * n[:, None]).T @ zt
-                b += zt.T @ (sy - n * ybar)
-                stores += 1
-            yield _emit(g, b, [float(stores)])
-
-    part = cells.groupBy("_b").applyInPandas(lambda pdf: next(gram(iter([pdf]))), _PARTIAL)
-    g, b, extra = _collect_sym(part.groupBy("i", "j").agg(F.sum("v").alias("v")).collect(), k)
-    n_stores = int(round(extra.get(0, 0.0)))
-    if g[0, 0] <= 1e-12:  # treatment x post constant after absorbing stores: no identified effect
-        return _did_row(spark, base, 0.0, None, None)
-    ginv = np.linalg.pinv(g, rcond=rcond)
-    rank = int(np.linalg.matrix_rank(g, tol=1e-8 * max(1.0, np.abs(g).max())))
+    first = cells.filter(F.col("store_id").eqNullSafe(cells.select(F.min("store_id")).scalar())).toPandas()  # one store's cells
+    ginv = np.linalg.pinv(g, rcond=rcond, hermitian=True)
+    rank = int(np.linalg.matrix_rank(g, tol=1e-8 * max(1.0, np.abs(g).max()), hermitian=True))
     beta = ginv @ b
-    n_params = n_stores + rank
-
-    def meat(pdf_iter):
-        for pdf in pdf_iter:
-            m = np.zeros((k, k))
-            for _, grp in pdf.groupby("store_id", sort=False):
-                zt, n, sy, syy, ybar = _design(grp, k)
-                c = ybar + zt @ beta
-                rss = syy - 2 * c * sy + n * c * c
-                m += (zt * rss[:, None]).T @ zt
-            yield _emit(m, np.zeros(k), [])
-
-    part2 = cells.groupBy("_b").applyInPandas(lambda pdf: next(meat(iter([pdf]))), _PARTIAL)
-    m, _, _ = _collect_sym(part2.groupBy("i", "j").agg(F.sum("v").alias("v")).collect(), k)
-    att = float(beta[0])
-    if n_obs <= n_params:
+    post = np.arange(k - 1) >= 7 * window_weeks
+    norm = _MinimumNorm(g, totals, _store_row(first, k), seen[4:] > 0, post)
+    att = norm.effect(beta)
+
+    def spread(pdf: pd.DataFrame) -> pd.DataFrame:
+        total = 0.0
+        for _, grp in pdf.groupby("store_id", sort=False, dropna=False):
+            zt, n, sy, syy, ybar = _design(grp, k)
+            c = ybar + zt @ beta
+            rss = syy - 2 * c * sy + n * c * c
+            weight = zt @ (ginv @ norm.on_reduced) + norm.on_store(_store_row(grp, k)) / n.sum()
+            total += float((weight * weight * rss).sum())
+        return pd.DataFrame({"i": [0], "j": [0], "v": [total]})
+
+    if n_obs <= n_treated + n_control + rank:
         return _did_row(spark, base, att, None, None)
-    var = (ginv @ m @ ginv)[0, 0] * n_obs / (n_obs - n_params)
+    var = cells.groupBy("_b").applyInPandas(spread, _PARTIAL).agg(F.sum("v")).first()[0]
+    var *= n_obs / (n_obs - n_treated - n_control - rank)
     se = math.sqrt(max(var, 0.0))
-    return _did_row(spark, base, att, se, rank)
+    return _did_row(spark, base, att, se if se > 1e-12 * max(1.0, abs(att)) else None, rank)
+
+
+def _store_row(group: pd.DataFrame, k: int) -> np.ndarray:
+    """(1, treated, mean of y, means of the k regressors) of one store."""
+    n = group["n"].to_numpy(np.float64)
+    z = np.zeros((len(group), k))
+    z[:, 0] = group["d"].to_numpy(np.float64)
+    z[np.arange(len(group)), 1 + group["tau"].to_numpy(np.int64)] = 1.0
+    return np.concatenate([[1.0, float(group["treatment"].max()), group["sum_y"].sum() / n.sum()], (n @ z) / n.sum()])
+
+
+class _MinimumNorm:
+    """The effect in the minimum-norm solution, from what the reduced regression (stores demeaned) leaves.
+
+    Any solution has store effects m_s = ybar_s - zbar_s b.  Directions that change no fitted value are: treatment
+    against its stores, post against its dates, and the null vectors of the reduced Gram matrix with
+    the store effects that offset them.  The minimum-norm solution is the one without a part along them; lengths are
+    those of the treatment-coded coefficients, whose sums over stores come from `totals`
+    (sums of w w' over stores, w = (1, treated, ybar, zbar)).  So the number of stores does not matter here.
+    """
+
+    def __init__(self, g: np.ndarray, totals: np.ndarray, first: np.ndarray, seen: np.ndarray, post: np.ndarray):
+        k = len(g)
+        self.totals, self.first, self.k = totals, first, k
+        self.days = np.flatnonzero(seen)
+        value, vector = np.linalg.eigh(g)
+        null = vector[:, value <= 1e-9 * max(1.0, float(np.abs(value).max()))]
+        unused = np.flatnonzero(~seen) + 1  # days without rows have no coefficient
+        null[unused] = 0.0
+        # a direction: (on the product, treatment, post, days, and weights of w that give the store effects)
+        self.directions = [(0.0, 1.0, 0.0, np.zeros(k - 1), self._weights(treated=-1.0)),
+                           (0.0, 0.0, 1.0, -post.astype(float), self._weights())]
+        for u in null.T:
+            self.directions.append((float(u[0]), 0.0, 0.0, u[1:].copy(), self._weights(z=-u)))
+        dots = np.array([[self._dot(a, b) for b in self.directions] for a in self.directions])
+        along = np.array([d[0] for d in self.directions])
+        self.share = np.linalg.pinv(dots, rcond=1e-9, hermitian=True) @ along  # effect = b_D - share . dots(directions, solution)
+        self.on_reduced, self.store_weights = self._linear()
+
+    def _weights(self, treated: float = 0.0, y: float = 0.0, z: np.ndarray | None = None) -> np.ndarray:
+        return np.concatenate([[0.0, treated, y], np.zeros(self.k) if z is None else z])
+
+    def _dot(self, a: tuple, b: tuple) -> float:
+        """The product of two coefficient vectors in treatment coding: intercept, store and date effects against the first ones."""
+        da, db = a[3][self.days], b[3][self.days]
+        ma, mb = self.first @ a[4], self.first @ b[4]
+        stores = a[4] @ self.totals @ b[4] - ma * (self.totals[0] @ b[4]) - mb * (self.totals[0] @ a[4]) + ma * mb * self.totals[0, 0]
+        dates = float((da - da[0]) @ (db - db[0]))
+        return a[0] * b[0] + a[1] * b[1] + a[2] * b[2] + (ma + da[0]) * (mb + db[0]) + stores + dates
+
+    def solution(self, beta: np.ndarray) -> tuple:
+        return float(beta[0]), 0.0, 0.0, beta[1:], self._weights(y=1.0, z=-beta)
+
+    def effect(self, beta: np.ndarray) -> float:
+        found = self.solution(beta)
+        return float(beta[0] - self.share @ np.array([self._dot(d, found) for d in self.directions]))
+
+    def _linear(self) -> tuple[np.ndarray, tuple]:
+        """The effect as a linear form: weights on b and on each store's m_s (as weights of w, and at the first store)."""
+        k = self.k
+        on_b, slope, at_first = np.zeros(k), np.zeros(k + 3), 0.0
+        on_b[0] = 1.0
+        for s, d in zip(self.share, self.directions, strict=True):
+            days = np.zeros(k - 1)
+            dd = d[3][self.days]
+            m1 = float(self.first @ d[4])
+            days[self.days] = dd - dd[0]
+            days[self.days[0]] += (m1 + dd[0]) - float((dd - dd[0]).sum())
+            on_b[0] -= s * d[0]
+            on_b[1:] -= s * days
+            slope -= s * (d[4] - m1 * np.eye(k + 3)[0])  # on m_s: the direction's store effect against the first store's
+            at_first -= s * ((m1 + dd[0]) - float(self.totals[0] @ d[4] - m1 * self.totals[0, 0]))
+        # m_s = ybar_s - zbar_s b: what b takes from the store effects
+        means = slope @ self.totals[:, 3:] + at_first * self.first[3:]
+        return on_b - means, (slope, at_first)
+
+    def on_store(self, w: np.ndarray) -> float:
+        slope, at_first = self.store_weights
+        return float(w @ slope) + (at_first if np.array_equal(w, self.first) else 0.0)
 
 
 def _did_row(spark: SparkSession, base: dict, att, se, rank) -> DataFrame:
@@ -324,7 +463,7 @@ def add_running_variable(df: DataFrame, threshold_type: str, date_col: str = "pr
         return df.withColumn("running_var", scalars.days_to_month_end(d))
     if threshold_type == "day_of_year":
         return df.withColumn("running_var", scalars.day_of_year_centered(d))
-    raise ValueError(f"Unknown threshold_type: {threshold_type}")
+    raise ValueError(f"no running variable is defined for {threshold_type!r}")
 
 
 def local_linear_rdd(df: DataFrame, running_col: str = "running_var", outcome_col: str = "is_on_sale",

@@ -9,6 +9,9 @@ Model families, each fitted for every series at once:
   yearly (order 10) Fourier terms, one `applyInPandas` call per series over
   its dates' sums, which the lookback window bounds.
 
+* `change_points` (Python, `trend.py`): a piecewise-linear trend with L1-penalised
+  bends and both cycles.
+
 The last `holdout` rows of each series are held out (series need at least
 `min_rows` rows in the lookback, and at least 2 distinct training dates).
 """
@@ -202,6 +205,11 @@ def fit_forecasts(history: DataFrame, lookback_days: int = 90, as_of=None, holdo
     if method == "trend_weekday":
         fitted = fit_trend_weekday(data, holdout, min_rows)
         return holdout_errors(fitted), trend_weekday_models(fitted)
+    if method == "change_points":
+        from larder.operators import trend
+
+        out = trend.change_point_forecasts(data, holdout, min_rows)
+        return out.select(*SERIES, "mae", "mape", "n_holdout", "n_train"), out
     if method == "fourier":
         out = fourier_forecasts(data, holdout, min_rows)
         return out.select(*SERIES, "mae", "mape", "n_holdout", "n_train"), out
@@ -254,6 +262,15 @@ def _fourier_one(pdf: pd.DataFrame, holdout: int, min_rows: int, weekly: int = 3
     })
 
 
+def date_cells(df: DataFrame, holdout: int, hot_series_rows: int | None = HOT_SERIES_ROWS) -> tuple[DataFrame, DataFrame]:
+    """(training cells, held-out rows): day `t`, rows `n` and sum `y` per series and date, and each held-out row."""
+    rows = df.select(*SERIES, "price_date", TIEBREAK, F.col("regular_price").cast("double").alias("y"))
+    rows = flag_holdout(rows, holdout, hot_series_rows).withColumn("t", _days(F.col("price_date")))
+    cells = rows.filter(~F.col("is_holdout")).groupBy(*SERIES, "t").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("y").alias("y")).select(*SERIES, "t", "n", "y", F.lit(False).alias("is_holdout"))
+    return cells, rows.filter("is_holdout").select(*SERIES, "t", F.lit(1).cast("long").alias("n"), "y", "is_holdout")
+
+
 def fourier_forecasts(df: DataFrame, holdout: int = 14, min_rows: int = 16,
                       hot_series_rows: int | None = HOT_SERIES_ROWS) -> DataFrame:
     """One ridge fit per series.
@@ -262,11 +279,7 @@ def fourier_forecasts(df: DataFrame, holdout: int = 14, min_rows: int = 16,
     cell per date (partial aggregates); a series brings at most one cell per day
     of the lookback and its held-out rows to one task, however many rows it has.
     """
-    rows = df.select(*SERIES, "price_date", TIEBREAK, F.col("regular_price").cast("double").alias("y"))
-    rows = flag_holdout(rows, holdout, hot_series_rows).withColumn("t", _days(F.col("price_date")))
-    cells = rows.filter(~F.col("is_holdout")).groupBy(*SERIES, "t").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("y").alias("y")).select(*SERIES, "t", "n", "y", F.lit(False).alias("is_holdout"))
-    tail = rows.filter("is_holdout").select(*SERIES, "t", F.lit(1).cast("long").alias("n"), "y", "is_holdout")
+    cells, tail = date_cells(df, holdout, hot_series_rows)
     return cells.unionByName(tail).groupBy(*SERIES).applyInPandas(
         lambda pdf: _fourier_one(pdf, holdout, max(min_rows, holdout + 2)), FOURIER_SCHEMA)
 

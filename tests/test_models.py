@@ -199,3 +199,93 @@ def test_plans_do_not_multiply_their_input(spark, name, readings):
     df.collect()  # no series is hot: adaptive execution drops the branches of hot ones
     final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
     assert final.count("FileScan parquet") <= (2 if name != "attach_forecasts" else 4) * once
+
+
+def test_change_points_recover_a_planted_break(spark):
+    from larder.operators import trend
+
+    t = np.arange(200)
+    line = 20 + 0.02 * t + 0.15 * np.maximum(t - 80, 0) + 0.3 * np.sin(2 * np.pi * (t + 0) / 7)
+    df = daily(spark, line.tolist()).unionByName(daily(spark, (20 + 0.02 * t).tolist(), "straight")).unionByName(
+        daily(spark, [1.0] * 10, "short"))
+    _, out = forecast.fit_forecasts(df, 3650, "2024-12-31", method="change_points")
+    got = {r["item_id"]: r for r in out.collect()}
+    assert set(got) == {"i", "straight"} and got["i"]["n_train"] == 186 and got["i"]["n_holdout"] == 14
+    day = lambda d: (d - dt.date(2024, 1, 1)).days
+    near = [c["delta"] for c in got["i"]["changes"] if 65 <= day(c["ds"]) <= 95]
+    assert sum(near) == pytest.approx(0.15, abs=0.04) and max(abs(c["delta"]) for c in got["i"]["changes"]) in map(abs, near)
+    assert got["i"]["yhat_14"] == pytest.approx(line[-1], abs=1.0) and sum(abs(c["delta"]) for c in got["straight"]["changes"]) < 0.01
+    # the solution meets the optimality conditions of its objective, and is least squares without penalties
+    x, y = trend.design(t.astype(float), 0.0, 199.0, trend.change_point_days(t.astype(float))), line
+    gram, moment, ridge = x.T @ x / 200, x.T @ y / 200, np.r_[np.zeros(27), np.full(6, 1e-3)]
+    bends = np.arange(2, 27)
+    for penalty in (1e-4, 1e-2):
+        b = trend.penalised_fit(gram, moment, ridge, bends, penalty)
+        slope = gram @ b - moment + ridge * b
+        assert np.abs(np.delete(slope, bends)).max() < 1e-8
+        assert all(abs(s + penalty * np.sign(v)) < 1e-7 if v else abs(s) <= penalty + 1e-9 for s, v in zip(slope[bends], b[bends], strict=True))
+    free = trend.penalised_fit(gram, moment, ridge, np.array([], int), 0.0)
+    assert np.allclose(free, np.linalg.solve(gram + np.diag(ridge), moment), atol=1e-6)
+
+
+def full_regression(rows: list[tuple], event: dt.date):
+    """The whole dummy regression, by pseudo-inverse: (effect, HC1 error or None)."""
+    stores, dates = sorted({r[2] for r in rows}), sorted({r[4] for r in rows})
+    x = np.array([[1.0, r[3] == "IA", r[4] >= event, r[3] == "IA" and r[4] >= event, *[r[2] == s for s in stores[1:]],
+                   *[r[4] == d for d in dates[1:]]] for r in rows], float)
+    y = np.array([float(r[5]) for r in rows])
+    inv = np.linalg.pinv(x)
+    beta, n, k = inv @ y, len(y), np.linalg.matrix_rank(x)
+    e = y - x @ beta
+    return beta[3], None if n <= k else np.sqrt((inv[3] ** 2 @ e ** 2) * n / (n - k))
+
+
+@pytest.mark.parametrize("kind", ["identified", "treated after only", "all treated", "none treated", "mixed"])
+def test_did_is_the_minimum_norm_solution(spark, kind):
+    from larder.operators import causal
+
+    rnd, event, rows = random.Random(3), dt.date(2024, 2, 1), []
+    for s in range(7):
+        state = "IA" if kind == "all treated" or (s in (0, 2, 5) and kind != "none treated") else "TX"
+        for d in range(-9, 12):
+            if state == "IA" and d < 0 and (kind == "treated after only" or (kind == "mixed" and s != 0)):
+                continue
+            if kind == "mixed" and s == 0 and d >= 0:
+                continue
+            for _ in range(rnd.choice([0, 1, 2, 2])):
+                rows.append((f"L{len(rows)}", "A", f"S{s}", state, event + dt.timedelta(days=d),
+                             Decimal(f"{5 + s * 0.3 + d * 0.05 + rnd.uniform(-1, 1):.2f}"), "Eggs"))
+    df = spark.createDataFrame(rows, "load_id string, item_id string, store_id string, store_state string, "
+                                     "price_date date, regular_price decimal(10,2), category string")
+    got = causal.did(df, "e", "2024-02-01", ["IA"], "Eggs", 4).first()
+    att, se = full_regression(rows, event)
+    assert got["att"] == pytest.approx(att, abs=6e-5)
+    assert got["n_obs"] == len(rows) and got["n_treated_stores"] + got["n_control_stores"] == 7
+    if kind == "none treated":
+        assert got["se"] is None
+    else:
+        assert got["se"] == pytest.approx(se, abs=2e-6)
+
+
+def test_two_stage_least_squares_against_numpy(spark):
+    from larder.operators import causal
+
+    r = np.random.Generator(np.random.PCG64(5))
+    z, w, u = r.standard_normal((300, 2)), r.standard_normal(300), r.standard_normal(300)
+    x = z @ [0.8, -0.5] + 0.4 * w + u + r.standard_normal(300) * 0.2
+    y = 1 + 2 * x - 0.7 * w + 1.5 * u * (1 + np.abs(z[:, 0]))
+    rows = [(float(a), float(b), float(c), float(d), float(e)) for a, b, (c, d), e in zip(y, x, z, w, strict=True)]
+    df = spark.createDataFrame([*rows, (1.0, None, 1.0, 1.0, 1.0)], "y double, x double, z1 double, z2 double, w double")
+    got = {t["term"]: t for t in causal.two_stage_least_squares(df, "y", ["x"], ["z1", "z2"], ("w",)).collect()}
+    xs, zs = np.column_stack([np.ones(300), w, x]), np.column_stack([np.ones(300), w, z])
+    hat = zs @ np.linalg.lstsq(zs, xs, rcond=None)[0]
+    inv = np.linalg.inv(hat.T @ xs)
+    beta = inv @ hat.T @ y
+    e = y - xs @ beta
+    se = np.sqrt(np.diag(inv @ (hat.T * e ** 2) @ hat @ inv.T))
+    for k, name in enumerate(("const", "w", "x")):
+        assert got[name]["coefficient"] == pytest.approx(beta[k]) and got[name]["se"] == pytest.approx(se[k])
+        assert got[name]["n"] == 300
+    with pytest.raises(ValueError):
+        causal.two_stage_least_squares(df, "y", ["x", "w"], ["z1"])
+    assert causal.two_stage_least_squares(df.limit(2), "y", ["x"], ["z1"]).count() == 0
