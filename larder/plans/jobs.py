@@ -3,9 +3,9 @@
 Each job is one Python function chaining DataFrame plans; intermediate marts
 are written as tables (which also cuts lineage, so a lost executor recomputes
 from the last written table rather than from the raw scan).  Output folders
-live under the shared checkpoint folder unless a path is given.  Every write
-is an overwrite of a deterministic location (or a dynamic partition
-overwrite), so a retried job converges to the same state.
+live under the shared checkpoint folder unless a path is given.  With a path,
+every write is an overwrite of it, a dynamic partition overwrite or an append of what it does not
+hold yet, so a retried job converges to the same state.
 """
 
 from __future__ import annotations
@@ -152,7 +152,10 @@ def write_buy_signals(history: DataFrame, model, models: DataFrame, path: str) -
 def job_backfill(spark: SparkSession, raw_prices: DataFrame, crowd_pages: DataFrame, days: int = 180,
                  as_of: str = fx.AS_OF, dry_run: bool = True, store_id: str = "S0",
                  out_path: str | None = None, page_size: int = 100, max_pages: int | None = None) -> DataFrame:
-    """L4: tracked codes -> collapse pages -> dates -> skip existing -> normalize -> append.
+    """L4: tracked codes -> collapse pages -> dates -> skip existing -> normalize -> append what `out_path` does not hold.
+
+    A row's load id is a hash of its code, date, place in the responses and payload, and its partition its
+    date, so a second run over the same responses appends nothing.
 
     crowd_pages: (code, page, items array<struct<crowd record>>) as landed from the API.
     """
@@ -170,5 +173,6 @@ def job_backfill(spark: SparkSession, raw_prices: DataFrame, crowd_pages: DataFr
     landed = landing.land_price_payloads(payloads.select(
         landing.load_id("product_id", "date_str", "_page", "_pos", "payload").alias("load_id"),
         "loaded_at", "store_id", "product_id", "payload"))
-    n = ingest.append(landed, out_path or _out(spark, None, "raw_prices_backfill"), dry_run)
+    landed = landed.withColumn("load_date", F.col("loaded_at").cast("date"))
+    n = ingest.append_once(landed, out_path or _out(spark, None, "raw_prices_backfill"), "load_id", "load_date", dry_run)
     return spark.createDataFrame([(cutoff, dry_run, n)], "cutoff string, dry_run boolean, rows long")

@@ -227,6 +227,33 @@ def append(df: DataFrame, path: str, dry_run: bool = False, partition_by: list[s
     return int(rows.get["n"])
 
 
+def append_once(df: DataFrame, path: str, key: str = "load_id", partition_col: str | None = None,
+                dry_run: bool = False) -> int:
+    """X15, repeatable: append the rows whose `key` the table does not hold yet; returns how many.
+
+    A row's key must not change from run to run, and equal keys must be in the same partition: then only the
+    partitions that `df` has are looked up.  Of rows of `df` with the same key one is
+    appended; rows without a key are an error, as they could never be told apart.
+    """
+    spark = df.sparkSession
+    if df.filter(F.col(key).isNull()).limit(1).count():
+        raise ValueError(f"rows without {key} cannot be appended once")
+    fresh = df.dropDuplicates([key])
+    if _exists(spark, path):
+        held = spark.read.parquet(path)
+        if partition_col:
+            parts = df.select(F.col(partition_col).alias("_part")).distinct()
+            held = held.join(parts, held[partition_col].eqNullSafe(parts["_part"]), "left_semi")
+        fresh = fresh.join(held.select(F.col(key).alias("_held")), F.col(key) == F.col("_held"), "left_anti")
+    return append(fresh, path, dry_run, [partition_col] if partition_col else None)
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    """Whether the table has been written, by the file system that Spark uses for the path."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def _spread(df: DataFrame, partition_col: str, sort_cols: list[str]) -> DataFrame:
     """Ranges of (partition value, sort columns): a day may take many tasks, and a task few days."""
     return df.repartitionByRange(partition_col, *sort_cols).sortWithinPartitions(partition_col, *sort_cols)

@@ -15,7 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from larder.sources.landing import land_price_payloads
+from larder.sources.landing import land_price_payloads, load_id
 
 DOC_SCHEMA = "load_id string, loaded_at timestamp_ntz, store_id string, product_id string, payload string"
 TABLE_SCHEMA = "load_id string, loaded_at timestamp_ntz, store_id string, product_id string, raw_payload variant, load_part date"
@@ -31,15 +31,18 @@ def land_batch(docs: DataFrame, table_path: str, granularity: str = "day") -> No
 
     The partition column is the load day (or month for multi-year replays); a
     repeated load_id has the same load time and so the same partition, which
-    keeps the look-up to the batch's partitions.
+    keeps the look-up to the batch's partitions.  A document without a load_id is
+    keyed by a hash of its content; one without a load time has the partition of those without.
     """
     day = F.col("loaded_at").cast("date")
     part = day if granularity == "day" else F.trunc(day, "month").cast("date")
-    batch = docs.dropDuplicates(["load_id"]).withColumn("load_part", part)
+    own = load_id("loaded_at", "store_id", "product_id", "payload")
+    batch = docs.withColumn("load_id", F.coalesce("load_id", own)).dropDuplicates(["load_id"]).withColumn("load_part", part)
     landed = docs.sparkSession.read.schema(TABLE_SCHEMA).parquet(table_path).select(
         "load_part", F.col("load_id").alias("_landed"))
-    landed = landed.join(batch.select("load_part").distinct(), "load_part", "left_semi").select("_landed")
-    fresh = batch.join(landed, F.col("load_id").eqNullSafe(F.col("_landed")), "left_anti")
+    parts = batch.select(F.col("load_part").alias("_part")).distinct()
+    landed = landed.join(parts, F.col("load_part").eqNullSafe(F.col("_part")), "left_semi").select("_landed")
+    fresh = batch.join(landed, F.col("load_id") == F.col("_landed"), "left_anti")
     rows = land_price_payloads(fresh).withColumn("load_part", part)
     # ranges, not one task per partition value
     (rows.repartitionByRange("load_part", "store_id", "product_id").write.mode("append")

@@ -289,3 +289,51 @@ def test_two_stage_least_squares_against_numpy(spark):
     with pytest.raises(ValueError):
         causal.two_stage_least_squares(df, "y", ["x", "w"], ["z1"])
     assert causal.two_stage_least_squares(df.limit(2), "y", ["x"], ["z1"]).count() == 0
+
+
+def test_compressed_promo_ranges(spark):
+    from collections import Counter
+
+    from tests.test_estimators import crowded_series
+
+    df = crowded_series(spark, [10] * 12 + [60] + [3] * 10, odd=True)
+    for make in (marts.promo_calendar_range, marts.promo_calendar_links, marts.promo_calendar_ends):
+        plain, split = (Counter(map(str, make(df, hot_series_rows=k).collect())) for k in (None, 40))
+        assert plain == split and plain
+    links = marts.promo_calendar_links(df)
+    assert links.agg(F.sum(F.greatest("n_ends", F.lit(1)))).first()[0] == marts.promo_calendar_range(df).count()
+    few = links.filter("sale_start_date < '2024-01-03'")
+    some = marts.expand_links(few, marts.promo_calendar_ends(df))
+    want = marts.promo_calendar_range(df).filter("sale_start_date < '2024-01-03'")
+    assert some.exceptAll(want).count() == 0 and some.count() == want.count() > few.count()
+
+
+def test_append_once_and_backfill_are_repeatable(spark, tmp_path):
+    from larder.plans import catalog, jobs
+    from larder.sources import documents, ingest
+
+    rows = spark.createDataFrame([("a", "2024-01-01"), ("b", "2024-01-01"), ("b", "2024-01-01"), ("c", None)],
+                                 "load_id string, day string")
+    path = f"{tmp_path}/t"
+    assert [ingest.append_once(rows, path, partition_col="day") for _ in range(3)] == [3, 0, 0]
+    assert ingest.append_once(rows.filter("load_id = 'a'").withColumn("load_id", F.lit("d")), path, partition_col="day") == 1
+    assert ingest.append_once(rows, path, partition_col="day", dry_run=True) == 0 and spark.read.parquet(path).count() == 4
+    with pytest.raises(ValueError):
+        ingest.append_once(rows.withColumn("load_id", F.lit(None).cast("string")), path)
+    items = documents.crowd_items(fx.fx_price(spark, SF_SMALL)).withColumn("code", F.col("product_id")).drop("product_id", "upc")
+    pages = documents.crowd_pages(items, "code", 100)
+    run = lambda: jobs.job_backfill(spark, catalog.raw_prices(spark, SF_SMALL), pages, 365, catalog.BACKFILL_AS_OF, False,
+                                    out_path=f"{tmp_path}/b").first()["rows"]
+    first = run()
+    assert first > 0 and run() == 0 and spark.read.parquet(f"{tmp_path}/b").count() == first
+
+
+def test_stream_keeps_documents_without_ids_apart(spark, tmp_path):
+    from larder.streaming import landing_stream
+
+    docs = spark.createDataFrame([(None, None, f"s{k % 3}", "p", '{"n": %d}' % k) for k in range(5)],
+                                 landing_stream.DOC_SCHEMA)
+    spark.createDataFrame([], landing_stream.TABLE_SCHEMA).write.partitionBy("load_part").parquet(f"{tmp_path}/t")
+    for _ in range(2):
+        landing_stream.land_batch(docs, f"{tmp_path}/t")
+    assert spark.read.parquet(f"{tmp_path}/t").count() == 5
