@@ -236,39 +236,53 @@ def _fourier_design(t: np.ndarray, t0: float, weekly: int, yearly: int) -> np.nd
 def _fourier_one(pdf: pd.DataFrame, holdout: int, min_rows: int, weekly: int = 3, yearly: int = 10,
                  ridge: float = 1.0) -> pd.DataFrame:
     """One series: training cells (a date's rows and their sum) and its held-out rows."""
-    pdf = pdf.sort_values(["t", "is_holdout"])
-    cells, tail = pdf[~pdf["is_holdout"]], pdf[pdf["is_holdout"]]
-    n_train = int(cells["n"].sum())
-    none = pd.DataFrame(columns=[c.split()[0] for c in FOURIER_SCHEMA.split(", ")])
-    t, n = cells["t"].to_numpy(dtype="float64"), cells["n"].to_numpy(dtype="float64")
-    if n_train + len(tail) < min_rows or n_train < 2 or np.ptp(t) == 0:
-        return none
+    t, n, total, tail_t, y = split_cells(pdf)
+    n_train = int(n.sum())
+    if n_train + len(y) < min_rows or n_train < 2 or np.ptp(t) == 0:
+        return pd.DataFrame(columns=[c.split()[0] for c in FOURIER_SCHEMA.split(", ")])
     x = _fourier_design(t, t[0], weekly, yearly)
     penalty = ridge * np.eye(x.shape[1])
     penalty[0, 0] = penalty[1, 1] = 0.0
     coef = np.linalg.solve(x.T @ (n[:, None] * x) + penalty + 1e-9 * np.eye(x.shape[1]),
-                           x.T @ cells["y"].to_numpy(dtype="float64"))
-    y = tail["y"].to_numpy(dtype="float64")
-    err = np.abs(y - _fourier_design(tail["t"].to_numpy(dtype="float64"), t[0], weekly, yearly) @ coef)
+                           x.T @ total)
+    err = np.abs(y - _fourier_design(tail_t, t[0], weekly, yearly) @ coef)
     with np.errstate(divide="ignore", invalid="ignore"):
         ape = np.where(y != 0, err / y, np.nan)
     fut = _fourier_design(t[-1] + np.array([7.0, 14.0]), t[0], weekly, yearly) @ coef
     return pd.DataFrame({
         "item_id": [pdf["item_id"].iloc[0]], "store_id": [pdf["store_id"].iloc[0]],
-        "n_train": [n_train], "n_holdout": [len(tail)],
+        "n_train": [n_train], "n_holdout": [len(y)],
         "mae": [float(err.mean())], "mape": [float(np.nanmean(ape)) if np.isfinite(ape).any() else None],
         "yhat_7": [round(float(fut[0]), 4)], "yhat_14": [round(float(fut[1]), 4)],
         "train_end": [(pd.Timestamp(EPOCH) + pd.Timedelta(days=int(t[-1]))).date()],
     })
 
 
-def date_cells(df: DataFrame, holdout: int, hot_series_rows: int | None = HOT_SERIES_ROWS) -> tuple[DataFrame, DataFrame]:
-    """(training cells, held-out rows): day `t`, rows `n` and sum `y` per series and date, and each held-out row."""
+def date_cells(df: DataFrame, holdout: int, hot_series_rows: int | None = HOT_SERIES_ROWS) -> DataFrame:
+    """Day `t`, training rows `n`, their sum `y` and the held-out prices `tail`, per series and date.
+
+    Dealt to as many tasks as a shuffle has: the cells are few, but what is fitted on them takes time.
+    """
     rows = df.select(*SERIES, "price_date", TIEBREAK, F.col("regular_price").cast("double").alias("y"))
     rows = flag_holdout(rows, holdout, hot_series_rows).withColumn("t", _days(F.col("price_date")))
-    cells = rows.filter(~F.col("is_holdout")).groupBy(*SERIES, "t").agg(
-        F.count(F.lit(1)).alias("n"), F.sum("y").alias("y")).select(*SERIES, "t", "n", "y", F.lit(False).alias("is_holdout"))
-    return cells, rows.filter("is_holdout").select(*SERIES, "t", F.lit(1).cast("long").alias("n"), "y", "is_holdout")
+    train = ~F.col("is_holdout")
+    cells = rows.groupBy(*SERIES, "t").agg(
+        F.count(F.when(train, F.lit(1))).alias("n"), F.sum(F.when(train, F.col("y"))).alias("y"),
+        F.sort_array(F.collect_list(F.when(~train, F.col("y")))).alias("tail"))
+    return by_series(cells)
+
+
+def by_series(cells: DataFrame) -> DataFrame:
+    return cells.repartition(int(cells.sparkSession.conf.get("spark.sql.shuffle.partitions")), *SERIES)
+
+
+def split_cells(pdf: pd.DataFrame) -> tuple[np.ndarray, ...]:
+    """(t, n, y) of the cells with training rows, by day, and (t, y) of the held-out rows."""
+    pdf = pdf.dropna(subset=["t"]).sort_values("t")
+    used = pdf[pdf["n"] > 0]
+    held = [(t, y) for t, tail in zip(pdf["t"], pdf["tail"], strict=True) for y in tail]
+    tail = np.array(held, np.float64).reshape(-1, 2)
+    return (*[used[c].to_numpy(np.float64) for c in ("t", "n", "y")], tail[:, 0], tail[:, 1])
 
 
 def fourier_forecasts(df: DataFrame, holdout: int = 14, min_rows: int = 16,
@@ -279,8 +293,7 @@ def fourier_forecasts(df: DataFrame, holdout: int = 14, min_rows: int = 16,
     cell per date (partial aggregates); a series brings at most one cell per day
     of the lookback and its held-out rows to one task, however many rows it has.
     """
-    cells, tail = date_cells(df, holdout, hot_series_rows)
-    return cells.unionByName(tail).groupBy(*SERIES).applyInPandas(
+    return date_cells(df, holdout, hot_series_rows).groupBy(*SERIES).applyInPandas(
         lambda pdf: _fourier_one(pdf, holdout, max(min_rows, holdout + 2)), FOURIER_SCHEMA)
 
 
@@ -333,7 +346,7 @@ def _residual_one(pdf: pd.DataFrame, min_rows: int, rounds: int, depth: int, rat
 def residual_models(cells: DataFrame, min_rows: int = 28, rounds: int = 50, depth: int = 3, rate: float = 0.1) -> DataFrame:
     """One boosted model per series of at least `min_rows` rows: `effect` is its prediction for every
     (day of week, week of month, month), so that scoring is a look-up (`residual_effect`)."""
-    return cells.dropna(subset=["day_of_week"]).groupBy(*SERIES).applyInPandas(
+    return by_series(cells.dropna(subset=["day_of_week"])).groupBy(*SERIES).applyInPandas(
         lambda pdf: _residual_one(pdf, min_rows, rounds, depth, rate), RESIDUAL_SCHEMA)
 
 

@@ -97,20 +97,17 @@ def fit_series(t: np.ndarray, n: np.ndarray, total: np.ndarray, penalty: float,
 
 def _one(pdf: pd.DataFrame, min_rows: int, penalty: float, ridge: float) -> pd.DataFrame:
     names = ("item_id", "store_id", "n_train", "n_holdout", "mae", "mape", "slope", "changes", "yhat_7", "yhat_14", "train_end")
-    pdf = pdf.dropna(subset=["t"]).sort_values(["t", "is_holdout"])
-    cells, tail = pdf[~pdf["is_holdout"]], pdf[pdf["is_holdout"]]
-    t, n = cells["t"].to_numpy(np.float64), cells["n"].to_numpy(np.float64)
-    if n.sum() + len(tail) < min_rows or n.sum() < 2 or not len(t) or np.ptp(t) == 0:
+    t, n, total, tail_t, y = fc.split_cells(pdf)
+    if n.sum() + len(y) < min_rows or n.sum() < 2 or np.ptp(t) == 0:
         return pd.DataFrame(columns=list(names))
-    model = fit_series(t, n, cells["y"].to_numpy(np.float64), penalty, ridge)
-    y = tail["y"].to_numpy(np.float64)
-    err = np.abs(y - model["predict"](tail["t"].to_numpy(np.float64))) if len(tail) else np.empty(0)
+    model = fit_series(t, n, total, penalty, ridge)
+    err = np.abs(y - model["predict"](tail_t))
     day = lambda d: (pd.Timestamp(fc.EPOCH) + pd.Timedelta(days=int(d))).date()
     deltas = model["beta"][2:2 + len(model["at"])] / model["span"]
     changes = [{"ds": day(s), "delta": float(v)} for s, v in zip(model["at"], deltas, strict=True) if v]
     ahead = model["predict"](t[-1] + np.array([7.0, 14.0]))
     return pd.DataFrame([(
-        pdf["item_id"].iloc[0], pdf["store_id"].iloc[0], int(n.sum()), len(tail), float(err.mean()) if len(err) else None,
+        pdf["item_id"].iloc[0], pdf["store_id"].iloc[0], int(n.sum()), len(y), float(err.mean()) if len(err) else None,
         float((err[y != 0] / y[y != 0]).mean()) if (y != 0).any() else None, float(model["beta"][1] / model["span"]), changes,
         round(float(ahead[0]), 4), round(float(ahead[1]), 4), day(t[-1]))], columns=list(names))
 
@@ -122,6 +119,5 @@ def change_point_forecasts(df: DataFrame, holdout: int = 14, min_rows: int = 16,
 
     `penalty` and `ridge` apply to prices in units of the series' largest daily mean, averaged over its rows.
     """
-    cells, tail = fc.date_cells(df, holdout, hot_series_rows)
-    return cells.unionByName(tail).groupBy(*SERIES).applyInPandas(
+    return fc.date_cells(df, holdout, hot_series_rows).groupBy(*SERIES).applyInPandas(
         lambda pdf: _one(pdf, max(min_rows, holdout + 2), penalty, ridge), SCHEMA)
