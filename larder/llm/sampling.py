@@ -23,6 +23,12 @@ merge ranks; pieces then have probabilities by Zipf's law over their ranks.
 Pieces of marks alone have their place too, after the others if their score is
 -1e9.  Characters without a piece become byte pieces.
 
+What is left of a region is summed over the ways that remain (log-sum-exp), never
+taken as a difference from one, so no segmentation is lost however unlikely it
+is.  Regions behind a prefix of log probability below FAR are not looked at first:
+the uniform numbers have 52 bits, so such a region's Gumbel is below FAR + MOST; only if a document's best
+region is not above that is it sampled again with all of its regions.
+
 Edge cases: a null or empty text has one segmentation, the empty one; with fewer
 than k segmentations all are emitted (kappa is then minus infinity and the
 inclusion probability 1); rows are keyed by doc_id, so rows that repeat a doc_id
@@ -47,9 +53,10 @@ from larder.llm.common import release_memory
 K, ALPHA, SEED = 4, 1.0, 42
 MARK = "▁"
 UNIT = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
-CHUNK_UNITS = 300_000  # units sampled in one go
-NOTHING_LEFT = 1e-12  # a share of probability that counts as none
-FAR = -100.0  # regions this far below the first ones (log probability) cannot be among the best
+CHUNK_UNITS = 200_000  # units sampled in one go
+SPELT = 16  # bytes of a piece that are written by one table
+FAR = -100.0  # regions of a smaller log probability are looked at only if they can matter (see MOST)
+MOST = 37.5  # above its location no Gumbel of `uniform` lies higher: -log(-log(1 - 2^-53)) < 37
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -76,6 +83,17 @@ def uniform(key: np.ndarray, sample: int, step: int) -> np.ndarray:
     return ((x >> np.uint64(12)).astype(np.float64) + 0.5) / (1 << 52)
 
 
+_MASK = (1 << 64) - 1
+
+
+def uniform_of(key: int, sample: int, step: int) -> float:
+    """`uniform` of one key."""
+    x = (key + (sample * 1_000_003 + step + 1) * int(_STEP)) & _MASK
+    x = ((x ^ (x >> 30)) * 0xBF58476D1CE4E5B9) & _MASK
+    x = ((x ^ (x >> 27)) * 0x94D049BB133111EB) & _MASK
+    return (((x ^ (x >> 31)) >> 12) + 0.5) / (1 << 52)
+
+
 class PieceModel:
     """Pieces, their log probabilities and a table of hashed prefixes."""
 
@@ -113,6 +131,7 @@ class PieceModel:
         self.scores = np.array([v[1] for v in known.values()])[at]
         self.slots = np.searchsorted(self.hashes >> np.uint64(44), np.arange((1 << 20) + 1, dtype=np.uint64)).astype(np.int32)
         self.fullest = int(np.diff(self.slots).max()) if len(known) else 0
+        self.spelt = self._spelt()
 
     def find(self, h: np.ndarray) -> np.ndarray:
         """The place of each hash in the table, -1 for none: the few entries of its slot are compared."""
@@ -142,6 +161,19 @@ class PieceModel:
         """As the vocabulary's own: white space marks, one before the text."""
         return (MARK + text.replace(" ", MARK)) if text else ""
 
+    def _spelt(self) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
+        """The first bytes that each id writes (a row each, with which of its places are used) and how many it writes, a
+        space for a mark; None where the vocabulary has no byte pieces for some bytes."""
+        if len(self.bytes) < 256:
+            return None
+        sp, byte = self.processor, {i: bytes([b]) for b, i in self.bytes.items()}
+        words = [byte[i] if i in byte else b"" if sp.is_control(i) else sp.id_to_piece(i).replace(MARK, " ").encode()
+                 for i in range(sp.get_piece_size())]
+        sizes = np.array([len(w) for w in words])
+        self.long = {i: w for i, w in enumerate(words) if len(w) > SPELT}
+        table = np.frombuffer(b"".join(w[:SPELT].ljust(SPELT, b"\0") for w in words), np.uint8).reshape(-1, SPELT)
+        return table, np.arange(SPELT) < sizes[:, None], sizes
+
     def decode(self, ids: list[int]) -> str:
         return self.processor.decode(ids)
 
@@ -224,6 +256,15 @@ class Lattices:
         first = np.concatenate(([True], self.source[likely[1:]] != self.source[likely[:-1]]))
         self.best = np.zeros(nodes, np.int32)  # a node's likeliest edge
         self.best[self.source[likely[first]]] = likely[first]  # fits: edges are far fewer than 2^31
+        # the share of a node's other edges, summed without taking differences of nearly equal numbers
+        small = self.p.copy()
+        small[likely[first]] = 0.0
+        other = np.repeat(np.add.reduceat(small, heads), np.diff(np.concatenate((heads, [len(self.p)]))))
+        rare = np.ones(len(self.p), bool)
+        rare[likely[first]] = False
+        other = np.where(rare, np.maximum(other - self.p, 0.0) + top, other)
+        with np.errstate(divide="ignore"):
+            self.log_other = np.log(other)
 
     def draw(self, node: np.ndarray, r: np.ndarray) -> np.ndarray:
         """An edge of each node, by its probability: mostly the likeliest, else one of the others by binary search."""
@@ -242,28 +283,46 @@ class Lattices:
         return edge
 
 
-def _other_way(lat: Lattices, node: int, taken: list[list[int]], key: np.ndarray, sample: int) -> list[int]:
+def _shares(lat: Lattices, node: int, taken: list[list[int]]) -> tuple[int, list[float], dict[int, list[list[int]]]]:
+    """Of each edge of a node the log probability of the ways through it that are not `taken` (lists of edges)."""
+    low, high = int(lat.low[node]), int(lat.low[node + 1])
+    after: dict[int, list[list[int]]] = {}
+    for t in taken:
+        after.setdefault(t[0], []).append(t[1:])
+    logs = lat.logp[low:high].tolist()
+    for e, rest in after.items():
+        logs[e - low] += log_left(lat, int(lat.target[e]), rest)
+    return low, logs, after
+
+
+def log_left(lat: Lattices, node: int, taken: list[list[int]]) -> float:
+    """The log probability of the ways from `node` to the unit's end that are not `taken`; summed over those
+    ways, so that it is right however little is left, and minus infinity only if nothing is."""
+    if not taken:
+        return 0.0
+    if lat.end[node]:
+        return -math.inf
+    _, logs, _ = _shares(lat, node, taken)
+    top = max(logs)
+    return top + math.log(sum(math.exp(x - top) for x in logs)) if top > -math.inf else -math.inf
+
+
+def _other_way(lat: Lattices, node: int, taken: list[list[int]], key: int, sample: int) -> list[int]:
     """A draw among the ways from `node` to the unit's end that are not `taken` (lists of edges)."""
     way: list[int] = []
     while not lat.end[node]:
-        edges = range(int(lat.low[node]), int(lat.low[node + 1]))
-        after: dict[int, list[list[int]]] = {}
-        for t in taken:
-            after.setdefault(t[0], []).append(t[1:])
-        shares = []
-        for e in edges:
-            gone = sum(math.exp(sum(float(lat.logp[x]) for x in t)) for t in after.get(e, []))
-            shares.append(math.exp(float(lat.logp[e])) * max(0.0, 1.0 - gone))
-        r = float(uniform(key, sample, 1 << 10 | len(way))[0]) * sum(shares)
-        pick = max(range(len(shares)), key=shares.__getitem__)
-        for k, s in enumerate(shares):
-            if r < s:
+        low, logs, after = _shares(lat, node, taken)
+        top = max(logs)
+        shares = [math.exp(x - top) for x in logs]
+        r = uniform_of(key, sample, 1 << 10 | len(way)) * sum(shares)
+        pick = logs.index(top)
+        for k, share in enumerate(shares):
+            if r < share:
                 pick = k
                 break
-            r -= s
-        e = edges[pick]
-        way.append(e)
-        taken, node = after.get(e, []), int(lat.target[e])
+            r -= share
+        way.append(low + pick)
+        taken, node = after.get(low + pick, []), int(lat.target[low + pick])
     return way
 
 
@@ -314,6 +373,18 @@ class _Batch:
             found[place[at] + k] = e
         return np.repeat(units, pieces), found, logq
 
+    def others(self, units: np.ndarray, at: np.ndarray, edges: np.ndarray) -> np.ndarray:
+        """The log probability of all ways through each of `units` but the given one: the sum over the places where they leave it."""
+        wanted = np.zeros(len(self.doc), bool)
+        wanted[units] = True
+        mine = np.flatnonzero(wanted[at])
+        at, edges = at[mine], edges[mine]
+        heads = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
+        logp = self.lat.logp[edges]
+        before = np.cumsum(logp) - logp
+        before -= np.repeat(before[heads], np.diff(np.concatenate((heads, [len(at)]))))
+        return np.logaddexp.reduceat(before + self.lat.log_other[edges], heads)
+
 
 def _below(log_mass: np.ndarray, bound: np.ndarray, r: np.ndarray) -> np.ndarray:
     """Gumbels of these locations below a bound (plus infinity: none)."""
@@ -322,49 +393,70 @@ def _below(log_mass: np.ndarray, bound: np.ndarray, r: np.ndarray) -> np.ndarray
     return np.where(np.isneginf(log_mass), -np.inf, np.minimum(g, bound))
 
 
-def sample_batch(model: PieceModel, keys: np.ndarray, texts: list[str], k: int = K) -> list[list[tuple]]:
-    """Per text up to k tuples (ids, log probability, perturbed log probability), and last the threshold kappa."""
+def sample_batch(model: PieceModel, keys: np.ndarray, texts: list[str], k: int = K, far: float = FAR,
+                 decode: bool = False) -> list[list]:
+    """Per text up to k tuples (ids, log probability, perturbed log probability, decoded text), and last the threshold kappa."""
     units = [UNIT.findall(model.normalize(t)) for t in texts]
     some = [d for d, u in enumerate(units) if u]
-    found: list[list[tuple]] = [[] for _ in texts]
+    found: list[list] = [[] for _ in texts]
     kappa = [-math.inf] * len(texts)
     for d, u in enumerate(units):
         if not u:
-            found[d] = [(b"", 0.0, 0.0)]
+            found[d] = [(b"", 0.0, 0.0, "")]
     if some:
-        _sample_units(model, keys[some], [units[d] for d in some], k, found, kappa, some)
+        _sample_units(model, keys[some], [units[d] for d in some], k, found, kappa, some, far, decode)
     return [[*f, kappa[d]] for d, f in enumerate(found)]
 
 
+def _decoded(model: PieceModel, ids: np.ndarray, cuts: np.ndarray) -> list[str]:
+    """The texts of consecutive runs of ids; the space that stands for a text's first mark is dropped, as the vocabulary does."""
+    if model.spelt is None:
+        return [model.decode(ids[a:b].tolist()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    table, used, sizes = model.spelt
+    size = sizes[ids]
+    ends = np.concatenate(([0], np.cumsum(size)))
+    if size.max(initial=0) > SPELT:  # longer pieces are few: the ids between them are taken as before
+        parts, low = [], 0
+        for k in np.flatnonzero(size > SPELT).tolist():
+            parts += [table[ids[low:k]][used[ids[low:k]]].tobytes(), model.long[int(ids[k])]]
+            low = k + 1
+        raw = b"".join([*parts, table[ids[low:]][used[ids[low:]]].tobytes()])
+    else:
+        raw = table[ids][used[ids]].tobytes()
+    ends = ends[cuts].tolist()
+    return [raw[a:b].decode("utf-8", "replace").removeprefix(" ") for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def _sample_units(model: PieceModel, keys: np.ndarray, units: list[list[str]], k: int, found: list, kappa: list,
-                  names: list[int]) -> None:
+                  names: list[int], far: float, decode: bool) -> None:
     b = _Batch(model, keys, units)
-    docs, all_units = len(units), np.arange(len(b.doc))
+    lat, docs, all_units = b.lat, len(units), np.arange(len(b.doc))
     zero = np.zeros(docs, np.int64)
     best = -np.log(-np.log(uniform(unit_keys(keys, zero), 0, 1 << 20)))  # the root's Gumbel: its probability is one
     at, edges, logq = b.walk(all_units, 1)
     paths = [(at, edges, logq)]  # of each sample: every document's path (empty where a document has no more)
     gumbels, taken = [], {}  # of each sample: the Gumbel of "another way through unit u"; ways excluded there
+    skipped = np.zeros(docs, bool)  # documents with regions below `far`
 
-    def regions(logq: np.ndarray, top: np.ndarray, after: np.ndarray, sample: int) -> np.ndarray:
+    def regions(logq: np.ndarray, way: tuple, top: np.ndarray, after: np.ndarray, sample: int) -> np.ndarray:
         """Gumbels of the regions that leave a path at each unit behind `after` (per document)."""
         run = np.cumsum(logq)
         before = run - logq - (run - logq)[b.starts][b.doc]  # of the units before, in the same document
-        some = np.flatnonzero((before > FAR) & (b.pos > after[b.doc]))
-        rest = -np.expm1(logq[some])
-        with np.errstate(divide="ignore"):
-            mass = before[some] + np.where(rest > NOTHING_LEFT, np.log(np.maximum(rest, 1e-300)), -np.inf)
+        behind = b.pos > after[b.doc]
+        some = np.flatnonzero((before > far) & behind)
+        skipped[b.doc[np.flatnonzero((before <= far) & behind)]] = True
         g = np.full(len(logq), -np.inf)
-        g[some] = _below(mass, top[b.doc[some]], uniform(b.key[some], sample, 1 << 21))
+        if len(some):
+            g[some] = _below(before[some] + b.others(some, *way), top[b.doc[some]], uniform(b.key[some], sample, 1 << 21))
         return g
 
     def emit(sample: int, which: np.ndarray, g: np.ndarray) -> None:
         at, edges, logq = paths[sample]
         total = np.bincount(b.doc, weights=logq, minlength=docs)
-        ids, doc = b.lat.ids[edges], b.doc[at]
+        ids, doc = lat.ids[edges], b.doc[at]
         spelled = np.flatnonzero(ids < 0)
         if len(spelled):  # characters written as several byte pieces
-            lists = [b.lat.spelled[k] for k in (-1 - ids[spelled]).tolist()]
+            lists = [lat.spelled[k] for k in (-1 - ids[spelled]).tolist()]
             counts = np.ones(len(ids), np.int64)
             counts[spelled] = [len(x) for x in lists]
             start = np.cumsum(counts) - counts
@@ -372,24 +464,25 @@ def _sample_units(model: PieceModel, keys: np.ndarray, units: list[list[str]], k
             inside = np.repeat(start[spelled], counts[spelled])
             inside += np.arange(len(inside)) - np.repeat(np.cumsum(counts[spelled]) - counts[spelled], counts[spelled])
             ids[inside] = [x for s in lists for x in s]
-        raw, low = ids.astype("<u4").tobytes(), (4 * np.searchsorted(doc, np.arange(docs + 1))).tolist()
+        cuts = np.searchsorted(doc, np.arange(docs + 1))
+        texts = _decoded(model, ids, cuts) if decode else [None] * docs
+        raw, low, total, g = ids.astype("<u4").tobytes(), (4 * cuts).tolist(), total.tolist(), g.tolist()
         for d in which.tolist():
-            found[names[d]].append((raw[low[d]:low[d + 1]], float(total[d]), float(g[d])))
+            found[names[d]].append((raw[low[d]:low[d + 1]], total[d], g[d], texts[d]))
 
     everyone = np.arange(docs)
     emit(0, everyone, best)
-    gumbels.append(regions(logq, best, np.full(docs, -1), 1))
-    alive = np.ones(docs, bool)
+    gumbels.append(regions(logq, (at, edges), best, np.full(docs, -1), 1))
+    alive, unsure = np.ones(docs, bool), np.zeros(docs, bool)
     for sample in range(2, k + 2):
         tops = np.array([np.maximum.reduceat(g, b.starts) for g in gumbels])
         source, best = tops.argmax(axis=0), tops.max(axis=0)
+        unsure |= alive & skipped & (best <= far + MOST)  # a region that was not looked at might be the best
         alive &= ~np.isneginf(best)
-        for d in np.flatnonzero(alive).tolist():
-            kappa[names[d]] = float(best[d])
-        for d in np.flatnonzero(~alive).tolist():
-            kappa[names[d]] = -math.inf
+        for d, g in enumerate(np.where(alive, best, -math.inf).tolist()):
+            kappa[names[d]] = g
         if sample > k or not alive.any():
-            return
+            break
         # the popped region: the path of sample `source` up to unit `left`, another way there, all else drawn anew
         left = np.zeros(docs, np.int64)
         for s, g in enumerate(gumbels):
@@ -402,40 +495,53 @@ def _sample_units(model: PieceModel, keys: np.ndarray, units: list[list[str]], k
         at, edges, logq_fresh = b.walk(fresh, sample)
         logq = np.zeros(len(b.doc))
         logq[fresh] = logq_fresh
+        drawn = (at, edges)
         rows_at, rows_edge = [at], [edges]
+        popped, masses = [], []
         for s, (p_at, p_edge, p_logq) in enumerate(paths):
             mine = alive & (source == s)
-            if mine.any():
-                copy = mine[b.doc[p_at]] & (b.pos[p_at] < left[b.doc[p_at]])
-                rows_at.append(p_at[copy])
-                rows_edge.append(p_edge[copy])
-                units_before = mine[b.doc] & (b.pos < left[b.doc])
-                logq[units_before] = p_logq[units_before]
-        new_gumbels = []
-        for d in np.flatnonzero(alive).tolist():
-            u = int(b.starts[d] + left[d])
-            s = int(source[d])
-            p_at, p_edge, _ = paths[s]
-            ways = taken.setdefault((s, u), [])
-            if not ways:
-                ways.append(p_edge[np.searchsorted(p_at, u, "left"):np.searchsorted(p_at, u, "right")].tolist())
-            way = _other_way(b.lat, int(b.root[u]), ways, b.key[u:u + 1], sample)
-            ways.append(way)
-            rows_at.append(np.full(len(way), u))
-            rows_edge.append(np.array(way))
-            logq[u] = float(b.lat.logp[way].sum())
-            rest = 1.0 - sum(math.exp(float(b.lat.logp[w].sum())) for w in ways)
-            before = float(logq[b.starts[d]:u].sum())
-            mass = before + math.log(rest) if rest > NOTHING_LEFT else -math.inf
-            r = uniform(b.key[u:u + 1], sample, 1 << 22)
-            new_gumbels.append((s, u, float(_below(np.array([mass]), best[d:d + 1], r)[0])))
+            if not mine.any():
+                continue
+            copy = mine[b.doc[p_at]] & (b.pos[p_at] < left[b.doc[p_at]])
+            rows_at.append(p_at[copy])
+            rows_edge.append(p_edge[copy])
+            units_before = mine[b.doc] & (b.pos < left[b.doc])
+            logq[units_before] = p_logq[units_before]
+            which = np.flatnonzero(mine)
+            at_unit = b.starts[which] + left[which]
+            low, high = np.searchsorted(p_at, at_unit, "left"), np.searchsorted(p_at, at_unit, "right")
+            roots, unit_key = b.root[at_unit].tolist(), b.key[at_unit].tolist()
+            new_units, new_edges = [], []
+            for u, a, z, root, key in zip(at_unit.tolist(), low.tolist(), high.tolist(), roots, unit_key, strict=True):
+                ways = taken.get((s, u))
+                if ways is None:
+                    ways = taken[s, u] = [p_edge[a:z].tolist()]
+                way = _other_way(lat, root, ways, key, sample)
+                ways.append(way)
+                new_units += [u] * len(way)
+                new_edges += way
+                popped.append((s, u))
+                masses.append(log_left(lat, root, ways))
+            rows_at.append(np.array(new_units, np.int64))
+            rows_edge.append(np.array(new_edges, np.int64))
+            logq[at_unit] = np.bincount(np.repeat(np.arange(len(which)), [len(taken[s, u][-1]) for u in at_unit.tolist()]),
+                                        lat.logp[np.array(new_edges, np.int64)], len(which))
+        s_of, u_of = np.array(popped, np.int64).T
+        run = np.cumsum(logq)
+        before = (run - logq)[u_of] - (run - logq)[b.starts[b.doc[u_of]]]
+        again = _below(before + np.array(masses), best[b.doc[u_of]], uniform(b.key[u_of], sample, 1 << 22))
         at, edges = np.concatenate(rows_at), np.concatenate(rows_edge)
         order = np.argsort(at, kind="stable")
         paths.append((at[order], edges[order], logq))
         emit(sample - 1, np.flatnonzero(alive), best)
-        gumbels.append(np.where(part, regions(logq, best, left, sample), -np.inf))
-        for s, u, g in new_gumbels:
+        gumbels.append(np.where(part, regions(np.where(part, logq, 0.0), drawn, best, np.where(alive, left, len(b.doc)), sample), -np.inf))
+        for s, u, g in zip(s_of.tolist(), u_of.tolist(), again.tolist(), strict=True):
             gumbels[s][u] = g
+    redo = np.flatnonzero(unsure).tolist()
+    if redo:  # once more with every region
+        for d in redo:
+            found[names[d]] = []
+        _sample_units(model, keys[redo], [units[d] for d in redo], k, found, kappa, [names[d] for d in redo], -math.inf, decode)
 
 
 _models: dict[tuple[str, float], PieceModel] = {}
@@ -461,12 +567,11 @@ def sample_segmentations(docs: DataFrame, vocabulary: str | None = None, k: int
 
         def out(ids: list, keys: list, texts: list) -> pa.RecordBatch:
             rows = []
-            for doc_id, (*samples, kappa) in zip(ids, sample_batch(model, np.array(keys, np.int64).view(np.uint64), texts, k),
-                                                 strict=True):
-                for n, (raw, logp, g) in enumerate(samples):
+            sampled = sample_batch(model, np.array(keys, np.int64).view(np.uint64), texts, k, decode=decode)
+            for doc_id, (*samples, kappa) in zip(ids, sampled, strict=True):
+                for n, (raw, logp, g, text) in enumerate(samples):
                     share = -math.expm1(-math.exp(min(700.0, logp - kappa))) if kappa > -math.inf else 1.0
-                    rows.append((doc_id, n, len(raw) // 4, zlib.crc32(raw), logp, g, share, raw,
-                                 *[model.decode(np.frombuffer(raw, "<u4").tolist())] * decode))
+                    rows.append((doc_id, n, len(raw) // 4, zlib.crc32(raw), logp, g, share, raw, *[text] * decode))
             cols = list(zip(*rows, strict=True)) or [[]] * len(types)
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types, strict=True)], names)
 

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm import online_packing, ranked, whitening
+from larder.llm import online_packing, ranked, sampling, whitening
 from tests.llm.test_corpus import DOCS, odd_rows, prose
 
 
@@ -242,3 +242,62 @@ def test_byte_encoder_is_the_tokenizer():
     texts += [f"a{chr(c)}b 1{chr(c)} .{chr(c)}{chr(c)} x{chr(c)}" for c in range(1, 0x3100) if not 0xD800 <= c < 0xE000]
     for text in texts:
         assert coder.encode(text).tolist() == coder.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+# ---------------------------------------------------------------- 4 sampling: nothing is lost
+
+
+def segmentations(model, unit: str) -> set[tuple[int, ...]]:
+    """All ways to write a unit in usable pieces (a character without a piece: its bytes)."""
+    found: dict[int, set] = {len(unit): {()}}
+    table = {}
+    for k, h in enumerate(model.hashes.tolist()):
+        if model.ids[k] >= 0:
+            table[h] = int(model.ids[k])
+    for at in range(len(unit) - 1, -1, -1):
+        here = set()
+        for end in range(at + 1, min(len(unit), at + model.longest) + 1):
+            piece = table.get(model._hash_of(unit[at:end]))
+            if piece is not None:
+                here |= {(piece, *rest) for rest in found[end]}
+        if unit[at] not in model.single:
+            here |= {(*[model.bytes[x] for x in unit[at].encode()], *rest) for rest in found[at + 1]}
+        found[at] = here
+    return found[0]
+
+
+def test_every_segmentation_is_emitted_when_there_are_few():
+    model = sampling.PieceModel(sampling.default_vocabulary())
+    texts = ["ab", "in", "er", "he", "the", "a", "漢", "of it", "\n", "on\nan", "ing", " ", "x  y"]
+    for text in texts:
+        units = sampling.UNIT.findall(model.normalize(text))
+        ways = {()}
+        for u in units:
+            ways = {(*a, *b) for a in ways for b in segmentations(model, u)}
+        for k in (max(1, len(ways) - 1), len(ways), len(ways) + 3):
+            *found, kappa = sampling.sample_batch(model, np.array([11], np.uint64), [text], k, decode=True)[0]
+            ids = [tuple(np.frombuffer(raw, "<u4").tolist()) for raw, *_ in found]
+            assert len(set(ids)) == len(ids) == min(k, len(ways)) and set(ids) <= ways, text
+            assert (kappa == -math.inf) == (k >= len(ways))
+            assert [g for _, _, g, _ in found] == sorted((g for _, _, g, _ in found), reverse=True)
+            assert {t for *_, t in found} == {text}
+            if k >= len(ways):
+                assert sum(math.exp(logp) for _, logp, _, _ in found) == pytest.approx(1.0)
+
+
+def test_regions_left_for_later_change_nothing():
+    """Looking at every region at once gives the same samples; a bound that hides regions is noticed."""
+    model = sampling.PieceModel(sampling.default_vocabulary())
+    texts = [prose(k, 80) for k in range(6)] + ["in er", "the ab in"]
+    keys = sampling._mix(np.arange(len(texts)).astype(np.uint64))
+    every = sampling.sample_batch(model, keys, texts, 5, far=-math.inf)
+    assert sampling.sample_batch(model, keys, texts, 5) == every
+    assert sampling.sample_batch(model, keys, texts, 5, far=-3.0) == every
+
+
+def test_decoded_text_is_the_vocabularys():
+    model = sampling.PieceModel(sampling.default_vocabulary())
+    texts = [prose(5, 60), " two  spaces ", "é漢🙂\tx", "a" * 70, "=" * 40 + "-" * 40 + " " * 30]
+    for text, (*found, _) in zip(texts, sampling.sample_batch(model, np.arange(5).astype(np.uint64), texts, 3, decode=True), strict=True):
+        for raw, _, _, decoded in found:
+            assert decoded == model.decode(np.frombuffer(raw, "<u4").tolist()) == text
