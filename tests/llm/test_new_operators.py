@@ -13,8 +13,8 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm import online_packing, ranked, sampling, whitening
-from tests.llm.test_corpus import DOCS, odd_rows, prose
+from larder.llm import lines, online_packing, ranked, sampling, whitening
+from tests.llm.test_corpus import DOCS, all_pairs, odd_rows, prose
 
 
 @pytest.fixture(scope="module")
@@ -301,3 +301,28 @@ def test_decoded_text_is_the_vocabularys():
     for text, (*found, _) in zip(texts, sampling.sample_batch(model, np.arange(5).astype(np.uint64), texts, 3, decode=True), strict=True):
         for raw, _, _, decoded in found:
             assert decoded == model.decode(np.frombuffer(raw, "<u4").tolist()) == text
+
+
+# ---------------------------------------------------------------- 5 lines: copies do not change the result
+
+
+@pytest.mark.parametrize("copies", [2, 15, 16, 17, 40])
+def test_line_dedup_does_not_depend_on_the_number_of_copies(spark, copies):
+    l1, l2, l3 = (f"{w} line, long enough to count" for w in ("first", "second", "third"))
+    rows = [(1, f"{l1}\n{l2}"), (2, f"{l2}\n{l1}\nown line of document 2")]
+    rows += [(2 + k, f"{l2}\n{l1}\nown line of document {2 + k}") for k in range(1, copies)]  # each has a line of its own
+    rows += [(100 + k, "yes\nno") for k in range(copies)]  # short and equal
+    rows += [(200 + k, f"{l3}\nmiddle {k} of its kind\n{l3}\n{l1}\n{l2}\n{l3}") for k in range(copies)]
+    rows += [(300 + k, prose(4, 60)) for k in range(copies)]
+    got = {r["doc_id"]: r["text"] for r in lines.delete_common_blocks(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == all_pairs(rows)
+    assert [got[100 + k] for k in range(copies)] == ["yes\nno"] + [""] * (copies - 1)
+    assert got[1 + copies] == f"own line of document {1 + copies}"
+
+
+def test_runs_of_lines(spark):
+    rows = [(1, p, h) for p, h in enumerate([5, 6, 7, 8, 9])] + [(2, p + 3, h) for p, h in enumerate([6, 7, 8, 9])] + [(3, 0, 6), (3, 2, 7)]
+    found = defaultdict(set)
+    for r in lines.runs(spark.createDataFrame(rows, "doc_id long, pos int, hash long")).collect():
+        found[r["doc_id"]].add(r["run"])
+    assert len(found[1]) == 4 + 2 and len(found[2]) == 3 + 1 and len(found[1] & found[2]) == 3 + 1 and 3 not in found
