@@ -19,13 +19,16 @@ Edge cases: a null or empty html, and a page without any text outside
 boilerplate tags, have an empty text; a page without a host (null or odd url) votes in
 the group of the empty host; repeated rows vote repeatedly; unclosed and
 unopened tags end where their parent ends or are ignored; a page that ends
-inside a tag, comment or script is read up to there.
+inside a tag, comment or script is read up to there; a tag with a quote that is
+never closed ends at its first ">".  The work is linear in a page's length,
+however deep its tags are nested and whatever is left open in it.
 """
 
 from __future__ import annotations
 
 import html as entities
 import re
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -54,7 +57,10 @@ BOILER_NAMES = re.compile(
     r"complementary|contentinfo|related|recommend\w*|more-from|tags|pagination|pager|skip|search|legal|copyright|disclaimer)(?:$|[\s_-])")
 GOOD_NAMES = re.compile(r"(?:^|[\s_-])(?:article|content|main|post|entry|story|body|text|page)(?:$|[\s_-])")
 TOKEN = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)"
-                   r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*)(?:>|$)", re.S)
+                   r"|<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)(?:>|$)", re.S)
+OTHER = re.compile(r"<!--.*?(?:-->|$)|<!\[CDATA\[.*?(?:\]\]>|$)|<[!?][^>]*(?:>|$)", re.S)
+PLAIN_TAG = re.compile(r"<(/?)([a-zA-Z][a-zA-Z0-9:-]*+)([^>]*+)(?:>|$)")  # a quote in it is left open: it counts as a letter
+QUOTE_SCANS = 64  # pages' lengths that may be read in vain for closing quotes; then every tag is read as a plain one
 ATTRIBUTE = re.compile(r"([^\s=/\"'<>]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+)))?")
 NO_DISPLAY = re.compile(r"(?:^|;)\s*display\s*:\s*none\b", re.I)
 DIGITS = re.compile(r"\d+")
@@ -83,33 +89,51 @@ def _hidden(found: dict[str, str]) -> bool:
 
 
 class Node:
-    __slots__ = ("tag", "path", "parent", "boiler", "named", "clears", "weight", "good", "text", "links", "order")
+    __slots__ = ("tag", "step", "parent", "boiler", "named", "clears", "weight", "good", "text", "links", "order",
+                 "in_article", "in_main")
 
     def __init__(self, tag: str, names: str, parent: Node | None, hidden: bool, order: int):
         self.tag, self.parent, self.order = tag, parent, order
-        step = tag if tag in ("html", "body") else tag + "".join("." + n for n in DIGITS.sub("", names).split())
-        self.path = f"{parent.path}>{step}" if parent else step
+        self.step = tag if tag in ("html", "body") else tag + "".join(
+            "." + n for n in DIGITS.sub("", names).replace(">", "").split())
+        within_article, within_main = (parent.in_article, parent.in_main) if parent is not None else (False, False)
+        self.in_article, self.in_main = within_article or tag == "article", within_main or tag == "main"
         said = _words(names)
         body = tag in ("html", "body", "main", "article")
-        article_head = tag == "header" and parent is not None and _inside(parent, "article")
+        article_head = tag == "header" and within_article
         self.boiler = (parent is not None and parent.boiler) or (not body and not article_head and (
             tag in BOILER_TAGS or hidden))
         matched = bool(names and BOILER_NAMES.search(said))
         self.named = matched and not body and not article_head
         # an article inside another one may be a reader's comment
-        self.clears = tag in ("article", "main") and not matched and not _inside(parent, "article") and not _inside(parent, "main")
+        self.clears = tag in ("article", "main") and not matched and not within_article and not within_main
         weight = parent.weight if parent is not None else 1.0
         self.weight = 1.0 if self.clears else weight * FAINT if self.named else weight
         self.good = tag in ("article", "main") or bool(names and GOOD_NAMES.search(said))
         self.text = self.links = 0
 
-
-def _inside(node: Node | None, tag: str) -> bool:
-    while node is not None:
-        if node.tag == tag:
-            return True
-        node = node.parent
-    return False
+    @property
+    def path(self) -> str:
+        """The steps from the page down; built only for the container that is voted for."""
+        steps, node = [], self
+        while node is not None:
+            steps.append(node.step)
+            node = node.parent
+        return ">".join(reversed(steps))
+
+
+def on_path(nodes: list[Node], path: str) -> list[Node]:
+    """The containers with this path, found by one pass from the parents down."""
+    steps = path.split(">")
+    matched = [0] * len(nodes)  # steps of the path that a node ends, 0 if it is off the path
+    found = []
+    for n in nodes:  # parents come first
+        above = 0 if n.parent is None else matched[n.parent.order]
+        if (n.parent is None or above) and above < len(steps) and steps[above] == n.step:
+            matched[n.order] = above + 1
+            if above + 1 == len(steps):
+                found.append(n)
+    return found
 
 
 def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
@@ -117,8 +141,16 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
     top = Node("", "", None, False, 0)
     nodes, blocks, parts = [top], [], []
     open_: list[tuple[str, Node]] = []  # every open tag with its container
+    places: dict[str, list[int]] = {}  # of each tag: its places among the open ones
+    scopes: list[int] = [-1]  # the places of tags that a missing end tag does not reach over
     at, here, links, linked = 0, top, 0, 0
 
+    def push(tag: str, node: Node) -> None:
+        places.setdefault(tag, []).append(len(open_))
+        if tag in SCOPE:
+            scopes.append(len(open_))
+        open_.append((tag, node))
+
     def flush() -> None:
         nonlocal linked
         if parts:
@@ -143,34 +175,47 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         if any(t not in INLINE for t, _ in open_[k:]):
             flush()
         links -= sum(t == "a" for t, _ in open_[k:])
+        for t, _ in open_[k:]:
+            places[t].pop()
+        while scopes[-1] >= k:
+            scopes.pop()
         del open_[k:]
         here = open_[-1][1] if open_ else top
 
-    size = len(page)
+    size, seek, wasted = len(page), 0, 0
     while at < size:
-        m = TOKEN.search(page, at)
-        if m is None:
-            cut = page.find("<", at)
-            say(page[at:] if cut < 0 or not page[cut + 1:cut + 2].isalpha() else page[at:cut])
+        start = page.find("<", seek)
+        if start < 0:
+            say(page[at:])
             break
-        say(page[at:m.start()])
-        at, tag = m.end(), m.group(2)
+        m = TOKEN.match(page, start) if wasted < QUOTE_SCANS * size else None
+        if m is None:
+            m = PLAIN_TAG.match(page, start)
+            if m is None:  # a mere sign
+                m = OTHER.match(page, start)
+            elif wasted < QUOTE_SCANS * size:
+                wasted += size - start
+            if m is None:
+                seek = start + 1
+                continue
+        say(page[at:start])
+        at = seek = m.end()
+        tag = m.group(2) if m.re is not OTHER else None
         if tag is None:
-            if page.startswith("<![CDATA[", m.start()):
-                say(page[m.start() + 9:at].removesuffix("]]>"))
+            if page.startswith("<![CDATA[", start):
+                say(page[start + 9:at].removesuffix("]]>"))
             continue
         tag = tag.lower()
         if m.group(1):  # an end tag
-            k = next((k for k in range(len(open_) - 1, -1, -1) if open_[k][0] == tag), -1)
-            if k >= 0:
-                close(k)
+            if places.get(tag):
+                close(places[tag][-1])
             elif tag == "p":
                 flush()
             continue
         if tag in RAW:
             if not m.group(3).rstrip().endswith("/") or tag in ("script", "style", "title"):
-                end = re.compile(f"</{tag}\\b[^>]*>", re.I).search(page, at)
-                at = end.end() if end else size
+                end = re.compile(f"</{tag}\\b[^>]*+(?:>|$)", re.I).search(page, at)
+                at = seek = end.end() if end else size
             continue
         if tag == "br" or tag == "wbr":
             parts.append(" " if tag == "br" and parts else "")
@@ -179,26 +224,19 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
             if tag == "hr":
                 flush()
             continue
-        if tag in NO_P:  # a paragraph ends where a block begins
-            for k in range(len(open_) - 1, -1, -1):
-                if open_[k][0] == "p":
-                    close(k)
-                    break
-                if open_[k][0] in SCOPE:
-                    break
+        if tag in NO_P and places.get("p") and places["p"][-1] > scopes[-1]:  # a paragraph ends where a block begins
+            close(places["p"][-1])
         if tag in CLOSES:
-            k = len(open_)
-            while k and open_[k - 1][0] not in SCOPE and open_[k - 1][0] != "table":
-                k -= 1
-                if open_[k][0] in CLOSES[tag]:
-                    close(k)
+            inside = [held[k] for t in CLOSES[tag] if (held := places.get(t)) and (k := bisect_right(held, scopes[-1])) < len(held)]
+            if inside:
+                close(min(inside))
         attributes = m.group(3)
         found = _attributes(attributes) if attributes else {}
         names = " ".join(v for k, v in found.items() if v and k in ("class", "id", "role"))
         hidden = bool(found) and _hidden(found)
         if tag in INLINE and not hidden and not (names and BOILER_NAMES.search(_words(names))):
             links += tag == "a"
-            open_.append((tag, here))
+            push(tag, here)
             if attributes.rstrip().endswith("/"):
                 close(len(open_) - 1)
             continue
@@ -209,7 +247,7 @@ def parse(page: str) -> tuple[list[Node], list[tuple[Node, str]]]:
         here = Node(tag, names, here, hidden, len(nodes))
         nodes.append(here)
         links += tag == "a"
-        open_.append((tag, here))
+        push(tag, here)
         if attributes.rstrip().endswith("/") and tag not in ("p", "div", "span", "a"):
             close(len(open_) - 1)
     flush()
@@ -223,14 +261,16 @@ LEAF = frozenset("p h1 h2 h3 h4 h5 h6 li ul ol dl dt dd td th tr tbody thead tfo
 def best_container(nodes: list[Node]) -> tuple[Node | None, float]:
     """The container whose text, less links, is worth most; what lies deeper counts less for an ancestor."""
     score: dict[int, float] = {}
-    for n in nodes:
-        worth = n.weight * max(0.0, n.text - 2.0 * n.links)
-        share, up = 1.0, n
-        while worth and up is not None:
-            if up.tag not in LEAF and up.tag not in ("", "html"):
-                score[up.order] = score.get(up.order, 0.0) + worth * share * (1.25 if up.good else 1.0)
-                share *= 0.8
-            up = up.parent if not up.named else None  # what is named as boilerplate is no merit of its surroundings
+    held = [n.weight * max(0.0, n.text - 2.0 * n.links) for n in nodes]
+    for n in reversed(nodes):  # children come after their parents
+        worth = held[n.order]
+        if not worth:
+            continue
+        if n.tag not in LEAF and n.tag not in ("", "html"):
+            score[n.order] = worth * (1.25 if n.good else 1.0)
+            worth *= 0.8
+        if n.parent is not None and not n.named:  # what is named as boilerplate is no merit of its surroundings
+            held[n.parent.order] += worth
     if not score:
         return None, 0.0
     k = max(score, key=lambda k: (score[k], -k))
@@ -241,7 +281,7 @@ def extract(page: str, path: str | None = None) -> tuple[str, str | None, float]
     """(main text, path voted for, score of that vote); `path` is the host's, if known."""
     nodes, blocks = parse(page)
     best, score = best_container(nodes)
-    chosen = [n for n in nodes if n.path == path and not n.boiler] if path else []
+    chosen = [n for n in on_path(nodes, path) if not n.boiler] if path else []
     texts = _texts_under(nodes, blocks, chosen)
     if not texts:
         texts = _texts_under(nodes, blocks, [best if best is not None else nodes[0]])

@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -13,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm import lines, online_packing, ranked, sampling, whitening
+from larder.llm import html, lines, online_packing, ranked, sampling, whitening
 from tests.llm.test_corpus import DOCS, all_pairs, odd_rows, prose
 
 
@@ -326,3 +327,36 @@ def test_runs_of_lines(spark):
     for r in lines.runs(spark.createDataFrame(rows, "doc_id long, pos int, hash long")).collect():
         found[r["doc_id"]].add(r["run"])
     assert len(found[1]) == 4 + 2 and len(found[2]) == 3 + 1 and len(found[1] & found[2]) == 3 + 1 and 3 not in found
+
+
+# ---------------------------------------------------------------- 3 HTML: linear in the page
+
+
+@pytest.mark.parametrize("page,text", [
+    ("<div>x " * 100_000, None), ("<h1>x" * 60_000, None), ("<p>" + "<table><h1>y" * 30_000, None),
+    ("<i>" * 50_000 + "<li>z" * 50_000, None), ("<a " * 330_000 + '"', ""), ("<body><p>kept</p>" + "<a '" * 250_001, None),
+    ('<p>one</p><a ">" ' * 60_000 + "'", None), ("</script " * 110_000, ""), ("<script>" + "</script " * 110_000, ""),
+    ("<div>" * 50_000 + "</b>" * 200_000, ""), ("<" * 1_000_000, "<" * 1_000_000), ("a<b " * 250_000, None),
+    ("&amp;" * 200_000, "&" * 200_000), ("<!--" * 250_000, ""), ("<p class='" + "x y " * 250_000 + "'>t</p>", "t")])
+def test_odd_pages_take_linear_time(page, text):
+    began = time.process_time()
+    got, path, _ = html.extract(page)
+    if path:
+        html.extract(page, path)
+    assert time.process_time() - began < 20
+    assert text is None or got == text
+
+
+def test_a_quote_left_open_hides_no_text():
+    page = "<body><article><p>first part</p><p class=x\">second part</p><p title='t'>third part</p></article></body>"
+    assert html.extract(page)[0] == "first part\nsecond part\nthird part"
+    assert html.extract('<p>a</p><a href="x>b</a><p>c</p>')[0].split("\n")[0] == "a"
+
+
+def test_the_hosts_path_is_found_again():
+    page = "<html><body><div class='c1 main'><p>long text of the page, long enough</p></div><div class='c2 main'><p>more</p></div></body></html>"
+    text, path, score = html.extract(page)
+    nodes, _ = html.parse(page)
+    assert [n.path for n in html.on_path(nodes, path)] == [path] * len(html.on_path(nodes, path)) and path.endswith("div.c.main") and score > 0
+    assert {n.order for n in html.on_path(nodes, path)} == {n.order for n in nodes if n.path == path}
+    assert html.extract(page, path)[0] == "long text of the page, long enough\nmore" and html.on_path(nodes, "no>such") == []
