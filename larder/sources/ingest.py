@@ -272,6 +272,57 @@ def write_clustered(df: DataFrame, path: str, partition_col: str, sort_cols: lis
     _spread(df, partition_col, sort_cols).write.mode(mode).partitionBy(partition_col).parquet(path)
 
 
+def curve_cuts(df: DataFrame, cols: list[str], bits: int = 8) -> dict[str, list]:
+    """Up to 2^bits - 1 cut points per column, ascending: the values of smallest hash among its distinct ones.
+
+    They part the distinct values into about equal ranks; only the cuts come to the driver.
+    """
+    most = (1 << bits) - 1
+    return {c: sorted(r[0] for r in df.select(c).filter(F.col(c).isNotNull()).distinct()
+                      .orderBy(F.xxhash64(c), c).limit(most).collect()) for c in cols}
+
+
+def curve_key(cuts: dict[str, list], bits: int = 8) -> Column:
+    """The place on a Z-order curve: each column's share of cuts not above its value, as `bits` bits, interleaved.
+
+    Rows near each other on the curve are near in every column, so each column's
+    minima and maxima of a row group span a small part of its values.  Nulls come first.
+    """
+    def rank(c: str) -> Column:
+        values = F.array(*[F.lit(v) for v in cuts[c]])
+
+        def step(found: Column, by: Column) -> Column:
+            value = F.get(values, found + by - 1)  # past the end: null, which is not <=
+            return F.when(value <= F.col(c), found + by).otherwise(found)
+
+        halves = F.array(*[F.lit(1 << k) for k in range(bits - 1, -1, -1)])
+        found = F.aggregate(halves, F.lit(0), step) if cuts[c] else F.lit(0)
+        return F.floor(found * (1 << bits) / (len(cuts[c]) + 1))  # few values spread over all bits, too
+
+    key = F.lit(0).cast("long")
+    for j, c in enumerate(cuts):
+        at = rank(c).cast("long")
+        for b in range(bits):
+            bit = F.shiftright(at, b).bitwiseAND(F.lit(1).cast("long"))
+            key = key.bitwiseOR(F.shiftleft(bit, b * len(cuts) + len(cuts) - 1 - j))
+    return key
+
+
+def write_curve_clustered(df: DataFrame, path: str, cols: list[str], bits: int = 8, files: int | None = None,
+                          mode: str = "overwrite") -> None:
+    """X17 for filters on any of `cols`: files and row groups follow a Z-order curve over all of them.
+
+    A sort by several columns narrows only the first one's ranges.  Equal keys (a hot item in one store, say) may
+    take several tasks, since rows are dealt by ranges of (key, hash of the row).
+    """
+    if not 1 <= len(cols) * bits <= 62:
+        raise ValueError("the columns' bits must fit a long")
+    keyed = df.withColumn("_key", curve_key(curve_cuts(df, cols, bits), bits)).withColumn("_spread", F.xxhash64(*df.columns))
+    parts = [files] if files else []
+    (keyed.repartitionByRange(*parts, "_key", "_spread").sortWithinPartitions("_key", *cols).drop("_key", "_spread")
+     .write.mode(mode).parquet(path))
+
+
 def materialize(df: DataFrame, name: str, as_table_path: str | None = None) -> DataFrame:
     """View (lazy temp view) or table (written and read back, cutting lineage)."""
     if as_table_path is None:

@@ -337,3 +337,39 @@ def test_stream_keeps_documents_without_ids_apart(spark, tmp_path):
     for _ in range(2):
         landing_stream.land_batch(docs, f"{tmp_path}/t")
     assert spark.read.parquet(f"{tmp_path}/t").count() == 5
+
+
+def test_curve_clustering_narrows_every_column(spark, tmp_path):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from larder.sources import ingest
+
+    rows = fx.fx_price(spark, SF_SMALL).select("load_id", "item_id", "store_id", "price_date")
+    odd = rows.limit(3).withColumns({"item_id": F.lit(None).cast("string"), "store_id": F.lit(None).cast("string")})
+    rows = rows.unionByName(odd)
+    sorted_, curve = f"{tmp_path}/sorted", f"{tmp_path}/curve"
+    rows.repartitionByRange(16, "item_id", "store_id", "price_date").sortWithinPartitions(
+        "item_id", "store_id", "price_date").write.parquet(sorted_)
+    ingest.write_curve_clustered(rows, curve, ["item_id", "store_id", "price_date"], files=16)
+    assert spark.read.parquet(curve).exceptAll(rows).count() == 0 and spark.read.parquet(curve).count() == rows.count()
+
+    def touched(path: str, column: str, value) -> float:
+        """The share of row groups whose range of the column holds the value."""
+        groups = hit = 0
+        for f in glob.glob(f"{path}/*.parquet"):
+            meta = pq.ParquetFile(f).metadata
+            for g in range(meta.num_row_groups):
+                stats = next(meta.row_group(g).column(c).statistics for c in range(meta.num_columns)
+                             if meta.row_group(g).column(c).path_in_schema == column)
+                groups += 1
+                hit += stats.min <= value <= stats.max
+        return hit / groups
+
+    day = dt.date(1997, 3, 1)
+    assert touched(sorted_, "store_id", "S3") > 0.8 and touched(sorted_, "price_date", day) > 0.8
+    for column, value in (("store_id", "S3"), ("item_id", "Brand#12"), ("price_date", day)):
+        assert touched(curve, column, value) <= 0.65, column
+    with pytest.raises(ValueError):
+        ingest.write_curve_clustered(rows, curve, ["item_id"], bits=63)
