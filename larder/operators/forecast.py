@@ -359,8 +359,11 @@ def residual_effect(effect: Column, date: Column) -> Column:
 def residual_stage(history: DataFrame, lookback_days: int = 90, as_of=None, holdout: int = 14,
                    min_rows: int = 28, rounds: int = 50, depth: int = 3, rate: float = 0.1):
     """Second stage (M7): a boosted regression of the day-over-day change on calendar features for every series
-    of at least `min_rows` rows, trained without its last `holdout` rows.  Returns (models, summary)."""
+    of at least `min_rows` rows, trained without its last `holdout` rows.  Returns (models, summary), without any
+    such series (None, None)."""
     models = store(residual_models(residual_cells(history, lookback_days, as_of, holdout), min_rows, rounds, depth, rate),
                    "residual-models")
+    if models.isEmpty():
+        return None, None
     return models, models.agg(F.lit("residual_trees").alias("model"), F.count(F.lit(1)).alias("n_models"),
                               F.avg("mae").alias("holdout_mae"))
