@@ -1,12 +1,18 @@
 """WARC records in ZIP packages: writer, and a reader by ranges.
 
 A package is a ZIP file with two *stored* members: `archive/data.warc.gz` (one
-gzip member per WARC record) and `indexes/index.cdxj` (offset and length of
-each record inside that member).  The reader parses the end record, the ZIP64
+gzip member per WARC record, each an HTTP message) and `indexes/index.cdxj` (lines of a key, a time and JSON with the
+file name, offset and length of each record, sorted by key).  The reader takes any package with stored
+members below `archive/` (.warc or .warc.gz, several if need be) and index lines of that form below
+`indexes/`; records are gzip members or plain, responses, resources or revisits, their payload
+digests in base 16 or 32.  It parses the end record, the ZIP64
 end record where there is one, and the central directory, finds the members'
 data through their local headers, reads the index, and then reads each record
 by its byte range; nothing is extracted.
 
+Pages have no capture time, so their records carry the date given to the writer.
+Only ranges are read, so a member's CRC is not checked; each payload is, against its digest.
+
 Records of equal payloads of at least `min_bytes`: the one with the largest
 page_id is the response, the others are revisits that refer to it.  Repeated
 rows with that same page_id are responses alike.  A null html is an empty
@@ -16,13 +22,16 @@ always a response and nobody's original.
 
 from __future__ import annotations
 
+import base64
 import gzip
 import io
 import json
+import re
 import struct
 import uuid
 import zlib
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pandas as pd
 from pyarrow import fs as pafs
@@ -36,6 +45,7 @@ from larder.session import scratch_path
 WARC, INDEX = "archive/data.warc.gz", "indexes/index.cdxj"
 PACKAGE_BYTES = 16 << 20  # a package is closed when its records reach this; one longer record makes its own
 MIN_BYTES = 1000
+DATE = "1970-01-01T00:00:00Z"
 
 
 # ---------------------------------------------------------------- ZIP, written and read by ranges
@@ -112,28 +122,66 @@ def zip_directory(read_at, size: int) -> dict[str, tuple[int, int]]:
 
 # ---------------------------------------------------------------- WARC records
 
-def warc_record(kind: str, page_id: int | None, url: str | None, payload: bytes, digest: str,
-                refers_to: int | None) -> bytes:
-    body = b"" if kind == "revisit" else payload
-    head = [("WARC-Type", kind), ("WARC-Record-ID", f"<urn:page:{'' if page_id is None else page_id}>"),
+def warc_record(kind: str, record_id: str, page_id: int | None, url: str | None, payload: bytes, digest: str,
+                refers_to: int | None = None, refers_url: str | None = None, date: str = DATE) -> bytes:
+    """A response, or a revisit of one: an HTTP message, with the payload or without it."""
+    line = lambda text: text.replace("\r", " ").replace("\n", " ")
+    body = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: %d\r\n\r\n" % len(payload)
+    if kind != "revisit":
+        body += payload
+    head = [("WARC-Type", kind), ("WARC-Record-ID", f"<{record_id}>"), ("WARC-Date", date),
             ("WARC-Payload-Digest", f"sha1:{digest}"), ("X-Payload-Length", str(len(payload)))]
+    if page_id is not None:
+        head.append(("X-Page-ID", str(page_id)))
     if url is not None:
-        head.append(("WARC-Target-URI", url.replace("\r", " ").replace("\n", " ")))
+        head.append(("WARC-Target-URI", line(url)))
     if kind == "revisit":
         head += [("WARC-Profile", "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"),
-                 ("WARC-Refers-To", f"<urn:page:{refers_to}>")]
-    head += [("Content-Type", "text/html; charset=utf-8"), ("Content-Length", str(len(body)))]
+                 ("WARC-Refers-To-Date", date), ("X-Refers-To-Page", str(refers_to))]
+        if refers_url is not None:
+            head.append(("WARC-Refers-To-Target-URI", line(refers_url)))
+    head += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(body)))]
     text = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in head) + "\r\n"
     return text.encode("utf-8", "surrogatepass") + body + b"\r\n\r\n"
 
 
+def _fields(lines: list[str]) -> dict[str, str]:
+    """Header fields by lower-case name."""
+    return {k.strip().lower(): v.strip() for k, _, v in (line.partition(":") for line in lines)}
+
+
 def parse_warc(record: bytes) -> tuple[dict[str, str], bytes]:
+    """Header fields (names in lower case) and the block."""
     head, _, rest = record.partition(b"\r\n\r\n")
     first, *lines = head.decode("utf-8", "surrogatepass").split("\r\n")
     if not first.startswith("WARC/"):
         raise ValueError("not a WARC record")
-    fields = dict(line.split(": ", 1) if ": " in line else (line.rstrip(":"), "") for line in lines)
-    return fields, rest[:int(fields["Content-Length"])]
+    fields = _fields(lines)
+    return fields, rest[:int(fields["content-length"])]
+
+
+def payload_of(fields: dict[str, str], block: bytes) -> tuple[bytes, bool]:
+    """The payload of a block, and whether it stands there as its digest counts it (no transfer or content coding)."""
+    if not fields.get("content-type", "").lower().startswith("application/http"):
+        return block, True
+    head, _, body = block.partition(b"\r\n\r\n")
+    http = _fields(head.decode("latin-1").split("\r\n")[1:])
+    return body, not (http.get("transfer-encoding") or http.get("content-encoding"))
+
+
+def hex_digest(labelled: str) -> str | None:
+    """Lower-case hex of a labelled SHA-1 in base 16 or 32; None for other algorithms."""
+    name, _, value = labelled.partition(":")
+    if name.lower() != "sha1":
+        return None
+    return value.lower() if len(value) == 40 else base64.b32decode(value.upper()).hex()
+
+
+def index_key(url: str | None) -> str:
+    """Host labels from the top domain down, then the path, as index lines are sorted by."""
+    m = re.match(r"[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)(.*)", url or "", re.S)
+    key = ",".join(reversed(m[1].lower().split("."))) + ")" + (m[2] or "/") if m else url or "-"
+    return quote(key, safe="/:?&=%,)(;@!$*+~._-") or "-"
 
 
 # ---------------------------------------------------------------- Spark: write, list, read
@@ -143,17 +191,19 @@ def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
 
 
 def plan_records(pages: DataFrame, min_bytes: int = MIN_BYTES) -> DataFrame:
-    """page_id, url, payload, digest, refers_to (null for a response)."""
+    """page_id, url, payload, digest, refers_to and refers_url (null for a response)."""
     rows = pages.select("page_id", "url", F.coalesce("html", F.lit("")).cast("binary").alias("payload"))
     rows = rows.withColumn("digest", F.sha1("payload"))
     same = (rows.where(F.length("payload") >= min_bytes).groupBy("digest")
-            .agg(F.max("page_id").alias("last"), F.count("*").alias("n")).where("n > 1").select("digest", "last"))
+            .agg(F.max("page_id").alias("last"), F.max_by("url", "page_id").alias("last_url"), F.count("*").alias("n"))
+            .where("n > 1").select("digest", "last", "last_url"))
     revisit = F.col("last").isNotNull() & F.col("page_id").isNotNull() & (F.col("page_id") != F.col("last"))
     return rows.join(same, "digest", "left").select(
-        "page_id", "url", "payload", "digest", F.when(revisit, F.col("last")).alias("refers_to"))
+        "page_id", "url", "payload", "digest", F.when(revisit, F.col("last")).alias("refers_to"),
+        F.when(revisit, F.col("last_url")).alias("refers_url"))
 
 
-def write_packages(records: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES) -> DataFrame:
+def write_packages(records: DataFrame, folder: str, package_bytes: int = PACKAGE_BYTES, date: str = DATE) -> DataFrame:
     """Write packages below `folder` (any store that Arrow's file systems reach); returns (path, n_records).
 
     Every task writes files of its own name, and only the files of the attempt
@@ -164,13 +214,14 @@ def write_packages(records: DataFrame, folder: str, package_bytes: int = PACKAGE
         store, base = _file_system(folder)
         store.create_dir(base, recursive=True)
         task = TaskContext.get()
+        stamp = "".join(re.findall(r"\d", date))[:14]
         own = f"{task.partitionId()}-{task.taskAttemptId()}-{uuid.uuid4().hex[:8]}"
         parts, lines, at, made = [], [], 0, 0
 
         def close() -> pd.DataFrame:
             nonlocal parts, lines, at, made
             path = f"{folder}/{own}-{made}.wacz"
-            data = zip_stored([(WARC, b"".join(parts)), (INDEX, "".join(lines).encode())])
+            data = zip_stored([(WARC, b"".join(parts)), (INDEX, "".join(sorted(lines)).encode())])
             with store.open_output_stream(f"{base}/{own}-{made}.wacz") as f:
                 f.write(data)
             found = pd.DataFrame({"path": [path], "n_records": [len(lines)]})
@@ -178,14 +229,17 @@ def write_packages(records: DataFrame, folder: str, package_bytes: int = PACKAGE
             return found
 
         for b in batches:
-            for page_id, url, payload, digest, refers in zip(
+            for page_id, url, payload, digest, refers, refers_url in zip(
                     b["page_id"].astype(object), b["url"], b["payload"], b["digest"],
-                    b["refers_to"].astype(object), strict=True):
+                    b["refers_to"].astype(object), b["refers_url"], strict=True):
                 page_id, refers = (None if pd.isna(x) else int(x) for x in (page_id, refers))
                 kind = "response" if refers is None else "revisit"
-                packed = gzip.compress(warc_record(kind, page_id, url, bytes(payload), digest, refers), 1, mtime=0)
-                lines.append(f"{'' if page_id is None else page_id} "
-                             + json.dumps({"offset": at, "length": len(packed)}) + "\n")
+                unique = uuid.uuid5(uuid.NAMESPACE_URL, f"{own}-{made}/{len(lines)}").urn
+                packed = gzip.compress(warc_record(kind, unique, page_id, url, bytes(payload), digest, refers, refers_url, date),
+                                       1, mtime=0)
+                lines.append(f"{index_key(url)} {stamp} " + json.dumps(
+                    {"url": url or "", "digest": f"sha1:{digest}", "mime": "text/html" if refers is None else "warc/revisit",
+                     "status": "200", "filename": WARC.partition("/")[2], "offset": str(at), "length": str(len(packed))}) + "\n")
                 parts.append(packed)
                 at += len(packed)
                 if at >= package_bytes:
@@ -198,6 +252,34 @@ def write_packages(records: DataFrame, folder: str, package_bytes: int = PACKAGE
     return materialize(ids.mapInPandas(run, "path string, n_records long"), "packages")
 
 
+def indexed_records(read_at, members: dict[str, tuple[int, int]]) -> list[tuple[int, int]]:
+    """(offset, length) in the package of each record that its index lines name."""
+    archives = {name.removeprefix("archive/"): place for name, place in members.items()
+                if name.startswith("archive/") and name.endswith((".warc", ".warc.gz"))}
+    indexes = [name for name in members if name.startswith("indexes/") and re.search(r"\.cdxj?(\.gz)?$", name)]
+    if archives and not indexes:
+        raise ValueError("the package has no index")
+    found = []
+    for name in sorted(indexes):
+        raw = read_at(*members[name])
+        text = (gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw).decode()
+        for line in text.split("\n"):
+            at = line.find("{")
+            if at < 0 or line.startswith("!"):  # a header line
+                continue
+            entry = json.loads(line[at:])
+            file = entry.get("filename") or (next(iter(archives)) if len(archives) == 1 else None)
+            file = file.removeprefix("archive/") if file else file
+            if file not in archives:
+                raise ValueError(f"the index names {file}, which the package does not hold")
+            base, size = archives[file]
+            offset, length = int(entry["offset"]), int(entry["length"])
+            if offset < 0 or length < 0 or offset + length > size:
+                raise ValueError(f"a record of {file} reaches over its end")
+            found.append((base + offset, length))
+    return found
+
+
 def list_records(packages: DataFrame) -> DataFrame:
     """(path, offset, length) of each record: central directory, member, index, all read by ranges."""
 
@@ -207,12 +289,9 @@ def list_records(packages: DataFrame) -> DataFrame:
                 store, at = _file_system(path)
                 with store.open_input_file(at) as f:
                     read_at = lambda where, n, f=f: f.read_at(n, where)
-                    members = zip_directory(read_at, f.size())
-                    base, _ = members[WARC]
-                    index = read_at(*members[INDEX]).decode().splitlines()
-                entries = [json.loads(line.partition(" ")[2]) for line in index]
-                yield pd.DataFrame({"path": path, "offset": [base + e["offset"] for e in entries],
-                                    "length": [e["length"] for e in entries]})
+                    found = indexed_records(read_at, zip_directory(read_at, f.size()))
+                yield pd.DataFrame({"path": path, "offset": [o for o, _ in found], "length": [n for _, n in found]},
+                                   ).astype({"offset": "int64", "length": "int64"})
 
     return packages.select("path").mapInPandas(run, "path string, offset long, length long")
 
@@ -229,21 +308,28 @@ def read_records(index: DataFrame, payload: bool = True) -> DataFrame:
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import hashlib
 
-        number = lambda urn: int(urn[10:-1]) if urn and urn[10:-1] else None  # noqa: E731  <urn:page:N>
+        number = lambda text: int(text) if text else None
         for b in batches:
             rows = []
             for path, part in b.groupby("path"):
                 store, at = _file_system(path)
                 with store.open_input_file(at) as f:
                     for offset, length in zip(part["offset"].tolist(), part["length"].tolist(), strict=True):
-                        head, body = parse_warc(gzip.decompress(f.read_at(length, offset)))
-                        kind, digest = head["WARC-Type"], head["WARC-Payload-Digest"].removeprefix("sha1:")
-                        if kind == "response" and hashlib.sha1(body).hexdigest() != digest:
+                        raw = f.read_at(length, offset)
+                        head, block = parse_warc(gzip.decompress(raw) if raw[:2] == b"\x1f\x8b" else raw)
+                        kind = head["warc-type"].lower()
+                        if kind not in ("response", "resource", "revisit"):
+                            continue  # requests, metadata and the like have no page
+                        body, plain = payload_of(head, block)
+                        stated = hex_digest(head.get("warc-payload-digest", ""))
+                        own = kind != "revisit"
+                        if own and plain and stated not in (None, hashlib.sha1(body).hexdigest()):
                             raise ValueError(f"{path} at {offset}: the payload does not match its digest")
-                        size = len(body) if kind == "response" else int(head["X-Payload-Length"])
-                        rows.append((number(head["WARC-Record-ID"]), head.get("WARC-Target-URI"),
-                                     body if payload and kind == "response" else None, size, digest, kind,
-                                     number(head.get("WARC-Refers-To"))))
+                        digest = stated or (hashlib.sha1(body).hexdigest() if own else None)
+                        size = len(body) if own else number(head.get("x-payload-length"))
+                        rows.append((number(head.get("x-page-id")), head.get("warc-target-uri"),
+                                     body if payload and own else None, size, digest, kind,
+                                     number(head.get("x-refers-to-page"))))
             found = pd.DataFrame(rows, columns=names, dtype=object)
             for c in ("page_id", "payload_bytes", "refers_to"):
                 found[c] = pd.array(found[c].tolist(), dtype="Int64")

@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from larder.llm import html, lines, online_packing, ranked, sampling, whitening
+from larder.llm import html, lines, online_packing, ranked, sampling, warc, whitening
 from tests.llm.test_corpus import DOCS, all_pairs, odd_rows, prose
 
 
@@ -360,3 +360,68 @@ def test_the_hosts_path_is_found_again():
     assert [n.path for n in html.on_path(nodes, path)] == [path] * len(html.on_path(nodes, path)) and path.endswith("div.c.main") and score > 0
     assert {n.order for n in html.on_path(nodes, path)} == {n.order for n in nodes if n.path == path}
     assert html.extract(page, path)[0] == "long text of the page, long enough\nmore" and html.on_path(nodes, "no>such") == []
+
+
+# ---------------------------------------------------------------- 10 WARC: valid records, foreign packages
+
+
+def test_records_are_valid_and_unique(spark, tmp_path):
+    import gzip
+
+    page = "<p>" + "x" * 1200
+    pages = spark.createDataFrame([(1, "http://a.example/x y", page), (2, "http://a.example/", page), (2, "http://a.example/", page),
+                                   (3, None, "é"), (None, "odd", None)], "page_id long, url string, html string")
+    packages = warc.write_packages(warc.plan_records(pages.coalesce(1)), f"file://{tmp_path}", date="2024-05-06T07:08:09Z")
+    seen = set()
+    for r in warc.list_records(packages).collect():
+        with open(r["path"].removeprefix("file://"), "rb") as f:
+            f.seek(r["offset"])
+            raw = gzip.decompress(f.read(r["length"]))
+        head, block = warc.parse_warc(raw)
+        assert raw.endswith(b"\r\n\r\n") and int(head["content-length"]) == len(block) and head["warc-date"] == "2024-05-06T07:08:09Z"
+        assert block.startswith(b"HTTP/1.1 200 OK\r\n") and head["content-type"].startswith("application/http")
+        if head["warc-type"] == "revisit":
+            assert head["warc-refers-to-target-uri"] == "http://a.example/" and block.endswith(b"\r\n\r\n")
+        seen.add(head["warc-record-id"])
+    assert len(seen) == 5 and all(x.startswith("<urn:uuid:") for x in seen)
+    got = Counter((r["page_id"], r["record_type"], r["refers_to"], r["payload_bytes"]) for r in warc.read_records(warc.list_records(packages)).collect())
+    assert got == Counter({(1, "revisit", 2, 1203): 1, (2, "response", None, 1203): 2, (3, "response", None, 2): 1, (None, "response", None, 0): 1})
+
+
+def test_foreign_packages_are_read(spark, tmp_path):
+    import base64
+    import gzip
+    import hashlib
+    import json
+
+    def record(kind: str, body: bytes, kind_of: str, digest: str | None) -> bytes:
+        head = f"WARC/1.0\r\nwarc-type: {kind}\r\nWARC-Target-URI: http://f.example/{kind}\r\nContent-Type: {kind_of}\r\n"
+        head += f"WARC-Payload-Digest: {digest}\r\n" if digest else ""
+        return (head + f"Content-Length: {len(body)}\r\n\r\n").encode() + body + b"\r\n\r\n"
+
+    page = b"<p>foreign</p>"
+    sha = hashlib.sha1(page)
+    base32 = "sha1:" + base64.b32encode(sha.digest()).decode()
+    plain = [record("warcinfo", b"software: x", "application/warc-fields", None),
+             record("response", b"HTTP/1.0 200 OK\r\nServer: s\r\n\r\n" + page, "application/http;msgtype=response", base32),
+             record("resource", page, "text/html", None)]
+    packed = [gzip.compress(record("revisit", b"", "application/http", base32))]
+    lines_, at = ["!OpenWayback-CDXJ 1.0"], 0
+    for r in plain:
+        lines_.append("example,f)/ 20240101000000 " + json.dumps({"offset": at, "length": len(r), "filename": "one.warc"}))
+        at += len(r)
+    more = "example,f)/r 20240101000001 " + json.dumps({"offset": "0", "length": str(len(packed[0])), "filename": "two.warc.gz"})
+    raw = warc.zip_stored([("datapackage.json", b"{}"), ("archive/one.warc", b"".join(plain)), ("archive/two.warc.gz", packed[0]),
+                           ("indexes/a.cdxj", "\n".join(lines_).encode()), ("indexes/b.cdx.gz", gzip.compress(more.encode()))])
+    (tmp_path / "f.wacz").write_bytes(raw)
+    packages = spark.createDataFrame([(f"file://{tmp_path}/f.wacz",)], "path string")
+    got = sorted((r["record_type"], r["url"], r["payload_digest"], bytes(r["payload"] or b"")) for r in
+                 warc.read_records(warc.list_records(packages)).collect())
+    assert got == [("resource", "http://f.example/resource", sha.hexdigest(), page),
+                   ("response", "http://f.example/response", sha.hexdigest(), page), ("revisit", "http://f.example/revisit", sha.hexdigest(), b"")]
+    read_at = lambda where, n: raw[where:where + n]
+    members = warc.zip_directory(read_at, len(raw))
+    with pytest.raises(ValueError):
+        warc.indexed_records(read_at, {k: v for k, v in members.items() if k != "archive/one.warc"})
+    with pytest.raises(ValueError):
+        warc.indexed_records(read_at, {k: v for k, v in members.items() if not k.startswith("indexes/")})
