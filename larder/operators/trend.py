@@ -15,7 +15,6 @@ import math
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from larder.operators import forecast as fc
 from larder.operators.marts import HOT_SERIES_ROWS, SERIES
