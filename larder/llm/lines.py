@@ -159,18 +159,17 @@ def overlaps(docs: DataFrame, min_chars: int = MIN_CHARS, rare_docs: int = RARE_
     lines = lines.join(classes, ["doc_id", "whole"], "left_semi").drop("whole")
     owned = lines.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last")).where("last > first")
     held = materialize(lines.join(owned.drop("last"), "hash").distinct(), "shared-lines")  # repeated rows count once
-    holders = held.select("hash", "doc_id").distinct().groupBy("hash").count()
-    rare_hashes = holders.where(F.col("count") <= rare_docs).select("hash")
-    rare = held.join(rare_hashes, "hash", "left_semi")
-    common = materialize(held.join(rare_hashes, "hash", "left_anti"), "common-lines")
+    holders = held.select("hash", "doc_id").distinct().groupBy("hash").agg((F.count("*") <= rare_docs).alias("rare"))
+    marked = materialize(held.join(holders, "hash"), "marked-lines")
+    rare, common = marked.where("rare").drop("rare"), marked.where("not rare").drop("rare")
     theirs = lambda rows: rows.select("hash", F.col("doc_id").alias("owner"), F.col("pos").alias("owner_pos"))
     columns = ["doc_id", "owner", "pos", "owner_pos", "weight", "hash"]
     by_rare = rare.join(theirs(rare), "hash").where("doc_id > owner").withColumn("weight", F.lit(min_chars)).select(*columns)
     run = runs(common)
     run_owners = run.groupBy("run").agg(F.min("doc_id").alias("owner"), F.max("doc_id").alias("last")).where("last > owner")
-    pairs = by_rare.select("doc_id", "owner").unionByName(
+    pairs = materialize(by_rare.select("doc_id", "owner").unionByName(
         common.where("doc_id > first").select("doc_id", F.col("first").alias("owner"))).unionByName(
-        run.join(run_owners, "run").where("doc_id > owner").select("doc_id", "owner")).distinct()
+        run.join(run_owners, "run").where("doc_id > owner").select("doc_id", "owner")).distinct(), "pairs")
     by_common = common.withColumnRenamed("size", "weight").join(pairs, "doc_id").join(theirs(common), ["owner", "hash"])
     whole = copies.select("doc_id", F.col("doc_id").alias("owner"), F.lit(WHOLE).alias("pos"), F.lit(WHOLE).alias("owner_pos"),
                           F.lit(min_chars).alias("weight"), F.col("whole").alias("hash"))
