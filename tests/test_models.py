@@ -94,6 +94,23 @@ def test_margins_stored_with_the_cells_change_nothing(spark, monkeypatch):
         assert (a.feature == b.feature).all() and (a.cut == b.cut).all() and np.allclose(a.value, b.value)
 
 
+def test_a_level_of_a_tree_is_one_stage_over_packed_cells(spark):
+    df = spark.createDataFrame(labelled(2000, 4), "a double, b double, c double, label int, out boolean")
+    tracker, sc = spark.sparkContext.statusTracker(), spark.sparkContext
+
+    def stages(rounds):
+        group = f"boosting-{rounds}"
+        sc.setJobGroup(group, group)
+        try:
+            model = boosting.fit_boosted_trees(df, COLS, "label", F.col("out"), rounds, 3, 0.3, patience=None, one_task_cells=0)
+        finally:
+            sc._jsc.clearJobGroup()
+        assert len(model.trees) >= 2
+        return sum(len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup(group))
+
+    assert stages(6) - stages(3) == 3 * 3  # three more trees of three levels
+
+
 def test_classifier_trains_on_the_fixture(spark):
     history = marts.price_history(fx.fx_price(spark, SF_SMALL))
     model, metrics = classifier.train_classifier(history, 3650, fx.AS_OF, rounds=8)
