@@ -325,6 +325,23 @@ def test_compressed_promo_ranges(spark):
     assert some.exceptAll(want).count() == 0 and some.count() == want.count() > few.count()
 
 
+def test_promo_range_shuffles_no_joined_row(spark, monkeypatch):
+    from collections import Counter
+
+    from tests.test_estimators import crowded_series
+
+    df = crowded_series(spark, [10] * 12 + [60] + [3] * 10, odd=True)
+    links, ends = marts.promo_calendar_links(df).localCheckpoint(), marts.promo_calendar_ends(df).localCheckpoint()
+    rows = lambda: Counter(map(str, marts.expand_links(links, ends).collect()))
+    want = rows()
+    plan = marts.expand_links(links, ends)._jdf.queryExecution().optimizedPlan().toString()
+    exploded = plan.split("Join LeftOuter", 1)[1]
+    assert "sequence(first_end_rank" not in exploded  # a start does not come once per end
+    for name in ("TILE_ENDS", "TILE_STARTS"):
+        monkeypatch.setattr(marts, name, 3)
+    assert rows() == want and sum(want.values()) > 2 * links.count()
+
+
 def test_append_once_and_backfill_are_repeatable(spark, tmp_path):
     from larder.plans import catalog, jobs
     from larder.sources import documents, ingest
