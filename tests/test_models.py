@@ -111,6 +111,18 @@ def test_a_level_of_a_tree_is_one_stage_over_packed_cells(spark):
     assert stages(6) - stages(3) == 3 * 3  # three more trees of three levels
 
 
+def test_splits_store_no_column_that_nothing_reads(spark):
+    from larder.plans import catalog
+
+    unread = {"item_name", "upc", "category", "store_name", "item_size", "promo_price"}
+    history = marts.price_history(fx.fx_price(spark, SF_SMALL))
+    assert unread <= set(history.columns)
+    assert not unread & set(classifier.split_frame(history, 3650, fx.AS_OF).columns)
+    assert not unread & set(catalog.stored_history(spark, SF_SMALL).columns)
+    plan = catalog.QUERIES["ordered_split"](spark, SF_SMALL)._jdf.queryExecution().analyzed().toString()
+    assert not any(f"{c}#" in plan for c in unread)
+
+
 def test_classifier_trains_on_the_fixture(spark):
     history = marts.price_history(fx.fx_price(spark, SF_SMALL))
     model, metrics = classifier.train_classifier(history, 3650, fx.AS_OF, rounds=8)
