@@ -196,7 +196,9 @@ def tag_payloads(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "products", F.try_variant_get("v", "$.data", "array<map<string,variant>>"))
     bad = F.col("products").isNull() | F.exists("products", lambda p: p.isNull())
     rejects = parsed.filter(bad).select("location_id", "term", "body")
-    products = parsed.filter(~bad).select("location_id", "term", F.explode("products").alias("p"))
+    # one expression that names the parsed list once: a filter would be pushed below it and parse the body again for each naming
+    good = F.filter(F.array("products"), lambda ps: ps.isNotNull() & ~F.exists(ps, lambda p: p.isNull()))
+    products = parsed.select("location_id", "term", F.explode(F.flatten(good)).alias("p"))
     own = F.map_filter("p", lambda k, _: ~k.isin("_location_id", "_search_term"))
     tags = F.create_map(F.lit("_location_id"), F.to_variant_object(F.struct(F.col("location_id").alias("x"))),
                         F.lit("_search_term"), F.to_variant_object(F.struct(F.col("term").alias("x"))))

@@ -110,3 +110,15 @@ def test_optional_filters_and_missing_stores(spark):
     assert serving.list_items(fx.fx_price(spark, SF_SMALL), limit=3).count() == 3
     with pytest.raises(RuntimeError, match="no store"):
         ingest.require_rows(ext.limit(0), "no store to ask prices for")
+
+
+def test_tagging_parses_a_document_once(spark):
+    from larder.sources import ingest
+
+    docs = spark.createDataFrame([("S1", "eggs", '{"data": [{"productId": "a"}, null]}'), ("S1", "eggs", '{"data": []}'),
+                                  ("S2", "milk", '{"data": [{"productId": "b"}, {"productId": "c"}]}'), ("S3", "x", None)],
+                                 "location_id string, term string, body string")
+    tagged, rejects = ingest.tag_payloads(docs)
+    assert sorted(r["product_id"] for r in tagged.collect()) == ["b", "c"]
+    assert sorted(r["location_id"] for r in rejects.collect()) == ["S1", "S3"]
+    assert tagged._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
