@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 
 from larder import schemas
 from larder.operators import causal, classifier, forecast, marts, staging
-from larder.session import scratch_path
+from larder.session import few, scratch_path, store
 from larder.sources import fixtures as fx
 from larder.sources import ingest, landing
 
@@ -162,13 +162,13 @@ def job_backfill(spark: SparkSession, raw_prices: DataFrame, crowd_pages: DataFr
     import datetime as dt
 
     cutoff = (dt.date.fromisoformat(as_of) - dt.timedelta(days=days)).isoformat()
-    codes = ingest.tracked_codes(raw_prices, sort=False).withColumnRenamed("product_id", "code")
-    pages = crowd_pages.join(codes, "code", "left_semi")
+    codes = store(ingest.tracked_codes(raw_prices, sort=False).withColumnRenamed("product_id", "code"), "codes")
+    pages = store(crowd_pages.join(few(codes), "code", "left_semi"), "crowd-pages")
     place = ("page", "pos")
-    items = ingest.collapse_pages(pages, page_size, max_pages).select(
+    items = ingest.collapse_pages(pages, page_size, max_pages, stored=True).select(
         F.col("code").alias("product_id"), *[F.col(c).alias(f"_{c}") for c in place], "item.*")
     dated = ingest.backfill_dates(items, cutoff)
-    fresh = ingest.backfill_anti_join(dated, ingest.existing_pairs(raw_prices, as_of))
+    fresh = ingest.backfill_anti_join(dated, few(store(ingest.existing_pairs(raw_prices, as_of), "pairs")))
     payloads = ingest.normalize_crowd_prices(fresh, store_id, keep=("_page", "_pos"))
     landed = landing.land_price_payloads(payloads.select(
         landing.load_id("product_id", "date_str", "_page", "_pos", "payload").alias("load_id"),

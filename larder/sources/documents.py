@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from larder.sources import fixtures as fx
+from larder.session import few, store
 from larder.sources.tables import read_table
 
 
@@ -42,9 +43,21 @@ def crowd_items(prices: DataFrame) -> DataFrame:
 
 
 def crowd_pages(items: DataFrame, code_col: str, page_size: int) -> DataFrame:
-    """Paged API responses per product code: page k holds items (k-1)*size+1 .. k*size by load_id."""
-    rn = F.row_number().over(Window.partitionBy(code_col).orderBy("load_id")) - 1
-    numbered = items.withColumn("_rn", rn)
+    """Paged API responses per product code: page k holds items (k-1)*size+1 .. k*size by load_id.
+
+    No task holds all items of a code: they are dealt by ranges of (code, load_id), sorted and written once; an item's number
+    is its place in its range plus the items of its code in the ranges before, from the table of ranges and codes.
+    """
+    placed = items.repartitionByRange(code_col, "load_id").sortWithinPartitions(code_col, "load_id").withColumn(
+        "_id", F.monotonically_increasing_id())
+    rows = store(placed, "crowd-items")
+    part = F.shiftright("_id", 33)  # the documented layout of these ids: the partition above 33 bits of place
+    before = Window.partitionBy("_code").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    # a range holds whole codes but for its first and last, so there are at most ranges + codes rows
+    ranges = rows.groupBy(F.col(code_col).alias("_code"), part.alias("_part")).agg(
+        F.count(F.lit(1)).alias("_n"), F.min("_id").alias("_first")).withColumn("_before", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+    own = F.col(code_col).eqNullSafe(F.col("_code")) & (part == F.col("_part"))
+    numbered = rows.join(few(ranges.drop("_n")), own).withColumn("_rn", F.col("_before") + F.col("_id") - F.col("_first"))
     item = F.struct(*[c for c in items.columns if c != code_col])
     return numbered.groupBy(F.col(code_col).alias("code"), (F.floor(F.col("_rn") / page_size) + 1).alias("page")).agg(
         F.array_sort(F.collect_list(item)).alias("items"))

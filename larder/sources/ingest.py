@@ -19,6 +19,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from larder.session import few
+
 # ---------------------------------------------------------------------------
 # X8 flatten nested series documents
 # ---------------------------------------------------------------------------
@@ -47,14 +49,15 @@ def flatten_series(docs: DataFrame, doc_col: str = "doc") -> DataFrame:
 # ---------------------------------------------------------------------------
 
 
-def collapse_pages(pages: DataFrame, page_size: int = 100, max_pages: int | None = None) -> DataFrame:
+def collapse_pages(pages: DataFrame, page_size: int = 100, max_pages: int | None = None, stored: bool = False) -> DataFrame:
     """Union of `items` over pages 1..stop per code, stop = first page shorter than page_size
     (pages after a short page are ignored).  `max_pages` is for callers that page through a network
-    source and want to stop early; landed pages are all used."""
+    source and want to stop early; landed pages are all used.  `stored`: reading `pages` is cheap, so the codes may be
+    counted, and pages are not shuffled to meet them where they are few."""
     sized = pages.withColumn("_short", F.size("items") < page_size)
     stop = sized.groupBy("code").agg(
         F.min(F.when(F.col("_short"), F.col("page"))).alias("_stop"))
-    kept = sized.join(stop, "code").filter(F.col("_stop").isNull() | (F.col("page") <= F.col("_stop")))
+    kept = sized.join(few(stop) if stored else stop, "code").filter(F.col("_stop").isNull() | (F.col("page") <= F.col("_stop")))
     if max_pages is not None:
         kept = kept.filter(F.col("page") <= max_pages)
     return kept.select("code", "page", F.posexplode("items").alias("pos", "item"))
@@ -196,9 +199,10 @@ def tag_payloads(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
         "products", F.try_variant_get("v", "$.data", "array<map<string,variant>>"))
     bad = F.col("products").isNull() | F.exists("products", lambda p: p.isNull())
     rejects = parsed.filter(bad).select("location_id", "term", "body")
-    # one expression that names the parsed list once: a filter would be pushed below it and parse the body again for each naming
+    # one expression that names the parsed list once: a filter, also one that `explode` implies, would be pushed below it
+    # and parse the body again for each naming
     good = F.filter(F.array("products"), lambda ps: ps.isNotNull() & ~F.exists(ps, lambda p: p.isNull()))
-    products = parsed.select("location_id", "term", F.explode(F.flatten(good)).alias("p"))
+    products = parsed.select("location_id", "term", F.explode_outer(F.flatten(good)).alias("p")).filter(F.col("p").isNotNull())
     own = F.map_filter("p", lambda k, _: ~k.isin("_location_id", "_search_term"))
     tags = F.create_map(F.lit("_location_id"), F.to_variant_object(F.struct(F.col("location_id").alias("x"))),
                         F.lit("_search_term"), F.to_variant_object(F.struct(F.col("term").alias("x"))))
@@ -236,20 +240,33 @@ def append_once(df: DataFrame, path: str, key: str = "load_id", partition_col: s
     A row's key must not change from run to run, and equal keys must be in the same partition: then only the
     partitions that `df` has are looked up.  Of rows of `df` with the same key one is
     appended; rows without a key are an error, as they could never be told apart.
+    `df` is read for its keys first and then for its rows.
     """
     spark = df.sparkSession
-    if df.filter(F.col(key).isNull()).limit(1).count():
+    repeated, missing = repeated_keys(df, key)
+    if missing:
         raise ValueError(f"rows without {key} cannot be appended once")
-    fresh = df.dropDuplicates([key])
+    fresh = df.dropDuplicates([key]) if repeated else df
     if _exists(spark, path):
         held = spark.read.parquet(path)
         if partition_col:
             parts = df.select(F.col(partition_col).alias("_part")).distinct()
             held = held.join(parts, held[partition_col].eqNullSafe(parts["_part"]), "left_semi")
         fresh = fresh.join(held.select(F.col(key).alias("_held")), F.col(key) == F.col("_held"), "left_anti")
+    if partition_col and not dry_run:
+        fresh = fresh.repartitionByRange(partition_col, key)  # few files a partition value, and a value may take many tasks
     return append(fresh, path, dry_run, [partition_col] if partition_col else None)
 
 
+def repeated_keys(df: DataFrame, key: str) -> tuple[bool, bool]:
+    """Whether a key comes more than once, and whether a row has none: only hashes of keys are shuffled.  Two keys of
+    one hash count as repeated, which is harmless: then whole rows are shuffled to drop what there may be."""
+    hashed = df.select(F.xxhash64(key).alias("_h"), F.col(key).isNull().alias("_none"))
+    found = hashed.groupBy("_h").agg(F.count(F.lit(1)).alias("_n"), F.max("_none").alias("_none")).agg(
+        F.max("_n").alias("most"), F.max("_none").alias("none")).first()
+    return (found["most"] or 0) > 1, bool(found["none"])
+
+
 def _exists(spark: SparkSession, path: str) -> bool:
     """Whether the table has been written, by the file system that Spark uses for the path."""
     place = spark._jvm.org.apache.hadoop.fs.Path(path)

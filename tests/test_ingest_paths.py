@@ -122,3 +122,44 @@ def test_tagging_parses_a_document_once(spark):
     assert sorted(r["product_id"] for r in tagged.collect()) == ["b", "c"]
     assert sorted(r["location_id"] for r in rejects.collect()) == ["S1", "S3"]
     assert tagged._jdf.queryExecution().optimizedPlan().toString().count("parseJson") == 1
+
+
+def test_crowd_pages_number_items_without_a_window_per_code(spark):
+    from larder.sources import documents
+
+    rows = [("a" if k % 9 else None, f"{k * 7919 % 1000:04d}") for k in range(900)] + [("b", "x")]
+    pages = documents.crowd_pages(spark.createDataFrame(rows, "code string, load_id string").repartition(5), "code", 50)
+    assert "row_number" not in pages._jdf.queryExecution().optimizedPlan().toString()
+    got = {(r["code"], r["page"]): [i["load_id"] for i in r["items"]] for r in pages.collect()}
+    want = {}
+    for code in ("a", "b", None):
+        ids = sorted(i for c, i in rows if c == code)
+        want |= {(code, k // 50 + 1): ids[k:k + 50] for k in range(0, len(ids), 50)}
+    assert got == want
+
+
+def test_distinct_documents_land_without_a_shuffle_for_ids(spark, tmp_path, monkeypatch):
+    from pyspark.sql.classic.dataframe import DataFrame
+
+    from larder.sources import ingest
+    from larder.streaming import landing_stream
+
+    rows = spark.createDataFrame([("a",), ("b",), (None,)], "load_id string")
+    assert ingest.repeated_keys(rows, "load_id") == (False, True)
+    assert ingest.repeated_keys(rows.unionAll(rows.limit(0)).filter("load_id is not null"), "load_id") == (False, False)
+    assert ingest.repeated_keys(rows.unionAll(rows), "load_id") == (True, True)
+    assert ingest.repeated_keys(rows.limit(0), "load_id") == (False, False)
+    docs = spark.createDataFrame([(k, "S1", "p", '{"a": 1}') for k in ("a", "b")], "load_id string, store_id string, product_id string, payload string")
+    docs = docs.selectExpr("load_id", "timestamp_ntz'2024-01-01 00:00:00' AS loaded_at", "store_id", "product_id", "payload")
+    path = f"{tmp_path}/t"
+    spark.createDataFrame([], landing_stream.TABLE_SCHEMA).write.partitionBy("load_part").parquet(path)
+    landing_stream.land_batch(docs.unionAll(docs), path)
+    landing_stream.land_batch(docs, path)
+    assert spark.read.parquet(path).count() == 2
+
+    def fail(*_):
+        raise AssertionError("whole documents were shuffled by id")
+
+    monkeypatch.setattr(DataFrame, "dropDuplicates", fail)
+    landing_stream.land_batch(docs.withColumn("load_id", docs["product_id"]).limit(1), path)
+    assert spark.read.parquet(path).count() == 3
