@@ -15,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from larder.sources.ingest import repeated_keys
 from larder.sources.landing import land_price_payloads, load_id
 
 DOC_SCHEMA = "load_id string, loaded_at timestamp_ntz, store_id string, product_id string, payload string"
@@ -37,12 +38,15 @@ def land_batch(docs: DataFrame, table_path: str, granularity: str = "day") -> No
     day = F.col("loaded_at").cast("date")
     part = day if granularity == "day" else F.trunc(day, "month").cast("date")
     own = load_id("loaded_at", "store_id", "product_id", "payload")
-    batch = docs.withColumn("load_id", F.coalesce("load_id", own)).dropDuplicates(["load_id"]).withColumn("load_part", part)
+    batch = docs.withColumn("load_id", F.coalesce("load_id", own)).withColumn("load_part", part)
     landed = docs.sparkSession.read.schema(TABLE_SCHEMA).parquet(table_path).select(
         "load_part", F.col("load_id").alias("_landed"))
     parts = batch.select(F.col("load_part").alias("_part")).distinct()
     landed = landed.join(parts, F.col("load_part").eqNullSafe(F.col("_part")), "left_semi").select("_landed")
-    fresh = batch.join(landed, F.col("load_id") == F.col("_landed"), "left_anti")
+    # documents are long: they are shuffled by id only if there is an id to drop
+    if repeated_keys(batch, "load_id")[0]:
+        batch = batch.dropDuplicates(["load_id"])
+    fresh = batch if landed.isEmpty() else batch.join(landed, F.col("load_id") == F.col("_landed"), "left_anti")
     rows = land_price_payloads(fresh).withColumn("load_part", part)
     # ranges, not one task per partition value
     (rows.repartitionByRange("load_part", "store_id", "product_id").write.mode("append")
