@@ -143,8 +143,12 @@ def quality_scores(docs: DataFrame, labels: DataFrame, threshold: float = THRESH
 
 
 def keep_quality(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """The rows of `docs` that the classifier does not reject, with their own columns."""
-    stats = materialize(with_statistics(docs.select("doc_id", "text")).select("doc_id", "stat"), "statistics")
-    model = fit_quality(stats, labels)
-    bare = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("text").alias("__text"))
-    return with_statistics(bare, "__text").where(model.score() >= threshold).select("__row.*")
+    """The rows of `docs` that the classifier does not reject, with their own columns.
+
+    Rows are stored once with their statistics: the scores' plan then reads columns, where each rule over
+    statistics still to be computed would hold a copy of their expressions, in the driver's memory.
+    """
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row"), F.col("text").alias("__text"))
+    stats = materialize(with_statistics(rows, "__text").drop("__text"), "statistics")
+    model = fit_quality(stats.select(F.col("__row.doc_id").alias("doc_id"), "stat"), labels)
+    return stats.where(model.score() >= threshold).select("__row.*")

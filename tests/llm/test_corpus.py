@@ -577,6 +577,16 @@ def test_quality_of_odd_rows(spark, odd, none):
     assert quality.quality_scores(none, labels).count() == 0
 
 
+def test_kept_rows_are_scored_by_stored_statistics(spark):
+    docs = small(spark, "documents")
+    kept = quality.keep_quality(docs, small(spark, "labels"))
+    plan = kept._jdf.queryExecution().optimizedPlan().toString()
+    assert "Filter" in plan and "regexp" not in plan.lower()
+    scores = quality.quality_scores(docs, small(spark, "labels")).where(f"score >= {quality.THRESHOLD}")
+    assert kept.columns == docs.columns
+    assert sorted(r[0] for r in kept.select("doc_id").collect()) == sorted(r[0] for r in scores.select("doc_id").collect())
+
+
 def test_rules_are_columns(spark):
     model = quality.RuleModel(0.5, [(((0, 1.0, None),), 2.0), (((0, None, 3.0), (2, 0.1, 0.9)), -1.5)])
     df = quality.with_statistics(spark.createDataFrame([("Ab cd",), (None,)], "text string")).select(model.score().alias("s"))
