@@ -4,7 +4,8 @@ A text's lattice holds all its segmentations into pieces of a vocabulary file; o
 of pieces p1..pn has a probability in proportion to prod p(pi)^alpha.  Pieces never
 reach over a unit (white space marks with the letters after them; a line feed), so
 the lattice is a chain of unit lattices whose sums are computed once per distinct
-unit of a batch.
+unit of a batch.  So is each unit's way of likeliest edges; a unit whose random
+numbers all stay on it gets it as a whole, only others are walked edge by edge.
 
 The search holds regions of segmentations, each with the largest of its
 segmentations' Gumbel-perturbed log probabilities (exact, from the region's
@@ -25,7 +26,8 @@ Pieces of marks alone have their place too, after the others if their score is
 
 What is left of a region is summed over the ways that remain (log-sum-exp), never
 taken as a difference from one, so no segmentation is lost however unlikely it
-is.  Regions behind a prefix of log probability below FAR are not looked at first:
+is.  Sums over a unit's ways are taken in plain doubles where bounds on their
+logarithms show that they fit (ROOM), else in log space.  Regions behind a prefix of log probability below FAR are not looked at first:
 the uniform numbers have 52 bits, so such a region's Gumbel is below FAR + MOST; only if a document's best
 region is not above that is it sampled again with all of its regions.
 
@@ -44,6 +46,7 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -54,7 +57,8 @@ K, ALPHA, SEED = 4, 1.0, 42
 MARK = "▁"
 UNIT = re.compile(f"\n|{MARK}*[^{MARK}\n]+|{MARK}+")
 CHUNK_UNITS = 200_000  # units sampled in one go
-SPELT = 16  # bytes of a piece that are written by one table
+USUAL = 8  # steps of a unit's likeliest way up to which it is looked at as a whole
+ROOM = 600.0  # sums whose logarithms surely stay within this are taken as they are, others in log space
 FAR = -100.0  # regions of a smaller log probability are looked at only if they can matter (see MOST)
 MOST = 37.5  # above its location no Gumbel of `uniform` lies higher: -log(-log(1 - 2^-53)) < 37
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -129,6 +133,11 @@ class PieceModel:
         self.hashes = hashes[at]
         self.ids = np.array([v[0] for v in known.values()], np.int32)[at]
         self.scores = np.array([v[1] for v in known.values()])[at]
+        self.weights = np.exp(self.scores)
+        pieces = self.scores[self.ids >= 0]
+        self.least = float(pieces.min(initial=0.0))
+        top = max(float(pieces.max(initial=-math.inf)), self.byte_score, 4 * self.byte_score)
+        self.growth = max(0.0, top + math.log(max(1, self.longest)))  # of a sum's logarithm per letter, at most
         self.slots = np.searchsorted(self.hashes >> np.uint64(44), np.arange((1 << 20) + 1, dtype=np.uint64)).astype(np.int32)
         self.fullest = int(np.diff(self.slots).max()) if len(known) else 0
         self.spelt = self._spelt()
@@ -161,169 +170,271 @@ class PieceModel:
         """As the vocabulary's own: white space marks, one before the text."""
         return (MARK + text.replace(" ", MARK)) if text else ""
 
-    def _spelt(self) -> tuple[np.ndarray, np.ndarray, np.ndarray] | None:
-        """The first bytes that each id writes (a row each, with which of its places are used) and how many it writes, a
-        space for a mark; None where the vocabulary has no byte pieces for some bytes."""
+    def _spelt(self) -> pa.BinaryArray | None:
+        """The bytes that each id writes, a space for a mark; None where the vocabulary has no byte pieces for some bytes."""
         if len(self.bytes) < 256:
             return None
         sp, byte = self.processor, {i: bytes([b]) for b, i in self.bytes.items()}
-        words = [byte[i] if i in byte else b"" if sp.is_control(i) else sp.id_to_piece(i).replace(MARK, " ").encode()
-                 for i in range(sp.get_piece_size())]
-        sizes = np.array([len(w) for w in words])
-        self.long = {i: w for i, w in enumerate(words) if len(w) > SPELT}
-        table = np.frombuffer(b"".join(w[:SPELT].ljust(SPELT, b"\0") for w in words), np.uint8).reshape(-1, SPELT)
-        return table, np.arange(SPELT) < sizes[:, None], sizes
+        return pa.array([byte[i] if i in byte else b"" if sp.is_control(i) else sp.id_to_piece(i).replace(MARK, " ").encode()
+                         for i in range(sp.get_piece_size())], pa.large_binary())
 
     def decode(self, ids: list[int]) -> str:
         return self.processor.decode(ids)
 
 
+def _ranges(begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """begin[0], begin[0] + 1, .., size[0] numbers in all, then those from begin[1] on, and so on."""
+    ends = np.cumsum(size)
+    found = np.repeat(begin - (ends - size), size)
+    found += np.arange(len(found))
+    return found
+
+
 class Lattices:
-    """The unit lattices of a batch of distinct units, as flat arrays of nodes and edges."""
-
-    def __init__(self, model: PieceModel, units: list[str]):
-        sizes = np.fromiter(map(len, units), np.int32, len(units))
-        points = np.frombuffer("".join(units).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
-        ends = np.cumsum(sizes, dtype=np.int32)
-        unit = np.repeat(np.arange(len(units), dtype=np.int32), sizes)
-        self.first = ends - sizes + np.arange(len(units), dtype=np.int32)  # a unit's first node; it has one node more than letters
-        place = np.arange(len(points), dtype=np.int32)
-        node = place + unit
-        room = ends[unit] - place  # letters to the unit's end
-        live, h = place, np.zeros(len(points), np.uint64)
-        nodes = int(ends[-1]) + len(units)
-        out = np.zeros(nodes + 1, np.int32)  # edges of each node so far
-        source, target, ids, score, nth = [], [], [], [], []
-        covered = np.zeros(len(points), bool)
-        for k in range(model.longest):
-            ok = room[live] > k
-            live, h = live[ok], h[ok]
+    """The unit lattices of a batch of distinct units, as flat arrays of nodes and edges.
+
+    Nodes with equally many letters left to their unit's end stand together, fewer letters first and longer units
+    first within them, so the sums over all ways to the end are taken slice by slice.
+    """
+
+    def __init__(self, model: PieceModel, points: np.ndarray, sizes: np.ndarray):
+        """`points`: the letters of all units, `sizes` of each (at least one)."""
+        units = len(sizes)
+        longest = int(sizes.max())
+        rank = np.empty(units, np.int32)
+        rank[np.argsort(-sizes, kind="stable")] = np.arange(units, dtype=np.int32)
+        count = units - np.searchsorted(np.sort(sizes), np.arange(longest + 1))  # units of so many letters or more
+        off = np.concatenate(([0], np.cumsum(count))).astype(np.int32)  # the first node with so many letters left
+        nodes, self.units = int(off[-1]), units  # nodes below `units` are ends
+        self.root = off[sizes] + rank
+        left = np.repeat(np.arange(longest + 1, dtype=np.int32), count)  # letters from a node to its unit's end
+        letter = np.zeros(nodes, np.uint64)  # that follows a node, plus one
+        letter[off[(np.repeat(np.cumsum(sizes), sizes) - np.arange(len(points))).astype(np.int32)] + np.repeat(rank, sizes)] = (
+            points.astype(np.uint64) + np.uint64(1))
+        live = here = np.arange(units, nodes, dtype=np.int32)
+        h = np.zeros(len(live), np.uint64)
+        out = np.zeros(nodes, np.int32)  # edges of each node so far
+        parts = []  # of each length: first node, its edges before, last node, places in the model's table
+        covered = np.arange(nodes) < units
+        single = np.zeros(nodes)  # the score of each letter alone
+        for k in range(min(model.longest, longest)):
+            cut = int(np.searchsorted(live, off[k + 1]))  # nodes with more letters left
+            live, h, here = live[cut:], h[cut:], here[cut:]
             if not len(live):
                 break
-            h = (h + points[live + k] + np.uint64(1)) * _STEP
+            h = (h + letter[here]) * _STEP
             h ^= h >> np.uint64(29)
             at = model.find(h)
-            ok = at >= 0
+            ok = np.flatnonzero(at >= 0)
             live, h, at = live[ok], h[ok], at[ok]
+            here = live - (off - off[np.maximum(np.arange(len(off)) - (k + 1), 0)])[left[live]]  # a letter further
             piece = np.flatnonzero(model.ids[at] >= 0)
-            begin, kind = node[live[piece]], at[piece]
-            source.append(begin)
-            target.append(begin + np.int32(k + 1))
-            ids.append(model.ids[kind])
-            score.append(model.scores[kind])
-            nth.append(out[begin])
-            out[begin] += 1  # a node is met once per length
+            first, kind = live[piece], at[piece]
+            parts.append((first, out[first], here[piece], kind))
+            out[first] += 1  # a node is met once per length
             if k == 0:
-                covered[live[piece]] = True
-        bare = np.flatnonzero(~covered)  # characters that only byte pieces can write
+                covered[first] = True
+                single[first] = model.scores[kind]
+        bare = np.flatnonzero(~covered)  # before characters that only byte pieces can write
         self.spelled: list[list[int]] = []
         if len(bare):
-            letters, kind = np.unique(points[bare], return_inverse=True)
-            found = dict.fromkeys(letters.tolist())
-            self.spelled = [[model.bytes.get(b, 0) for b in chr(c).encode("utf-8", "surrogatepass")] for c in found]
-            source.append(node[bare])
-            target.append(node[bare] + np.int32(1))
-            ids.append((-1 - kind).astype(np.int32))  # negative: a spelled character
-            score.append(np.array([len(s) for s in self.spelled])[kind] * model.byte_score)
-            nth.append(out[node[bare]])
-            out[node[bare]] += 1
-        self.low = np.concatenate((np.zeros(1, np.int32), np.cumsum(out[:-1], dtype=np.int32)))
-        source, target, ids, score, nth = (np.concatenate(x) for x in (source, target, ids, score, nth))
-        at = self.low[source] + nth  # the edges of a node stand together
-        self.source, self.target, self.ids = (np.empty(len(at), np.int32) for _ in range(3))
-        self.source[at], self.target[at], self.ids[at] = source, target, ids
-        placed = np.empty(len(at))
-        placed[at] = score
-        score = placed
-        self.end = np.zeros(nodes, bool)
-        self.end[self.first + sizes] = True
-        beta = np.zeros(nodes)  # log of the sum over all ways to the unit's end
-        left = np.zeros(nodes, np.int32)
-        left[node] = room
-        far = left[self.source]
-        by = np.argsort(far.astype(np.uint16) if len(far) and far.max() < 1 << 16 else far, kind="stable")
-        cuts = np.flatnonzero(np.diff(far[by])) + 1
-        for part in np.split(by, cuts):
-            value = score[part] + beta[self.target[part]]
-            heads = np.concatenate(([0], np.flatnonzero(np.diff(self.source[part])) + 1))
-            beta[self.source[part][heads]] = np.logaddexp.reduceat(value, heads)
-        self.logp = score + beta[self.target] - beta[self.source]
-        self.p = np.exp(self.logp)
-        self.cum = np.concatenate(([0.0], np.cumsum(self.p)))
-        heads = self.low[:-1][self.low[1:] > self.low[:-1]]  # first edges of the nodes that have any
-        top = np.repeat(np.maximum.reduceat(self.p, heads), np.diff(np.concatenate((heads, [len(self.p)]))))
-        likely = np.flatnonzero(self.p == top)
-        first = np.concatenate(([True], self.source[likely[1:]] != self.source[likely[:-1]]))
-        self.best = np.zeros(nodes, np.int32)  # a node's likeliest edge
-        self.best[self.source[likely[first]]] = likely[first]  # fits: edges are far fewer than 2^31
+            letters, nth = np.unique(letter[bare], return_inverse=True)
+            self.spelled = [[model.bytes.get(b, 0) for b in chr(c - 1).encode("utf-8", "surrogatepass")] for c in letters.tolist()]
+            single[bare] = np.array([len(s) for s in self.spelled])[nth] * model.byte_score
+            parts.append((bare.astype(np.int32), out[bare], (bare - off[left[bare]] + off[left[bare] - 1]).astype(np.int32), -1 - nth))
+            out[bare] += 1
+        self.low = np.concatenate((np.zeros(1, np.int32), np.cumsum(out, dtype=np.int32)))
+        edges = int(self.low[-1])
+        self.target, self.ids = np.empty(edges, np.int32), np.empty(edges, np.int32)
+        self.p, score = np.empty(edges), np.empty(edges)
+        # every node has an edge of one letter, so the sum of its ways is at least the product of its letters alone
+        alone = np.bincount(np.arange(nodes) - off[left], single, units)[rank]
+        far = (alone + min(0.0, model.least) < -ROOM) | (sizes * model.growth > ROOM) | (alone > ROOM)
+        for first, nth, target, kind in parts:
+            at = self.low[first] + nth  # the edges of a node stand together
+            self.target[at] = target
+            if len(kind) and kind[0] < 0:  # a spelled character
+                self.ids[at], score[at], self.p[at] = kind, single[first], np.exp(single[first])
+                continue
+            self.ids[at], self.p[at] = model.ids[kind], model.weights[kind]
+            if far.any():
+                score[at] = model.scores[kind]
+        total = np.ones(nodes)  # the sum over all ways to the unit's end
+        with np.errstate(all="ignore"):  # what comes out for the units of `far` is not used
+            for left in range(1, int(sizes[~far].max(initial=0)) + 1):
+                a, z = off[left], off[left + 1]
+                low, high = self.low[a], self.low[z]
+                self.p[low:high] *= total[self.target[low:high]]
+                total[a:z] = np.add.reduceat(self.p[low:high], self.low[a:z] - low)
+            self.p /= np.repeat(total, out)
+            self.logp = np.log(self.p)
+        if far.any():
+            self._in_logs(score, off, rank[far], sizes[far])
+        self.best = np.full(nodes, -1, np.int32)  # edges are far fewer than 2^31
+        self._usual_ways()
+
+    def _in_logs(self, score: np.ndarray, off: np.ndarray, rank: np.ndarray, sizes: np.ndarray) -> None:
+        """The probabilities of the edges of some units, summed in log space."""
+        beta = np.zeros(len(self.low) - 1)
+        for left in range(1, int(sizes.max()) + 1):
+            node = off[left] + rank[sizes >= left]
+            low, size = self.low[node], self.low[node + 1] - self.low[node]
+            edges = _ranges(low, size)
+            value = score[edges] + beta[self.target[edges]]
+            beta[node] = np.logaddexp.reduceat(value, np.cumsum(size) - size)
+            self.logp[edges] = value - np.repeat(beta[node], size)
+            self.p[edges] = np.exp(self.logp[edges])
+
+    def _edges(self, node: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """The probabilities of all edges of some nodes, where each node's begin, and how many they are."""
+        low = self.low[node]
+        size = self.low[node + 1] - low
+        return self.p[_ranges(low, size)], np.cumsum(size) - size, size
+
+    def _likeliest(self, node: np.ndarray) -> np.ndarray:
+        """Each node's likeliest edge (the first, if several are), found when a node is first met."""
+        best = self.best[node]
+        new = np.flatnonzero(best < 0)
+        if len(new):
+            fresh = node[new]
+            p, heads, size = self._edges(fresh)
+            likely = np.flatnonzero(p == np.repeat(np.maximum.reduceat(p, heads), size))
+            if len(likely) > len(heads):
+                likely = likely[np.searchsorted(likely, heads)]
+            best[new] = self.best[fresh] = self.low[fresh] + (likely - heads)
+        return best
+
+    def _usual_ways(self) -> None:
+        """Of each unit the way of likeliest edges: its edges, their number, its log probability and that of all other ways."""
+        live, node = np.arange(self.units), self.root
+        self.usual_logp, self.usual_size = np.zeros(self.units), np.zeros(self.units, np.int64)
+        seen, edges, nodes, self.usual_p = [], [], [], []
+        for step in range(USUAL):
+            e = self._likeliest(node)
+            self.usual_logp[live] += self.logp[e]
+            p = np.empty(self.units)
+            p[live] = self.p[e]
+            self.usual_p.append(p)  # of each step
+            seen.append(live)
+            edges.append(e)
+            nodes.append(node)
+            node = self.target[e]
+            done = node < self.units
+            self.usual_size[live[done]] = step + 1
+            live, node = live[~done], node[~done]
+            if not len(live):
+                break
+        # longer ones are walked step by step: size zero
+        self.usual_first = np.cumsum(self.usual_size) - self.usual_size
+        self.usual_edges = np.empty(int(self.usual_size.sum()), np.int32)
+        source = np.empty(len(self.usual_edges), np.int32)
+        for step, (unit, e, n) in enumerate(zip(seen, edges, nodes, strict=True)):
+            short = np.flatnonzero(self.usual_size[unit])
+            at = self.usual_first[unit[short]] + step
+            self.usual_edges[at], source[at] = e[short], n[short]
+        self.usual_other = np.full(self.units, -np.inf)
+        short = np.flatnonzero(self.usual_size)
+        if len(short):
+            self.usual_other[short] = self.others(self.usual_edges, source, self.usual_first[short])
+
+    def others(self, edges: np.ndarray, source: np.ndarray, heads: np.ndarray) -> np.ndarray:
+        """Of each way (a run of edges, beginning at `heads`) the log probability of all others of its unit: the sum over
+        the places where they leave it."""
+        logp, p = self.logp[edges], self.p[edges]
+        before = np.cumsum(logp) - logp
+        before -= np.repeat(before[heads], np.diff(heads, append=len(edges)))
         # the share of a node's other edges, summed without taking differences of nearly equal numbers
-        small = self.p.copy()
-        small[likely[first]] = 0.0
-        other = np.repeat(np.add.reduceat(small, heads), np.diff(np.concatenate((heads, [len(self.p)]))))
-        rare = np.ones(len(self.p), bool)
-        rare[likely[first]] = False
-        other = np.where(rare, np.maximum(other - self.p, 0.0) + top, other)
+        small, runs, _ = self._edges(source)
+        best = self.best[source]
+        at = runs + (best - self.low[source])
+        top = small[at]
+        small[at] = 0.0
+        rest = np.add.reduceat(small, runs)
+        rest = np.where(edges == best, rest, np.maximum(rest - p, 0.0) + top)
         with np.errstate(divide="ignore"):
-            self.log_other = np.log(other)
+            return np.logaddexp.reduceat(before + np.log(rest), heads)
 
     def draw(self, node: np.ndarray, r: np.ndarray) -> np.ndarray:
-        """An edge of each node, by its probability: mostly the likeliest, else one of the others by binary search."""
-        edge = self.best[node]
+        """An edge of each node, by its probability: mostly the likeliest, else one of the others by their running sums."""
+        edge = self._likeliest(node)
         rare = np.flatnonzero(r >= self.p[edge])
         if len(rare):
-            best, at = edge[rare], node[rare]
-            low, high = self.low[at], self.low[at + 1]
-            base, p = self.cum[low], self.p[best]
-            other = np.maximum(self.cum[high] - base - p, 0)
-            t = base + (r[rare] - p) / np.maximum(1 - p, 1e-300) * other
-            t = np.where(t >= self.cum[best], t + p, t)
-            found = np.clip(np.searchsorted(self.cum, t, "right") - 1, low, high - 1)
-            alone = high - low == 1
-            edge[rare] = np.where(alone, best, found)
+            best, low = edge[rare], self.low[node[rare]]
+            p, runs, size = self._edges(node[rare])
+            at, mine = runs + (best - low), self.p[best]
+            p[at] = 0.0
+            other = np.add.reduceat(p, runs)
+            cum = np.cumsum(p)
+            cum -= np.repeat(cum[runs] - p[runs], size)  # within the node, its likeliest edge left out
+            t = (r[rare] - mine) / np.maximum(1 - mine, 1e-300) * other
+            passed = cum <= np.repeat(t, size)
+            passed[at] = False
+            nth = np.add.reduceat(passed, runs, dtype=np.int64)
+            nth = np.minimum(nth, np.maximum(size - 2, 0))
+            nth += nth >= best - low  # as if the likeliest were not there
+            edge[rare] = np.where(size == 1, best, low + nth)
         return edge
 
 
-def _shares(lat: Lattices, node: int, taken: list[list[int]]) -> tuple[int, list[float], dict[int, list[list[int]]]]:
-    """Of each edge of a node the log probability of the ways through it that are not `taken` (lists of edges)."""
-    low, high = int(lat.low[node]), int(lat.low[node + 1])
-    after: dict[int, list[list[int]]] = {}
-    for t in taken:
-        after.setdefault(t[0], []).append(t[1:])
-    logs = lat.logp[low:high].tolist()
-    for e, rest in after.items():
-        logs[e - low] += log_left(lat, int(lat.target[e]), rest)
-    return low, logs, after
-
-
-def log_left(lat: Lattices, node: int, taken: list[list[int]]) -> float:
-    """The log probability of the ways from `node` to the unit's end that are not `taken`; summed over those
-    ways, so that it is right however little is left, and minus infinity only if nothing is."""
-    if not taken:
-        return 0.0
-    if lat.end[node]:
-        return -math.inf
-    _, logs, _ = _shares(lat, node, taken)
-    top = max(logs)
-    return top + math.log(sum(math.exp(x - top) for x in logs)) if top > -math.inf else -math.inf
-
-
-def _other_way(lat: Lattices, node: int, taken: list[list[int]], key: int, sample: int) -> list[int]:
-    """A draw among the ways from `node` to the unit's end that are not `taken` (lists of edges)."""
-    way: list[int] = []
-    while not lat.end[node]:
-        low, logs, after = _shares(lat, node, taken)
-        top = max(logs)
-        shares = [math.exp(x - top) for x in logs]
-        r = uniform_of(key, sample, 1 << 10 | len(way)) * sum(shares)
-        pick = logs.index(top)
-        for k, share in enumerate(shares):
-            if r < share:
-                pick = k
-                break
-            r -= share
-        way.append(low + pick)
-        taken, node = after.get(low + pick, []), int(lat.target[low + pick])
-    return way
+class _Left:
+    """The ways through a unit that are not taken, as a tree of the taken ones: of each edge on them the log probability
+    of the ways left through it, of each node that of all.  Summed over those ways, so that it is right however little
+    is left, and minus infinity only if nothing is."""
+
+    def __init__(self, lat: Lattices, root: int):
+        self.lat = lat
+        self.after: list[dict[int, int]] = []  # of each place of the tree its edges that are taken, and where they lead
+        self.low: list[int] = []
+        self.logs: list[list[float]] = []
+        self.total: list[float] = []
+        self.root = root
+        self._open(root)
+
+    def _open(self, node: int) -> int:
+        low = int(self.lat.low[node])
+        self.after.append({})
+        self.low.append(low)
+        self.logs.append(self.lat.logp[low:int(self.lat.low[node + 1])].tolist())
+        self.total.append(0.0 if node >= self.lat.units else -math.inf)
+        return len(self.low) - 1
+
+    def take(self, way: list[int]) -> None:
+        """Take one more way (a list of edges)."""
+        at, places = 0, []
+        for e in way:
+            places.append(at)
+            on = self.after[at].get(e)
+            if on is None:
+                on = self.after[at][e] = self._open(int(self.lat.target[e]))
+            at = on
+        for at, e in zip(reversed(places), reversed(way), strict=True):
+            logs = self.logs[at]
+            logs[e - self.low[at]] = float(self.lat.logp[e]) + self.total[self.after[at][e]]
+            top = max(logs)
+            self.total[at] = top + math.log(sum([math.exp(x - top) for x in logs])) if top > -math.inf else -math.inf
+
+    def draw(self, key: int, sample: int) -> list[int]:
+        """One of the ways that are left."""
+        lat, way, node, at = self.lat, [], self.root, 0
+        while node >= lat.units:
+            if at is None:  # off the tree: all ways are left
+                low = int(lat.low[node])
+                logs = lat.logp[low:int(lat.low[node + 1])].tolist()
+            else:
+                low, logs = self.low[at], self.logs[at]
+            top = max(logs)
+            shares = [math.exp(x - top) for x in logs]
+            r = uniform_of(key, sample, 1 << 10 | len(way)) * sum(shares)
+            pick = logs.index(top)
+            for k, share in enumerate(shares):
+                if r < share:
+                    pick = k
+                    break
+                r -= share
+            pick += low
+            way.append(pick)
+            at, node = None if at is None else self.after[at].get(pick), int(lat.target[pick])
+        return way
 
 
 class _Numbered(dict):
@@ -334,28 +445,78 @@ class _Numbered(dict):
         return n
 
 
+def _units(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The letters of all (normalized) texts, where their units begin, and how many each text has."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
+    mark, line = points == ord(MARK), points == ord("\n")
+    begins = line.copy()  # as UNIT has it
+    begins[1:] |= line[:-1] | (mark[1:] & ~mark[:-1])
+    heads = np.cumsum(sizes) - sizes
+    begins[heads[sizes > 0]] = True
+    first = np.flatnonzero(begins)
+    return points, first, np.diff(np.searchsorted(first, np.append(heads, len(points))))
+
+
+def _numbered(points: np.ndarray, first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The number of each unit's kind, and of each kind the first unit; kinds by hash, each letter compared after."""
+    sizes = np.diff(first, append=len(points))
+    pos = np.arange(len(points)) - np.repeat(first, sizes)
+    power = np.cumprod(np.full(int(sizes.max()), _STEP))
+    codes, _ = pd.factorize(np.add.reduceat((points + np.uint64(1)) * power[pos], first))
+    some = np.empty(int(codes.max()) + 1, np.int64)
+    some[codes[::-1]] = np.arange(len(codes) - 1, -1, -1)
+    like = some[codes]
+    if (sizes != sizes[like]).any() or (points != points[np.repeat(first[like], sizes) + pos]).any():
+        kinds = _Numbered()  # two kinds have one hash
+        codes = np.array([kinds[points[a:a + n].tobytes()] for a, n in zip(first.tolist(), sizes.tolist(), strict=True)])
+        some = np.unique(codes, return_index=True)[1]
+    return codes, some
+
+
 class _Batch:
     """The units of some texts, and the paths drawn through them."""
 
-    def __init__(self, model: PieceModel, keys: np.ndarray, texts: list[list[str]]):
-        kinds = _Numbered()
-        kind = np.array(list(map(kinds.__getitem__, chain.from_iterable(texts))), np.int32)
-        self.lat = Lattices(model, list(kinds))
-        sizes = np.array([len(t) for t in texts], np.int64)
-        self.starts = np.cumsum(sizes) - sizes
-        self.sizes = sizes
-        self.doc = np.repeat(np.arange(len(texts)), sizes)
-        self.pos = np.arange(len(kind)) - self.starts[self.doc]
-        self.root = self.lat.first[kind]
+    def __init__(self, model: PieceModel, keys: np.ndarray, texts: list[str]):
+        points, first, self.sizes = _units(texts)
+        self.kind, some = _numbered(points, first)
+        sizes = np.diff(first, append=len(points))[some]
+        self.lat = Lattices(model, points[_ranges(first[some], sizes)], sizes)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+        self.doc = np.repeat(np.arange(len(texts)), self.sizes)
+        self.pos = np.arange(len(self.kind)) - self.starts[self.doc]
         self.keys = keys
         self.key = unit_keys(keys[self.doc], self.pos)
 
-    def walk(self, units: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Draw a way through each of `units`: (unit, edge) in order of unit and step, and its log probability."""
-        lat, node, live, step = self.lat, self.root[units], np.arange(len(units)), 0
+    def walk(self, units: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Draw a way through each of `units`: the number of its edges, all edges in order of unit and step, its log
+        probability, and whether it is the usual way."""
+        lat, kind, key = self.lat, self.kind[units], self.key[units]
+        pieces = lat.usual_size[kind]
+        usual = pieces > 0
+        live = np.flatnonzero(usual)
+        for step, p in enumerate(lat.usual_p):
+            off = uniform(key[live], sample, step) >= p[kind[live]]
+            usual[live[off]] = False
+            live = live[~off]
+            live = live[pieces[live] > step + 1]
+            if not len(live):
+                break
+        logq = lat.usual_logp[kind]
+        rare = np.flatnonzero(~usual)
+        pieces[rare], rare_edges, logq[rare] = self._steps(units[rare], sample)
+        edges = np.empty(int(pieces.sum()), np.int64)
+        known, of = np.repeat(usual, pieces), np.flatnonzero(usual)
+        edges[known] = lat.usual_edges[_ranges(lat.usual_first[kind[of]], pieces[of])]
+        edges[~known] = rare_edges
+        return pieces, edges, logq, usual
+
+    def _steps(self, units: np.ndarray, sample: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """`walk` edge by edge: number of edges, edges, log probability."""
+        lat, live, step = self.lat, np.arange(len(units)), 0
+        node, key = lat.root[self.kind[units]], self.key[units]
         logq, pieces = np.zeros(len(units)), np.zeros(len(units), np.int64)
         seen, edges = [], []
-        key = self.key[units]
         while len(live):
             e = lat.draw(node, uniform(key[live], sample, step))
             logq[live] += lat.logp[e]
@@ -363,27 +524,34 @@ class _Batch:
             edges.append(e)
             node = lat.target[e]
             step += 1
-            on = np.flatnonzero(~lat.end[node])
-            if len(on) < len(live):
-                pieces[live[lat.end[node]]] = step
-            live, node = live[on], node[on]
+            done = node < lat.units
+            pieces[live[done]] = step
+            live, node = live[~done], node[~done]
         place = np.cumsum(pieces) - pieces
         found = np.empty(int(pieces.sum()), np.int64)
         for k, (at, e) in enumerate(zip(seen, edges, strict=True)):
             found[place[at] + k] = e
-        return np.repeat(units, pieces), found, logq
-
-    def others(self, units: np.ndarray, at: np.ndarray, edges: np.ndarray) -> np.ndarray:
-        """The log probability of all ways through each of `units` but the given one: the sum over the places where they leave it."""
-        wanted = np.zeros(len(self.doc), bool)
-        wanted[units] = True
-        mine = np.flatnonzero(wanted[at])
-        at, edges = at[mine], edges[mine]
-        heads = np.concatenate(([0], np.flatnonzero(np.diff(at)) + 1))
-        logp = self.lat.logp[edges]
-        before = np.cumsum(logp) - logp
-        before -= np.repeat(before[heads], np.diff(np.concatenate((heads, [len(at)]))))
-        return np.logaddexp.reduceat(before + self.lat.log_other[edges], heads)
+        return pieces, found, logq
+
+    def others(self, units: np.ndarray, pieces: np.ndarray, edges: np.ndarray, usual: np.ndarray) -> np.ndarray:
+        """The log probability of all ways through each of `units` but its own (`pieces` and `usual`: of every unit)."""
+        lat, found = self.lat, self.lat.usual_other[self.kind[units]]
+        rare = np.flatnonzero(~usual[units])
+        if len(rare):
+            wanted = np.zeros(len(self.doc), bool)
+            wanted[units[rare]] = True
+            mine, size = edges[np.repeat(wanted, pieces)], pieces[units[rare]]
+            heads = np.cumsum(size) - size
+            source = np.empty(len(mine), np.int64)  # an edge begins where the one before it ends
+            source[1:] = lat.target[mine[:-1]]
+            source[heads] = lat.root[self.kind[units[rare]]]
+            found[rare] = lat.others(mine, source, heads)
+        return found
+
+
+def _starts(size: np.ndarray) -> np.ndarray:
+    """Where each of consecutive runs begins, and the end of the last."""
+    return np.concatenate(([0], np.cumsum(size)))
 
 
 def _below(log_mass: np.ndarray, bound: np.ndarray, r: np.ndarray) -> np.ndarray:
@@ -396,15 +564,11 @@ def _below(log_mass: np.ndarray, bound: np.ndarray, r: np.ndarray) -> np.ndarray
 def sample_batch(model: PieceModel, keys: np.ndarray, texts: list[str], k: int = K, far: float = FAR,
                  decode: bool = False) -> list[list]:
     """Per text up to k tuples (ids, log probability, perturbed log probability, decoded text), and last the threshold kappa."""
-    units = [UNIT.findall(model.normalize(t)) for t in texts]
-    some = [d for d, u in enumerate(units) if u]
-    found: list[list] = [[] for _ in texts]
+    some = [d for d, t in enumerate(texts) if t]
+    found: list[list] = [[] if t else [(b"", 0.0, 0.0, "")] for t in texts]
     kappa = [-math.inf] * len(texts)
-    for d, u in enumerate(units):
-        if not u:
-            found[d] = [(b"", 0.0, 0.0, "")]
     if some:
-        _sample_units(model, keys[some], [units[d] for d in some], k, found, kappa, some, far, decode)
+        _sample_texts(model, keys[some], [model.normalize(texts[d]) for d in some], k, found, kappa, some, far, decode)
     return [[*f, kappa[d]] for d, f in enumerate(found)]
 
 
@@ -412,59 +576,50 @@ def _decoded(model: PieceModel, ids: np.ndarray, cuts: np.ndarray) -> list[str]:
     """The texts of consecutive runs of ids; the space that stands for a text's first mark is dropped, as the vocabulary does."""
     if model.spelt is None:
         return [model.decode(ids[a:b].tolist()) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    table, used, sizes = model.spelt
-    size = sizes[ids]
-    ends = np.concatenate(([0], np.cumsum(size)))
-    if size.max(initial=0) > SPELT:  # longer pieces are few: the ids between them are taken as before
-        parts, low = [], 0
-        for k in np.flatnonzero(size > SPELT).tolist():
-            parts += [table[ids[low:k]][used[ids[low:k]]].tobytes(), model.long[int(ids[k])]]
-            low = k + 1
-        raw = b"".join([*parts, table[ids[low:]][used[ids[low:]]].tobytes()])
-    else:
-        raw = table[ids][used[ids]].tobytes()
-    ends = ends[cuts].tolist()
-    return [raw[a:b].decode("utf-8", "replace").removeprefix(" ") for a, b in zip(ends[:-1], ends[1:], strict=True)]
-
-
-def _sample_units(model: PieceModel, keys: np.ndarray, units: list[list[str]], k: int, found: list, kappa: list,
+    written = model.spelt.take(pa.array(ids))
+    ends = np.frombuffer(written.buffers()[1], np.int64)[cuts].tolist()
+    raw = memoryview(written.buffers()[2] or b"")
+    return [str(raw[a:b], "utf-8", "replace").removeprefix(" ") for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
+def _sample_texts(model: PieceModel, keys: np.ndarray, texts: list[str], k: int, found: list, kappa: list,
                   names: list[int], far: float, decode: bool) -> None:
-    b = _Batch(model, keys, units)
-    lat, docs, all_units = b.lat, len(units), np.arange(len(b.doc))
+    b = _Batch(model, keys, texts)
+    lat, docs, all_units = b.lat, len(texts), np.arange(len(b.doc))
     zero = np.zeros(docs, np.int64)
     best = -np.log(-np.log(uniform(unit_keys(keys, zero), 0, 1 << 20)))  # the root's Gumbel: its probability is one
-    at, edges, logq = b.walk(all_units, 1)
-    paths = [(at, edges, logq)]  # of each sample: every document's path (empty where a document has no more)
+    pieces, edges, logq, usual = b.walk(all_units, 1)
+    paths = [(pieces, edges, logq, _starts(pieces))]  # of each sample: every document's path (empty where it has no more)
     gumbels, taken = [], {}  # of each sample: the Gumbel of "another way through unit u"; ways excluded there
     skipped = np.zeros(docs, bool)  # documents with regions below `far`
 
     def regions(logq: np.ndarray, way: tuple, top: np.ndarray, after: np.ndarray, sample: int) -> np.ndarray:
         """Gumbels of the regions that leave a path at each unit behind `after` (per document)."""
         run = np.cumsum(logq)
-        before = run - logq - (run - logq)[b.starts][b.doc]  # of the units before, in the same document
-        behind = b.pos > after[b.doc]
-        some = np.flatnonzero((before > far) & behind)
-        skipped[b.doc[np.flatnonzero((before <= far) & behind)]] = True
+        before = run - logq
+        before -= np.repeat(before[b.starts], b.sizes)  # of the units before, in the same document
+        behind = b.pos > np.repeat(after, b.sizes)
+        near = before > far
+        some = np.flatnonzero(near & behind)
+        skipped[b.doc[np.flatnonzero(~near & behind)]] = True
         g = np.full(len(logq), -np.inf)
         if len(some):
             g[some] = _below(before[some] + b.others(some, *way), top[b.doc[some]], uniform(b.key[some], sample, 1 << 21))
         return g
 
     def emit(sample: int, which: np.ndarray, g: np.ndarray) -> None:
-        at, edges, logq = paths[sample]
+        _, edges, logq, start = paths[sample]
         total = np.bincount(b.doc, weights=logq, minlength=docs)
-        ids, doc = lat.ids[edges], b.doc[at]
+        ids = lat.ids[edges]
+        cuts = start[np.append(b.starts, len(b.doc))]
         spelled = np.flatnonzero(ids < 0)
         if len(spelled):  # characters written as several byte pieces
             lists = [lat.spelled[k] for k in (-1 - ids[spelled]).tolist()]
             counts = np.ones(len(ids), np.int64)
             counts[spelled] = [len(x) for x in lists]
-            start = np.cumsum(counts) - counts
-            ids, doc = np.repeat(ids, counts), np.repeat(doc, counts)
-            inside = np.repeat(start[spelled], counts[spelled])
-            inside += np.arange(len(inside)) - np.repeat(np.cumsum(counts[spelled]) - counts[spelled], counts[spelled])
-            ids[inside] = [x for s in lists for x in s]
-        cuts = np.searchsorted(doc, np.arange(docs + 1))
+            start = _starts(counts)
+            cuts, ids = start[cuts], np.repeat(ids, counts)
+            ids[_ranges(start[spelled], counts[spelled])] = [x for s in lists for x in s]
         texts = _decoded(model, ids, cuts) if decode else [None] * docs
         raw, low, total, g = ids.astype("<u4").tobytes(), (4 * cuts).tolist(), total.tolist(), g.tolist()
         for d in which.tolist():
@@ -472,7 +627,7 @@ def _sample_units(model: PieceModel, keys: np.ndarray, units: list[list[str]], k
 
     everyone = np.arange(docs)
     emit(0, everyone, best)
-    gumbels.append(regions(logq, (at, edges), best, np.full(docs, -1), 1))
+    gumbels.append(regions(logq, (pieces, edges, usual), best, np.full(docs, -1), 1))
     alive, unsure = np.ones(docs, bool), np.zeros(docs, bool)
     for sample in range(2, k + 2):
         tops = np.array([np.maximum.reduceat(g, b.starts) for g in gumbels])
@@ -485,63 +640,63 @@ def _sample_units(model: PieceModel, keys: np.ndarray, units: list[list[str]], k
             break
         # the popped region: the path of sample `source` up to unit `left`, another way there, all else drawn anew
         left = np.zeros(docs, np.int64)
+        of = np.repeat(np.where(alive, source, -1), b.sizes)
+        top = np.repeat(best, b.sizes)
         for s, g in enumerate(gumbels):
-            hit = np.flatnonzero(alive & (source == s))
-            top = g == best[b.doc]
-            first = np.minimum.reduceat(np.where(top, b.pos, len(b.pos)), b.starts)
-            left[hit] = first[hit]
-        part = alive[b.doc]
-        fresh = all_units[part & (b.pos > left[b.doc])]
-        at, edges, logq_fresh = b.walk(fresh, sample)
-        logq = np.zeros(len(b.doc))
-        logq[fresh] = logq_fresh
-        drawn = (at, edges)
-        rows_at, rows_edge = [at], [edges]
+            hit = np.flatnonzero((of == s) & (g == top))[::-1]
+            left[b.doc[hit]] = b.pos[hit]  # the first of a document comes last
+        part = of >= 0
+        where = b.pos - np.repeat(left, b.sizes)
+        fresh = np.flatnonzero(part & (where > 0))
+        pieces, logq, usual = np.zeros(len(b.doc), np.int64), np.zeros(len(b.doc)), np.zeros(len(b.doc), bool)
+        pieces[fresh], fresh_edges, logq[fresh], usual[fresh] = b.walk(fresh, sample)
+        drawn = (pieces.copy(), fresh_edges, usual)
+        fresh_start = _starts(pieces)
         popped, masses = [], []
-        for s, (p_at, p_edge, p_logq) in enumerate(paths):
-            mine = alive & (source == s)
-            if not mine.any():
+        new: dict[int, list[int]] = {}
+        head: dict[int, np.ndarray] = {}  # of each unit where a path is left the edges before
+        for s, (p_pieces, p_edges, p_logq, p_start) in enumerate(paths):
+            which = np.flatnonzero(alive & (source == s))
+            if not len(which):
                 continue
-            copy = mine[b.doc[p_at]] & (b.pos[p_at] < left[b.doc[p_at]])
-            rows_at.append(p_at[copy])
-            rows_edge.append(p_edge[copy])
-            units_before = mine[b.doc] & (b.pos < left[b.doc])
-            logq[units_before] = p_logq[units_before]
-            which = np.flatnonzero(mine)
+            copy = (of == s) & (where < 0)
+            pieces[copy], logq[copy] = p_pieces[copy], p_logq[copy]
             at_unit = b.starts[which] + left[which]
-            low, high = np.searchsorted(p_at, at_unit, "left"), np.searchsorted(p_at, at_unit, "right")
-            roots, unit_key = b.root[at_unit].tolist(), b.key[at_unit].tolist()
-            new_units, new_edges = [], []
-            for u, a, z, root, key in zip(at_unit.tolist(), low.tolist(), high.tolist(), roots, unit_key, strict=True):
+            low, high, kind = p_start[at_unit], p_start[at_unit + 1], b.kind[at_unit]
+            for u, a, z in zip(at_unit.tolist(), p_start[b.starts[which]].tolist(), low.tolist(), strict=True):
+                head[u] = p_edges[a:z]
+            for u, a, z, root, key in zip(at_unit.tolist(), low.tolist(), high.tolist(), lat.root[kind].tolist(),
+                                          b.key[at_unit].tolist(), strict=True):
                 ways = taken.get((s, u))
                 if ways is None:
-                    ways = taken[s, u] = [p_edge[a:z].tolist()]
-                way = _other_way(lat, root, ways, key, sample)
-                ways.append(way)
-                new_units += [u] * len(way)
-                new_edges += way
+                    ways = taken[s, u] = _Left(lat, root)
+                    ways.take(p_edges[a:z].tolist())
+                new[u] = ways.draw(key, sample)
+                ways.take(new[u])
                 popped.append((s, u))
-                masses.append(log_left(lat, root, ways))
-            rows_at.append(np.array(new_units, np.int64))
-            rows_edge.append(np.array(new_edges, np.int64))
-            logq[at_unit] = np.bincount(np.repeat(np.arange(len(which)), [len(taken[s, u][-1]) for u in at_unit.tolist()]),
-                                        lat.logp[np.array(new_edges, np.int64)], len(which))
+                masses.append(ways.total[0])
+        units = sorted(new)
+        size = np.array([len(new[u]) for u in units])
+        new_edges = np.fromiter(chain.from_iterable(new[u] for u in units), np.int64, int(size.sum()))
+        pieces[units], logq[units] = size, np.bincount(np.repeat(np.arange(len(units)), size), lat.logp[new_edges], len(units))
         s_of, u_of = np.array(popped, np.int64).T
         run = np.cumsum(logq)
         before = (run - logq)[u_of] - (run - logq)[b.starts[b.doc[u_of]]]
         again = _below(before + np.array(masses), best[b.doc[u_of]], uniform(b.key[u_of], sample, 1 << 22))
-        at, edges = np.concatenate(rows_at), np.concatenate(rows_edge)
-        order = np.argsort(at, kind="stable")
-        paths.append((at[order], edges[order], logq))
+        cut, last = _starts(size).tolist(), (b.starts + b.sizes)[b.doc[units]]
+        edges = np.concatenate([some for u, a, z, low, high in zip(units, cut[:-1], cut[1:], fresh_start[units].tolist(),
+                                                                   fresh_start[last].tolist(), strict=True)
+                                for some in (head[u], new_edges[a:z], fresh_edges[low:high])])
+        paths.append((pieces, edges, logq, _starts(pieces)))
         emit(sample - 1, np.flatnonzero(alive), best)
-        gumbels.append(np.where(part, regions(np.where(part, logq, 0.0), drawn, best, np.where(alive, left, len(b.doc)), sample), -np.inf))
+        gumbels.append(np.where(part, regions(logq, drawn, best, np.where(alive, left, len(b.doc)), sample), -np.inf))
         for s, u, g in zip(s_of.tolist(), u_of.tolist(), again.tolist(), strict=True):
             gumbels[s][u] = g
     redo = np.flatnonzero(unsure).tolist()
     if redo:  # once more with every region
         for d in redo:
             found[names[d]] = []
-        _sample_units(model, keys[redo], [units[d] for d in redo], k, found, kappa, [names[d] for d in redo], -math.inf, decode)
+        _sample_texts(model, keys[redo], [texts[d] for d in redo], k, found, kappa, [names[d] for d in redo], -math.inf, decode)
 
 
 _models: dict[tuple[str, float], PieceModel] = {}

@@ -304,6 +304,48 @@ def test_decoded_text_is_the_vocabularys():
             assert decoded == model.decode(np.frombuffer(raw, "<u4").tolist()) == text
 
 
+def test_words_of_any_length_are_sampled():
+    model = sampling.PieceModel(sampling.default_vocabulary())
+    texts = ["z" * 3000, "qzxj " + "qzxj" * 600, "a" + "🙂" * 400]
+    for text, (*found, kappa) in zip(texts, sampling.sample_batch(model, np.arange(3).astype(np.uint64), texts, 4, decode=True),
+                                     strict=True):
+        assert len({raw for raw, *_ in found}) == 4 - (text[0] == "a") * 2 and {t for *_, t in found} == {text}
+        assert [g for _, _, g, _ in found] == sorted((g for _, _, g, _ in found), reverse=True) and found[-1][2] >= kappa
+
+
+def test_likeliest_ways_are_drawn_as_a_whole(monkeypatch):
+    """A unit is walked edge by edge only if it leaves its likeliest way; the work per text falls with that."""
+    model = sampling.PieceModel(sampling.default_vocabulary())
+    texts = [prose(k, 200) for k in range(20)]
+    walked, draw = [], sampling.Lattices.draw
+    monkeypatch.setattr(sampling.Lattices, "draw", lambda self, node, r: walked.append(len(node)) or draw(self, node, r))
+    sampling.sample_batch(model, sampling._mix(np.arange(20).astype(np.uint64)), texts, 4)
+    units = sum(len(sampling.UNIT.findall(model.normalize(t))) for t in texts)
+    assert sum(walked) < 2 * units  # of four samples; every edge of the first one alone would be more
+
+
+def test_units_and_sums_do_not_depend_on_how_they_are_found(monkeypatch):
+    model = sampling.PieceModel(sampling.default_vocabulary())
+    texts = [prose(k, 60) for k in range(4)] + ["", "\n\n a\n", "▁a▁▁b", "x  y \n", "漢字🙂é 漢字🙂é", "the ab in", " "]
+    whole = [model.normalize(t) for t in texts]
+    points, first, counts = sampling._units(whole)
+    cut = np.split(points, first[1:])
+    assert [u.tobytes().decode("utf-32-le") for u in cut] == [u for t in whole for u in sampling.UNIT.findall(t)]
+    assert counts.tolist() == [len(sampling.UNIT.findall(t)) for t in whole]
+    keys = sampling._mix(np.arange(len(texts)).astype(np.uint64))
+    ids = lambda: [[(f[0], f[3]) for f in found] for *found, _ in sampling.sample_batch(model, keys, texts, 5, decode=True)]
+    once = ids()
+    with monkeypatch.context() as m:  # every unit has the same hash
+        m.setattr(sampling.pd, "factorize", lambda x: (np.zeros(len(x), np.int64), None))
+        assert ids() == once
+    with monkeypatch.context() as m:  # all sums in log space
+        m.setattr(sampling, "ROOM", -1e9)
+        assert ids() == once
+    with monkeypatch.context() as m:  # hardly a unit's likeliest way is short enough to be looked at as a whole
+        m.setattr(sampling, "USUAL", 1)
+        assert ids() == once
+
+
 # ---------------------------------------------------------------- 5 lines: copies do not change the result
 
 
