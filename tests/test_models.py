@@ -354,6 +354,25 @@ def test_promo_range_shuffles_no_joined_row(spark, monkeypatch):
     assert rows() == want and sum(want.values()) > 2 * links.count()
 
 
+def test_promo_range_reads_the_history_once_and_its_windows_are_linear(spark, monkeypatch):
+    from collections import Counter
+
+    from tests.test_estimators import crowded_series
+
+    df, made, calls = crowded_series(spark, [10] * 12 + [60] + [3] * 10), marts._sale_marks, []
+    monkeypatch.setattr(marts, "_sale_marks", lambda *a: calls.append(a) or made(*a))
+    rows = marts.promo_calendar_range(df)
+    assert len(calls) == 1  # starts and ends are marks of one reading
+    assert "REPARTITION_BY_NUM" in rows._jdf.queryExecution().executedPlan().toString()  # few bytes, but many joined rows
+    plan = made(df, "load_id", None)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RowFrame" in plan and "RowFrame, 1, unboundedfollowing" not in plan  # added up anew for each mark
+    s, e = marts.sale_starts(marts.sale_transitions(df)), marts.sale_ends(df)
+    e = e.select(F.col("item_id").alias("i"), F.col("store_id").alias("s"), "last_promo_date", "sale_end_date")
+    want = s.join(e, F.expr("item_id = i AND store_id = s AND last_promo_date >= sale_start_date"), "left")
+    cols = ("item_id", "store_id", "sale_start_date", "sale_end_date")
+    assert Counter(rows.select(*cols).collect()) == Counter(want.select(*cols).collect())
+
+
 def test_append_once_and_backfill_are_repeatable(spark, tmp_path):
     from larder.plans import catalog, jobs
     from larder.sources import documents, ingest
