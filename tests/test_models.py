@@ -132,6 +132,29 @@ def test_classifier_trains_on_the_fixture(spark):
     assert classifier.train_classifier(history.limit(0), 90, fx.AS_OF) == (None, None)
 
 
+def test_classifier_grows_all_its_trees_over_the_whole_history(spark, monkeypatch):
+    from larder.plans import catalog
+
+    r = random.Random(6)
+    rows = [(f"i{k}", "s", dt.date(2015 + 5 * (k % 2), 1, 1) + dt.timedelta(days=d), f"{d:04d}", Decimal(r.choice([8, 10])),
+             r.random() < 0.5) for k in range(5) for d in range(60)]
+    df = spark.createDataFrame(rows, "item_id string, store_id string, price_date date, load_id string, "
+                                     "regular_price decimal(10,2), is_on_sale boolean")
+    history = marts.price_history(df)
+    assert classifier.split_frame(history).count() == 5 * (60 - 7)  # years before any lookback too
+    model, _ = classifier.train_classifier(history, rounds=40, rate=0.5)
+    loss = model.held_out_loss
+    assert int(np.argmin(loss)) < 30 and loss[-1] > min(loss)  # by noise: the held-out rows would have stopped it
+    assert len(model.trees) == 40
+
+    frames, fit = [], boosting.fit_boosted_trees
+    monkeypatch.setattr(boosting, "fit_boosted_trees", lambda rows, *a, **k: frames.append(rows) or fit(
+        rows, *a[:3], 2, *a[4:], **k))
+    assert catalog.QUERIES["train_classifier_metrics"](spark, SF_SMALL).count() == 1
+    labels = features.build_labels(catalog.stored_history(spark, SF_SMALL)).count()
+    assert frames[0].count() == labels > 4000
+
+
 def daily(spark, prices: list[float], item: str = "i", store: str | None = "s"):
     rows = [(item, store, dt.date(2024, 1, 1) + dt.timedelta(days=k), f"{k:05d}", Decimal(f"{p:.2f}"), False)
             for k, p in enumerate(prices)]
